@@ -33,6 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from wordgraph.session import TableCuts
+
 MAX_BITS = 62  # bits 0..61 keep every mask a non-negative bigint
 
 
@@ -96,41 +98,73 @@ def bag_masks(postings: DataFrame, hot: DataFrame) -> DataFrame:
     )
 
 
-def _hybrid(postings: DataFrame, hot_words: int, cell_rows: int, max_split: int) -> DataFrame:
+def _low(col: str, nbits: str) -> F.Column:
+    return F.expr(f"`{col}` & (shiftleft(cast(1 as bigint), `{nbits}`) - 1)")
+
+
+def _subsets_avoiding(col: str, nbits: str) -> F.Column:
+    return F.expr(
+        f"filter(sequence(cast(0 as bigint), shiftleft(cast(1 as bigint), `{nbits}`) - 1), "
+        f"x -> (x & `{col}`) = 0)"
+    )
+
+
+def _hybrid(postings: DataFrame, hot_words: int, cell_rows: int, max_split: int, key_bits: int) -> DataFrame:
     hot = hot_word_table(postings, hot_words, cell_rows, max_split)
     masks = bag_masks(postings, hot)
     post_m = postings.join(masks, "v", "left").select(
         "v", "w", F.coalesce(F.col("m"), F.lit(0).cast("bigint")).alias("m")
     )
+    t = int(key_bits)
 
     # Hot branch: one row per (posting, cell) on each side; cells of a word
-    # form a blocks x blocks grid, a pair meets in exactly one cell.
-    hp = post_m.join(F.broadcast(hot.select("w", "bit", "blocks")), "w").withColumn(
-        "blk", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int")
+    # form a blocks x blocks grid, a pair meets in exactly one cell. A pair is
+    # kept at its lowest shared bit only; the first min(bit, key_bits) lower
+    # bits are part of the join key, the rest are checked in the condition.
+    hp = post_m.join(F.broadcast(hot.select("w", "bit", "blocks")), "w").select(
+        "w", "v", "m", "bit", "blocks",
+        F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int").alias("blk"),
+        F.least(F.col("bit"), F.lit(t)).alias("kb"),
     )
     cells = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     left = hp.select(
-        "w", F.col("v").alias("src"), F.col("m").alias("ms"), "bit", "blocks", "blk", cells.alias("j")
-    ).select("w", "src", "ms", "bit", (F.col("blk") * F.col("blocks") + F.col("j")).alias("cell"))
-    right = hp.select(
-        "w", F.col("v").alias("dst"), F.col("m").alias("md"), "blocks", "blk", cells.alias("i")
-    ).select("w", "dst", "md", (F.col("i") * F.col("blocks") + F.col("blk")).alias("cell"))
+        "w", F.col("v").alias("src"), F.col("m").alias("ms"), "bit", "blocks", "blk", "kb", cells.alias("j")
+    ).select(
+        "w", "src", "ms", "bit",
+        (F.col("blk") * F.col("blocks") + F.col("j")).alias("cell"),
+        _low("ms", "kb").alias("key"),
+    )
+    right = (
+        hp.select("w", F.col("v").alias("dst"), F.col("m").alias("md"), "blocks", "blk", "kb", cells.alias("i"))
+        .select("w", "dst", "md", (F.col("i") * F.col("blocks") + F.col("blk")).alias("cell"), "kb")
+        .select("w", "dst", "md", "cell", F.explode(_subsets_avoiding("md", "kb")).alias("key"))
+    )
     lower_bits = _bit("bit") - 1
     hot_pairs = left.join(
         right,
         (left.w == right.w)
         & (left.cell == right.cell)
+        & (left.key == right.key)
         & (left.src != right.dst)
         & ((left.ms.bitwiseAND(right.md)).bitwiseAND(lower_bits) == 0),
     ).select("src", "dst")
 
-    # Rare branch: words outside the hot table that at least two bags hold.
+    # Rare branch: words outside the hot table that at least two bags hold;
+    # only pairs without a shared hot word count here (the first key_bits
+    # bits through the key, the others in the condition), then distinct.
     freq = word_frequencies(postings).where("d >= 2").select("w")
-    rare = post_m.join(F.broadcast(hot.select("w")), "w", "left_anti").join(freq, "w", "left_semi")
-    a = rare.select("w", F.col("v").alias("src"), F.col("m").alias("ms"))
-    b = rare.select(F.col("w").alias("w2"), F.col("v").alias("dst"), F.col("m").alias("md"))
+    rare = (
+        post_m.join(F.broadcast(hot.select("w")), "w", "left_anti")
+        .join(freq, "w", "left_semi")
+        .withColumn("kb", F.lit(t))
+    )
+    a = rare.select("w", F.col("v").alias("src"), F.col("m").alias("ms"), _low("m", "kb").alias("key"))
+    b = rare.select(
+        F.col("w").alias("w2"), F.col("v").alias("dst"), F.col("m").alias("md"),
+        F.explode(_subsets_avoiding("m", "kb")).alias("key2"),
+    )
     rare_pairs = (
-        a.join(b, (a.w == b.w2) & (a.src != b.dst) & (a.ms.bitwiseAND(b.md) == 0))
+        a.join(b, (a.w == b.w2) & (a.key == b.key2) & (a.src != b.dst) & (a.ms.bitwiseAND(b.md) == 0))
         .select("src", "dst")
         .distinct()
     )
@@ -139,19 +173,23 @@ def _hybrid(postings: DataFrame, hot_words: int, cell_rows: int, max_split: int)
 
 def overlap_edges(postings: DataFrame, strategy: str = "auto", directed: bool = True,
                   hot_words: int = MAX_BITS, cell_rows: int = 4096, max_split: int = 64,
-                  plain_limit: int = 50_000_000) -> DataFrame:
+                  key_bits: int = 4, plain_limit: int = 50_000_000, materialize: bool = True) -> DataFrame:
     """J1 + P4: ``src, dst`` for every ordered pair of distinct bags sharing a word.
 
     ``postings(v, w)`` must be unique on ``(v, w)``. ``directed=False`` keeps
     one row per pair (``src < dst``).
     """
     p = postings.select("v", "w")
+    if materialize and strategy != "plain":
+        # The postings are read several times (frequencies, masks, both
+        # branches): write them once instead of re-deriving them each time.
+        p = TableCuts(p.sparkSession, "overlap").cut(p, "postings")
     if strategy == "auto":
         strategy = "plain" if join_cost(p) <= plain_limit else "hybrid"
     if strategy == "plain":
         edges = _plain(p)
     elif strategy == "hybrid":
-        edges = _hybrid(p, hot_words, cell_rows, max_split)
+        edges = _hybrid(p, hot_words, cell_rows, max_split, key_bits)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     if not directed:

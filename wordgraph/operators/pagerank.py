@@ -44,8 +44,9 @@ def _salts(deg_col: str, salt_edges: int):
 def weighted_edges(edges: DataFrame, dedupe: bool, salt_edges: int = DEFAULT_SALT_EDGES) -> tuple[DataFrame, DataFrame]:
     """``(weights, vertex_salts)``.
 
-    weights: ``src, dst, weight, salt, dst_salts``; vertex_salts: ``id, salts``
-    for every source (salts = number of salt values of its out-edges).
+    weights: ``src, dst, weight, salt, src_salts, dst_salts``; vertex_salts:
+    ``id, salts`` for every source (salts = number of salt values of its
+    out-edges; 1 for a vertex without out-edges).
     """
     e = edges.select("src", "dst")
     if dedupe:
@@ -60,6 +61,7 @@ def weighted_edges(edges: DataFrame, dedupe: bool, salt_edges: int = DEFAULT_SAL
             "dst",
             (F.lit(1.0) / F.col("deg")).alias("weight"),
             F.pmod(F.xxhash64("dst"), _salts("deg", salt_edges)).cast("int").alias("salt"),
+            _salts("deg", salt_edges).alias("src_salts"),
             F.coalesce(F.col("dst_salts"), F.lit(1)).alias("dst_salts"),
         )
     )
@@ -91,13 +93,16 @@ def pagerank(edges: DataFrame, iterations: int = 10, missing: str = "keep", dedu
         weights = weights.withColumn("part", placement_part(placement, n)).repartition(n, "part").drop("part")
     weights = weights.persist(StorageLevel.MEMORY_AND_DISK)
 
+    # Start ranks from the persisted weight table, so the edge input is
+    # evaluated once.
+    srcs = weights.select(F.col("src").alias("id"), F.col("src_salts").alias("salts"))
     if missing == "keep":
-        ends = edges.select(F.col("src").alias("id")).union(edges.select(F.col("dst").alias("id"))).distinct()
-        ranks = ends.join(salts, "id", "left").select(
-            "id", F.lit(INITIAL_RANK).alias("rank"), F.coalesce(F.col("salts"), F.lit(1)).alias("salts")
-        )
+        ends = srcs.union(weights.select(F.col("dst").alias("id"), F.col("dst_salts").alias("salts")))
     else:
-        ranks = salts.select("id", F.lit(INITIAL_RANK).alias("rank"), "salts")
+        ends = srcs
+    ranks = ends.groupBy("id").agg(F.max("salts").alias("salts")).select(
+        "id", F.lit(INITIAL_RANK).alias("rank"), "salts"
+    )
 
     cuts = TableCuts(spark, "pagerank")
     if iterations > 0:

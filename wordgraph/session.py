@@ -77,6 +77,20 @@ class TableCuts:
             self.drop(path)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition ``df`` on ``key`` when its scan has fewer parts than the cluster has cores.
+
+    Large inputs come in many files and splits, so nothing changes for them;
+    a small input stored as one row group would otherwise run its CPU-heavy
+    steps (tokenising whole texts) in a single task.
+    """
+    spark = df.sparkSession
+    parallelism = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < parallelism:
+        return df.repartition(parallelism, key)
+    return df
+
+
 def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "wordgraph") -> SparkSession:
     """A local-mode session with the settings used in tests and the bench."""
     builder = (

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordgraph.functions.columns import DOC_TOKEN_SPLIT, doc_tokens, hour_key
+from wordgraph.session import spread
 
 
 def bags_from_rows(df: DataFrame, vertex: str, word: str) -> tuple[DataFrame, DataFrame]:
@@ -42,16 +43,23 @@ def text_tokens(df: DataFrame, vertex: str, text: str, pattern: str = DOC_TOKEN_
 
 
 def bags_from_text(df: DataFrame, vertex: str, text: str, pattern: str = DOC_TOKEN_SPLIT,
-                   counts: bool = False) -> tuple[DataFrame, DataFrame]:
+                   counts: bool = False, vertex_is_key: bool = True) -> tuple[DataFrame, DataFrame]:
     """``(vertices(v), postings(v, w))`` or ``(vertices, counts(v, w, c))`` from whole texts.
 
-    A text without any token is a vertex with no word.
+    A text without any token is a vertex with no word. When the vertex
+    column is a key (one row per bag, the default), the distinct words of a
+    bag are found inside its row (``array_distinct``), so the set form needs
+    no shuffle at all; otherwise a global ``distinct`` merges the rows.
     """
+    src = spread(df.select(vertex, text), vertex)
     vertices = df.select(F.col(vertex).alias("v")).distinct()
-    toks = text_tokens(df, vertex, text, pattern)
     if counts:
+        toks = text_tokens(src, vertex, text, pattern)
         return vertices, toks.groupBy("v", "w").agg(F.count(F.lit(1)).alias("c"))
-    return vertices, toks.distinct()
+    if vertex_is_key:
+        words = F.explode(F.array_distinct(doc_tokens(text, pattern))).alias("w")
+        return vertices, src.select(F.col(vertex).alias("v"), words).where(F.col("w") != "")
+    return vertices, text_tokens(src, vertex, text, pattern).distinct()
 
 
 def interval_key(ts: str, every: str = "1 hour") -> F.Column:
