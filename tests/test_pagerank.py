@@ -76,7 +76,7 @@ def test_salting_changes_no_rank(spark):
     plain = ranks(pagerank(edges(spark, hub), iterations=4, missing="keep"))
     salted = ranks(pagerank(edges(spark, hub), iterations=4, missing="keep", salt_edges=4))
     assert salted == pytest.approx(plain, abs=1e-12)
-    w, _ = weighted_edges(edges(spark, hub), dedupe=False, salt_edges=4)
+    w = weighted_edges(edges(spark, hub), dedupe=False, salt_edges=4)
     assert w.where("src = 0").select("salt").distinct().count() > 1
     plain_d = ranks(pagerank(edges(spark, hub), iterations=4, missing="drop"))
     salted_d = ranks(pagerank(edges(spark, hub), iterations=4, missing="drop", salt_edges=4))

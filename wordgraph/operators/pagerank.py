@@ -41,12 +41,15 @@ def _salts(deg_col: str, salt_edges: int):
     return F.greatest(F.lit(1), F.ceil(F.col(deg_col) / F.lit(salt_edges))).cast("int")
 
 
-def weighted_edges(edges: DataFrame, dedupe: bool, salt_edges: int = DEFAULT_SALT_EDGES) -> tuple[DataFrame, DataFrame]:
-    """``(weights, vertex_salts)``.
-
-    weights: ``src, dst, weight, salt, src_salts, dst_salts``; vertex_salts:
-    ``id, salts`` for every source (salts = number of salt values of its
-    out-edges; 1 for a vertex without out-edges).
+def weighted_edges(edges: DataFrame, dedupe: bool, salt_edges: int = DEFAULT_SALT_EDGES,
+                   self_rows: bool = False) -> DataFrame:
+    """``src, dst, weight, salt, src_salts, dst_salts, is_self``.
+
+    ``salt`` spreads the out-edges of a source over ``ceil(deg / salt_edges)``
+    values; ``dst_salts`` is that count for the target (1 without
+    out-edges). With ``self_rows`` every vertex also gets one row
+    ``(v, v, 0.0, salt 0, is_self)`` that carries its old rank through the
+    round, so the keep form needs no second join with the ranks.
     """
     e = edges.select("src", "dst")
     if dedupe:
@@ -63,21 +66,36 @@ def weighted_edges(edges: DataFrame, dedupe: bool, salt_edges: int = DEFAULT_SAL
             F.pmod(F.xxhash64("dst"), _salts("deg", salt_edges)).cast("int").alias("salt"),
             _salts("deg", salt_edges).alias("src_salts"),
             F.coalesce(F.col("dst_salts"), F.lit(1)).alias("dst_salts"),
+            F.lit(False).alias("is_self"),
         )
     )
-    return w, salts
+    if not self_rows:
+        return w
+    ends = e.select(F.col("src").alias("id")).union(e.select(F.col("dst").alias("id"))).distinct()
+    selfs = ends.join(salts, "id", "left").select(
+        F.col("id").alias("src"),
+        F.col("id").alias("dst"),
+        F.lit(0.0).alias("weight"),
+        F.lit(0).alias("salt"),
+        F.coalesce(F.col("salts"), F.lit(1)).alias("src_salts"),
+        F.coalesce(F.col("salts"), F.lit(1)).alias("dst_salts"),
+        F.lit(True).alias("is_self"),
+    )
+    return w.unionByName(selfs)
 
 
 def pagerank(edges: DataFrame, iterations: int = 10, missing: str = "keep", dedupe: bool | None = None,
              placement: str | None = None, num_partitions: int | None = None,
              salt_edges: int = DEFAULT_SALT_EDGES, reset: float = RESET, damping: float = DAMPING,
-             ) -> DataFrame:
+             checkpoint_every: int = 1) -> DataFrame:
     """``id, rank`` after ``iterations`` rounds (no tolerance, no normalisation).
 
     placement: ``None`` / ``'src'`` (by source: the edge side of the join is
     not shuffled again), ``'grid'`` (2-D cells of src x dst), ``'pair'``
     (hash of both ends), ``'mod'`` (``src mod n``). Placement changes the
     order of floating-point sums only, never a rank beyond rounding.
+    ``checkpoint_every``: rounds between two written rank tables (the plan
+    of a round reads the ranks once, so it grows linearly in between).
     """
     if missing not in ("keep", "drop"):
         raise ValueError("missing must be 'keep' or 'drop'")
@@ -85,8 +103,9 @@ def pagerank(edges: DataFrame, iterations: int = 10, missing: str = "keep", dedu
         dedupe = missing == "drop"
     spark = edges.sparkSession
     n = int(num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    keep = missing == "keep"
 
-    weights, salts = weighted_edges(edges, dedupe, salt_edges)
+    weights = weighted_edges(edges, dedupe, salt_edges, self_rows=keep)
     if placement in (None, "src"):
         weights = weights.repartition(n, "src", "salt")
     else:
@@ -94,37 +113,35 @@ def pagerank(edges: DataFrame, iterations: int = 10, missing: str = "keep", dedu
     weights = weights.persist(StorageLevel.MEMORY_AND_DISK)
 
     # Start ranks from the persisted weight table, so the edge input is
-    # evaluated once.
-    srcs = weights.select(F.col("src").alias("id"), F.col("src_salts").alias("salts"))
-    if missing == "keep":
-        ends = srcs.union(weights.select(F.col("dst").alias("id"), F.col("dst_salts").alias("salts")))
+    # evaluated once: every vertex (keep) or every source (drop) at 1.0.
+    if keep:
+        start = weights.where("is_self").select(F.col("src").alias("id"), F.col("dst_salts").alias("salts"))
     else:
-        ends = srcs
-    ranks = ends.groupBy("id").agg(F.max("salts").alias("salts")).select(
-        "id", F.lit(INITIAL_RANK).alias("rank"), "salts"
-    )
+        start = weights.select(F.col("src").alias("id"), F.col("src_salts").alias("salts")).distinct()
+    ranks = start.select("id", F.lit(INITIAL_RANK).alias("rank"), "salts")
 
     cuts = TableCuts(spark, "pagerank")
     if iterations > 0:
         ranks = cuts.cut(ranks, "ranks-0")
     for i in range(1, iterations + 1):
         sent = ranks.select("id", "rank", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-        contrib = (
-            weights.join(sent, (weights.src == sent.id) & (weights.salt == sent.salt))
-            .groupBy("dst")
-            .agg(
-                F.sum(F.col("rank") * F.col("weight")).alias("c"),
-                F.max("dst_salts").alias("dst_salts"),
-            )
-        )
+        joined = weights.join(sent, (weights.src == sent.id) & (weights.salt == sent.salt))
+        msg = F.when(~F.col("is_self"), F.col("rank") * F.col("weight"))
         upd = F.lit(reset) + F.lit(damping) * F.col("c")
-        if missing == "keep":
-            nxt = ranks.join(contrib.select(F.col("dst").alias("id"), "c"), "id", "left").select(
-                "id", F.coalesce(upd, F.col("rank")).alias("rank"), "salts"
+        if keep:
+            nxt = joined.groupBy("dst").agg(
+                F.sum(msg).alias("c"),
+                F.max(F.when(F.col("is_self"), F.col("rank"))).alias("old"),
+                F.max("dst_salts").alias("salts"),
+            ).select(F.col("dst").alias("id"), F.coalesce(upd, F.col("old")).alias("rank"), "salts")
+        else:
+            nxt = joined.groupBy("dst").agg(F.sum(msg).alias("c"), F.max("dst_salts").alias("salts")).select(
+                F.col("dst").alias("id"), upd.alias("rank"), "salts"
             )
+        if i % checkpoint_every == 0 or i == iterations:
+            ranks = cuts.cut(nxt, f"ranks-{i}")
+            cuts.drop_all_but_last()
         else:
-            nxt = contrib.select(F.col("dst").alias("id"), upd.alias("rank"), F.col("dst_salts").alias("salts"))
-        ranks = cuts.cut(nxt, f"ranks-{i}")
-        cuts.drop_all_but_last()
+            ranks = nxt
     weights.unpersist()
     return ranks.select("id", "rank")
