@@ -85,7 +85,7 @@ def hot_word_table(postings: DataFrame, hot_words: int = MAX_BITS, cell_rows: in
         "w",
         F.col("bit").cast("int").alias("bit"),
         "d",
-        F.least(F.ceil(F.col("d") / F.lit(cell_rows)), F.lit(max_split)).cast("int").alias("blocks"),
+        _blocks(F.col("d"), cell_rows, max_split).alias("blocks"),
     )
 
 
@@ -109,6 +109,30 @@ def _subsets_avoiding(col: str, nbits: str) -> F.Column:
     )
 
 
+def _blocks(d: F.Column, cell_rows: int, max_split: int) -> F.Column:
+    return F.least(F.greatest(F.ceil(d / F.lit(cell_rows)), F.lit(1)), F.lit(max_split)).cast("int")
+
+
+def _grid_sides(df: DataFrame, extra_left: list, extra_right: list) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a block-split self join on ``w``.
+
+    ``df`` has ``w, v, m, blocks`` (+ extra columns). A row in block ``b`` of a
+    word with B blocks goes to cells ``(b, 0..B-1)`` on the left and
+    ``(0..B-1, b)`` on the right, so every pair of rows of the word meets in
+    exactly one cell (a B x B grid of tasks instead of one).
+    """
+    blk = F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int")
+    spread = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    base = df.withColumn("blk", blk)
+    left = base.select(
+        "w", F.col("v").alias("src"), F.col("m").alias("ms"), *extra_left, "blk", "blocks", spread.alias("j")
+    ).select("w", "src", "ms", *extra_left, (F.col("blk") * F.col("blocks") + F.col("j")).alias("cell"))
+    right = base.select(
+        "w", F.col("v").alias("dst"), F.col("m").alias("md"), *extra_right, "blk", "blocks", spread.alias("i")
+    ).select("w", "dst", "md", *extra_right, (F.col("i") * F.col("blocks") + F.col("blk")).alias("cell"))
+    return left, right
+
+
 def _hybrid(postings: DataFrame, hot_words: int, cell_rows: int, max_split: int, key_bits: int) -> DataFrame:
     hot = hot_word_table(postings, hot_words, cell_rows, max_split)
     masks = bag_masks(postings, hot)
@@ -117,28 +141,15 @@ def _hybrid(postings: DataFrame, hot_words: int, cell_rows: int, max_split: int,
     )
     t = int(key_bits)
 
-    # Hot branch: one row per (posting, cell) on each side; cells of a word
-    # form a blocks x blocks grid, a pair meets in exactly one cell. A pair is
-    # kept at its lowest shared bit only; the first min(bit, key_bits) lower
-    # bits are part of the join key, the rest are checked in the condition.
-    hp = post_m.join(F.broadcast(hot.select("w", "bit", "blocks")), "w").select(
-        "w", "v", "m", "bit", "blocks",
-        F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int").alias("blk"),
-        F.least(F.col("bit"), F.lit(t)).alias("kb"),
-    )
-    cells = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = hp.select(
-        "w", F.col("v").alias("src"), F.col("m").alias("ms"), "bit", "blocks", "blk", "kb", cells.alias("j")
-    ).select(
-        "w", "src", "ms", "bit",
-        (F.col("blk") * F.col("blocks") + F.col("j")).alias("cell"),
-        _low("ms", "kb").alias("key"),
-    )
-    right = (
-        hp.select("w", F.col("v").alias("dst"), F.col("m").alias("md"), "blocks", "blk", "kb", cells.alias("i"))
-        .select("w", "dst", "md", (F.col("i") * F.col("blocks") + F.col("blk")).alias("cell"), "kb")
-        .select("w", "dst", "md", "cell", F.explode(_subsets_avoiding("md", "kb")).alias("key"))
+    # Hot branch: a pair is kept at its lowest shared bit only. The first
+    # min(bit, key_bits) lower bits are part of the join key (pairs sharing
+    # one of them never meet), the rest are checked in the join condition.
+    hp = post_m.join(F.broadcast(hot.select("w", "bit", "blocks")), "w").withColumn(
+        "kb", F.least(F.col("bit"), F.lit(t))
     )
+    left, right = _grid_sides(hp, ["bit", "kb"], ["kb"])
+    left = left.select("w", "src", "ms", "bit", "cell", _low("ms", "kb").alias("key"))
+    right = right.select("w", "dst", "md", "cell", F.explode(_subsets_avoiding("md", "kb")).alias("key"))
     lower_bits = _bit("bit") - 1
     hot_pairs = left.join(
         right,
@@ -151,20 +162,27 @@ def _hybrid(postings: DataFrame, hot_words: int, cell_rows: int, max_split: int,
 
     # Rare branch: words outside the hot table that at least two bags hold;
     # only pairs without a shared hot word count here (the first key_bits
-    # bits through the key, the others in the condition), then distinct.
-    freq = word_frequencies(postings).where("d >= 2").select("w")
+    # bits through the key, the others in the condition), then distinct. A
+    # rare word can still be large at scale: it is block split like a hot one
+    # (the frequency table is joined, not broadcast: it grows with the data).
+    freq = word_frequencies(postings).where("d >= 2").select("w", _blocks(F.col("d"), cell_rows, max_split).alias("blocks"))
     rare = (
         post_m.join(F.broadcast(hot.select("w")), "w", "left_anti")
-        .join(freq, "w", "left_semi")
+        .join(freq, "w")
         .withColumn("kb", F.lit(t))
     )
-    a = rare.select("w", F.col("v").alias("src"), F.col("m").alias("ms"), _low("m", "kb").alias("key"))
-    b = rare.select(
-        F.col("w").alias("w2"), F.col("v").alias("dst"), F.col("m").alias("md"),
-        F.explode(_subsets_avoiding("m", "kb")).alias("key2"),
+    a, b = _grid_sides(rare, ["kb"], ["kb"])
+    a = a.select("w", "src", "ms", "cell", _low("ms", "kb").alias("key"))
+    b = b.select(
+        F.col("w").alias("w2"), "dst", "md", F.col("cell").alias("cell2"),
+        F.explode(_subsets_avoiding("md", "kb")).alias("key2"),
     )
     rare_pairs = (
-        a.join(b, (a.w == b.w2) & (a.key == b.key2) & (a.src != b.dst) & (a.ms.bitwiseAND(b.md) == 0))
+        a.join(
+            b,
+            (a.w == b.w2) & (a.cell == b.cell2) & (a.key == b.key2)
+            & (a.src != b.dst) & (a.ms.bitwiseAND(b.md) == 0),
+        )
         .select("src", "dst")
         .distinct()
     )
