@@ -1,6 +1,6 @@
 """Fixed-round PageRank in the reference's two exact forms.
 
-``missing='keep'`` (GraphX form): every vertex seen in the edge list starts
+``missing='keep'`` (vertex-update form): every vertex seen in the edge list starts
 at 1.0; each round a vertex that receives contributions takes
 ``0.15 + 0.85 * Σ rank(src) / outdeg(src)``, one that receives none keeps its
 rank. Parallel edges count each.
