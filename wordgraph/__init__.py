@@ -8,7 +8,7 @@ Public API (every function maps DataFrames to DataFrames):
 * graph: ``Graph``, ``vertices_of``, ``out_degrees``, ``degrees``,
   ``with_degrees``, ``edge_weights``, ``triplets``, ``update_join``,
   ``aggregate_neighbors``, ``adjacency``
-* overlap: ``bag_sizes``, ``overlap_edges``
+* overlap: ``bag_sizes``, ``overlap_edges``, ``overlap_graph``
 * iterative: ``pagerank``, ``components_from_postings``,
   ``components_from_edges``, ``component_sizes``
 * placement: ``place``, ``placement_report``, ``placement_summary``
@@ -36,7 +36,7 @@ from wordgraph.operators.graph import (
     vertices_of,
     with_degrees,
 )
-from wordgraph.operators.overlap import bag_sizes, overlap_edges
+from wordgraph.operators.overlap import bag_sizes, overlap_edges, overlap_graph
 from wordgraph.operators.pagerank import pagerank
 from wordgraph.operators.placement import place, placement_report, placement_summary
 from wordgraph.plans.questions import (

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from wordgraph.operators.graph import Graph
 from wordgraph.session import TableCuts
 
 MAX_BITS = 62  # bits 0..61 keep every mask a non-negative bigint
@@ -213,3 +214,17 @@ def overlap_edges(postings: DataFrame, strategy: str = "auto", directed: bool =
     if not directed:
         edges = edges.where(F.col("src") < F.col("dst"))
     return edges
+
+
+def overlap_graph(vertices: DataFrame, postings: DataFrame, strategy: str = "auto", directed: bool = True,
+                  **kw) -> Graph:
+    """The word-overlap graph as ``Graph(vertices(v, n), edges(src, dst))``.
+
+    The postings are written once below the checkpoint folder; the bag
+    sizes (A20) and the edges (J1) are both derived from that table, so
+    whatever produced the postings (e.g. tokenising whole texts) runs once.
+    """
+    p = TableCuts(postings.sparkSession, "overlap").cut(postings.select("v", "w"), "postings")
+    sizes = bag_sizes(vertices, p)
+    edges = overlap_edges(p, strategy=strategy, directed=directed, materialize=False, **kw)
+    return Graph(sizes, edges)

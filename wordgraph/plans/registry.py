@@ -301,8 +301,8 @@ def _q1_sql(bag_sql: str) -> str:
 
 def _q1(fixture, strategy="auto"):
     def q(spark, d):
-        v, p = fixture(spark, d)
-        return Q.larger_source_edges(O.overlap_edges(p, strategy=strategy), O.bag_sizes(v, p))
+        g = O.overlap_graph(*fixture(spark, d), strategy=strategy, directed=False)
+        return Q.larger_source_edges(g.edges, g.vertices, directed=False)
 
     return q
 
@@ -320,8 +320,8 @@ def _q2_sql(bag_sql: str) -> str:
 
 def _q2(fixture, strategy="auto"):
     def q(spark, d):
-        v, p = fixture(spark, d)
-        return Q.most_popular_vertex(O.overlap_edges(p, strategy=strategy), O.bag_sizes(v, p))
+        g = O.overlap_graph(*fixture(spark, d), strategy=strategy)
+        return Q.most_popular_vertex(g.edges, g.vertices)
 
     return q
 
@@ -338,8 +338,8 @@ def _q3_sql(bag_sql: str) -> str:
 
 def _q3(fixture, strategy="auto"):
     def q(spark, d):
-        v, p = fixture(spark, d)
-        out = Q.neighbor_average(O.overlap_edges(p, strategy=strategy), O.bag_sizes(v, p))
+        g = O.overlap_graph(*fixture(spark, d), strategy=strategy)
+        out = Q.neighbor_average(g.edges, g.vertices)
         return out.select("v", "avg_words", r9("avg_words_exact"))
 
     return q
