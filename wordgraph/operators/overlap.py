@@ -78,8 +78,12 @@ def hot_word_table(postings: DataFrame, hot_words: int = MAX_BITS, cell_rows: in
     are split in that many blocks per side of the join.
     The table is bounded by construction (``limit``), so it is broadcast.
     """
+    return _hot_from_freq(word_frequencies(postings).where("d >= 2"), hot_words, cell_rows, max_split)
+
+
+def _hot_from_freq(freq: DataFrame, hot_words: int, cell_rows: int, max_split: int) -> DataFrame:
     k = min(int(hot_words), MAX_BITS)
-    top = word_frequencies(postings).where("d >= 2").orderBy(F.desc("d"), F.asc("w")).limit(k)
+    top = freq.orderBy(F.desc("d"), F.asc("w")).limit(k)
     # At most k rows: one window partition over them is bounded.
     ranked = top.withColumn("bit", F.row_number().over(Window.orderBy(F.desc("d"), F.asc("w"))) - 1)
     return ranked.select(
@@ -135,10 +139,18 @@ def _grid_sides(df: DataFrame, extra_left: list, extra_right: list) -> tuple[Dat
 
 
 def _hybrid(postings: DataFrame, hot_words: int, cell_rows: int, max_split: int, key_bits: int) -> DataFrame:
-    hot = hot_word_table(postings, hot_words, cell_rows, max_split)
+    # Word frequencies, the hot-word table and the masked postings are each
+    # used by both branches: write each once (frequencies: one row per
+    # word; hot table: at most 62 rows; masked postings: one row per posting).
+    cuts = TableCuts(postings.sparkSession, "hybrid")
+    freq = cuts.cut(word_frequencies(postings).where("d >= 2"), "freq")
+    hot = cuts.cut(_hot_from_freq(freq, hot_words, cell_rows, max_split), "hot")
     masks = bag_masks(postings, hot)
-    post_m = postings.join(masks, "v", "left").select(
-        "v", "w", F.coalesce(F.col("m"), F.lit(0).cast("bigint")).alias("m")
+    post_m = cuts.cut(
+        postings.join(masks, "v", "left").select(
+            "v", "w", F.coalesce(F.col("m"), F.lit(0).cast("bigint")).alias("m")
+        ),
+        "postings_masked",
     )
     t = int(key_bits)
 
@@ -166,10 +178,10 @@ def _hybrid(postings: DataFrame, hot_words: int, cell_rows: int, max_split: int,
     # bits through the key, the others in the condition), then distinct. A
     # rare word can still be large at scale: it is block split like a hot one
     # (the frequency table is joined, not broadcast: it grows with the data).
-    freq = word_frequencies(postings).where("d >= 2").select("w", _blocks(F.col("d"), cell_rows, max_split).alias("blocks"))
+    rare_freq = freq.select("w", _blocks(F.col("d"), cell_rows, max_split).alias("blocks"))
     rare = (
         post_m.join(F.broadcast(hot.select("w")), "w", "left_anti")
-        .join(freq, "w")
+        .join(rare_freq, "w")
         .withColumn("kb", F.lit(t))
     )
     a, b = _grid_sides(rare, ["kb"], ["kb"])
