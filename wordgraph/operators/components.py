@@ -16,6 +16,7 @@ nothing (checked on the written table).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,26 +58,41 @@ def components_from_postings(vertices: DataFrame, postings: DataFrame, max_round
     their own. ``postings`` is written once below the checkpoint folder, so
     the rounds do not redo the work that made it (e.g. tokenising).
     """
-    cuts = TableCuts(vertices.sparkSession, "postings")
-    post = cuts.cut(postings.select("v", "w"), "postings")
+    spark = vertices.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    post = TableCuts(spark, "postings").cut(postings.select("v", "w"), "postings")
+    # Placed once by bag and once by word: a round then joins the labels
+    # (one row per bag) and the word minima (one row per word) to postings
+    # that are already partitioned on the join key, so only vertex and word
+    # data move, never the postings.
+    by_v = post.repartition(n, "v").persist(StorageLevel.MEMORY_AND_DISK)
+    by_w = post.repartition(n, "w").persist(StorageLevel.MEMORY_AND_DISK)
 
     def neighbour_min(labels: DataFrame) -> DataFrame:
-        word_l = post.join(labels, "v").groupBy("w").agg(F.min("l").alias("wl"))
-        return post.join(word_l, "w").groupBy("v").agg(F.min("wl").alias("nl"))
+        word_l = by_v.join(labels, "v").groupBy("w").agg(F.min("l").alias("wl"))
+        return by_w.join(word_l, "w").groupBy("v").agg(F.min("wl").alias("nl"))
 
-    return _run(vertices, neighbour_min, max_rounds, "components")
+    try:
+        return _run(vertices, neighbour_min, max_rounds, "components")
+    finally:
+        by_v.unpersist()
+        by_w.unpersist()
 
 
 def components_from_edges(vertices: DataFrame, edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """``v, component`` of a general graph; edges are taken in both directions."""
-    cuts = TableCuts(vertices.sparkSession, "edges")
-    both = cuts.cut(
+    spark = vertices.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    both = TableCuts(spark, "edges").cut(
         edges.select(F.col("src").alias("a"), F.col("dst").alias("b"))
         .union(edges.select(F.col("dst").alias("a"), F.col("src").alias("b")))
-        .where(F.col("a") != F.col("b")),
+        .where(F.col("a") != F.col("b"))
+        .distinct(),
         "edges",
     )
     all_v = vertices.select("v").union(both.select(F.col("a").alias("v"))).distinct()
+    # Edges placed once on the side that joins the labels.
+    both = both.repartition(n, "a").persist(StorageLevel.MEMORY_AND_DISK)
 
     def neighbour_min(labels: DataFrame) -> DataFrame:
         return (
@@ -86,7 +102,10 @@ def components_from_edges(vertices: DataFrame, edges: DataFrame, max_rounds: int
             .withColumnRenamed("b", "v")
         )
 
-    return _run(all_v, neighbour_min, max_rounds, "components")
+    try:
+        return _run(all_v, neighbour_min, max_rounds, "components")
+    finally:
+        both.unpersist()
 
 
 def component_sizes(labels: DataFrame) -> DataFrame:
