@@ -5,6 +5,8 @@ Each fixture reads whole tables (no id subsets, no row caps):
 * ``F_EDGE`` — part → next part of the same order (line order), every
   order line; lines of quantity 50 are given twice, so parallel edges exist.
 * ``F_BAG_ORDER`` — one bag per order, its words the parts it holds.
+* ``F_BAG_CUST`` — one bag per order, its word the customer (many
+  components, one per customer).
 * ``F_BAG_HOUR`` — one bag per hour of ``events``, its words the users
   active in it (with counts for the multiset form).
 * ``F_BAG_DOC`` — one bag per document, its words the tokens of the whole
@@ -46,6 +48,11 @@ def f_bag_order(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     return bags_from_rows(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
 
 
+def f_bag_cust(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """One bag per order, its word the customer: components = customers' orders."""
+    return bags_from_rows(table(spark, sf_dir, "orders"), "o_orderkey", "o_custkey")
+
+
 def f_bag_hour(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     ev = table(spark, sf_dir, "events").select(hour_key("ts").alias("hour"), "user_id")
     return bags_from_rows(ev, "hour", "user_id")
@@ -75,6 +82,9 @@ select src, dst from e0 union all select src, dst from e0 where q = 50)"""
 F_BAG_ORDER_SQL = "(select distinct l_orderkey v, l_partkey w from lineitem where l_partkey is not null)"
 F_BAG_ORDER_V_SQL = "(select distinct l_orderkey v from lineitem)"
 
+F_BAG_CUST_SQL = "(select distinct o_orderkey v, o_custkey w from orders where o_custkey is not null)"
+F_BAG_CUST_V_SQL = "(select distinct o_orderkey v from orders)"
+
 HOUR_SQL = "date_diff('hour', timestamp '1970-01-01', ts)"
 F_BAG_HOUR_SQL = f"(select distinct {HOUR_SQL} v, user_id w from events where user_id is not null)"
 F_BAG_HOUR_V_SQL = f"(select distinct {HOUR_SQL} v from events)"

@@ -328,6 +328,7 @@ def _q2(fixture, strategy="auto"):
 
 register("q2_popular_vertex", _q2_sql(FX.F_BAG_ORDER_SQL))(_q2(FX.f_bag_order))
 register("q2_popular_vertex_docs", _q2_sql(FX.F_BAG_DOC_SQL))(_q2(FX.f_bag_doc, "hybrid"))
+register("q2_popular_vertex_customers", _q2_sql(FX.F_BAG_CUST_SQL))(_q2(FX.f_bag_cust))
 
 
 def _q3_sql(bag_sql: str) -> str:
@@ -437,3 +438,31 @@ EDGE_COMPONENTS_SQL = _components_sql(
 def components_edges(spark, d):
     e = FX.f_edge(spark, d)
     return C.components_from_edges(G.vertices_of(e), e)
+
+
+CUST_COMPONENTS_SQL = _components_sql(FX.F_BAG_CUST_V_SQL, _pairs_sql(FX.F_BAG_CUST_SQL))
+
+
+@register("components_customer_orders", CUST_COMPONENTS_SQL)
+def components_customer_orders(spark, d):
+    v, p = FX.f_bag_cust(spark, d)
+    return C.components_from_postings(v, p)
+
+
+@register(
+    "component_sizes_customer_orders",
+    f"select component, count(*) n_vertices from ({CUST_COMPONENTS_SQL}) group by component",
+)
+def component_sizes_customer_orders(spark, d):
+    v, p = FX.f_bag_cust(spark, d)
+    return C.component_sizes(C.components_from_postings(v, p))
+
+
+@register(
+    "q5_largest_component_customers",
+    f"""select component, count(*) n_vertices from ({CUST_COMPONENTS_SQL}) group by component
+    order by n_vertices desc, component limit 1""",
+)
+def q5_largest_component_customers(spark, d):
+    v, p = FX.f_bag_cust(spark, d)
+    return Q.largest_component(C.components_from_postings(v, p))
