@@ -18,7 +18,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from wordgraph.plans.registry import QUERIES  # noqa: E402
-from wordgraph.session import local_session  # noqa: E402
+from wordgraph.session import local_session, release_cuts  # noqa: E402
 
 HEADLINE = [
     "pagerank_keep",
@@ -48,6 +48,7 @@ def main() -> None:
         t0 = time.time()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t0, 3)
+        release_cuts(spark)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "total_sec",

@@ -86,3 +86,30 @@ def test_placement(spark, strategy):
     assert s["n_edges"] == total and s["replication"] >= 1.0 and s["edge_skew"] >= 1.0
     placed = place(e, strategy, 6)
     assert placed.rdd.getNumPartitions() == 6
+
+
+def test_checkpoint_dir_and_release(spark):
+    import os
+
+    from wordgraph.session import TableCuts, checkpoint_dir, release_cuts
+
+    d = checkpoint_dir(spark)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        assert d.replace("file:", "").startswith(configured.replace("file:", "").rstrip("/"))
+    cuts = TableCuts(spark, "test")
+    df = cuts.cut(spark.range(10), "t")
+    assert df.count() == 10
+    root = cuts.root.replace("file:", "")
+    assert os.path.isdir(root)
+    assert release_cuts(spark) >= 1
+    assert not os.path.exists(root)
+
+
+def test_spread_only_small_inputs(spark):
+    from wordgraph.session import spread
+
+    one = spark.range(100).coalesce(1)
+    assert spread(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = spark.range(100).repartition(spark.sparkContext.defaultParallelism * 2)
+    assert spread(many, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism * 2

@@ -16,6 +16,7 @@ Public API (every function maps DataFrames to DataFrames):
   ``neighbor_average``, ``most_popular_word``, ``word_presence``,
   ``largest_component``
 * streaming: ``interval_counts_stream``
+* session: ``checkpoint_dir``, ``release_cuts``
 """
 
 from wordgraph.operators.components import (
@@ -56,3 +57,4 @@ from wordgraph.sources.tables import (
     counts_from_rows,
 )
 from wordgraph.sources.text import bag_files, edge_list, url_pairs
+from wordgraph.session import checkpoint_dir, release_cuts

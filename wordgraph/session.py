@@ -45,6 +45,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
     )
 
 
+_ROOTS: dict[str, list[str]] = {}
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(conf).delete(p, True)
+
+
+def release_cuts(spark: SparkSession) -> int:
+    """Delete every table this application wrote below the checkpoint folder.
+
+    Results returned earlier read those tables: call this once they have
+    been consumed (written out or collected). Returns the number of folders.
+    """
+    roots = _ROOTS.pop(spark.sparkContext.applicationId, [])
+    for root in roots:
+        _delete(spark, root)
+    return len(roots)
+
+
 class TableCuts:
     """Writes intermediate tables of one run below the checkpoint folder.
 
@@ -57,6 +79,7 @@ class TableCuts:
         self.spark = spark
         self.root = f"{checkpoint_dir(spark).rstrip('/')}/wordgraph-{prefix}-{uuid.uuid4().hex}"
         self.paths: list[str] = []
+        _ROOTS.setdefault(spark.sparkContext.applicationId, []).append(self.root)
 
     def cut(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
@@ -65,10 +88,7 @@ class TableCuts:
         return self.spark.read.parquet(path)
 
     def drop(self, path: str) -> None:
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(conf).delete(p, True)
+        _delete(self.spark, path)
         if path in self.paths:
             self.paths.remove(path)
 
