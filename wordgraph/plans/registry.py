@@ -143,6 +143,15 @@ def _pagerank_drop_sql(rounds: int) -> str:
     return "with " + ",\n ".join(parts) + f"\nselect id, round(rank, {ROUND}) rank from r{rounds}"
 
 
+def _pagerank_drop_strings_sql(rounds: int) -> str:
+    sql = _pagerank_drop_sql(rounds)
+    return sql.replace(
+        f"e as materialized (select distinct src, dst from {FX.F_EDGE_SQL})",
+        f"e as materialized (select distinct cast(src as varchar) src, cast(dst as varchar) dst from {FX.F_EDGE_SQL})",
+        1,
+    )
+
+
 def _pr(spark, d, **kw):
     return pagerank(FX.f_edge(spark, d), **kw).select("id", r9("rank"))
 
@@ -172,6 +181,12 @@ def pagerank_drop(spark, d):
     return _pr(spark, d, iterations=10, missing="drop", placement="mod", num_partitions=PLACEMENT_PARTS)
 
 
+@register("pagerank_drop_string_ids", _pagerank_drop_strings_sql(10))
+def pagerank_drop_string_ids(spark, d):
+    e = FX.f_edge(spark, d).select(F.col("src").cast("string").alias("src"), F.col("dst").cast("string").alias("dst"))
+    return pagerank(e, iterations=10, missing="drop").select("id", r9("rank"))
+
+
 # --- placement ------------------------------------------------------------------
 
 _PART_SQL = {
