@@ -19,6 +19,7 @@ from wordgraph.operators import placement as PL
 from wordgraph.operators.pagerank import pagerank
 from wordgraph.plans import fixtures as FX
 from wordgraph.plans import questions as Q
+from wordgraph.streaming.intervals import run_interval_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -261,6 +262,11 @@ def interval_bags(spark, d):
     return FX.f_interval(spark, d)[1]
 
 
+@register("interval_bags_stream", f"select v, w, c from {FX.F_INTERVAL_SQL}")
+def interval_bags_stream(spark, d):
+    return run_interval_counts(spark, d, "events.parquet", "ts", "event_type", "1 hour")
+
+
 # --- overlap graph --------------------------------------------------------------
 
 

@@ -9,10 +9,11 @@ it is closed. The batch form is ``sources.tables.bags_from_events``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordgraph.functions.columns import EPOCH_NTZ
+from wordgraph.session import TableCuts
 
 
 def interval_counts_stream(events: DataFrame, ts: str, word: str, every: str = "1 hour",
@@ -42,3 +43,36 @@ def _interval_seconds(every: str) -> int:
     n, unit = every.split()
     mult = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
     return int(n) * mult
+
+
+def run_interval_counts(spark: SparkSession, source_dir: str, file_glob: str, ts: str, word: str,
+                        every: str = "1 hour", late: str = "1 hour") -> DataFrame:
+    """Run ``interval_counts_stream`` over the files of ``source_dir`` to the end.
+
+    The stream is processed with an available-now trigger in ``update``
+    mode: each micro-batch appends the intervals it changed, with their
+    current counts, to a table below the shared checkpoint folder (the
+    stream's own checkpoint lives there too, so a restarted job resumes).
+    Counts of an interval only grow, so its final count is the largest one
+    written. Returns ``v, w, c``.
+    """
+    schema = spark.read.parquet(f"{source_dir.rstrip('/')}/{file_glob}").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", file_glob).parquet(source_dir)
+    counts = interval_counts_stream(stream, ts, word, every, late)
+    cuts = TableCuts(spark, "stream")
+    out = f"{cuts.root}/updates"
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("batch", F.lit(batch_id)).write.mode("append").parquet(out)
+
+    q = (
+        counts.writeStream.outputMode("update")
+        .foreachBatch(sink)
+        .option("checkpointLocation", f"{cuts.root}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    return spark.read.schema("v bigint, w string, c bigint, batch bigint").parquet(out).groupBy("v", "w").agg(
+        F.max("c").alias("c")
+    )
