@@ -1,8 +1,9 @@
 """Word bags from tables (S6 and the fixtures): one bag per row key.
 
 * ``bags_from_rows`` — a vertex column and a word column (e.g. order → part).
-* ``bags_from_text`` — a vertex column and a whole text, tokenised by a
-  regular expression (every word of every text, no prefix).
+* ``bags_from_text`` — a vertex column and a whole text; the words are the
+  maximal matches of a token regular expression (every word of every text,
+  no prefix).
 * ``bags_from_events`` — S6, the reference's "time interval" bags: events
   cut into fixed intervals, the interval is the vertex.
 """
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordgraph.functions.columns import DOC_TOKEN_SPLIT, doc_tokens, hour_key
+from wordgraph.functions.columns import DOC_TOKEN, doc_tokens, hour_key
 from wordgraph.session import spread
 
 
@@ -34,15 +35,15 @@ def counts_from_rows(df: DataFrame, vertex: str, word: str) -> tuple[DataFrame,
     return vertices, counts
 
 
-def text_tokens(df: DataFrame, vertex: str, text: str, pattern: str = DOC_TOKEN_SPLIT) -> DataFrame:
+def text_tokens(df: DataFrame, vertex: str, text: str, token: str = DOC_TOKEN) -> DataFrame:
     """``v, w`` one row per token occurrence of each whole text."""
     return (
-        df.select(F.col(vertex).alias("v"), F.explode(doc_tokens(text, pattern)).alias("w"))
+        df.select(F.col(vertex).alias("v"), F.explode(doc_tokens(text, token)).alias("w"))
         .where(F.col("w") != "")
     )
 
 
-def bags_from_text(df: DataFrame, vertex: str, text: str, pattern: str = DOC_TOKEN_SPLIT,
+def bags_from_text(df: DataFrame, vertex: str, text: str, token: str = DOC_TOKEN,
                    counts: bool = False, vertex_is_key: bool = True) -> tuple[DataFrame, DataFrame]:
     """``(vertices(v), postings(v, w))`` or ``(vertices, counts(v, w, c))`` from whole texts.
 
@@ -54,12 +55,12 @@ def bags_from_text(df: DataFrame, vertex: str, text: str, pattern: str = DOC_TOK
     src = spread(df.select(vertex, text), vertex)
     vertices = df.select(F.col(vertex).alias("v")).distinct()
     if counts:
-        toks = text_tokens(src, vertex, text, pattern)
+        toks = text_tokens(src, vertex, text, token)
         return vertices, toks.groupBy("v", "w").agg(F.count(F.lit(1)).alias("c"))
     if vertex_is_key:
-        words = F.explode(F.array_distinct(doc_tokens(text, pattern))).alias("w")
+        words = F.explode(F.array_distinct(doc_tokens(text, token))).alias("w")
         return vertices, src.select(F.col(vertex).alias("v"), words).where(F.col("w") != "")
-    return vertices, text_tokens(src, vertex, text, pattern).distinct()
+    return vertices, text_tokens(src, vertex, text, token).distinct()
 
 
 def interval_key(ts: str, every: str = "1 hour") -> F.Column:
