@@ -117,3 +117,17 @@ def test_no_edges_gives_empty_answers(spark):
     assert larger_source_edges(e, sizes).first()["n_edges"] == 0
     assert most_popular_vertex(e, sizes).count() == 0
     assert neighbor_average(e, sizes).count() == 0
+
+
+@pytest.mark.parametrize("kw", STRATS[:4])
+def test_carried_sizes_equal_joined_sizes(spark, kw):
+    from wordgraph import overlap_graph, triplets
+
+    for data in (BAGS8, BAGS4):
+        v, p, _ = bags(spark, data)
+        sizes = bag_sizes(v, p)
+        carried = overlap_edges(p, with_sizes=True, **kw)
+        joined = triplets(overlap_edges(p, **kw), sizes.withColumnRenamed("n", "x"), "x", "ns", "nd")
+        assert rows(carried, "src", "dst", "ns", "nd") == rows(joined, "src", "dst", "ns", "nd")
+        g = overlap_graph(v, p, **kw)
+        assert rows(g.edges, "src", "dst", "ns", "nd") == rows(joined, "src", "dst", "ns", "nd")

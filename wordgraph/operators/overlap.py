@@ -63,10 +63,18 @@ def join_cost(postings: DataFrame) -> int:
     return int(row["s"] or 0)
 
 
-def _plain(postings: DataFrame) -> DataFrame:
-    a = postings.select(F.col("w"), F.col("v").alias("src"))
-    b = postings.select(F.col("w"), F.col("v").alias("dst"))
-    return a.join(b, "w").where(F.col("src") != F.col("dst")).select("src", "dst").distinct()
+def _plain(postings: DataFrame, with_sizes: bool = False) -> DataFrame:
+    if with_sizes:
+        n = postings.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+        postings = postings.join(n, "v")
+        a = postings.select(F.col("w"), F.col("v").alias("src"), F.col("n").alias("ns"))
+        b = postings.select(F.col("w"), F.col("v").alias("dst"), F.col("n").alias("nd"))
+        cols = ["src", "dst", "ns", "nd"]
+    else:
+        a = postings.select(F.col("w"), F.col("v").alias("src"))
+        b = postings.select(F.col("w"), F.col("v").alias("dst"))
+        cols = ["src", "dst"]
+    return a.join(b, "w").where(F.col("src") != F.col("dst")).select(*cols).distinct()
 
 
 def hot_word_table(postings: DataFrame, hot_words: int = MAX_BITS, cell_rows: int = 4096,
@@ -129,30 +137,41 @@ def _grid_sides(df: DataFrame, extra_left: list, extra_right: list) -> tuple[Dat
     blk = F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int")
     spread = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     base = df.withColumn("blk", blk)
+    ls = [F.col("n").alias("ns")] if "n" in df.columns else []
+    rs = [F.col("n").alias("nd")] if "n" in df.columns else []
+    lk = ["ns"] if ls else []
+    rk = ["nd"] if rs else []
     left = base.select(
-        "w", F.col("v").alias("src"), F.col("m").alias("ms"), *extra_left, "blk", "blocks", spread.alias("j")
-    ).select("w", "src", "ms", *extra_left, (F.col("blk") * F.col("blocks") + F.col("j")).alias("cell"))
+        "w", F.col("v").alias("src"), F.col("m").alias("ms"), *ls, *extra_left, "blk", "blocks", spread.alias("j")
+    ).select("w", "src", "ms", *lk, *extra_left, (F.col("blk") * F.col("blocks") + F.col("j")).alias("cell"))
     right = base.select(
-        "w", F.col("v").alias("dst"), F.col("m").alias("md"), *extra_right, "blk", "blocks", spread.alias("i")
-    ).select("w", "dst", "md", *extra_right, (F.col("i") * F.col("blocks") + F.col("blk")).alias("cell"))
+        "w", F.col("v").alias("dst"), F.col("m").alias("md"), *rs, *extra_right, "blk", "blocks", spread.alias("i")
+    ).select("w", "dst", "md", *rk, *extra_right, (F.col("i") * F.col("blocks") + F.col("blk")).alias("cell"))
     return left, right
 
 
-def _hybrid(postings: DataFrame, hot_words: int, cell_rows: int, max_split: int, key_bits: int) -> DataFrame:
+def _hybrid(postings: DataFrame, hot_words: int, cell_rows: int, max_split: int, key_bits: int,
+            with_sizes: bool = False) -> DataFrame:
     # Word frequencies, the hot-word table and the masked postings are each
     # used by both branches: write each once (frequencies: one row per
     # word; hot table: at most 62 rows; masked postings: one row per posting).
     cuts = TableCuts(postings.sparkSession, "hybrid")
     freq = cuts.cut(word_frequencies(postings).where("d >= 2"), "freq")
     hot = cuts.cut(_hot_from_freq(freq, hot_words, cell_rows, max_split), "hot")
-    masks = bag_masks(postings, hot)
-    post_m = cuts.cut(
-        postings.join(masks, "v", "left").select(
-            "v", "w", F.coalesce(F.col("m"), F.lit(0).cast("bigint")).alias("m")
-        ),
-        "postings_masked",
+    # Mask and size of every bag in one aggregate over its postings.
+    per_bag = (
+        postings.join(F.broadcast(hot.select("w", "bit")), "w", "left")
+        .groupBy("v")
+        .agg(
+            F.coalesce(F.bit_or(_bit("bit")), F.lit(0).cast("bigint")).alias("m"),
+            F.count(F.lit(1)).alias("n"),
+        )
     )
+    post_m = cuts.cut(postings.join(per_bag, "v"), "postings_masked")
+    if not with_sizes:
+        post_m = post_m.drop("n")
     t = int(key_bits)
+    sized = ["ns", "nd"] if with_sizes else []
 
     # Hot branch: a pair is kept at its lowest shared bit only. The first
     # min(bit, key_bits) lower bits are part of the join key (pairs sharing
@@ -161,8 +180,10 @@ def _hybrid(postings: DataFrame, hot_words: int, cell_rows: int, max_split: int,
         "kb", F.least(F.col("bit"), F.lit(t))
     )
     left, right = _grid_sides(hp, ["bit", "kb"], ["kb"])
-    left = left.select("w", "src", "ms", "bit", "cell", _low("ms", "kb").alias("key"))
-    right = right.select("w", "dst", "md", "cell", F.explode(_subsets_avoiding("md", "kb")).alias("key"))
+    left = left.select("w", "src", "ms", *sized[:1], "bit", "cell", _low("ms", "kb").alias("key"))
+    right = right.select(
+        "w", "dst", "md", *sized[1:], "cell", F.explode(_subsets_avoiding("md", "kb")).alias("key")
+    )
     lower_bits = _bit("bit") - 1
     hot_pairs = left.join(
         right,
@@ -171,7 +192,7 @@ def _hybrid(postings: DataFrame, hot_words: int, cell_rows: int, max_split: int,
         & (left.key == right.key)
         & (left.src != right.dst)
         & ((left.ms.bitwiseAND(right.md)).bitwiseAND(lower_bits) == 0),
-    ).select("src", "dst")
+    ).select("src", "dst", *sized)
 
     # Rare branch: words outside the hot table that at least two bags hold;
     # only pairs without a shared hot word count here (the first key_bits
@@ -185,9 +206,9 @@ def _hybrid(postings: DataFrame, hot_words: int, cell_rows: int, max_split: int,
         .withColumn("kb", F.lit(t))
     )
     a, b = _grid_sides(rare, ["kb"], ["kb"])
-    a = a.select("w", "src", "ms", "cell", _low("ms", "kb").alias("key"))
+    a = a.select("w", "src", "ms", *sized[:1], "cell", _low("ms", "kb").alias("key"))
     b = b.select(
-        F.col("w").alias("w2"), "dst", "md", F.col("cell").alias("cell2"),
+        F.col("w").alias("w2"), "dst", "md", *sized[1:], F.col("cell").alias("cell2"),
         F.explode(_subsets_avoiding("md", "kb")).alias("key2"),
     )
     rare_pairs = (
@@ -196,7 +217,7 @@ def _hybrid(postings: DataFrame, hot_words: int, cell_rows: int, max_split: int,
             (a.w == b.w2) & (a.cell == b.cell2) & (a.key == b.key2)
             & (a.src != b.dst) & (a.ms.bitwiseAND(b.md) == 0),
         )
-        .select("src", "dst")
+        .select("src", "dst", *sized)
         .distinct()
     )
     return hot_pairs.unionByName(rare_pairs)
@@ -204,11 +225,16 @@ def _hybrid(postings: DataFrame, hot_words: int, cell_rows: int, max_split: int,
 
 def overlap_edges(postings: DataFrame, strategy: str = "auto", directed: bool = True,
                   hot_words: int = MAX_BITS, cell_rows: int = 4096, max_split: int = 64,
-                  key_bits: int = 4, plain_limit: int = 50_000_000, materialize: bool = True) -> DataFrame:
+                  key_bits: int = 4, plain_limit: int = 50_000_000, materialize: bool = True,
+                  with_sizes: bool = False) -> DataFrame:
     """J1 + P4: ``src, dst`` for every ordered pair of distinct bags sharing a word.
 
     ``postings(v, w)`` must be unique on ``(v, w)``. ``directed=False`` keeps
-    one row per pair (``src < dst``).
+    one row per pair (``src < dst``). ``with_sizes=True`` adds ``ns, nd``
+    (distinct words of each end, J7): they are carried through the pair join
+    from the postings, so questions on sizes need no join of the pairs back
+    to the bags, and pairs of the hot branch are aggregated in the task that
+    forms them.
     """
     p = postings.select("v", "w")
     if materialize and strategy != "plain":
@@ -218,9 +244,9 @@ def overlap_edges(postings: DataFrame, strategy: str = "auto", directed: bool =
     if strategy == "auto":
         strategy = "plain" if join_cost(p) <= plain_limit else "hybrid"
     if strategy == "plain":
-        edges = _plain(p)
+        edges = _plain(p, with_sizes)
     elif strategy == "hybrid":
-        edges = _hybrid(p, hot_words, cell_rows, max_split, key_bits)
+        edges = _hybrid(p, hot_words, cell_rows, max_split, key_bits, with_sizes)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     if not directed:
@@ -230,13 +256,14 @@ def overlap_edges(postings: DataFrame, strategy: str = "auto", directed: bool =
 
 def overlap_graph(vertices: DataFrame, postings: DataFrame, strategy: str = "auto", directed: bool = True,
                   **kw) -> Graph:
-    """The word-overlap graph as ``Graph(vertices(v, n), edges(src, dst))``.
+    """The word-overlap graph as ``Graph(vertices(v, n), edges(src, dst, ns, nd))``.
 
     The postings are written once below the checkpoint folder; the bag
-    sizes (A20) and the edges (J1) are both derived from that table, so
-    whatever produced the postings (e.g. tokenising whole texts) runs once.
+    sizes (A20) and the edges (J1, with both end sizes) are derived from that
+    table, so whatever produced the postings (e.g. tokenising whole texts)
+    runs once.
     """
     p = TableCuts(postings.sparkSession, "overlap").cut(postings.select("v", "w"), "postings")
     sizes = bag_sizes(vertices, p)
-    edges = overlap_edges(p, strategy=strategy, directed=directed, materialize=False, **kw)
+    edges = overlap_edges(p, strategy=strategy, directed=directed, materialize=False, with_sizes=True, **kw)
     return Graph(sizes, edges)

@@ -18,6 +18,9 @@ from wordgraph.operators.overlap import bag_sizes
 
 
 def _sized_edges(edges: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Edges with the sizes of both ends: carried already (``overlap_graph``) or joined."""
+    if {"ns", "nd"} <= set(edges.columns):
+        return edges.select("src", "dst", "ns", "nd")
     ns = sizes.select(F.col("v").alias("src"), F.col("n").alias("ns"))
     nd = sizes.select(F.col("v").alias("dst"), F.col("n").alias("nd"))
     return edges.select("src", "dst").join(ns, "src").join(nd, "dst")
@@ -42,12 +45,15 @@ def most_popular_vertex(edges: DataFrame, sizes: DataFrame) -> DataFrame:
     Largest out-degree, then most words, then smallest id; no row when the
     graph has no edge.
     """
-    deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("out_degree")).withColumnRenamed("src", "v")
-    return (
-        deg.join(sizes.select("v", F.col("n").alias("n_words")), "v")
-        .orderBy(F.desc("out_degree"), F.desc("n_words"), F.asc("v"))
-        .limit(1)
-    )
+    if "ns" in edges.columns:
+        # Sizes travel with the edges: one aggregation, no join.
+        ranked = edges.groupBy(F.col("src").alias("v")).agg(
+            F.count(F.lit(1)).alias("out_degree"), F.max("ns").alias("n_words")
+        )
+    else:
+        deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("out_degree")).withColumnRenamed("src", "v")
+        ranked = deg.join(sizes.select("v", F.col("n").alias("n_words")), "v")
+    return ranked.orderBy(F.desc("out_degree"), F.desc("n_words"), F.asc("v")).limit(1)
 
 
 def neighbor_average(edges: DataFrame, sizes: DataFrame) -> DataFrame:

@@ -297,6 +297,17 @@ def overlap_edges_hybrid(spark, d):
     join s a on a.v = g.src join s b on b.v = g.dst""",
 )
 def edge_triplets(spark, d):
+    g = O.overlap_graph(*FX.f_bag_order(spark, d))
+    return g.edges.select("src", "dst", "ns", "nd")
+
+
+@register(
+    "edge_triplets_joined",
+    f"""with s as {_sizes_sql(FX.F_BAG_ORDER_SQL)}
+    select g.src, g.dst, a.n ns, b.n nd from {_pairs_sql(FX.F_BAG_ORDER_SQL)} g
+    join s a on a.v = g.src join s b on b.v = g.dst""",
+)
+def edge_triplets_joined(spark, d):
     v, p = FX.f_bag_order(spark, d)
     sizes = O.bag_sizes(v, p).withColumnRenamed("n", "value")
     return G.triplets(O.overlap_edges(p), sizes, "value", "ns", "nd").select("src", "dst", "ns", "nd")
