@@ -167,7 +167,10 @@ def _hybrid(postings: DataFrame, hot_words: int, cell_rows: int, max_split: int,
             F.count(F.lit(1)).alias("n"),
         )
     )
-    post_m = cuts.cut(postings.join(per_bag, "v"), "postings_masked")
+    # Every bag has a row in per_bag; the left join (same rows as an inner
+    # one) lets only the per-bag side be broadcast, so the postings keep
+    # streaming in their own partitions.
+    post_m = cuts.cut(postings.join(per_bag, "v", "left"), "postings_masked")
     if not with_sizes:
         post_m = post_m.drop("n")
     t = int(key_bits)
