@@ -17,8 +17,17 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; ``None`` for a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    sc = _context(spark)
+    return sc is not None and sc.master.startswith("local")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -29,11 +38,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     a cluster session without a shared folder is an error, because a
     machine-local folder is not visible to the other executors.
     """
-    sc = spark.sparkContext
+    sc = _context(spark)
+    configured = spark.conf.get(CHECKPOINT_CONF, None)
+    if sc is None:
+        if configured:
+            return configured
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get(CHECKPOINT_CONF, None)
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
@@ -49,8 +62,11 @@ _ROOTS: dict[str, list[str]] = {}
 
 
 def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    sc = _context(spark)
+    if sc is None:  # Spark Connect: no file system handle on the client
+        return
+    jvm = sc._jvm
+    conf = sc._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(conf).delete(p, True)
 
@@ -61,7 +77,8 @@ def release_cuts(spark: SparkSession) -> int:
     Results returned earlier read those tables: call this once they have
     been consumed (written out or collected). Returns the number of folders.
     """
-    roots = _ROOTS.pop(spark.sparkContext.applicationId, [])
+    sc = _context(spark)
+    roots = _ROOTS.pop(sc.applicationId if sc else "connect", [])
     for root in roots:
         _delete(spark, root)
     return len(roots)
@@ -79,7 +96,8 @@ class TableCuts:
         self.spark = spark
         self.root = f"{checkpoint_dir(spark).rstrip('/')}/wordgraph-{prefix}-{uuid.uuid4().hex}"
         self.paths: list[str] = []
-        _ROOTS.setdefault(spark.sparkContext.applicationId, []).append(self.root)
+        sc = _context(spark)
+        _ROOTS.setdefault(sc.applicationId if sc else "connect", []).append(self.root)
 
     def cut(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
@@ -104,8 +122,10 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     a small input stored as one row group would otherwise run its CPU-heavy
     steps (tokenising whole texts) in a single task.
     """
-    spark = df.sparkSession
-    parallelism = spark.sparkContext.defaultParallelism
+    sc = _context(df.sparkSession)
+    if sc is None:
+        return df
+    parallelism = sc.defaultParallelism
     if df.rdd.getNumPartitions() < parallelism:
         return df.repartition(parallelism, key)
     return df
