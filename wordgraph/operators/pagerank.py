@@ -11,10 +11,12 @@ contribution have one — after k rounds just the ends of walks of length k.
 
 Plan per round (one Spark job, lineage cut by a written table):
 
-* The weighted edge table is built once: ``1 / outdeg`` per edge, placed by
-  the chosen rule and persisted (memory and disk). With the default
-  placement (by source) it is hash partitioned on the join key, so a round
-  shuffles only the ranks (one row per vertex), never the edges.
+* The weighted edge table is built once: ``1 / outdeg`` per edge, hash
+  partitioned on the join key ``(src, salt)`` and persisted (memory and
+  disk), so a round shuffles only the ranks, never the edges. Every
+  placement of the reference is a vertex cut on this table: it decides how
+  many salts a source's edges spread over (grid: the grid's columns; pair:
+  up to one per edge), and each rank is copied once per salt.
 * Skew: a source with more than ``salt_edges`` out-edges has its edges
   spread over ``ceil(deg / salt_edges)`` salt values (by a hash of the
   target) and its rank is replicated to each; the join key is
@@ -31,22 +33,47 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordgraph.functions.columns import DAMPING, INITIAL_RANK, RESET, placement_part
+from wordgraph.functions.columns import DAMPING, INITIAL_RANK, RESET, grid_shape
 from wordgraph.session import TableCuts
 
 DEFAULT_SALT_EDGES = 1 << 20
 
 
-def _salts(deg_col: str, salt_edges: int):
-    return F.greatest(F.lit(1), F.ceil(F.col(deg_col) / F.lit(salt_edges))).cast("int")
+def _salt_rule(placement: str | None, n: int, salt_edges: int):
+    """Salts per source (from its out-degree) and the salt of each edge, per placement.
+
+    Every placement is expressed as a vertex cut: the out-edges of a source
+    are spread over ``salts`` keys and its rank is copied to each key, so the
+    edges stay where they were placed and only ranks move.
+
+    * ``None`` / ``'src'`` / ``'mod'`` (by source): one key, more only for a
+      source with over ``salt_edges`` out-edges (skew).
+    * ``'grid'`` (2-D cut): ``cols`` keys per source (the columns of the
+      rows x cols grid of ``n`` parts), times the skew split.
+    * ``'pair'`` (hash of both ends): up to ``n`` keys, at most one per edge.
+    """
+    skew = F.greatest(F.lit(1), F.ceil(F.col("deg") / F.lit(salt_edges)))
+    if placement in (None, "src", "mod"):
+        salts = skew
+        key = F.xxhash64("dst")
+    elif placement == "grid":
+        _, cols = grid_shape(n)
+        salts = F.lit(cols) * skew
+        key = F.xxhash64("dst")
+    elif placement == "pair":
+        salts = F.greatest(F.lit(1), F.least(F.lit(n), F.col("deg")))
+        key = F.xxhash64("src", "dst")
+    else:
+        raise ValueError(f"unknown placement {placement!r}")
+    return salts.cast("int"), key
 
 
 def weighted_edges(edges: DataFrame, dedupe: bool, salt_edges: int = DEFAULT_SALT_EDGES,
-                   self_rows: bool = False) -> DataFrame:
+                   self_rows: bool = False, placement: str | None = None, n: int = 1) -> DataFrame:
     """``src, dst, weight, salt, src_salts, dst_salts, is_self``.
 
-    ``salt`` spreads the out-edges of a source over ``ceil(deg / salt_edges)``
-    values; ``dst_salts`` is that count for the target (1 without
+    ``salt`` spreads the out-edges of a source over ``src_salts`` keys (see
+    ``_salt_rule``); ``dst_salts`` is that count for the target (1 without
     out-edges). With ``self_rows`` every vertex also gets one row
     ``(v, v, 0.0, salt 0, is_self)`` that carries its old rank through the
     round, so the keep form needs no second join with the ranks.
@@ -54,17 +81,17 @@ def weighted_edges(edges: DataFrame, dedupe: bool, salt_edges: int = DEFAULT_SAL
     e = edges.select("src", "dst")
     if dedupe:
         e = e.distinct()
-    deg = e.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
-    salts = deg.select(F.col("src").alias("id"), _salts("deg", salt_edges).alias("salts"))
+    salts_of, key = _salt_rule(placement, n, salt_edges)
+    deg = e.groupBy("src").agg(F.count(F.lit(1)).alias("deg")).withColumn("salts", salts_of)
     w = (
         e.join(deg, "src")
-        .join(salts.select(F.col("id").alias("dst"), F.col("salts").alias("dst_salts")), "dst", "left")
+        .join(deg.select(F.col("src").alias("dst"), F.col("salts").alias("dst_salts")), "dst", "left")
         .select(
             "src",
             "dst",
             (F.lit(1.0) / F.col("deg")).alias("weight"),
-            F.pmod(F.xxhash64("dst"), _salts("deg", salt_edges)).cast("int").alias("salt"),
-            _salts("deg", salt_edges).alias("src_salts"),
+            F.pmod(key, F.col("salts")).cast("int").alias("salt"),
+            F.col("salts").alias("src_salts"),
             F.coalesce(F.col("dst_salts"), F.lit(1)).alias("dst_salts"),
             F.lit(False).alias("is_self"),
         )
@@ -72,7 +99,7 @@ def weighted_edges(edges: DataFrame, dedupe: bool, salt_edges: int = DEFAULT_SAL
     if not self_rows:
         return w
     ends = e.select(F.col("src").alias("id")).union(e.select(F.col("dst").alias("id"))).distinct()
-    selfs = ends.join(salts, "id", "left").select(
+    selfs = ends.join(deg.select(F.col("src").alias("id"), "salts"), "id", "left").select(
         F.col("id").alias("src"),
         F.col("id").alias("dst"),
         F.lit(0.0).alias("weight"),
@@ -90,10 +117,12 @@ def pagerank(edges: DataFrame, iterations: int = 10, missing: str = "keep", dedu
              checkpoint_every: int = 1) -> DataFrame:
     """``id, rank`` after ``iterations`` rounds (no tolerance, no normalisation).
 
-    placement: ``None`` / ``'src'`` (by source: the edge side of the join is
-    not shuffled again), ``'grid'`` (2-D cells of src x dst), ``'pair'``
-    (hash of both ends), ``'mod'`` (``src mod n``). Placement changes the
-    order of floating-point sums only, never a rank beyond rounding.
+    placement: ``None`` / ``'src'`` (by source), ``'grid'`` (2-D cut: each
+    source's edges over the ``cols`` columns of the grid of ``n`` parts),
+    ``'pair'`` (hash of both ends), ``'mod'`` (by source, drop form). Each is
+    a vertex cut on the persisted edges (see ``_salt_rule``); placement
+    changes the order of floating-point sums only, never a rank beyond
+    rounding.
     ``checkpoint_every``: rounds between two written rank tables (the plan
     of a round reads the ranks once, so it grows linearly in between).
     """
@@ -105,12 +134,9 @@ def pagerank(edges: DataFrame, iterations: int = 10, missing: str = "keep", dedu
     n = int(num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
     keep = missing == "keep"
 
-    weights = weighted_edges(edges, dedupe, salt_edges, self_rows=keep)
-    if placement in (None, "src"):
-        weights = weights.repartition(n, "src", "salt")
-    else:
-        weights = weights.withColumn("part", placement_part(placement, n)).repartition(n, "part").drop("part")
-    weights = weights.persist(StorageLevel.MEMORY_AND_DISK)
+    weights = weighted_edges(edges, dedupe, salt_edges, self_rows=keep, placement=placement, n=n)
+    # Placed once on the join key: rounds move ranks (one copy per salt), never edges.
+    weights = weights.repartition(n, "src", "salt").persist(StorageLevel.MEMORY_AND_DISK)
 
     # Start ranks from the persisted weight table, so the edge input is
     # evaluated once: every vertex (keep) or every source (drop) at 1.0.
