@@ -69,7 +69,10 @@ def placement_part(strategy: str, n: int, src: str = "src", dst: str = "dst") ->
     if strategy in ("src", "mod"):
         return F.pmod(s, F.lit(n)).cast("int")
     if strategy == "pair":
-        return F.pmod(s * 31 + d, F.lit(n)).cast("int")
+        # In decimal(38, 0): the same value as bigint arithmetic where that
+        # does not overflow, and no overflow error (ANSI) for large ids.
+        wide = s.cast("decimal(38,0)") * 31 + d.cast("decimal(38,0)")
+        return F.pmod(wide, F.lit(n)).cast("int")
     raise ValueError(f"unknown placement {strategy!r}")
 
 

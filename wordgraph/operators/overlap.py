@@ -57,10 +57,15 @@ def word_frequencies(postings: DataFrame) -> DataFrame:
     return postings.groupBy("w").agg(F.count(F.lit(1)).alias("d"))
 
 
-def join_cost(postings: DataFrame) -> int:
-    """Σ df² over words with df >= 2: the joined rows of the plain strategy."""
-    row = word_frequencies(postings).where("d >= 2").agg(F.sum(F.col("d") * F.col("d")).alias("s")).first()
-    return int(row["s"] or 0)
+def join_cost(postings: DataFrame) -> float:
+    """Σ df² over words with df >= 2: the joined rows of the plain strategy.
+
+    Summed in double: at scale the exact value can pass the bigint range
+    (and ANSI mode would fail the query), and only its size matters here.
+    """
+    d = F.col("d").cast("double")
+    row = word_frequencies(postings).where("d >= 2").agg(F.sum(d * d).alias("s")).first()
+    return float(row["s"] or 0.0)
 
 
 def _plain(postings: DataFrame, with_sizes: bool = False) -> DataFrame:
