@@ -38,10 +38,11 @@ def _run(vertices: DataFrame, neighbour_min, max_rounds: int | None, prefix: str
     rounds = 0
     while max_rounds is None or rounds < max_rounds:
         rounds += 1
-        nl = neighbour_min(labels)
-        prop = labels.join(nl, "v", "left").select(
-            "v", F.col("l").alias("old"), F.least(F.col("l"), F.coalesce(F.col("nl"), F.col("l"))).alias("l1")
-        )
+        # Own label as a message of its own: one aggregate gives the new
+        # label (minimum) and the old one, no join of labels to messages.
+        msgs = neighbour_min(labels).select("v", F.col("nl").alias("x"), F.lit(None).cast("bigint").alias("own"))
+        own = labels.select("v", F.col("l").alias("x"), F.col("l").alias("own"))
+        prop = msgs.unionByName(own).groupBy("v").agg(F.min("x").alias("l1"), F.max("own").alias("old"))
         nxt = _jump(prop).select("v", "l", (F.col("l") != F.col("old")).alias("changed"))
         written = cuts.cut(nxt, f"labels-{rounds}")
         cuts.drop_all_but_last()
