@@ -52,15 +52,17 @@ def _run(vertices: DataFrame, neighbour_min, max_rounds: int | None, prefix: str
     return labels.select("v", F.col("l").alias("component"))
 
 
-def components_from_postings(vertices: DataFrame, postings: DataFrame, max_rounds: int | None = None) -> DataFrame:
+def components_from_postings(vertices: DataFrame, postings: DataFrame, max_rounds: int | None = None,
+                             num_partitions: int | None = None) -> DataFrame:
     """``v, component`` of the overlap graph, computed on ``postings(v, w)``.
 
     Bags without words (or only with words of their own) are components of
-    their own. ``postings`` is written once below the checkpoint folder, so
+    their own. ``num_partitions`` (default: ``spark.sql.shuffle.partitions``)
+    is the number of parts the postings are placed in. ``postings`` is written once below the checkpoint folder, so
     the rounds do not redo the work that made it (e.g. tokenising).
     """
     spark = vertices.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = int(num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
     post = TableCuts(spark, "postings").cut(postings.select("v", "w"), "postings")
     # Placed once by bag and once by word: a round then joins the labels
     # (one row per bag) and the word minima (one row per word) to postings
@@ -80,10 +82,11 @@ def components_from_postings(vertices: DataFrame, postings: DataFrame, max_round
         by_w.unpersist()
 
 
-def components_from_edges(vertices: DataFrame, edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
+def components_from_edges(vertices: DataFrame, edges: DataFrame, max_rounds: int | None = None,
+                          num_partitions: int | None = None) -> DataFrame:
     """``v, component`` of a general graph; edges are taken in both directions."""
     spark = vertices.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = int(num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
     both = TableCuts(spark, "edges").cut(
         edges.select(F.col("src").alias("a"), F.col("dst").alias("b"))
         .union(edges.select(F.col("dst").alias("a"), F.col("src").alias("b")))

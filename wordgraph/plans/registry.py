@@ -26,6 +26,9 @@ QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 ROUND = 9
+# The reference's part count for its edge placements (also used for the
+# placed tables of the iterative queries, so that they do not depend on the
+# session's default shuffle partitions).
 PLACEMENT_PARTS = 20
 
 
@@ -159,7 +162,7 @@ def _pr(spark, d, **kw):
 
 @register("rank_update_join", _pagerank_keep_sql(1))
 def rank_update_join(spark, d):
-    return _pr(spark, d, iterations=1, missing="keep", placement="src")
+    return _pr(spark, d, iterations=1, missing="keep", placement="src", num_partitions=PLACEMENT_PARTS)
 
 
 @register("pagerank_keep", _pagerank_keep_sql(10))
@@ -185,7 +188,7 @@ def pagerank_drop(spark, d):
 @register("pagerank_drop_string_ids", _pagerank_drop_strings_sql(10))
 def pagerank_drop_string_ids(spark, d):
     e = FX.f_edge(spark, d).select(F.col("src").cast("string").alias("src"), F.col("dst").cast("string").alias("dst"))
-    return pagerank(e, iterations=10, missing="drop").select("id", r9("rank"))
+    return pagerank(e, iterations=10, missing="drop", num_partitions=PLACEMENT_PARTS).select("id", r9("rank"))
 
 
 # --- placement ------------------------------------------------------------------
@@ -438,7 +441,7 @@ ORDER_COMPONENTS_SQL = _components_sql(FX.F_BAG_ORDER_V_SQL, _pairs_sql(FX.F_BAG
 @register("components", ORDER_COMPONENTS_SQL)
 def components(spark, d):
     v, p = FX.f_bag_order(spark, d)
-    return C.components_from_postings(v, p)
+    return C.components_from_postings(v, p, num_partitions=PLACEMENT_PARTS)
 
 
 @register(
@@ -447,7 +450,7 @@ def components(spark, d):
 )
 def component_sizes(spark, d):
     v, p = FX.f_bag_order(spark, d)
-    return C.component_sizes(C.components_from_postings(v, p))
+    return C.component_sizes(C.components_from_postings(v, p, num_partitions=PLACEMENT_PARTS))
 
 
 @register(
@@ -457,7 +460,7 @@ def component_sizes(spark, d):
 )
 def q5_largest_component(spark, d):
     v, p = FX.f_bag_order(spark, d)
-    return Q.largest_component(C.components_from_postings(v, p))
+    return Q.largest_component(C.components_from_postings(v, p, num_partitions=PLACEMENT_PARTS))
 
 
 EDGE_COMPONENTS_SQL = _components_sql(
@@ -469,7 +472,7 @@ EDGE_COMPONENTS_SQL = _components_sql(
 @register("components_edges", EDGE_COMPONENTS_SQL)
 def components_edges(spark, d):
     e = FX.f_edge(spark, d)
-    return C.components_from_edges(G.vertices_of(e), e)
+    return C.components_from_edges(G.vertices_of(e), e, num_partitions=PLACEMENT_PARTS)
 
 
 CUST_COMPONENTS_SQL = _components_sql(FX.F_BAG_CUST_V_SQL, _pairs_sql(FX.F_BAG_CUST_SQL))
@@ -478,7 +481,7 @@ CUST_COMPONENTS_SQL = _components_sql(FX.F_BAG_CUST_V_SQL, _pairs_sql(FX.F_BAG_C
 @register("components_customer_orders", CUST_COMPONENTS_SQL)
 def components_customer_orders(spark, d):
     v, p = FX.f_bag_cust(spark, d)
-    return C.components_from_postings(v, p)
+    return C.components_from_postings(v, p, num_partitions=PLACEMENT_PARTS)
 
 
 @register(
@@ -487,7 +490,7 @@ def components_customer_orders(spark, d):
 )
 def component_sizes_customer_orders(spark, d):
     v, p = FX.f_bag_cust(spark, d)
-    return C.component_sizes(C.components_from_postings(v, p))
+    return C.component_sizes(C.components_from_postings(v, p, num_partitions=PLACEMENT_PARTS))
 
 
 @register(
@@ -497,4 +500,4 @@ def component_sizes_customer_orders(spark, d):
 )
 def q5_largest_component_customers(spark, d):
     v, p = FX.f_bag_cust(spark, d)
-    return Q.largest_component(C.components_from_postings(v, p))
+    return Q.largest_component(C.components_from_postings(v, p, num_partitions=PLACEMENT_PARTS))
