@@ -34,7 +34,9 @@ def _jump(labels: DataFrame) -> DataFrame:
 def _run(vertices: DataFrame, neighbour_min, max_rounds: int | None, prefix: str) -> DataFrame:
     spark = vertices.sparkSession
     cuts = TableCuts(spark, prefix)
-    labels = cuts.cut(vertices.select("v", F.col("v").alias("l")).distinct(), "labels-0")
+    # Start labels (each vertex its own id) are cheap to derive: round 1
+    # reads them directly, later rounds read written tables.
+    labels = vertices.select("v", F.col("v").alias("l")).distinct()
     rounds = 0
     while max_rounds is None or rounds < max_rounds:
         rounds += 1

@@ -146,9 +146,9 @@ def pagerank(edges: DataFrame, iterations: int = 10, missing: str = "keep", dedu
         start = weights.select(F.col("src").alias("id"), F.col("src_salts").alias("salts")).distinct()
     ranks = start.select("id", F.lit(INITIAL_RANK).alias("rank"), "salts")
 
+    # The start ranks are derived from the persisted edges (cheap to redo),
+    # so round 1 reads them directly; every later round reads a written table.
     cuts = TableCuts(spark, "pagerank")
-    if iterations > 0:
-        ranks = cuts.cut(ranks, "ranks-0")
     for i in range(1, iterations + 1):
         sent = ranks.select("id", "rank", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
         joined = weights.join(sent, (weights.src == sent.id) & (weights.salt == sent.salt))
