@@ -18,13 +18,19 @@ Two exact strategies:
     split into B blocks by a hash of the bag id (B grows with df), and a
     pair of blocks is one cell: a word held by a third of all bags is spread
     over B² tasks instead of one.
-  - rare branch: the remaining words (df >= 2), self joined on ``w`` with
-    ``(mask_a & mask_b) = 0`` in the join condition, then ``distinct``;
-    only pairs without a shared hot word reach the shuffle.
+  - rare branch: the remaining words (df >= 2), block split the same way,
+    self joined with ``(mask_a & mask_b) = 0`` in the join condition, then
+    ``distinct``; only pairs without a shared hot word reach the shuffle.
+  - key bits: the ``key_bits`` most frequent hot words are part of the join
+    key — one side keys a row by its own bits, the other emits every subset
+    of the bits it lacks — so pairs that share one of those words never
+    meet in the branch that must drop them.
 
   The two branches are disjoint, so their union is the edge set.
 
-``auto`` picks ``plain`` when Σ df² is below ``plain_limit``.
+``auto`` picks ``plain`` when Σ df² is below ``plain_limit``. With
+``with_sizes`` both end sizes travel with each pair (taken from the postings
+before the join), so questions on sizes aggregate pairs where they are formed.
 """
 
 from __future__ import annotations
