@@ -131,3 +131,18 @@ def test_carried_sizes_equal_joined_sizes(spark, kw):
         assert rows(carried, "src", "dst", "ns", "nd") == rows(joined, "src", "dst", "ns", "nd")
         g = overlap_graph(v, p, **kw)
         assert rows(g.edges, "src", "dst", "ns", "nd") == rows(joined, "src", "dst", "ns", "nd")
+
+
+@pytest.mark.parametrize("strategy", ["plain", "hybrid", "auto"])
+def test_empty_postings(spark, strategy):
+    p = spark.createDataFrame([], "v bigint, w string")
+    assert overlap_edges(p, strategy=strategy).count() == 0
+    assert overlap_edges(p, strategy=strategy, with_sizes=True).count() == 0
+
+
+def test_single_word_everywhere_hybrid(spark):
+    # One word in every bag: all pairs, each exactly once, over several cells.
+    data = {i: ["w"] for i in range(12)}
+    _, p, _ = bags(spark, data)
+    got = rows(overlap_edges(p, strategy="hybrid", cell_rows=3, max_split=4))
+    assert len(got) == 12 * 11 and set(got) == brute_edges(data)

@@ -87,3 +87,11 @@ def test_string_ids(spark):
     e = spark.createDataFrame([(str(a), str(b)) for a, b in WEB], "src string, dst string")
     got = ranks(pagerank(e, iterations=10, missing="drop"))
     assert got["8"] == pytest.approx(0.592316, abs=1e-6)
+
+
+def test_empty_and_self_loop_only(spark):
+    empty = spark.createDataFrame([], "src bigint, dst bigint")
+    assert pagerank(empty, iterations=3).count() == 0
+    assert pagerank(empty, iterations=3, missing="drop").count() == 0
+    loop = edges(spark, [(1, 1)])
+    assert ranks(pagerank(loop, iterations=3, missing="keep")) == pytest.approx({1: 1.0})

@@ -89,3 +89,11 @@ def test_write_tuples(spark, workdir):
     assert lines == ["(1,0.5)", "(2,1.0)"]
     with pytest.raises(Exception):
         write_tuples(df, str(out))
+
+
+def test_empty_bag_directory(spark, workdir):
+    d = workdir / "none"
+    d.mkdir()
+    (d / "only_empty").write_text("")
+    vertices, postings = bag_files(spark, str(d))
+    assert vertices.count() == 1 and postings.count() == 0
