@@ -7,10 +7,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from wordgraph.session import local_session
 
-    s = local_session(cores=8, shuffle_partitions=8, app="wordgraph-tests")
+    folder = str(tmp_path_factory.mktemp("checkpoints"))
+    s = local_session(cores=8, shuffle_partitions=8, app="wordgraph-tests", checkpoint=folder)
     yield s
 
 

@@ -9,7 +9,6 @@ short plan whose input survives executor loss.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,37 +24,20 @@ def _context(spark: SparkSession):
         return None
 
 
-def _is_local(spark: SparkSession) -> bool:
-    sc = _context(spark)
-    return sc is not None and sc.master.startswith("local")
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts.
 
-    Taken from the SparkContext, else from ``spark.checkpoint.dir``. Only a
-    local-mode session without either gets a private temporary folder (tests);
-    a cluster session without a shared folder is an error, because a
-    machine-local folder is not visible to the other executors.
+    Taken from the SparkContext, else from ``spark.checkpoint.dir``; where
+    both are unset, a folder below the SQL warehouse, which executors and
+    driver share as well. Never a machine-local temporary folder.
     """
     sc = _context(spark)
     configured = spark.conf.get(CHECKPOINT_CONF, None)
-    if sc is None:
-        if configured:
-            return configured
-        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
-    if _is_local(spark):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="wordgraph-ckpt-"))
+    if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir()
-    raise RuntimeError(
-        f"set {CHECKPOINT_CONF} to a folder shared by all executors (HDFS, S3, ...)"
-    )
+    if configured:
+        return configured
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_cuts"
 
 
 _ROOTS: dict[str, list[str]] = {}
@@ -103,7 +85,8 @@ class TableCuts:
         path = f"{self.root}/{name}"
         df.write.mode("overwrite").parquet(path)
         self.paths.append(path)
-        return self.spark.read.parquet(path)
+        # With the schema given, reading back starts no job of its own.
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, path: str) -> None:
         _delete(self.spark, path)
@@ -131,8 +114,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df
 
 
-def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "wordgraph") -> SparkSession:
-    """A local-mode session with the settings used in tests and the bench."""
+def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "wordgraph",
+                  checkpoint: str | None = None) -> SparkSession:
+    """A local-mode session with the settings used in tests and the bench.
+
+    ``checkpoint`` names the folder for lineage cuts (``spark.checkpoint.dir``).
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -144,7 +131,8 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "wordg
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
     )
+    if checkpoint:
+        builder = builder.config(CHECKPOINT_CONF, checkpoint)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark
