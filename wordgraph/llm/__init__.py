@@ -9,3 +9,11 @@ read, so extra columns never clash; a null text counts as empty unless the
 docstring says otherwise; repeated rows are rows of their own; tasks are
 retried safely because every random choice is derived from seeds and hashes.
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with the job: the executors need
+# not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

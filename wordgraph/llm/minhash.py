@@ -3,12 +3,15 @@
 1. Every text becomes the set of hashes of its five-word shingles, and a MinHash
    signature of it. Texts with equal word sequences are one node from here on.
 2. Signatures are cut into bands; nodes with an equal band share a bucket.
-3. First pass: in each bucket every node is compared with the bucket's least
-   node, a number of pairs that is linear in the bucket. Links found make
-   components.
+3. First pass: in each bucket every node is compared with the bucket's lead, a
+   number of pairs that is linear in the bucket. Leads are chosen by a hash of
+   band and node, so a large group meets another lead in each band. Links
+   found make components.
 4. Second pass: only pairs of a bucket whose nodes are in different components
-   can change anything. Buckets that still hold several are cut into blocks,
-   and pairs of blocks are compared in parallel.
+   can change anything. Buckets that still hold several are cut into cells,
+   and pairs of cells are compared in parallel, without writing out the pairs:
+   a group first tells which of its nodes have partners, then gets the texts of
+   these and returns links.
 5. A pair is compared batch by batch of its signatures; it is dropped as soon
    as the posterior probability that its similarity reaches the threshold
    falls below the chosen miss probability (uniform prior, so the posterior is
@@ -28,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordgraph.llm.common import WordHash, mix64, small_batches, text_bytes
+from wordgraph.llm.common import WordHash, mix64, ragged, small_batches, text_bytes
 from wordgraph.llm.components import components
 from wordgraph.session import TableCuts
 
@@ -43,7 +46,7 @@ class Params:
     rows: int = 4
     batch: int = 16
     #: Chance that a pair at the threshold or above is pruned by its signatures.
-    miss: float = 1e-7
+    miss: float = 1e-5
     #: Nodes of a block of a bucket in the second pass.
     block: int = 512
     seed: int = 1
@@ -135,10 +138,10 @@ def signed(docs: DataFrame, p: Params) -> DataFrame:
 
 
 def band_keys(nodes: DataFrame, p: Params) -> DataFrame:
-    """``node, band``: one 64-bit key for each band of a node's signature."""
+    """``node, i, band``: a 64-bit key for each band ``i`` of a node's signature."""
     width = 4 * p.rows
     keys = [F.xxhash64(F.lit(i), F.substring("sig", i * width + 1, width)) for i in range(p.bands)]
-    return nodes.select("node", F.explode(F.array(*keys)).alias("band"))
+    return nodes.select("node", F.posexplode(F.array(*keys)).alias("i", "band"))
 
 
 def _signatures(column) -> np.ndarray:
@@ -212,45 +215,102 @@ def verified(pairs: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
     return both.mapInArrow(run, "u long, v long")
 
 
-def _apart(buckets: DataFrame, nodes: DataFrame, p: Params) -> DataFrame:
-    """Pairs of a bucket in different components that their signatures leave.
+def _cells(buckets: DataFrame, p: Params) -> DataFrame:
+    """The rows of ``buckets(i, band, node, component)`` in groups ``i, band, lo, hi``.
 
-    ``buckets(band, node, component)`` holds the buckets with several
-    components. Buckets are dealt in blocks of about ``p.block`` nodes, and
-    each pair of blocks is one group, so no group grows with its bucket.
+    A bucket is dealt in cells of about ``p.block`` nodes and each pair of
+    cells is one group, so no group grows with its bucket.
     """
-    needed = agreements_needed(p)
-    size = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("size"))
+    size = buckets.groupBy("i", "band").agg(F.count(F.lit(1)).alias("size"))
     cells = F.ceil(F.col("size") / p.block).cast("int")
-    rows = buckets.join(size, "band").withColumn("cells", cells).withColumn(
+    rows = buckets.join(size, ["i", "band"]).withColumn("cells", cells).withColumn(
         "cell", F.pmod(F.xxhash64("node"), F.col("cells")).cast("int"))
-    # A node goes to the groups (its cell, every cell), smaller cell first.
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
-    rows = rows.select("node", "component", F.xxhash64(
-        "band", F.least("cell", "other"), F.greatest("cell", "other")).alias("group"))
-    rows = rows.join(nodes.select("node", "n_shingles", "sig"), "node")
+    return rows.select("i", "band", F.least("cell", "other").alias("lo"), F.greatest("cell", "other").alias("hi"),
+                       "node", "component", "cell")
 
-    def run(table: pa.Table) -> pa.Table:
+
+class _Group:
+    """The nodes of a group in order, and which pairs of them signatures leave."""
+
+    def __init__(self, table: pa.Table, p: Params):
+        self.p, self.needed = p, agreements_needed(p)
         node = table.column("node").to_numpy()
-        order = np.argsort(node, kind="stable")
-        node = node[order]
-        comp = table.column("component").to_numpy()[order]
-        n = table.column("n_shingles").to_numpy()[order]
-        sig = _signatures(table.column("sig").combine_chunks())[order]
-        us, vs = [], []
-        for i in range(len(node) - 1):
-            rest = np.arange(i + 1, len(node))
-            fits = (comp[rest] != comp[i]) & (100 * np.minimum(n[rest], n[i]) >= p.percent * np.maximum(n[rest], n[i]))
-            rest = rest[fits]
-            if len(rest):
-                rest = rest[may_link(np.broadcast_to(sig[i], (len(rest), sig.shape[1])), sig[rest], needed)]
-                us.append(np.full(len(rest), node[i]))
-                vs.append(node[rest])
-        u = np.concatenate(us) if us else np.zeros(0, np.int64)
-        v = np.concatenate(vs) if vs else np.zeros(0, np.int64)
-        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+        self.order = np.argsort(node, kind="stable")
+        self.node = node[self.order]
+        self.comp, self.cell, self.n = (
+            table.column(c).to_numpy()[self.order] for c in ("component", "cell", "n_shingles"))
+        self.band = table.column("i")[0].as_py()
+        self.sig = _signatures(table.column("sig").combine_chunks())[self.order]
+        self.crossed = table.column("lo")[0].as_py() != table.column("hi")[0].as_py()
+
+    def partners(self, i: int) -> np.ndarray:
+        """Later nodes in another component that may be linked with node ``i`` and agree first in this band."""
+        p, sig = self.p, self.sig
+        rest = np.arange(i + 1, len(self.node))
+        n = self.n[rest]
+        fits = (self.comp[rest] != self.comp[i]) & (
+            100 * np.minimum(n, self.n[i]) >= p.percent * np.maximum(n, self.n[i]))
+        if self.crossed:
+            fits &= self.cell[rest] != self.cell[i]
+        rest = rest[fits]
+        if len(rest):
+            rest = rest[may_link(np.broadcast_to(sig[i], (len(rest), sig.shape[1])), sig[rest], self.needed)]
+        if len(rest):
+            same = (sig[rest] == sig[i]).reshape(len(rest), p.bands, p.rows).all(axis=2)
+            rest = rest[same.argmax(axis=1) == self.band]
+        return rest
+
+
+def _open_nodes(rows: DataFrame, p: Params) -> DataFrame:
+    """The rows ``i, band, lo, hi, node`` of groups whose node may be linked with one of another component."""
+
+    def run(table: pa.Table) -> pa.Table:
+        g = _Group(table, p)
+        hit = np.zeros(len(g.node), bool)
+        for i in range(len(g.node) - 1):
+            rest = g.partners(i)
+            hit[rest] = True
+            hit[i] |= len(rest) > 0
+        return table.select(["i", "band", "lo", "hi", "node", "component", "cell"]).take(pa.array(g.order[hit]))
 
-    return rows.groupBy("group").applyInArrow(run, "u long, v long").distinct()
+    kinds = "i int, band long, lo int, hi int, node long, component long, cell int"
+    return rows.groupBy("i", "band", "lo", "hi").applyInArrow(run, kinds)
+
+
+def _links_apart(rows: DataFrame, p: Params) -> DataFrame:
+    """``u, v``: verified links of the groups' open nodes (with ``text``), as many as join their components.
+
+    One node is compared with all its partners at once: the group's shingles
+    are numbered, the node's are flagged, and flags are summed per partner.
+    Partners that a link has already joined in this group are passed over.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        g, cache = _Group(table, p), WordHash()
+        texts = text_bytes(table.column("text"))
+        sets = [shingle_set(texts[j].lower().split(), cache, p.shingle) for j in g.order]
+        sizes = np.array([len(x) for x in sets])
+        _, place = np.unique(np.concatenate(sets), return_inverse=True)
+        starts = np.cumsum(sizes) - sizes
+        flag = np.zeros(int(place.max()) + 1, np.int64)
+        us, vs = [], []
+        for i in range(len(g.node) - 1):
+            rest = g.partners(i)
+            if not len(rest):
+                continue
+            flag[place[starts[i]:starts[i] + sizes[i]]] = 1
+            spots = ragged(starts[rest], sizes[rest])
+            shared = np.add.reduceat(flag[place[spots]], np.cumsum(sizes[rest]) - sizes[rest])
+            flag[place[starts[i]:starts[i] + sizes[i]]] = 0
+            for j in rest[100 * shared >= p.percent * (sizes[i] + sizes[rest] - shared)]:
+                if g.comp[j] != g.comp[i]:
+                    us.append(g.node[i])
+                    vs.append(g.node[j])
+                    g.comp = np.where(g.comp == g.comp[j], g.comp[i], g.comp)
+        return pa.table({"u": pa.array(us, pa.int64()), "v": pa.array(vs, pa.int64())})
+
+    return rows.groupBy("i", "band", "lo", "hi").applyInArrow(run, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", params: Params = Params(),
@@ -276,25 +336,26 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pa
                                     F.col("lead.key").alias("key"), F.col("lead.at").alias("at"),
                                     "n_shingles", "sig"), "nodes")
     bands = band_keys(nodes, params)
-    several = bands.groupBy("band").agg(F.min("node").alias("first"), F.max("node").alias("last"))
-    buckets = cuts.cut(bands.join(several.where("first < last").select("band", "first"), "band"), "buckets")
+    lead = F.min(F.struct(F.xxhash64("band", "node").alias("h"), "node"))
+    several = bands.groupBy("band").agg(lead.alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    buckets = cuts.cut(bands.join(several.select("band", F.col("lead.node").alias("lead")), "band"), "buckets")
     wanted = nodes.join(buckets.select("node").distinct(), "node", "left_semi")
     texts = cuts.cut(candidate_texts(rows, wanted.select("node", "words_digest", "key", "at")), "texts")
 
     sigs = nodes.select("node", "n_shingles", "sig")
     side = lambda x: sigs.toDF(x, f"n_{x}", f"sig_{x}")
-    stars = buckets.where("node != first").select(F.col("first").alias("u"), F.col("node").alias("v")).distinct()
+    stars = buckets.where("node != lead").select(
+        F.least("lead", "node").alias("u"), F.greatest("lead", "node").alias("v")).distinct()
     near = pruned(stars.join(side("u"), "u").join(side("v"), "v"), params)
     links = cuts.cut(verified(near, texts, params), "links")
 
     linked = cuts.cut(components(links, cuts, "first"), "first")
-    held = buckets.select("band", "node").join(linked, "node", "left").withColumn(
+    held = buckets.select("i", "band", "node").join(linked, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     mixed = held.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
-    apart = cuts.cut(_apart(held.join(mixed.select("band"), "band", "left_semi"), nodes, params), "apart")
-    # Pairs of the first pass that failed come again with the others and fail again.
-    fresh = apart.join(stars, ["u", "v"], "left_anti")
-    more = cuts.cut(verified(fresh, texts, params), "more")
+    cells = _cells(held.join(mixed.select("band"), "band", "left_semi"), params)
+    open_nodes = cuts.cut(_open_nodes(cells.join(sigs, "node"), params), "open")
+    more = cuts.cut(_links_apart(open_nodes.join(sigs, "node").join(texts, "node"), params), "more")
 
     final = components(linked.toDF("u", "v").union(more), cuts, "second")
     label = final.join(nodes.select("node", "key"), "node").groupBy("component").agg(F.min("key").alias("label"))
