@@ -81,9 +81,9 @@ class TableCuts:
         sc = _context(spark)
         _ROOTS.setdefault(sc.applicationId if sc else "connect", []).append(self.root)
 
-    def cut(self, df: DataFrame, name: str) -> DataFrame:
+    def cut(self, df: DataFrame, name: str, **options: str) -> DataFrame:
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").options(**options).parquet(path)
         self.paths.append(path)
         # With the schema given, reading back starts no job of its own.
         return self.spark.read.schema(df.schema).parquet(path)
