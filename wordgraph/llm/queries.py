@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordgraph.llm import licenses, minhash, quality, sharding, urls
-from wordgraph.llm.common import read_table
+from wordgraph.llm import bpe, langid, licenses, minhash, packing, pitman_yor, quality, sharding, simhash, urls
+from wordgraph.llm.common import id_remainder, read_table
+from wordgraph.llm.tokens import public_tokenizer_path
+from wordgraph.session import TableCuts
 
 SHARDS = 40
 #: The host and path rules of the URL query.
@@ -16,6 +18,10 @@ URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.exa
              ("block", "net/es/"), ("block", "net/fr/")]
 
 
+def op1_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizer_path())
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read_table(spark, sf_dir, "documents"), licenses.known_digests(spark))
 
@@ -29,6 +35,22 @@ def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(read_table(spark, sf_dir, "pages"), urls.rule_table(spark, URL_RULES))
 
 
+def op5_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    labelled = docs.where(~F.coalesce(id_remainder(F.col("doc_id"), 4) == 2, F.lit(False)))
+    pairs = langid.sample(labelled.select(F.col("doc_id").alias("key"), "text", "lang"))
+    found = langid.predict(docs, langid.train(pairs) if pairs else None)
+    return found.select("doc_id", (id_remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op6_pitman_yor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score_documents(read_table(spark, sf_dir, "documents"))
+
+
+def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(read_table(spark, sf_dir, "documents"), public_tokenizer_path())
+
+
 def op8_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select(
         "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"),
@@ -42,12 +64,30 @@ def op9_minhash_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op10_simhash_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and, for every document whose id is divisible by 20, ``near_rows``:
+    how many documents (itself included) have a fingerprint within the radius."""
+    prints = TableCuts(spark, "simhash").cut(simhash.edited_fingerprints(read_table(spark, sf_dir, "documents")), "prints")
+    as_long = F.conv("fingerprint", 16, -10).cast("long")
+    counted = prints.groupBy(as_long.alias("found")).agg(F.count(F.lit(1)).alias("n"))
+    asked = prints.where(F.col("doc_id") % 20 == 0).select(as_long.alias("query")).distinct()
+    near = simhash.within_radius(asked, counted.select("found")).join(counted, "found").groupBy("query").agg(
+        F.sum("n").alias("near_rows"))
+    rows = prints.withColumn("query", F.when(F.col("doc_id") % 20 == 0, as_long))
+    return rows.join(near, "query", "left").drop("query")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sum_of_squares_packing": op1_sum_of_squares_packing,
     "op2_license_scan": op2_license_scan,
     "op3_quality_divergence": op3_quality_divergence,
     "op4_url_rules": op4_url_rules,
+    "op5_byte_cnn_language": op5_byte_cnn_language,
+    "op6_pitman_yor_scores": op6_pitman_yor_scores,
+    "op7_bpe_round_trip": op7_bpe_round_trip,
     "op8_feistel_shards": op8_feistel_shards,
     "op9_minhash_bayes": op9_minhash_bayes,
+    "op10_simhash_edits": op10_simhash_edits,
 }
 
 ORACLE_SQL: dict[str, str] = {}
