@@ -198,6 +198,9 @@ def quality(docs: DataFrame, refs: list[Reference], key: str = "doc_id", text: s
         by_word = F.array_min(F.transform("near", lambda x: x["w"]))
     else:
         fits, by_class, by_word = F.lit(True), none, none
+    # Always true, but not for the optimiser: a filter on ``kept`` is not pushed
+    # below, where each step would be repeated for each use of its result.
+    here = F.monotonically_increasing_id() >= 0
     return rows.select(
-        F.col("key").alias(key), *keep[1:], (~F.col("base_failed") & fits).alias("kept"),
+        F.col("key").alias(key), *keep[1:], (~F.col("base_failed") & fits & here).alias("kept"),
         by_class.alias("class_divergence"), by_word.alias("word_divergence"))
