@@ -10,7 +10,6 @@ holds it. Decoding joins ids with the id-to-piece table in the same way.
 from __future__ import annotations
 
 import hashlib
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -19,28 +18,10 @@ from pyspark.sql import functions as F
 
 from wordgraph.llm.blocks import blocks, unpack_numbers
 from wordgraph.llm.common import ragged, small_batches
-from wordgraph.llm.tokens import encode_words, load
+from wordgraph.llm.tokens import encode_words, load, word_parts
 from wordgraph.session import TableCuts
 
 
-#: Marks that end a run of letters for the tokenizer in any case.
-_LETTERS_THEN_MARKS = re.compile(rb"([A-Za-z\x80-\xff]+)([.,;:!?#*$%&()].*)", re.DOTALL)
-
-
-def word_parts(word: bytes) -> list[bytes]:
-    """A word as what the tokenizer cuts it into anyway: letters, then marks; ASCII in lower case.
-
-    Fewer distinct words are left this way. Words with a special token, which
-    the tokenizer looks for in the text as it is, are left alone.
-    """
-    if b"<|" in word:
-        return [word]
-    if word.isascii():
-        word = word.lower()
-    found = _LETTERS_THEN_MARKS.fullmatch(word)
-    return list(found.groups()) if found else [word]
-
-
 def piece_table(spark: SparkSession, tokenizer_path: str) -> DataFrame:
     """``id, piece``: the tokenizer's vocabulary, special tokens included (bounded by its file)."""
     vocabulary = load(tokenizer_path).get_vocab(with_added_tokens=True)

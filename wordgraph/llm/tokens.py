@@ -9,6 +9,7 @@ inside a word and is left to it.
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 
@@ -34,20 +35,39 @@ def load(path: str):
 
 def encode_words(tokenizer, words: list[bytes]) -> list[list[int]]:
     texts = [w.decode("utf-8") for w in words]
-    return [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+#: Marks that end a run of letters for the tokenizer in any case.
+_LETTERS_THEN_MARKS = re.compile(rb"([A-Za-z\x80-\xff]+)([.,;:!?#*$%&()].*)", re.DOTALL)
+
+
+def word_parts(word: bytes) -> list[bytes]:
+    """A word as what the tokenizer cuts it into anyway: letters, then marks; ASCII in lower case.
+
+    Fewer distinct words are left this way. Words with a special token, which
+    the tokenizer looks for in the text as it is, are left alone.
+    """
+    if b"<|" in word:
+        return [word]
+    if word.isascii():
+        word = word.lower()
+    found = _LETTERS_THEN_MARKS.fullmatch(word)
+    return list(found.groups()) if found else [word]
 
 
 class WordIds:
-    """Ids of texts, encoding a word once while it is held; at most ``limit`` words are held."""
+    """Ids of texts, encoding a word once while it is held; about ``limit`` words are held."""
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 600_000):
         self.tokenizer, self.limit = load(path), limit
         self._clear()
 
     def _clear(self) -> None:
         self.index: dict[bytes, int] = {}
-        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.uint32)
+        self.parts: dict[bytes, list[int]] = {}
+        self.lengths, self.flat = [], []
+        self.joined = None
 
     def learn(self, texts: list[list[bytes]]) -> None:
         """Hold all words of a batch of texts."""
@@ -57,16 +77,28 @@ class WordIds:
             fresh = set().union(*texts)
         if not fresh:
             return
-        words = sorted(fresh)
-        ids = encode_words(self.tokenizer, words)
-        lengths = np.array([len(x) for x in ids], np.int64)
-        flat = np.fromiter((y for x in ids for y in x), np.uint32, int(lengths.sum()))
-        at = len(self.index)
-        self.index.update(zip(words, range(at, at + len(words))))
-        self.starts = np.concatenate([self.starts, np.cumsum(lengths) - lengths + len(self.flat)])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.flat = np.concatenate([self.flat, flat])
+        split = [(w, word_parts(w)) for w in fresh]
+        unknown = list({x for _, parts in split for x in parts}.difference(self.parts))
+        self.parts.update(zip(unknown, encode_words(self.tokenizer, unknown)))
+        flat: list[int] = []
+        lengths, at = [], len(self.index)
+        for word, parts in split:
+            before = len(flat)
+            for x in parts:
+                flat += self.parts[x]
+            lengths.append(len(flat) - before)
+            self.index[word] = at
+            at += 1
+        self.lengths.append(np.array(lengths, np.int64))
+        self.flat.append(np.array(flat, np.uint32))
+        self.joined = None
 
     def ids(self, words: list[bytes]) -> np.ndarray:
+        if self.joined is None:
+            if len(self.lengths) > 1:
+                self.lengths, self.flat = [np.concatenate(self.lengths)], [np.concatenate(self.flat)]
+            lengths = self.lengths[0] if self.lengths else np.zeros(0, np.int64)
+            self.joined = (np.cumsum(lengths) - lengths, lengths, self.flat[0] if self.flat else np.zeros(0, np.uint32))
+        starts, lengths, flat = self.joined
         at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        return self.flat[ragged(self.starts[at], self.lengths[at])]
+        return flat[ragged(starts[at], lengths[at])]
