@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 
 from wordgraph.llm.common import ragged, text_bytes
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 40 << 20
 
 
 def pack_numbers(values: np.ndarray) -> bytes:

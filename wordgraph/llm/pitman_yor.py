@@ -39,8 +39,8 @@ END = b"\n"
 class Params:
     #: A previous word with at least this share of all tokens has a restaurant: 1 / min_share at most.
     min_share: float = 1 / 256
-    sweeps: int = 4
-    burn_in: int = 2
+    sweeps: int = 3
+    burn_in: int = 1
     strength: float = 1.0
     seed: int = 7
     #: Customers of a word seated one by one; the rest in blocks of a sixteenth of those seated.
@@ -48,20 +48,28 @@ class Params:
 
 
 def frequent_words(table: DataFrame, p: Params) -> tuple[list[bytes], int]:
-    """Words with at least ``min_share`` of the training tokens, and the number of these tokens.
+    """Frequent previous words, and the number of training tokens.
 
-    A frequent word is frequent in some block, so only words that are so
-    anywhere are counted everywhere.
+    A word counts as frequent if the blocks in which it has the share
+    ``min_share`` bring that share of all tokens: 1 / min_share words at most.
     """
-    totals = table.select("block", F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x).alias("total"),
-                          F.arrays_zip("words", "counts").alias("held"))
-    total = totals.agg(F.sum("total")).first()[0] or 0
-    rows = totals.select("total", F.explode("held").alias("h")).select("total", "h.words", "h.counts")
-    some = rows.where(F.col("counts") >= F.col("total") * p.min_share).where("counts > 0").select("words").distinct()
-    counts = rows.join(some, "words", "left_semi").groupBy("words").agg(F.sum("counts").alias("n"))
-    found = counts.where(F.col("n") >= total * p.min_share).where("n > 0").orderBy("words")
-    # At most 1 / min_share words can have such a share.
-    return [bytes(r["words"]) for r in found.collect()], total
+
+    def run(batches):
+        for batch in batches:
+            for words, counts in zip(batch.column("words"), batch.column("counts")):
+                n = counts.values.to_numpy().astype(np.int64)
+                often = np.flatnonzero((n > 0) & (n >= p.min_share * n.sum()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([words.values[i].as_py() for i in often.tolist()] + [None], pa.binary()),
+                     pa.array(np.append(n[often], n.sum()), pa.int64())], names=["word", "n"])
+
+    # A null word carries the tokens of its block.
+    rows = table.select("words", "counts").mapInArrow(run, "word binary, n long").groupBy("word").agg(
+        F.sum("n").alias("n"))
+    total = rows.where("word is null").first()
+    tokens = total["n"] if total else 0
+    found = rows.where(F.col("word").isNotNull() & (F.col("n") >= tokens * p.min_share)).orderBy("word")
+    return [bytes(r["word"]) for r in found.collect()], tokens
 
 
 def _context_of(words: list[bytes], contexts: dict[bytes, int]) -> np.ndarray:
@@ -132,8 +140,20 @@ def sweep(state: DataFrame, totals: dict, p: Params, turn: int) -> DataFrame:
     d1, d0, base = totals["discount"], totals["root_discount"], 1.0 / (totals["types"] + 1)
     guests, root_tables = float(opened.sum()), float(totals["root_tables"])
 
-    def run(batches):
+    def gathered(batches):
+        """Arrow batches joined to some tens of thousands of words: one seating serves them all."""
+        held, rows = [], 0
         for batch in batches:
+            held.append(batch)
+            rows += len(batch)
+            if rows >= 50_000:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, rows = [], 0
+        if rows:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    def run(batches):
+        for batch in gathered(batches):
             contexts, customers = batch.column("contexts"), batch.column("customers")
             bounds = contexts.offsets.to_numpy()
             c = contexts.flatten().to_numpy().astype(np.int64)
@@ -143,7 +163,7 @@ def sweep(state: DataFrame, totals: dict, p: Params, turn: int) -> DataFrame:
             owner = np.repeat(np.arange(len(lengths)), lengths)
             sent = np.bincount(owner, t, len(lengths))
             r = batch.column("root_tables").to_numpy().astype(np.float64)
-            first = batch.column("word")[0].as_py() if len(batch) else b""
+            first = batch.column("word")[0].as_py()
             rng = np.random.default_rng([p.seed, turn, len(batch), int.from_bytes(first[:6], "big")])
             parent = (sent - d0 * r + (p.strength + d0 * root_tables) * base) / (p.strength + guests)
             t = seat(n, (p.strength + d1 * opened[c]) * parent[owner], d1, rng, p.single)
@@ -153,8 +173,9 @@ def sweep(state: DataFrame, totals: dict, p: Params, turn: int) -> DataFrame:
             roots = batch.column("roots")
             if keep:
                 gain = gain + (n - d1 * t) / (p.strength + seen[c])
-                held = np.column_stack([np.array(roots.to_pylist(), np.float64).reshape(len(batch), -1), sent - d0 * r])
-                roots = pa.array(list(held), pa.list_(pa.float64()))
+                held = np.column_stack([roots.flatten().to_numpy().reshape(len(batch), -1), sent - d0 * r])
+                width = np.arange(len(batch) + 1, dtype=np.int32) * held.shape[1]
+                roots = pa.ListArray.from_arrays(pa.array(width), pa.array(held.ravel(), pa.float64()))
             offsets = pa.array(bounds - bounds[0], pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("word"), pa.ListArray.from_arrays(offsets, pa.array(c, pa.int32())),
