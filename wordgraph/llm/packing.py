@@ -74,16 +74,16 @@ def pack_sizes(sizes: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.
     where, offset, fills = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64), []
     far = np.int64(2**40)
     for item, size in enumerate(sizes.tolist()):
-        # Change of the sum of squares, halved and less one, if the item goes to level h: to h + size from h.
+        # Change of the sum of squares, less two, if the item goes to level h: at [h] from h to h + size.
         top = window - size
-        change = count[size:window + 1].copy()
+        change = 2 * count[size:window + 1]
         change[top] = -1  # the window becomes full and leaves
         if top:
             level = count[:top + 1]
-            change -= level
+            change -= 2 * level
             change[level == 0] = far
-        # An empty window: its level is not counted, only the new one is, by half a unit more.
-        fresh = -0.5 if size == window else count[size] - 0.5
+        # An empty window: its level is not counted, only the new one is.
+        fresh = 2 * count[size] - 1
         best = top - int(np.argmin(change[::-1])) if top else 0
         if top and best and change[best] < fresh:
             target = stacks[best].pop()

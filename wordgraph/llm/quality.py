@@ -64,22 +64,27 @@ def word_chars_of(text: Column) -> Column:
 def base_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, text, words`` and the base counts of every row; a null text has none of anything.
 
-    ``n_repeat_words``: the windows of a text are hashed (64 bits); if some
-    agree, the hashes are sorted with their places, so that equal ones are
-    neighbours, and the words covered by such windows are counted once each.
+    ``n_repeat_words``: the windows of a text are hashed (64 bits) and sorted, so
+    that equal ones are neighbours; the words covered by windows that occur
+    more than once are counted once each.
     """
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.withColumn("words", words_of(F.col("text")))
     rows = rows.withColumn("windows", F.expr(
         "if(size(words) < 4, cast(array() as array<bigint>), transform(sequence(0, size(words) - 3), "
         "i -> xxhash64(words[i], words[i + 1], words[i + 2])))"))
-    repeats = F.expr("size(array_distinct(windows)) < size(windows)")
-    rows = rows.withColumn("placed", F.when(
-        repeats, F.expr("sort_array(transform(windows, (h, i) -> struct(h as h, i as i)))")))
-    rows = rows.withColumn("again", F.expr(
-        "filter(placed, (p, i) -> (i > 0 and p.h = placed[i - 1].h)"
-        " or (i + 1 < size(placed) and p.h = placed[i + 1].h))"))
-    covered = F.expr("size(array_distinct(flatten(transform(again, p -> array(p.i, p.i + 1, p.i + 2)))))")
+    rows = rows.withColumn("sorted", F.sort_array("windows"))
+    rows = rows.withColumn("twice", F.expr(
+        "array_distinct(filter(sorted, (h, i) -> i > 0 and h = sorted[i - 1]))"))
+    # Places of the repeated windows: looked up if they are few, else found by sorting hashes with their places.
+    few = F.expr("filter(sequence(0, size(windows) - 1), i -> array_contains(twice, windows[i]))")
+    rows = rows.withColumn("placed", F.when(F.size("twice") > 32, F.expr(
+        "sort_array(transform(windows, (h, i) -> struct(h as h, i as i)))")))
+    many = F.expr(
+        "transform(filter(placed, (p, i) -> (i > 0 and p.h = placed[i - 1].h)"
+        " or (i + 1 < size(placed) and p.h = placed[i + 1].h)), p -> p.i)")
+    rows = rows.withColumn("again", F.when(F.size("twice") > 32, many).when(F.size("twice") > 0, few))
+    covered = F.expr("size(array_distinct(flatten(transform(again, i -> array(i, i + 1, i + 2)))))")
     rows = rows.withColumn("n_repeat_words", F.when(F.col("again").isNull(), 0).otherwise(covered).cast("long"))
     rows = rows.withColumn("lines", F.expr(r"filter(split(text, '\n', -1), l -> l rlike '[^\\x20\\x09-\\x0D]')"))
     rows = rows.withColumn("n_words", F.size("words").cast("long"))
