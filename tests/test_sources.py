@@ -97,3 +97,25 @@ def test_empty_bag_directory(spark, workdir):
     (d / "only_empty").write_text("")
     vertices, postings = bag_files(spark, str(d))
     assert vertices.count() == 1 and postings.count() == 0
+
+
+def test_url_pairs_trailing_blanks(spark, tmp_path):
+    import pytest
+
+    from wordgraph.sources.text import url_pairs
+
+    (tmp_path / "good.txt").write_text("a b \nc d\n")
+    (tmp_path / "bad.txt").write_text("a b\nc \n   \n")
+    good, bad = str(tmp_path / "good.txt"), str(tmp_path / "bad.txt")
+    assert sorted(map(tuple, url_pairs(spark, good).collect())) == [("a", "b"), ("c", "d")]
+    assert url_pairs(spark, bad, permissive=True).collect() == [("a", "b")]
+    with pytest.raises(Exception):
+        url_pairs(spark, bad).collect()
+
+
+def test_string_ids_in_components(spark):
+    from wordgraph.operators.components import components_from_edges
+
+    edges = spark.createDataFrame([("b", "a"), ("c", "b"), ("y", "x")], "src string, dst string")
+    got = {tuple(r) for r in components_from_edges(edges.selectExpr("src as v"), edges).collect()}
+    assert got == {("a", "a"), ("b", "a"), ("c", "a"), ("x", "x"), ("y", "x")}

@@ -24,7 +24,25 @@ EPOCH_NTZ = "timestamp_ntz'1970-01-01 00:00:00'"
 
 def fields(line: Column | str) -> Column:
     """split a text line at runs of white space."""
-    return F.split(F.col(line) if isinstance(line, str) else line, FIELD_SEPARATOR)
+    c = F.col(line) if isinstance(line, str) else line
+    # White space at the end makes no empty last field.
+    return F.split(F.regexp_replace(c, FIELD_SEPARATOR + "$", ""), FIELD_SEPARATOR)
+
+
+def interval_seconds(every: str) -> int:
+    """Seconds of an interval written like ``15 minutes`` or ``1 day``."""
+    n, unit = every.split() if " " in every else ("1", every)
+    return int(n) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
+
+
+def interval_number(ts: Column | str, every: str = "1 hour", zoned: bool = False) -> Column:
+    """Number of the interval since 1970-01-01 that a timestamp falls in, rounded down (also before 1970).
+
+    A zone-free timestamp counts as it is written, a zoned one as its instant.
+    """
+    c = F.col(ts) if isinstance(ts, str) else ts
+    micros = F.unix_micros(c) if zoned else F.timestamp_diff("MICROSECOND", F.expr(EPOCH_NTZ), c)
+    return F.floor(micros / F.lit(interval_seconds(every) * 1_000_000)).cast("bigint")
 
 
 def hour_key(ts: Column | str) -> Column:

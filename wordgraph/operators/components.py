@@ -4,8 +4,8 @@ On the word-overlap graph the components are computed on the postings
 (the bag-word bipartite graph), so no pair of bags is ever formed: a word
 takes the smallest label of its bags, a bag the smallest label of its
 words. After each propagation a pointer jump (``label = label(label)``)
-halves chains, so the number of rounds grows with the log of the diameter
-rather than the diameter.
+halves chains; roots are not hooked, so a path whose ids are in an unlucky
+order can still take a number of rounds that grows with its length.
 
 Skew: a word in a third of all bags is one group of a partial ``min``
 aggregate (one row per map task reaches the shuffle); joins are to tables
@@ -42,7 +42,7 @@ def _run(vertices: DataFrame, neighbour_min, max_rounds: int | None, prefix: str
         rounds += 1
         # Own label as a message of its own: one aggregate gives the new
         # label (minimum) and the old one, no join of labels to messages.
-        msgs = neighbour_min(labels).select("v", F.col("nl").alias("x"), F.lit(None).cast("bigint").alias("own"))
+        msgs = neighbour_min(labels).select("v", F.col("nl").alias("x"), F.lit(None).cast(labels.schema["l"].dataType).alias("own"))
         own = labels.select("v", F.col("l").alias("x"), F.col("l").alias("own"))
         prop = msgs.unionByName(own).groupBy("v").agg(F.min("x").alias("l1"), F.max("own").alias("old"))
         nxt = _jump(prop).select("v", "l", (F.col("l") != F.col("old")).alias("changed"))

@@ -94,16 +94,13 @@ def most_popular_word(counts: DataFrame, by: str = "count") -> DataFrame:
 
 def word_presence(counts: DataFrame, by: str = "count") -> DataFrame:
     """Q6 (P8, A18): ``w, c, n_vertices`` — Q4's word and the number of bags holding it."""
-    top = most_popular_word(counts, by)
-    # ``top`` has at most one row (limit 1), so it is broadcast. ``counts``
-    # is unique on (v, w): a partial count per task, then one row per task
-    # reaches the shuffle even when the word is in every bag.
-    n = counts.join(F.broadcast(top.select("w")), "w").groupBy("w").agg(
-        F.count(F.lit(1)).alias("n_vertices")
-    )
-    return top.join(n, "w", "left").select(
-        "w", "c", F.coalesce(F.col("n_vertices"), F.lit(0).cast("bigint")).alias("n_vertices")
-    )
+    # ``counts`` is unique on (v, w), so one aggregate gives the word's total and its number of bags.
+    t = counts.groupBy("w").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("n_vertices"))
+    if by == "count":
+        return t.orderBy(F.desc("c"), F.asc("w")).limit(1)
+    if by == "word":
+        return t.orderBy(F.desc("w")).limit(1)
+    raise ValueError("by must be 'count' or 'word'")
 
 
 def largest_component(labels: DataFrame) -> DataFrame:

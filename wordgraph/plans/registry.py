@@ -19,6 +19,7 @@ from wordgraph.operators import placement as PL
 from wordgraph.operators.pagerank import pagerank
 from wordgraph.plans import fixtures as FX
 from wordgraph.plans import questions as Q
+from wordgraph.sources.tables import bags_from_events
 from wordgraph.streaming.intervals import run_interval_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -265,6 +266,13 @@ def interval_bags(spark, d):
     return FX.f_interval(spark, d)[1]
 
 
+@register("interval_bags_day",
+          "select date_diff('day', date '1970-01-01', cast(ts as date)) as v, event_type as w, count(*) as c"
+          " from events where event_type is not null group by all")
+def interval_bags_day(spark, d):
+    return bags_from_events(spark.read.parquet(f"{d}/events.parquet"), "ts", "event_type", "1 day")[1]
+
+
 @register("interval_bags_stream", f"select v, w, c from {FX.F_INTERVAL_SQL}")
 def interval_bags_stream(spark, d):
     return run_interval_counts(spark, d, "events.parquet", "ts", "event_type", "1 hour")

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordgraph.functions.columns import DOC_TOKEN, doc_tokens, hour_key
+from wordgraph.functions.columns import DOC_TOKEN, doc_tokens, interval_number
 from wordgraph.session import spread
 
 
@@ -63,21 +63,15 @@ def bags_from_text(df: DataFrame, vertex: str, text: str, token: str = DOC_TOKEN
     return vertices, text_tokens(src, vertex, text, token).distinct()
 
 
-def interval_key(ts: str, every: str = "1 hour") -> F.Column:
-    """Number of the interval a timestamp falls in (``every`` is hours or a window length)."""
-    if every in ("1 hour", "hour"):
-        return hour_key(ts)
-    return F.window(ts, every).start.cast("long")
-
-
 def bags_from_events(df: DataFrame, ts: str, word: str, every: str = "1 hour",
                      counts: bool = True) -> tuple[DataFrame, DataFrame]:
     """Events cut into intervals; the interval key is the vertex.
 
-    With hourly intervals the key is whole hours since 1970-01-01 of the
-    zone-free timestamp.
+    The key is the number of whole intervals since 1970-01-01, the same as
+    the stream's.
     """
-    keyed = df.select(interval_key(ts, every).alias("v"), F.col(word).alias("w"))
+    zoned = dict(df.dtypes)[ts] == "timestamp"
+    keyed = df.select(interval_number(ts, every, zoned).alias("v"), F.col(word).alias("w"))
     vertices = keyed.select("v").distinct()
     keyed = keyed.where(F.col("w").isNotNull())
     if counts:

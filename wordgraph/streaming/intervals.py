@@ -12,22 +12,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordgraph.functions.columns import EPOCH_NTZ
-from wordgraph.session import TableCuts
+from wordgraph.functions.columns import EPOCH_NTZ, interval_number, interval_seconds
+from wordgraph.session import TableCuts, checkpoint_dir
 
 
 def interval_counts_stream(events: DataFrame, ts: str, word: str, every: str = "1 hour",
-                           late: str = "10 minutes") -> DataFrame:
+                           late: str | None = "10 minutes") -> DataFrame:
     """``v, w, c`` per closed interval; ``v`` = interval start as whole ``every`` units since 1970.
 
-    ``ts`` must be a zoned timestamp column for the watermark; a zone-free
-    timestamp is read as UTC.
+    A zone-free timestamp is read as UTC. ``late`` bounds the state by a
+    watermark, and later events are lost; with ``late=None`` nothing is: for
+    bounded input, whose state is its result.
     """
     t = F.col(ts)
     if dict(events.dtypes).get(ts) == "timestamp_ntz":
         # Zone-free wall time read as UTC: seconds since 1970, then an instant.
         t = F.timestamp_seconds(F.timestamp_diff("SECOND", F.expr(EPOCH_NTZ), t))
-    seconds = _interval_seconds(every)
+    if late is None:
+        rows = events.select(interval_number(t, every, zoned=True).alias("v"), F.col(word).alias("w"))
+        return rows.where(F.col("w").isNotNull()).groupBy("v", "w").agg(F.count(F.lit(1)).alias("c"))
+    seconds = interval_seconds(every)
     keyed = events.select(t.alias("_ts"), F.col(word).alias("w")).where(F.col("w").isNotNull())
     agg = (
         keyed.withWatermark("_ts", late)
@@ -39,36 +43,32 @@ def interval_counts_stream(events: DataFrame, ts: str, word: str, every: str = "
     )
 
 
-def _interval_seconds(every: str) -> int:
-    n, unit = every.split()
-    mult = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
-    return int(n) * mult
-
-
 def run_interval_counts(spark: SparkSession, source_dir: str, file_glob: str, ts: str, word: str,
-                        every: str = "1 hour", late: str = "1 hour") -> DataFrame:
+                        every: str = "1 hour", files_per_batch: int = 1, name: str | None = None) -> DataFrame:
     """Run ``interval_counts_stream`` over the files of ``source_dir`` to the end.
 
     The stream is processed with an available-now trigger in ``update``
     mode: each micro-batch appends the intervals it changed, with their
-    current counts, to a table below the shared checkpoint folder (the
-    stream's own checkpoint lives there too, so a restarted job resumes).
-    Counts of an interval only grow, so its final count is the largest one
+    current counts, to a table below the shared checkpoint folder. The
+    stream's own checkpoint lives there too; a job started again under the
+    same ``name`` goes on where it was. Files may come in any order. Counts of an interval only grow, so its final count is the largest one
     written. Returns ``v, w, c``.
     """
     schema = spark.read.parquet(f"{source_dir.rstrip('/')}/{file_glob}").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", file_glob).parquet(source_dir)
-    counts = interval_counts_stream(stream, ts, word, every, late)
-    cuts = TableCuts(spark, "stream")
-    out = f"{cuts.root}/updates"
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", file_glob).option(
+        "maxFilesPerTrigger", files_per_batch).parquet(source_dir)
+    counts = interval_counts_stream(stream, ts, word, every, None)
+    root = f"{checkpoint_dir(spark).rstrip('/')}/wordgraph-stream-{name}" if name else TableCuts(spark, "stream").root
+    out = f"{root}/updates"
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        # A batch that is run again only writes the same counts again.
         batch.withColumn("batch", F.lit(batch_id)).write.mode("append").parquet(out)
 
     q = (
         counts.writeStream.outputMode("update")
         .foreachBatch(sink)
-        .option("checkpointLocation", f"{cuts.root}/checkpoint")
+        .option("checkpointLocation", f"{root}/checkpoint")
         .trigger(availableNow=True)
         .start()
     )
