@@ -340,9 +340,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pa
     several = bands.groupBy("band").agg(lead.alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
     buckets = cuts.cut(bands.join(several.select("band", F.col("lead.node").alias("lead")), "band"), "buckets")
     wanted = nodes.join(buckets.select("node").distinct(), "node", "left_semi")
-    texts = cuts.cut(candidate_texts(rows, wanted.select("node", "words_digest", "key", "at")), "texts")
-
     sigs = nodes.select("node", "n_shingles", "sig")
+    found = candidate_texts(rows, wanted.select("node", "words_digest", "key", "at"))
+    texts = cuts.cut(found.join(sigs, "node"), "texts")
     side = lambda x: sigs.toDF(x, f"n_{x}", f"sig_{x}")
     stars = buckets.where("node != lead").select(
         F.least("lead", "node").alias("u"), F.greatest("lead", "node").alias("v")).distinct()
@@ -355,7 +355,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pa
     mixed = held.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
     cells = _cells(held.join(mixed.select("band"), "band", "left_semi"), params)
     open_nodes = cuts.cut(_open_nodes(cells.join(sigs, "node"), params), "open")
-    more = cuts.cut(_links_apart(open_nodes.join(sigs, "node").join(texts, "node"), params), "more")
+    more = cuts.cut(_links_apart(open_nodes.join(texts, "node"), params), "more")
 
     final = components(linked.toDF("u", "v").union(more), cuts, "second")
     label = final.join(nodes.select("node", "key"), "node").groupBy("component").agg(F.min("key").alias("label"))
