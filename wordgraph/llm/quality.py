@@ -16,10 +16,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordgraph.llm.common import SPACE_CLASS, WORD_PATTERN
+from wordgraph.llm.common import WORD_PATTERN
 
-#: Character classes of what is not white space, each by the pattern that
-#: removes everything else; the last class is the rest (letters and digits).
+#: Character classes, each by the pattern that removes everything else; the
+#: last class is the rest (small letters, digits and white space).
 CLASSES = [
     ("upper", r"[^A-Z]+"),
     ("symbol", r"[^#*$%&|<>]+"),
@@ -40,7 +40,7 @@ class Limits:
     #: Texts with fewer characters pass the class test, with fewer words the word test.
     min_chars: int = 100
     min_words: int = 100
-    max_class_divergence: float = 0.035
+    max_class_divergence: float = 0.022
     max_word_divergence: float = 0.35
 
 
@@ -57,10 +57,6 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD_PATTERN), F.lit(0))
 
 
-def word_chars_of(text: Column) -> Column:
-    return F.length(F.regexp_replace(text, SPACE_CLASS + "+", "")).cast("long")
-
-
 def base_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, text, words`` and the base counts of every row; a null text has none of anything.
 
@@ -89,18 +85,23 @@ def base_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     rows = rows.withColumn("lines", F.expr(r"filter(split(text, '\n', -1), l -> l rlike '[^\\x20\\x09-\\x0D]')"))
     rows = rows.withColumn("n_words", F.size("words").cast("long"))
     return rows.select(
-        "key", "text", "words", "n_words", word_chars_of(F.col("text")).alias("word_chars"),
+        "key", "text", "words", "n_words", F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace("text", CLASSES[1][1], "")).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         "n_repeat_words",
         ((F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))).alias("base_failed"))
 
 
-def class_shares(text: Column, word_chars: Column) -> Column:
-    """Shares of the character classes, the rest last; null for a text of white space."""
-    counts = [F.length(F.regexp_replace(text, pattern, "")).cast("double") for _, pattern in CLASSES]
-    rest = word_chars.cast("double") - sum(counts[1:], counts[0])
-    return F.when(word_chars > 0, F.transform(F.array(*counts, rest), lambda c: c / word_chars))
+def class_shares(text: Column, n_symbols: Column | None = None) -> Column:
+    """Shares of the character classes, the rest last; null for an empty text."""
+    total = F.length(text)
+    counts = [F.length(F.regexp_replace(text, pattern, "")) for _, pattern in CLASSES]
+    if n_symbols is not None:
+        counts[1] = n_symbols
+    # As many bytes as characters: nothing lies beyond ASCII.
+    counts[3] = F.when(F.octet_length(text) == total, 0).otherwise(counts[3])
+    rest = total - sum(counts[1:], counts[0])
+    return F.when(total > 0, F.transform(F.array(*[c.cast("double") for c in (*counts, rest)]), lambda c: c / total))
 
 
 def references(docs: DataFrame, text: str = "text", lang: str = "lang", limits: Limits = Limits()) -> list[Reference]:
@@ -114,7 +115,7 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang", limits:
     rows = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     rows = rows.where(F.length("text") > 0)
     width = range(len(CLASSES) + 1)
-    shares = rows.select("lang", class_shares(F.col("text"), word_chars_of(F.col("text"))).alias("c"))
+    shares = rows.select("lang", class_shares(F.col("text")).alias("c"))
     per_lang = shares.groupBy("lang").agg(
         F.count(F.lit(1)).alias("n"), *[F.percentile_approx(F.col("c")[i], 0.5, 10000).alias(f"c{i}") for i in width])
     share = F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0)))
@@ -183,7 +184,7 @@ def quality(docs: DataFrame, refs: list[Reference], key: str = "doc_id", text: s
     if refs:
         vocabulary = sorted({w for r in refs for w in r.words})
         rows = rows.withColumn("shares", F.when(
-            F.col("word_chars") >= limits.min_chars, class_shares(F.col("text"), F.col("word_chars"))))
+            F.length("text") >= limits.min_chars, class_shares(F.col("text"), F.col("n_symbols"))))
         rows = rows.withColumn("held", F.when(
             F.col("n_words") >= limits.min_words,
             F.sort_array(F.filter("words", lambda w: w.isin(vocabulary))) if vocabulary else F.array().cast("array<string>")))
