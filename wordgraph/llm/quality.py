@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordgraph.llm.common import WORD_PATTERN
+from wordgraph.llm.common import SPACE_CLASS
 
 #: Character classes, each by the pattern that removes everything else; the
 #: last class is the rest (small letters, digits and white space).
@@ -54,7 +54,7 @@ class Reference:
 
 
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(WORD_PATTERN), F.lit(0))
+    return F.array_remove(F.split(text, SPACE_CLASS + "+"), "")
 
 
 def base_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -69,7 +69,9 @@ def base_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     rows = rows.withColumn("windows", F.expr(
         "if(size(words) < 4, cast(array() as array<bigint>), transform(sequence(0, size(words) - 3), "
         "i -> xxhash64(words[i], words[i + 1], words[i + 2])))"))
-    rows = rows.withColumn("sorted", F.sort_array("windows"))
+    # Most texts repeat no window, which a hash set tells sooner than sorting.
+    repeats = F.size(F.array_distinct("windows")) < F.size("windows")
+    rows = rows.withColumn("sorted", F.when(repeats, F.sort_array("windows")))
     rows = rows.withColumn("twice", F.expr(
         "array_distinct(filter(sorted, (h, i) -> i > 0 and h = sorted[i - 1]))"))
     # Places of the repeated windows: looked up if they are few, else found by sorting hashes with their places.
@@ -100,8 +102,11 @@ def class_shares(text: Column, n_symbols: Column | None = None) -> Column:
         counts[1] = n_symbols
     # As many bytes as characters: nothing lies beyond ASCII.
     counts[3] = F.when(F.octet_length(text) == total, 0).otherwise(counts[3])
-    rest = total - sum(counts[1:], counts[0])
-    return F.when(total > 0, F.transform(F.array(*[c.cast("double") for c in (*counts, rest)]), lambda c: c / total))
+    # The counts and their total are bound to a name, so that nothing is counted twice.
+    bound = F.array(F.array(*[c.cast("long") for c in (*counts, total)]))
+    shares = F.transform(bound, lambda c: F.transform(
+        F.array(c[0], c[1], c[2], c[3], c[4] - c[0] - c[1] - c[2] - c[3]), lambda x: x.cast("double") / c[4]))
+    return F.when(total > 0, shares[0])
 
 
 def references(docs: DataFrame, text: str = "text", lang: str = "lang", limits: Limits = Limits()) -> list[Reference]:
@@ -115,21 +120,23 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang", limits:
     rows = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     rows = rows.where(F.length("text") > 0)
     width = range(len(CLASSES) + 1)
-    shares = rows.select("lang", class_shares(F.col("text")).alias("c"))
+    shares = rows.select("lang", class_shares(F.col("text")).alias("c"), F.size(words_of(F.col("text"))).alias("n_words"))
     per_lang = shares.groupBy("lang").agg(
-        F.count(F.lit(1)).alias("n"), *[F.percentile_approx(F.col("c")[i], 0.5, 10000).alias(f"c{i}") for i in width])
+        F.count(F.lit(1)).alias("n"), F.sum("n_words").alias("n_words"),
+        *[F.percentile_approx(F.col("c")[i], 0.5, 10000).alias(f"c{i}") for i in width])
     share = F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0)))
     enough = per_lang.withColumn("share", share).where(F.col("share") >= limits.min_language_share)
-    classes = {r["lang"]: [r[f"c{i}"] or 0.0 for i in width] for r in enough.collect()}
+    found = enough.collect()
+    classes = {r["lang"]: [r[f"c{i}"] or 0.0 for i in width] for r in found}
+    totals = {r["lang"]: r["n_words"] for r in found}
     if not classes:
         return []
-    found = rows.where(F.col("lang").isin(sorted(classes))).select("lang", words_of(F.col("text")).alias("words"))
+    held = rows.where(F.col("lang").isin(sorted(classes))).select("lang", words_of(F.col("text")).alias("words"))
     short = F.filter("words", lambda w: (F.length(w) <= limits.common_length) & w.rlike(r"\A\p{L}+\z"))
-    counts = found.select("lang", F.explode(short).alias("word")).groupBy("lang", "word").agg(
+    counts = held.select("lang", F.explode(short).alias("word")).groupBy("lang", "word").agg(
         F.count(F.lit(1)).alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), F.asc("word")))
     top = counts.withColumn("rank", rank).where(F.col("rank") <= limits.common_words)
-    totals = {r["lang"]: r["n"] for r in found.groupBy("lang").agg(F.sum(F.size("words")).alias("n")).collect()}
     words: dict[str, dict[str, float]] = {name: {} for name in classes}
     for r in top.collect():
         words[r["lang"]][r["word"]] = r["n"] / totals[r["lang"]]
@@ -167,9 +174,11 @@ def word_divergence(runs: Column, n_words: Column, ref: Column) -> Column:
         (r["n"] / n_words).alias("p"), F.array_position(ref["words"], r["w"]).alias("at")))
     held = F.filter(places, lambda x: x["at"] > 0)
     pairs = F.transform(held, lambda x: F.struct(x["p"].alias("p"), F.get(ref["shares"], (x["at"] - 1).cast("int")).alias("q")))
-    inside = _total(F.transform(pairs, lambda x: _term(x["p"], x["q"]) - x["q"] / 2)) + ref["known"] / 2
-    other = _term(F.greatest(F.lit(0.0), 1 - _total(F.transform(pairs, lambda x: x["p"]))), 1 - ref["known"])
-    return inside + other
+    # Both sums in one go over the pairs: the inside of the divergence and the text's share.
+    return F.aggregate(
+        pairs, F.struct(F.lit(0.0).alias("d"), F.lit(0.0).alias("p")),
+        lambda a, x: F.struct((a["d"] + (_term(x["p"], x["q"]) - x["q"] / 2)).alias("d"), (a["p"] + x["p"]).alias("p")),
+        lambda a: a["d"] + ref["known"] / 2 + _term(F.greatest(F.lit(0.0), 1 - a["p"]), 1 - ref["known"]))
 
 
 def quality(docs: DataFrame, refs: list[Reference], key: str = "doc_id", text: str = "text",
