@@ -33,7 +33,7 @@ def test_hybrid_equals_brute_force(spark, data, hot, key_bits, cell_rows):
     _, p = frame(spark, data)
     want = brute(data)
     got = set(rows(overlap_edges(p, strategy="hybrid", hot_words=hot, key_bits=key_bits,
-                                 cell_rows=cell_rows, max_split=4)))
+                                 cell_rows=cell_rows)))
     assert got == want
     assert set(rows(overlap_edges(p, strategy="plain"))) == want
 

@@ -50,9 +50,8 @@ def brute_edges(data):
 STRATS = [
     dict(strategy="plain"),
     dict(strategy="hybrid"),
-    dict(strategy="hybrid", hot_words=2, cell_rows=1, max_split=3, key_bits=1),
+    dict(strategy="hybrid", hot_words=2, cell_rows=1, key_bits=1),
     dict(strategy="hybrid", hot_words=3, cell_rows=2, key_bits=0),
-    dict(strategy="auto"),
 ]
 
 
@@ -133,7 +132,7 @@ def test_carried_sizes_equal_joined_sizes(spark, kw):
         assert rows(g.edges, "src", "dst", "ns", "nd") == rows(joined, "src", "dst", "ns", "nd")
 
 
-@pytest.mark.parametrize("strategy", ["plain", "hybrid", "auto"])
+@pytest.mark.parametrize("strategy", ["plain", "hybrid"])
 def test_empty_postings(spark, strategy):
     p = spark.createDataFrame([], "v bigint, w string")
     assert overlap_edges(p, strategy=strategy).count() == 0
@@ -144,5 +143,5 @@ def test_single_word_everywhere_hybrid(spark):
     # One word in every bag: all pairs, each exactly once, over several cells.
     data = {i: ["w"] for i in range(12)}
     _, p, _ = bags(spark, data)
-    got = rows(overlap_edges(p, strategy="hybrid", cell_rows=3, max_split=4))
+    got = rows(overlap_edges(p, strategy="hybrid", cell_rows=3))
     assert len(got) == 12 * 11 and set(got) == brute_edges(data)

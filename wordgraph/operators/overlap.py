@@ -28,8 +28,8 @@ Two exact strategies:
 
   The two branches are disjoint, so their union is the edge set.
 
-``auto`` picks ``plain`` when Σ df² is below ``plain_limit``. With
-``with_sizes`` both end sizes travel with each pair (taken from the postings
+``hybrid`` is the default at every size; ``plain`` is a plain statement for
+tests. With ``with_sizes`` both end sizes travel with each pair (taken from the postings
 before the join), so questions on sizes aggregate pairs where they are formed.
 """
 
@@ -63,17 +63,6 @@ def word_frequencies(postings: DataFrame) -> DataFrame:
     return postings.groupBy("w").agg(F.count(F.lit(1)).alias("d"))
 
 
-def join_cost(postings: DataFrame) -> float:
-    """Σ df² over words with df >= 2: the joined rows of the plain strategy.
-
-    Summed in double: at scale the exact value can pass the bigint range
-    (and ANSI mode would fail the query), and only its size matters here.
-    """
-    d = F.col("d").cast("double")
-    row = word_frequencies(postings).where("d >= 2").agg(F.sum(d * d).alias("s")).first()
-    return float(row["s"] or 0.0)
-
-
 def _plain(postings: DataFrame, with_sizes: bool = False) -> DataFrame:
     if with_sizes:
         n = postings.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
@@ -88,19 +77,18 @@ def _plain(postings: DataFrame, with_sizes: bool = False) -> DataFrame:
     return a.join(b, "w").where(F.col("src") != F.col("dst")).select(*cols).distinct()
 
 
-def hot_word_table(postings: DataFrame, hot_words: int = MAX_BITS, cell_rows: int = 4096,
-                   max_split: int = 64) -> DataFrame:
+def hot_word_table(postings: DataFrame, hot_words: int = MAX_BITS, cell_rows: int = 4096) -> DataFrame:
     """``w, bit, d, blocks``: the most frequent words (df >= 2), at most ``hot_words`` <= 62 rows.
 
     ``bit`` 0 is the most frequent word (ties by word). ``blocks`` =
-    ceil(df / cell_rows), capped by ``max_split``: each hot word's postings
-    are split in that many blocks per side of the join.
+    ceil(df / cell_rows): each hot word's postings are split in that many
+    blocks per side of the join.
     The table is bounded by construction (``limit``), so it is broadcast.
     """
-    return _hot_from_freq(word_frequencies(postings).where("d >= 2"), hot_words, cell_rows, max_split)
+    return _hot_from_freq(word_frequencies(postings).where("d >= 2"), hot_words, cell_rows)
 
 
-def _hot_from_freq(freq: DataFrame, hot_words: int, cell_rows: int, max_split: int) -> DataFrame:
+def _hot_from_freq(freq: DataFrame, hot_words: int, cell_rows: int) -> DataFrame:
     k = min(int(hot_words), MAX_BITS)
     top = freq.orderBy(F.desc("d"), F.asc("w")).limit(k)
     # At most k rows: one window partition over them is bounded.
@@ -109,7 +97,7 @@ def _hot_from_freq(freq: DataFrame, hot_words: int, cell_rows: int, max_split: i
         "w",
         F.col("bit").cast("int").alias("bit"),
         "d",
-        _blocks(F.col("d"), cell_rows, max_split).alias("blocks"),
+        _blocks(F.col("d"), cell_rows).alias("blocks"),
     )
 
 
@@ -133,8 +121,8 @@ def _subsets_avoiding(col: str, nbits: str) -> F.Column:
     )
 
 
-def _blocks(d: F.Column, cell_rows: int, max_split: int) -> F.Column:
-    return F.least(F.greatest(F.ceil(d / F.lit(cell_rows)), F.lit(1)), F.lit(max_split)).cast("int")
+def _blocks(d: F.Column, cell_rows: int) -> F.Column:
+    return F.greatest(F.ceil(d / F.lit(cell_rows)), F.lit(1)).cast("int")
 
 
 def _grid_sides(df: DataFrame, extra_left: list, extra_right: list) -> tuple[DataFrame, DataFrame]:
@@ -154,21 +142,21 @@ def _grid_sides(df: DataFrame, extra_left: list, extra_right: list) -> tuple[Dat
     rk = ["nd"] if rs else []
     left = base.select(
         "w", F.col("v").alias("src"), F.col("m").alias("ms"), *ls, *extra_left, "blk", "blocks", spread.alias("j")
-    ).select("w", "src", "ms", *lk, *extra_left, (F.col("blk") * F.col("blocks") + F.col("j")).alias("cell"))
+    ).select("w", "src", "ms", *lk, *extra_left, (F.col("blk").cast("bigint") * F.col("blocks") + F.col("j")).alias("cell"))
     right = base.select(
         "w", F.col("v").alias("dst"), F.col("m").alias("md"), *rs, *extra_right, "blk", "blocks", spread.alias("i")
-    ).select("w", "dst", "md", *rk, *extra_right, (F.col("i") * F.col("blocks") + F.col("blk")).alias("cell"))
+    ).select("w", "dst", "md", *rk, *extra_right, (F.col("i").cast("bigint") * F.col("blocks") + F.col("blk")).alias("cell"))
     return left, right
 
 
-def _hybrid(postings: DataFrame, hot_words: int, cell_rows: int, max_split: int, key_bits: int,
+def _hybrid(postings: DataFrame, hot_words: int, cell_rows: int, key_bits: int,
             with_sizes: bool = False) -> DataFrame:
     # Word frequencies, the hot-word table and the masked postings are each
     # used by both branches: write each once (frequencies: one row per
     # word; hot table: at most 62 rows; masked postings: one row per posting).
     cuts = TableCuts(postings.sparkSession, "hybrid")
     freq = cuts.cut(word_frequencies(postings).where("d >= 2"), "freq")
-    hot = cuts.cut(_hot_from_freq(freq, hot_words, cell_rows, max_split), "hot")
+    hot = cuts.cut(_hot_from_freq(freq, hot_words, cell_rows), "hot")
     # Mask and size of every bag in one aggregate over its postings.
     per_bag = (
         postings.join(F.broadcast(hot.select("w", "bit")), "w", "left")
@@ -213,7 +201,7 @@ def _hybrid(postings: DataFrame, hot_words: int, cell_rows: int, max_split: int,
     # bits through the key, the others in the condition), then distinct. A
     # rare word can still be large at scale: it is block split like a hot one
     # (the frequency table is joined, not broadcast: it grows with the data).
-    rare_freq = freq.select("w", _blocks(F.col("d"), cell_rows, max_split).alias("blocks"))
+    rare_freq = freq.select("w", _blocks(F.col("d"), cell_rows).alias("blocks"))
     rare = (
         post_m.join(F.broadcast(hot.select("w")), "w", "left_anti")
         .join(rare_freq, "w")
@@ -237,9 +225,9 @@ def _hybrid(postings: DataFrame, hot_words: int, cell_rows: int, max_split: int,
     return hot_pairs.unionByName(rare_pairs)
 
 
-def overlap_edges(postings: DataFrame, strategy: str = "auto", directed: bool = True,
-                  hot_words: int = MAX_BITS, cell_rows: int = 4096, max_split: int = 64,
-                  key_bits: int = 4, plain_limit: int = 50_000_000, materialize: bool = True,
+def overlap_edges(postings: DataFrame, strategy: str = "hybrid", directed: bool = True,
+                  hot_words: int = MAX_BITS, cell_rows: int = 4096,
+                  key_bits: int = 4, materialize: bool = True,
                   with_sizes: bool = False) -> DataFrame:
     """J1 + P4: ``src, dst`` for every ordered pair of distinct bags sharing a word.
 
@@ -255,12 +243,10 @@ def overlap_edges(postings: DataFrame, strategy: str = "auto", directed: bool =
         # The postings are read several times (frequencies, masks, both
         # branches): write them once instead of re-deriving them each time.
         p = TableCuts(p.sparkSession, "overlap").cut(p, "postings")
-    if strategy == "auto":
-        strategy = "plain" if join_cost(p) <= plain_limit else "hybrid"
     if strategy == "plain":
         edges = _plain(p, with_sizes)
     elif strategy == "hybrid":
-        edges = _hybrid(p, hot_words, cell_rows, max_split, key_bits, with_sizes)
+        edges = _hybrid(p, hot_words, cell_rows, key_bits, with_sizes)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     if not directed:
@@ -268,7 +254,7 @@ def overlap_edges(postings: DataFrame, strategy: str = "auto", directed: bool =
     return edges
 
 
-def overlap_graph(vertices: DataFrame, postings: DataFrame, strategy: str = "auto", directed: bool = True,
+def overlap_graph(vertices: DataFrame, postings: DataFrame, strategy: str = "hybrid", directed: bool = True,
                   **kw) -> Graph:
     """The word-overlap graph as ``Graph(vertices(v, n), edges(src, dst, ns, nd))``.
 

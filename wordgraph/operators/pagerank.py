@@ -12,8 +12,8 @@ contribution have one — after k rounds just the ends of walks of length k.
 Plan per round (one Spark job, lineage cut by a written table):
 
 * The weighted edge table is built once: ``1 / outdeg`` per edge, hash
-  partitioned on the join key ``(src, salt)`` and persisted (memory and
-  disk), so a round shuffles only the ranks, never the edges. Every
+  partitioned and sorted on the join key ``(src, salt)`` and persisted (memory
+  and disk), so a round shuffles only the ranks, never the edges. Every
   placement of the reference is a vertex cut on this table: it decides how
   many salts a source's edges spread over (grid: the grid's columns; pair:
   up to one per edge), and each rank is copied once per salt.
@@ -49,7 +49,7 @@ def _salt_rule(placement: str | None, n: int, salt_edges: int):
     * ``None`` / ``'src'`` / ``'mod'`` (by source): one key, more only for a
       source with over ``salt_edges`` out-edges (skew).
     * ``'grid'`` (2-D cut): ``cols`` keys per source (the columns of the
-      rows x cols grid of ``n`` parts), times the skew split.
+      rows x cols grid of ``n`` parts), times the skew split, at most one per edge.
     * ``'pair'`` (hash of both ends): up to ``n`` keys, at most one per edge.
     """
     skew = F.greatest(F.lit(1), F.ceil(F.col("deg") / F.lit(salt_edges)))
@@ -58,7 +58,8 @@ def _salt_rule(placement: str | None, n: int, salt_edges: int):
         key = F.xxhash64("dst")
     elif placement == "grid":
         _, cols = grid_shape(n)
-        salts = F.lit(cols) * skew
+        # Never more copies of a rank than the source has edges.
+        salts = F.greatest(F.lit(1), F.least(F.lit(cols) * skew, F.col("deg")))
         key = F.xxhash64("dst")
     elif placement == "pair":
         salts = F.greatest(F.lit(1), F.least(F.lit(n), F.col("deg")))
@@ -135,9 +136,18 @@ def pagerank(edges: DataFrame, iterations: int = 10, missing: str = "keep", dedu
     keep = missing == "keep"
 
     weights = weighted_edges(edges, dedupe, salt_edges, self_rows=keep, placement=placement, n=n)
-    # Placed once on the join key: rounds move ranks (one copy per salt), never edges.
-    weights = weights.repartition(n, "src", "salt").persist(StorageLevel.MEMORY_AND_DISK)
-
+    # Placed and sorted once on the join key: rounds move ranks (one copy per
+    # salt), never edges, and a sort-merge join does not sort the edges again.
+    placed = weights.repartition(n, "src", "salt").sortWithinPartitions("src", "salt")
+    weights = placed.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _rounds(spark, weights, iterations, keep, reset, damping, checkpoint_every)
+    finally:
+        weights.unpersist()
+
+
+def _rounds(spark, weights: DataFrame, iterations: int, keep: bool, reset: float, damping: float,
+            checkpoint_every: int) -> DataFrame:
     # Start ranks from the persisted weight table, so the edge input is
     # evaluated once: every vertex (keep) or every source (drop) at 1.0.
     if keep:
@@ -169,5 +179,4 @@ def pagerank(edges: DataFrame, iterations: int = 10, missing: str = "keep", dedu
             cuts.drop_all_but_last()
         else:
             ranks = nxt
-    weights.unpersist()
     return ranks.select("id", "rank")

@@ -27,9 +27,8 @@ QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 ROUND = 9
-# The reference's part count for its edge placements (also used for the
-# placed tables of the iterative queries, so that they do not depend on the
-# session's default shuffle partitions).
+# Fixed value: the reference's part count, for the placement reports only. The
+# iterative queries take the session's number of shuffle partitions.
 PLACEMENT_PARTS = 20
 
 
@@ -163,33 +162,33 @@ def _pr(spark, d, **kw):
 
 @register("rank_update_join", _pagerank_keep_sql(1))
 def rank_update_join(spark, d):
-    return _pr(spark, d, iterations=1, missing="keep", placement="src", num_partitions=PLACEMENT_PARTS)
+    return _pr(spark, d, iterations=1, missing="keep", placement="src")
 
 
 @register("pagerank_keep", _pagerank_keep_sql(10))
 def pagerank_keep(spark, d):
-    return _pr(spark, d, iterations=10, missing="keep", placement="grid", num_partitions=PLACEMENT_PARTS)
+    return _pr(spark, d, iterations=10, missing="keep", placement="grid")
 
 
 @register("pagerank_keep_by_source", _pagerank_keep_sql(10))
 def pagerank_keep_by_source(spark, d):
-    return _pr(spark, d, iterations=10, missing="keep", placement="src", num_partitions=PLACEMENT_PARTS)
+    return _pr(spark, d, iterations=10, missing="keep", placement="src")
 
 
 @register("pagerank_keep_by_pair", _pagerank_keep_sql(10))
 def pagerank_keep_by_pair(spark, d):
-    return _pr(spark, d, iterations=10, missing="keep", placement="pair", num_partitions=PLACEMENT_PARTS)
+    return _pr(spark, d, iterations=10, missing="keep", placement="pair")
 
 
 @register("pagerank_drop", _pagerank_drop_sql(10))
 def pagerank_drop(spark, d):
-    return _pr(spark, d, iterations=10, missing="drop", placement="mod", num_partitions=PLACEMENT_PARTS)
+    return _pr(spark, d, iterations=10, missing="drop", placement="mod")
 
 
 @register("pagerank_drop_string_ids", _pagerank_drop_strings_sql(10))
 def pagerank_drop_string_ids(spark, d):
     e = FX.f_edge(spark, d).select(F.col("src").cast("string").alias("src"), F.col("dst").cast("string").alias("dst"))
-    return pagerank(e, iterations=10, missing="drop", num_partitions=PLACEMENT_PARTS).select("id", r9("rank"))
+    return pagerank(e, iterations=10, missing="drop").select("id", r9("rank"))
 
 
 # --- placement ------------------------------------------------------------------
@@ -292,7 +291,7 @@ def _sizes_sql(bag_sql: str) -> str:
 @register("overlap_edges", f"select src, dst, 0 attr from {_pairs_sql(FX.F_BAG_ORDER_SQL)}")
 def overlap_edges(spark, d):
     _, p = FX.f_bag_order(spark, d)
-    return O.overlap_edges(p, strategy="plain").select("src", "dst", F.lit(0).alias("attr"))
+    return O.overlap_edges(p).select("src", "dst", F.lit(0).alias("attr"))
 
 
 @register("overlap_edges_hybrid", f"select src, dst, 0 attr from {_pairs_sql(FX.F_BAG_DOC_SQL)}")
@@ -342,7 +341,7 @@ def _q1_sql(bag_sql: str) -> str:
     join s a on a.v = g.src join s b on b.v = g.dst where a.n > b.n"""
 
 
-def _q1(fixture, strategy="auto"):
+def _q1(fixture, strategy="hybrid"):
     def q(spark, d):
         g = O.overlap_graph(*fixture(spark, d), strategy=strategy, directed=False)
         return Q.larger_source_edges(g.edges, g.vertices, directed=False)
@@ -361,7 +360,7 @@ def _q2_sql(bag_sql: str) -> str:
     join s on s.v = g.src group by g.src order by out_degree desc, n_words desc, v limit 1"""
 
 
-def _q2(fixture, strategy="auto"):
+def _q2(fixture, strategy="hybrid"):
     def q(spark, d):
         g = O.overlap_graph(*fixture(spark, d), strategy=strategy)
         return Q.most_popular_vertex(g.edges, g.vertices)
@@ -380,7 +379,7 @@ def _q3_sql(bag_sql: str) -> str:
     select v, cast(total // k as float) avg_words, round(total / k, {ROUND}) avg_words_exact from t"""
 
 
-def _q3(fixture, strategy="auto"):
+def _q3(fixture, strategy="hybrid"):
     def q(spark, d):
         g = O.overlap_graph(*fixture(spark, d), strategy=strategy)
         out = Q.neighbor_average(g.edges, g.vertices)
@@ -449,7 +448,7 @@ ORDER_COMPONENTS_SQL = _components_sql(FX.F_BAG_ORDER_V_SQL, _pairs_sql(FX.F_BAG
 @register("components", ORDER_COMPONENTS_SQL)
 def components(spark, d):
     v, p = FX.f_bag_order(spark, d)
-    return C.components_from_postings(v, p, num_partitions=PLACEMENT_PARTS)
+    return C.components_from_postings(v, p)
 
 
 @register(
@@ -458,7 +457,7 @@ def components(spark, d):
 )
 def component_sizes(spark, d):
     v, p = FX.f_bag_order(spark, d)
-    return C.component_sizes(C.components_from_postings(v, p, num_partitions=PLACEMENT_PARTS))
+    return C.component_sizes(C.components_from_postings(v, p))
 
 
 @register(
@@ -468,7 +467,7 @@ def component_sizes(spark, d):
 )
 def q5_largest_component(spark, d):
     v, p = FX.f_bag_order(spark, d)
-    return Q.largest_component(C.components_from_postings(v, p, num_partitions=PLACEMENT_PARTS))
+    return Q.largest_component(C.components_from_postings(v, p))
 
 
 EDGE_COMPONENTS_SQL = _components_sql(
@@ -480,7 +479,7 @@ EDGE_COMPONENTS_SQL = _components_sql(
 @register("components_edges", EDGE_COMPONENTS_SQL)
 def components_edges(spark, d):
     e = FX.f_edge(spark, d)
-    return C.components_from_edges(G.vertices_of(e), e, num_partitions=PLACEMENT_PARTS)
+    return C.components_from_edges(G.vertices_of(e), e)
 
 
 CUST_COMPONENTS_SQL = _components_sql(FX.F_BAG_CUST_V_SQL, _pairs_sql(FX.F_BAG_CUST_SQL))
@@ -489,7 +488,7 @@ CUST_COMPONENTS_SQL = _components_sql(FX.F_BAG_CUST_V_SQL, _pairs_sql(FX.F_BAG_C
 @register("components_customer_orders", CUST_COMPONENTS_SQL)
 def components_customer_orders(spark, d):
     v, p = FX.f_bag_cust(spark, d)
-    return C.components_from_postings(v, p, num_partitions=PLACEMENT_PARTS)
+    return C.components_from_postings(v, p)
 
 
 @register(
@@ -498,7 +497,7 @@ def components_customer_orders(spark, d):
 )
 def component_sizes_customer_orders(spark, d):
     v, p = FX.f_bag_cust(spark, d)
-    return C.component_sizes(C.components_from_postings(v, p, num_partitions=PLACEMENT_PARTS))
+    return C.component_sizes(C.components_from_postings(v, p))
 
 
 @register(
@@ -508,4 +507,4 @@ def component_sizes_customer_orders(spark, d):
 )
 def q5_largest_component_customers(spark, d):
     v, p = FX.f_bag_cust(spark, d)
-    return Q.largest_component(C.components_from_postings(v, p, num_partitions=PLACEMENT_PARTS))
+    return Q.largest_component(C.components_from_postings(v, p))
