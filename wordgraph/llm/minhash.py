@@ -4,9 +4,9 @@
    signature of it. Texts with equal word sequences are one node from here on.
 2. Signatures are cut into bands; nodes with an equal band share a bucket.
 3. First pass: in each bucket every node is compared with the bucket's lead, a
-   number of pairs that is linear in the bucket. Leads are chosen by a hash of
-   band and node, so a large group meets another lead in each band. Links
-   found make components.
+   number of pairs that is linear in the bucket. Leads are chosen by a few
+   hashes of the node, taken in turn by the bands, so a large group meets some
+   leads and not one for each band. Links found make components.
 4. Second pass: only pairs of a bucket whose nodes are in different components
    can change anything. Buckets that still hold several are cut into cells,
    and pairs of cells are compared in parallel, without writing out the pairs:
@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wordgraph.llm.common import WordHash, mix64, ragged, small_batches, text_bytes
 from wordgraph.llm.components import components
@@ -47,6 +48,8 @@ class Params:
     batch: int = 16
     #: Chance that a pair at the threshold or above is pruned by its signatures.
     miss: float = 1e-5
+    #: Orders of the nodes by which bands choose leads.
+    orders: int = 8
     #: Nodes of a block of a bucket in the second pass.
     block: int = 512
     seed: int = 1
@@ -137,11 +140,33 @@ def signed(docs: DataFrame, p: Params) -> DataFrame:
     return placed.mapInArrow(run, f"key {kind}, at long, words_digest binary, n_shingles long, sig binary")
 
 
-def band_keys(nodes: DataFrame, p: Params) -> DataFrame:
-    """``node, i, band``: a 64-bit key for each band ``i`` of a node's signature."""
+def band_keys(nodes: DataFrame, p: Params, *others: str) -> DataFrame:
+    """``node, i, band`` and ``others``: a 64-bit key for each band ``i`` of a node's signature."""
     width = 4 * p.rows
     keys = [F.xxhash64(F.lit(i), F.substring("sig", i * width + 1, width)) for i in range(p.bands)]
-    return nodes.select("node", F.posexplode(F.array(*keys)).alias("i", "band"))
+    return nodes.select("node", *others, F.posexplode(F.array(*keys)).alias("i", "band"))
+
+
+def _parts(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def lead_pairs(bands: DataFrame, p: Params, parts: int) -> DataFrame:
+    """``u, v`` (u < v, distinct): in each bucket of ``bands(node, i, band)`` every node and a lead.
+
+    A bucket is dealt over ``parts`` by a hash of the node; a node meets the
+    lead of its part, the leads of the parts meet the least of them. Bands
+    take turns at ``p.orders`` orders of the nodes, so a large group meets
+    that many leads, not one for each band.
+    """
+    order = F.xxhash64(F.col("i") % p.orders, "node")
+    rows = bands.select("node", "band", order.alias("h"), F.pmod(F.xxhash64("node"), F.lit(parts)).alias("part"))
+    least = F.min(F.struct("h", "node"))
+    led = rows.withColumn("lead", least.over(Window.partitionBy("band", "part")))
+    tops = led.where("node = lead.node").select("node", "band", "h").withColumn(
+        "lead", least.over(Window.partitionBy("band")))
+    pairs = led.select("node", "lead").union(tops.select("node", "lead")).where("node != lead.node")
+    return pairs.select(F.least("node", "lead.node").alias("u"), F.greatest("node", "lead.node").alias("v")).distinct()
 
 
 def _signatures(column) -> np.ndarray:
@@ -335,23 +360,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pa
     nodes = cuts.cut(grouped.select(F.monotonically_increasing_id().alias("node"), "words_digest",
                                     F.col("lead.key").alias("key"), F.col("lead.at").alias("at"),
                                     "n_shingles", "sig"), "nodes")
-    bands = band_keys(nodes, params)
-    lead = F.min(F.struct(F.xxhash64("band", "node").alias("h"), "node"))
-    several = bands.groupBy("band").agg(lead.alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    buckets = cuts.cut(bands.join(several.select("band", F.col("lead.node").alias("lead")), "band"), "buckets")
-    wanted = nodes.join(buckets.select("node").distinct(), "node", "left_semi")
     sigs = nodes.select("node", "n_shingles", "sig")
-    found = candidate_texts(rows, wanted.select("node", "words_digest", "key", "at"))
+    stars = cuts.cut(lead_pairs(band_keys(nodes, params), params, _parts(spark)), "stars")
+    wanted = stars.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    found = candidate_texts(rows, nodes.join(wanted, "node", "left_semi").select("node", "words_digest", "key", "at"))
     texts = cuts.cut(found.join(sigs, "node"), "texts")
     side = lambda x: sigs.toDF(x, f"n_{x}", f"sig_{x}")
-    stars = buckets.where("node != lead").select(
-        F.least("lead", "node").alias("u"), F.greatest("lead", "node").alias("v")).distinct()
     near = pruned(stars.join(side("u"), "u").join(side("v"), "v"), params)
     links = cuts.cut(verified(near, texts, params), "links")
 
     linked = cuts.cut(components(links, cuts, "first"), "first")
-    held = buckets.select("i", "band", "node").join(linked, "node", "left").withColumn(
-        "component", F.coalesce("component", "node"))
+    # Components meet the nodes, one row each, before the bands are written out again.
+    labelled = nodes.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    held = band_keys(labelled, params, "component")
     mixed = held.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
     cells = _cells(held.join(mixed.select("band"), "band", "left_semi"), params)
     open_nodes = cuts.cut(_open_nodes(cells.join(sigs, "node"), params), "open")
