@@ -67,7 +67,6 @@ def test_components_from_edges(spark):
 
 
 def test_long_chain_components(spark):
-    # A path 0-1-...-63 given in reverse id order: pointer jumping keeps the rounds low.
     n = 64
     e = spark.createDataFrame([(i + 1, i) for i in range(n - 1)], "src bigint, dst bigint")
     vs = spark.createDataFrame([(i,) for i in range(n)], "v bigint")
@@ -75,6 +74,18 @@ def test_long_chain_components(spark):
     assert got == [(i, 0) for i in range(n)]
 
 
+def test_rounds_of_an_unlucky_path(spark):
+    # The path 0, 63, 62, ..., 1: without hooking its rounds grow with its length.
+    from wordgraph.operators.components import contract
+    from wordgraph.session import TableCuts
+
+    path = [0, *range(63, 0, -1)]
+    e = spark.createDataFrame(list(zip(path, path[1:])), "u bigint, v bigint")
+    stars, rounds = contract(e, TableCuts(spark, "path"))
+    assert rows(stars, "u", "v") == [(i, 0) for i in range(1, 64)]
+    assert rounds <= 12
+
+
 @pytest.mark.parametrize("strategy", ["grid", "src", "pair", "mod"])
 def test_placement(spark, strategy):
     e = spark.createDataFrame([(i, (i * 7) % 13) for i in range(40)] + [(1, 7)], "src bigint, dst bigint")

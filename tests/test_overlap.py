@@ -145,3 +145,20 @@ def test_single_word_everywhere_hybrid(spark):
     _, p, _ = bags(spark, data)
     got = rows(overlap_edges(p, strategy="hybrid", cell_rows=3))
     assert len(got) == 12 * 11 and set(got) == brute_edges(data)
+
+
+def test_totals_without_hot_pairs(spark):
+    """Counts by masks equal the brute force, with ties, single words, and an empty table."""
+    import random
+
+    from wordgraph.operators.overlap import larger_source_count, neighbor_totals
+
+    rng = random.Random(5)
+    for n_bags, bits in ((14, 2), (14, 8), (1, 8), (0, 2)):
+        bags = {v: {min(int(rng.expovariate(0.3)), 9) for _ in range(rng.randint(1, 4))} for v in range(n_bags)}
+        p = spark.createDataFrame([(v, w) for v, ws in bags.items() for w in ws], "v bigint, w bigint")
+        near = {v: [u for u in bags if u != v and bags[u] & bags[v]] for v in bags}
+        want = sorted((v, len(bags[v]), len(us), sum(len(bags[u]) for u in us)) for v, us in near.items() if us)
+        assert rows(neighbor_totals(p, count_bits=bits, hot_words=3, cell_rows=3, key_bits=1), "v", "n", "k", "total") == want
+        larger = sum(len(bags[v]) > len(bags[u]) for v, us in near.items() for u in us)
+        assert rows(larger_source_count(p, count_bits=bits, hot_words=3, cell_rows=3, key_bits=1)) == [(larger,)]

@@ -1,117 +1,78 @@
 """Connected components, label = smallest vertex id (A16, A17 on top).
 
-On the word-overlap graph the components are computed on the postings
-(the bag-word bipartite graph), so no pair of bags is ever formed: a word
-takes the smallest label of its bags, a bag the smallest label of its
-words. After each propagation a pointer jump (``label = label(label)``)
-halves chains; roots are not hooked, so a path whose ids are in an unlucky
-order can still take a number of rounds that grows with its length.
-
-Skew: a word in a third of all bags is one group of a partial ``min``
-aggregate (one row per map task reaches the shuffle); joins are to tables
-with one row per key, so AQE splits a skewed side. Labels are written below
-``spark.checkpoint.dir`` each round; the loop ends when a round changes
-nothing (checked on the written table).
+Large-star and small-star steps: in each round every vertex and its neighbours
+are hooked to the least vertex they know, so the number of rounds grows with
+the logarithm of the path length, whatever the order of the ids.
+
+On the word-overlap graph the edges are stars: each word's bags are linked
+with its least bag, so their number is linear in the postings and no pair of
+bags is ever formed.
+
+Skew: minima are partial aggregates (one row per map task and key reaches the
+shuffle); joins are to tables with one row per key, so AQE splits the side of
+a hot word or a hub. Edges are written below ``spark.checkpoint.dir`` each
+round; the loop ends when a round changes nothing.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordgraph.session import TableCuts
 
 
-def _jump(labels: DataFrame) -> DataFrame:
-    """``v, old, l``: label of the label (labels never exceed the vertex id)."""
-    look = labels.select(F.col("v").alias("lv"), F.col("l1").alias("ll"))
-    return labels.join(look, labels.l1 == look.lv, "left").select(
-        "v", "old", F.least(F.col("l1"), F.coalesce(F.col("ll"), F.col("l1"))).alias("l")
-    )
+def _least(pairs: DataFrame) -> DataFrame:
+    """``u, m``: the least of a vertex and its neighbours."""
+    return pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
 
 
-def _run(vertices: DataFrame, neighbour_min, max_rounds: int | None, prefix: str) -> DataFrame:
-    spark = vertices.sparkSession
-    cuts = TableCuts(spark, prefix)
-    # Start labels (each vertex its own id) are cheap to derive: round 1
-    # reads them directly, later rounds read written tables.
-    labels = vertices.select("v", F.col("v").alias("l")).distinct()
-    rounds = 0
+def contract(edges: DataFrame, cuts: TableCuts, max_rounds: int | None = None) -> tuple[DataFrame, int]:
+    """Stars ``u, v`` (v the least vertex that u reaches, u > v) of ``edges(u, v)``, and the rounds taken."""
+    now = cuts.cut(edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+                   .distinct(), "edges-0")
+    before, rounds = None, 0
     while max_rounds is None or rounds < max_rounds:
         rounds += 1
-        # Own label as a message of its own: one aggregate gives the new
-        # label (minimum) and the old one, no join of labels to messages.
-        msgs = neighbour_min(labels).select("v", F.col("nl").alias("x"), F.lit(None).cast(labels.schema["l"].dataType).alias("own"))
-        own = labels.select("v", F.col("l").alias("x"), F.col("l").alias("own"))
-        prop = msgs.unionByName(own).groupBy("v").agg(F.min("x").alias("l1"), F.max("own").alias("old"))
-        nxt = _jump(prop).select("v", "l", (F.col("l") != F.col("old")).alias("changed"))
-        written = cuts.cut(nxt, f"labels-{rounds}")
+        both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        large = both.where("v > u").join(_least(both), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = _least(large)
+        small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        now = cuts.cut(small.union(least.select("u", F.col("m").alias("v"))).distinct(), f"edges-{rounds}")
         cuts.drop_all_but_last()
-        labels = written.select("v", "l")
-        if written.where("changed").limit(1).count() == 0:
+        # Equal edges twice in a row: count and two digests of all of them.
+        state = tuple(now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")),
+                              F.bit_xor(F.xxhash64("v", "u", F.lit(1)))).first())
+        if state == before:
             break
-    return labels.select("v", F.col("l").alias("component"))
+        before = state
+    return now, rounds
 
 
-def components_from_postings(vertices: DataFrame, postings: DataFrame, max_rounds: int | None = None,
-                             num_partitions: int | None = None) -> DataFrame:
+def _labels(vertices: DataFrame, stars: DataFrame) -> DataFrame:
+    found = stars.select(F.col("u").alias("v"), F.col("v").alias("l"))
+    return vertices.select("v").distinct().join(found, "v", "left").select("v", F.coalesce("l", "v").alias("component"))
+
+
+def components_from_postings(vertices: DataFrame, postings: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """``v, component`` of the overlap graph, computed on ``postings(v, w)``.
 
     Bags without words (or only with words of their own) are components of
-    their own. ``num_partitions`` (default: ``spark.sql.shuffle.partitions``)
-    is the number of parts the postings are placed in. ``postings`` is written once below the checkpoint folder, so
-    the rounds do not redo the work that made it (e.g. tokenising).
+    their own. The postings are written once below the checkpoint folder, so
+    the work that made them (e.g. tokenising) is done once.
     """
-    spark = vertices.sparkSession
-    n = int(num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
-    post = TableCuts(spark, "postings").cut(postings.select("v", "w"), "postings")
-    # Placed once by bag and once by word: a round then joins the labels
-    # (one row per bag) and the word minima (one row per word) to postings
-    # that are already partitioned on the join key, so only vertex and word
-    # data move, never the postings.
-    by_v = post.repartition(n, "v").persist(StorageLevel.MEMORY_AND_DISK)
-    by_w = post.repartition(n, "w").persist(StorageLevel.MEMORY_AND_DISK)
-
-    def neighbour_min(labels: DataFrame) -> DataFrame:
-        word_l = by_v.join(labels, "v").groupBy("w").agg(F.min("l").alias("wl"))
-        return by_w.join(word_l, "w").groupBy("v").agg(F.min("wl").alias("nl"))
-
-    try:
-        return _run(vertices, neighbour_min, max_rounds, "components")
-    finally:
-        by_v.unpersist()
-        by_w.unpersist()
-
-
-def components_from_edges(vertices: DataFrame, edges: DataFrame, max_rounds: int | None = None,
-                          num_partitions: int | None = None) -> DataFrame:
+    cuts = TableCuts(vertices.sparkSession, "components")
+    post = cuts.cut(postings.select("v", "w"), "postings")
+    lead = post.groupBy("w").agg(F.min("v").alias("lead"))
+    stars, _ = contract(post.join(lead, "w").select(F.col("v").alias("u"), F.col("lead").alias("v")), cuts, max_rounds)
+    return _labels(vertices, stars)
+
+
+def components_from_edges(vertices: DataFrame, edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """``v, component`` of a general graph; edges are taken in both directions."""
-    spark = vertices.sparkSession
-    n = int(num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
-    both = TableCuts(spark, "edges").cut(
-        edges.select(F.col("src").alias("a"), F.col("dst").alias("b"))
-        .union(edges.select(F.col("dst").alias("a"), F.col("src").alias("b")))
-        .where(F.col("a") != F.col("b"))
-        .distinct(),
-        "edges",
-    )
-    all_v = vertices.select("v").union(both.select(F.col("a").alias("v"))).distinct()
-    # Edges placed once on the side that joins the labels.
-    both = both.repartition(n, "a").persist(StorageLevel.MEMORY_AND_DISK)
-
-    def neighbour_min(labels: DataFrame) -> DataFrame:
-        return (
-            both.join(labels.select(F.col("v").alias("a"), "l"), "a")
-            .groupBy("b")
-            .agg(F.min("l").alias("nl"))
-            .withColumnRenamed("b", "v")
-        )
-
-    try:
-        return _run(all_v, neighbour_min, max_rounds, "components")
-    finally:
-        both.unpersist()
+    cuts = TableCuts(vertices.sparkSession, "components")
+    stars, _ = contract(edges.select(F.col("src").alias("u"), F.col("dst").alias("v")), cuts, max_rounds)
+    return _labels(vertices.select("v").union(edges.select("src")).union(edges.select("dst")), stars)
 
 
 def component_sizes(labels: DataFrame) -> DataFrame:

@@ -120,3 +120,8 @@ def adjacency(edges: DataFrame) -> DataFrame:
     never held in one row or one task.
     """
     return edges.select("src", "dst").distinct().groupBy("src").agg(F.count(F.lit(1)).alias("n_targets"))
+
+
+def adjacency_targets(edges: DataFrame) -> DataFrame:
+    """A4 in long form: ``src, dst, n_targets``, each distinct edge with its source's number of targets."""
+    return edges.select("src", "dst").distinct().join(adjacency(edges), "src").select("src", "dst", "n_targets")

@@ -149,11 +149,9 @@ def _grid_sides(df: DataFrame, extra_left: list, extra_right: list) -> tuple[Dat
     return left, right
 
 
-def _hybrid(postings: DataFrame, hot_words: int, cell_rows: int, key_bits: int,
-            with_sizes: bool = False) -> DataFrame:
-    # Word frequencies, the hot-word table and the masked postings are each
-    # used by both branches: write each once (frequencies: one row per
-    # word; hot table: at most 62 rows; masked postings: one row per posting).
+def _prepared(postings: DataFrame, hot_words: int, cell_rows: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Written once, used by both branches: ``freq(w, d)``, the hot-word table, ``bags(v, m, n)`` (hot-word
+    mask and size) and the postings with their bag's mask and size."""
     cuts = TableCuts(postings.sparkSession, "hybrid")
     freq = cuts.cut(word_frequencies(postings).where("d >= 2"), "freq")
     hot = cuts.cut(_hot_from_freq(freq, hot_words, cell_rows), "hot")
@@ -166,10 +164,22 @@ def _hybrid(postings: DataFrame, hot_words: int, cell_rows: int, key_bits: int,
             F.count(F.lit(1)).alias("n"),
         )
     )
-    # Every bag has a row in per_bag; the left join (same rows as an inner
+    bags = cuts.cut(per_bag, "bags")
+    # Every bag has a row in bags; the left join (same rows as an inner
     # one) lets only the per-bag side be broadcast, so the postings keep
     # streaming in their own partitions.
-    post_m = cuts.cut(postings.join(per_bag, "v", "left"), "postings_masked")
+    return freq, hot, bags, cuts.cut(postings.join(bags, "v", "left"), "postings_masked")
+
+
+def _hybrid(postings: DataFrame, hot_words: int, cell_rows: int, key_bits: int,
+            with_sizes: bool = False) -> DataFrame:
+    freq, hot, _, post_m = _prepared(postings, hot_words, cell_rows)
+    return _pairs(freq, hot, post_m, cell_rows, key_bits, with_sizes)
+
+
+def _pairs(freq: DataFrame, hot: DataFrame, post_m: DataFrame, cell_rows: int, key_bits: int,
+           with_sizes: bool, skip_bits: int = 0) -> DataFrame:
+    """The pairs of both branches; pairs that share one of the first ``skip_bits`` hot words are left out."""
     if not with_sizes:
         post_m = post_m.drop("n")
     t = int(key_bits)
@@ -178,7 +188,7 @@ def _hybrid(postings: DataFrame, hot_words: int, cell_rows: int, key_bits: int,
     # Hot branch: a pair is kept at its lowest shared bit only. The first
     # min(bit, key_bits) lower bits are part of the join key (pairs sharing
     # one of them never meet), the rest are checked in the join condition.
-    hp = post_m.join(F.broadcast(hot.select("w", "bit", "blocks")), "w").withColumn(
+    hp = post_m.join(F.broadcast(hot.where(F.col("bit") >= skip_bits).select("w", "bit", "blocks")), "w").withColumn(
         "kb", F.least(F.col("bit"), F.lit(t))
     )
     left, right = _grid_sides(hp, ["bit", "kb"], ["kb"])
@@ -228,7 +238,7 @@ def _hybrid(postings: DataFrame, hot_words: int, cell_rows: int, key_bits: int,
 def overlap_edges(postings: DataFrame, strategy: str = "hybrid", directed: bool = True,
                   hot_words: int = MAX_BITS, cell_rows: int = 4096,
                   key_bits: int = 4, materialize: bool = True,
-                  with_sizes: bool = False) -> DataFrame:
+                  with_sizes: bool = False, attr: int | None = None) -> DataFrame:
     """J1 + P4: ``src, dst`` for every ordered pair of distinct bags sharing a word.
 
     ``postings(v, w)`` must be unique on ``(v, w)``. ``directed=False`` keeps
@@ -236,8 +246,11 @@ def overlap_edges(postings: DataFrame, strategy: str = "hybrid", directed: bool
     (distinct words of each end, J7): they are carried through the pair join
     from the postings, so questions on sizes need no join of the pairs back
     to the bags, and pairs of the hot branch are aggregated in the task that
-    forms them.
+    forms them. ``attr`` adds the edge attribute: 0 (P2), or 1 = min(shared
+    words, 1) (P3, F6), which every pair that shares a word has.
     """
+    if attr not in (None, 0, 1):
+        raise ValueError("attr must be None, 0 or 1")
     p = postings.select("v", "w")
     if materialize and strategy != "plain":
         # The postings are read several times (frequencies, masks, both
@@ -251,7 +264,7 @@ def overlap_edges(postings: DataFrame, strategy: str = "hybrid", directed: bool
         raise ValueError(f"unknown strategy {strategy!r}")
     if not directed:
         edges = edges.where(F.col("src") < F.col("dst"))
-    return edges
+    return edges if attr is None else edges.withColumn("attr", F.lit(attr))
 
 
 def overlap_graph(vertices: DataFrame, postings: DataFrame, strategy: str = "hybrid", directed: bool = True,
@@ -267,3 +280,66 @@ def overlap_graph(vertices: DataFrame, postings: DataFrame, strategy: str = "hyb
     sizes = bag_sizes(vertices, p)
     edges = overlap_edges(p, strategy=strategy, directed=directed, materialize=False, with_sizes=True, **kw)
     return Graph(sizes, edges)
+
+
+def _apart(cells: DataFrame, bits: int, by: list[str], sums: list[str]) -> DataFrame:
+    """Sums over the cells whose mask shares no bit with ``low``, for every mask ``low`` of ``bits`` bits.
+
+    ``cells`` has at most one row per mask (and value of ``by``); each adds to the masks that avoid it.
+    """
+    out = cells.withColumn("bits", F.lit(bits)).select(
+        F.explode(_subsets_avoiding("low", "bits")).alias("low"), *by, *sums)
+    return out.groupBy("low", *by).agg(*[F.sum(c).alias(f"{c}_apart") for c in sums])
+
+
+def neighbor_totals(postings: DataFrame, count_bits: int = 8, hot_words: int = MAX_BITS, cell_rows: int = 4096,
+                    key_bits: int = 4) -> DataFrame:
+    """``v, n, k, total`` per bag with a neighbour: words, neighbours, sum of the neighbours' words.
+
+    Neighbours through one of the ``count_bits`` most frequent words are not
+    enumerated: they are all bags but those with a disjoint mask and the bag
+    itself, and bags are counted per mask (2^count_bits rows at most). Only
+    pairs without such a word go through the pair join.
+    """
+    p = TableCuts(postings.sparkSession, "overlap").cut(postings.select("v", "w"), "postings")
+    freq, hot, bags, post_m = _prepared(p, hot_words, cell_rows)
+    rest = _pairs(freq, hot, post_m, cell_rows, key_bits, True, count_bits).groupBy(F.col("src").alias("v")).agg(
+        F.count(F.lit(1)).alias("k2"), F.sum("nd").alias("total2"))
+    low = bags.withColumn("low", F.col("m").bitwiseAND((1 << count_bits) - 1))
+    cells = low.groupBy("low").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
+    apart = _apart(cells, count_bits, [], ["c", "s"])
+    # One row: all bags with a word, and their words.
+    every = cells.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("c"), F.coalesce(F.sum("s"), F.lit(0)).alias("s")).first()
+    has = F.col("low") != 0
+    zero = F.lit(0).cast("bigint")
+    counted = low.join(apart, "low").select(
+        "v", "n", F.when(has, F.lit(every["c"]) - F.col("c_apart") - 1).otherwise(zero).alias("k1"),
+        F.when(has, F.lit(every["s"]) - F.col("s_apart") - F.col("n")).otherwise(zero).alias("total1"))
+    return counted.join(rest, "v", "left").select(
+        "v", "n", (F.col("k1") + F.coalesce("k2", zero)).alias("k"),
+        (F.col("total1") + F.coalesce("total2", zero)).alias("total")).where("k > 0")
+
+
+def larger_source_count(postings: DataFrame, count_bits: int = 8, hot_words: int = MAX_BITS, cell_rows: int = 4096,
+                        key_bits: int = 4) -> DataFrame:
+    """Q1: ``n_edges``, the pairs of bags that share a word and differ in size (one direction of each counts).
+
+    Pairs that share one of the ``count_bits`` most frequent words are counted
+    per mask and size, as in ``neighbor_totals``; the others are joined.
+    """
+    p = TableCuts(postings.sparkSession, "overlap").cut(postings.select("v", "w"), "postings")
+    freq, hot, bags, post_m = _prepared(p, hot_words, cell_rows)
+    rest = _pairs(freq, hot, post_m, cell_rows, key_bits, True, count_bits).where("src < dst and ns != nd").agg(
+        F.count(F.lit(1)).alias("x"))
+    low = bags.withColumn("low", F.col("m").bitwiseAND((1 << count_bits) - 1))
+    cells = low.groupBy("low", "n").agg(F.count(F.lit(1)).alias("c"))
+    masks = cells.groupBy("low").agg(F.sum("c").alias("c"))
+    apart = _apart(masks, count_bits, [], ["c"]).withColumnRenamed("c_apart", "apart")
+    apart_n = _apart(cells, count_bits, ["n"], ["c"]).withColumnRenamed("c_apart", "apart_n")
+    same = cells.groupBy("n").agg(F.sum("c").alias("same"))
+    every = masks.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("c")).first()["c"]
+    # Per bag: those that share a hot word with it, less those of them with its size.
+    differ = F.col("c") * (F.lit(every) - F.col("apart") - F.col("same") + F.coalesce("apart_n", F.lit(0)))
+    counted = cells.where("low != 0").join(apart, "low").join(same, "n").join(apart_n, ["low", "n"], "left").agg(
+        F.coalesce(F.sum(differ), F.lit(0)).alias("x"))
+    return counted.select(F.expr("x div 2").alias("x")).union(rest).agg(F.sum("x").alias("n_edges"))

@@ -72,6 +72,18 @@ def neighbor_average(edges: DataFrame, sizes: DataFrame) -> DataFrame:
     )
 
 
+def most_popular_bag(totals: DataFrame) -> DataFrame:
+    """Q2 from ``overlap.neighbor_totals``, without the pairs."""
+    return totals.select("v", F.col("k").alias("out_degree"), F.col("n").alias("n_words")).orderBy(
+        F.desc("out_degree"), F.desc("n_words"), F.asc("v")).limit(1)
+
+
+def neighbor_average_of(totals: DataFrame) -> DataFrame:
+    """Q3 from ``overlap.neighbor_totals``, without the pairs."""
+    return totals.select("v", truncated_div("total", "k").alias("avg_words"),
+                         (F.col("total") / F.col("k")).alias("avg_words_exact"))
+
+
 def word_totals(counts: DataFrame) -> DataFrame:
     """``w, c`` = occurrences of each word over all bags (stays distributed)."""
     return counts.groupBy("w").agg(F.sum("c").alias("c"))
@@ -113,6 +125,8 @@ __all__ = [
     "larger_source_edges",
     "most_popular_vertex",
     "neighbor_average",
+    "most_popular_bag",
+    "neighbor_average_of",
     "word_totals",
     "most_popular_word",
     "word_presence",

@@ -19,6 +19,9 @@ from wordgraph.operators import placement as PL
 from wordgraph.operators.pagerank import pagerank
 from wordgraph.plans import fixtures as FX
 from wordgraph.plans import questions as Q
+from wordgraph.session import TableCuts
+from wordgraph.sources import text as T
+from wordgraph.sources.sinks import write_tuples
 from wordgraph.sources.tables import bags_from_events
 from wordgraph.streaming.intervals import run_interval_counts
 
@@ -113,6 +116,50 @@ def neighbor_sum_to_dst(spark, d):
     return G.aggregate_neighbors(e, values, F.col("src_value"), to="dst", sides=("src",))
 
 
+@register("adjacency_targets", f"""with e as (select distinct src, dst from {FX.F_EDGE_SQL})
+    select src, dst, count(*) over (partition by src) n_targets from e""")
+def adjacency_targets(spark, d):
+    return G.adjacency_targets(FX.f_edge(spark, d))
+
+
+@register(
+    "update_join",
+    f"""select p.v, coalesce(0.5::double + k.deg, 1.0::double) as value from {PART_V_SQL} p
+    left join (select dst v, count(*) deg from {FX.F_EDGE_SQL} group by dst) k using (v)""",
+)
+def update_join(spark, d):
+    new = G.in_degrees(FX.f_edge(spark, d)).select(F.col("dst").alias("v"), F.col("deg").cast("double").alias("value"))
+    return G.update_join(_parts(spark, d).withColumn("value", F.lit(1.0)), new, "v", "value", F.lit(0.5) + F.col("new_value"))
+
+
+# --- text files: written below the checkpoint folder, then read by the library's readers ---
+
+
+def _written_lines(lines: DataFrame, name: str) -> str:
+    path = f"{TableCuts(lines.sparkSession, name).root}/lines"
+    lines.write.text(path)
+    return path
+
+
+@register("edge_list_file", f"select src, dst from {FX.F_EDGE_SQL}")
+def edge_list_file(spark, d):
+    lines = FX.f_edge(spark, d).select(F.concat_ws("\t", "src", "dst").alias("value"))
+    return T.edge_list(spark, _written_lines(lines, "edge-list"))
+
+
+@register("url_pairs_file", f"select distinct cast(src as varchar) src, cast(dst as varchar) dst from {FX.F_EDGE_SQL}")
+def url_pairs_file(spark, d):
+    lines = FX.f_edge(spark, d).select(F.concat_ws(" ", "src", "dst", F.lit("more")).alias("value"))
+    return T.url_pairs(spark, _written_lines(lines, "url-pairs"))
+
+
+@register("write_tuples_file", f"""select '(' || src || ',' || count(*) || ')' line from {FX.F_EDGE_SQL} group by src""")
+def write_tuples_file(spark, d):
+    path = f"{TableCuts(spark, 'tuples').root}/lines"
+    write_tuples(G.out_degrees(FX.f_edge(spark, d)), path, "src", "deg")
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
 # --- PageRank -------------------------------------------------------------------
 
 
@@ -180,6 +227,12 @@ def pagerank_keep_by_pair(spark, d):
     return _pr(spark, d, iterations=10, missing="keep", placement="pair")
 
 
+@register("pagerank_keep_salted", _pagerank_keep_sql(10))
+def pagerank_keep_salted(spark, d):
+    """Sources of more than 8 out-edges are salted, so salting runs on small tables too."""
+    return _pr(spark, d, iterations=10, missing="keep", placement="src", salt_edges=8)
+
+
 @register("pagerank_drop", _pagerank_drop_sql(10))
 def pagerank_drop(spark, d):
     return _pr(spark, d, iterations=10, missing="drop", placement="mod")
@@ -291,13 +344,19 @@ def _sizes_sql(bag_sql: str) -> str:
 @register("overlap_edges", f"select src, dst, 0 attr from {_pairs_sql(FX.F_BAG_ORDER_SQL)}")
 def overlap_edges(spark, d):
     _, p = FX.f_bag_order(spark, d)
-    return O.overlap_edges(p).select("src", "dst", F.lit(0).alias("attr"))
+    return O.overlap_edges(p, attr=0)
 
 
 @register("overlap_edges_hybrid", f"select src, dst, 0 attr from {_pairs_sql(FX.F_BAG_DOC_SQL)}")
 def overlap_edges_hybrid(spark, d):
     _, p = FX.f_bag_doc(spark, d)
-    return O.overlap_edges(p, strategy="hybrid").select("src", "dst", F.lit(0).alias("attr"))
+    return O.overlap_edges(p, attr=0)
+
+
+@register("overlap_edges_blocks", f"select src, dst, 1 attr from {_pairs_sql(FX.F_BAG_DOC_SQL)}")
+def overlap_edges_blocks(spark, d):
+    """Cells of 64 rows, so that words of a small table have several blocks."""
+    return O.overlap_edges(FX.f_bag_doc(spark, d)[1], cell_rows=64, attr=1)
 
 
 @register(
@@ -330,9 +389,7 @@ def edge_triplets_joined(spark, d):
     join s b on b.v = g.dst group by g.src""",
 )
 def neighbor_sum_to_src(spark, d):
-    v, p = FX.f_bag_order(spark, d)
-    sizes = O.bag_sizes(v, p).withColumnRenamed("n", "value")
-    return G.aggregate_neighbors(O.overlap_edges(p), sizes, F.col("dst_value"), to="src", sides=("dst",))
+    return O.neighbor_totals(FX.f_bag_order(spark, d)[1]).select(F.col("v").alias("src"), "total")
 
 
 def _q1_sql(bag_sql: str) -> str:
@@ -341,15 +398,14 @@ def _q1_sql(bag_sql: str) -> str:
     join s a on a.v = g.src join s b on b.v = g.dst where a.n > b.n"""
 
 
-def _q1(fixture, strategy="hybrid"):
+def _q1(fixture):
     def q(spark, d):
-        g = O.overlap_graph(*fixture(spark, d), strategy=strategy, directed=False)
-        return Q.larger_source_edges(g.edges, g.vertices, directed=False)
+        return O.larger_source_count(fixture(spark, d)[1])
 
     return q
 
 
-register("q1_larger_source", _q1_sql(FX.F_BAG_DOC_SQL))(_q1(FX.f_bag_doc, "hybrid"))
+register("q1_larger_source", _q1_sql(FX.F_BAG_DOC_SQL))(_q1(FX.f_bag_doc))
 register("q1_larger_source_orders", _q1_sql(FX.F_BAG_ORDER_SQL))(_q1(FX.f_bag_order))
 register("q1_larger_source_hours", _q1_sql(FX.F_BAG_HOUR_SQL))(_q1(FX.f_bag_hour))
 
@@ -360,16 +416,15 @@ def _q2_sql(bag_sql: str) -> str:
     join s on s.v = g.src group by g.src order by out_degree desc, n_words desc, v limit 1"""
 
 
-def _q2(fixture, strategy="hybrid"):
+def _q2(fixture):
     def q(spark, d):
-        g = O.overlap_graph(*fixture(spark, d), strategy=strategy)
-        return Q.most_popular_vertex(g.edges, g.vertices)
+        return Q.most_popular_bag(O.neighbor_totals(fixture(spark, d)[1]))
 
     return q
 
 
 register("q2_popular_vertex", _q2_sql(FX.F_BAG_ORDER_SQL))(_q2(FX.f_bag_order))
-register("q2_popular_vertex_docs", _q2_sql(FX.F_BAG_DOC_SQL))(_q2(FX.f_bag_doc, "hybrid"))
+register("q2_popular_vertex_docs", _q2_sql(FX.F_BAG_DOC_SQL))(_q2(FX.f_bag_doc))
 register("q2_popular_vertex_customers", _q2_sql(FX.F_BAG_CUST_SQL))(_q2(FX.f_bag_cust))
 
 
@@ -379,10 +434,9 @@ def _q3_sql(bag_sql: str) -> str:
     select v, cast(total // k as float) avg_words, round(total / k, {ROUND}) avg_words_exact from t"""
 
 
-def _q3(fixture, strategy="hybrid"):
+def _q3(fixture):
     def q(spark, d):
-        g = O.overlap_graph(*fixture(spark, d), strategy=strategy)
-        out = Q.neighbor_average(g.edges, g.vertices)
+        out = Q.neighbor_average_of(O.neighbor_totals(fixture(spark, d)[1]))
         return out.select("v", "avg_words", r9("avg_words_exact"))
 
     return q
