@@ -90,4 +90,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash_edits": op10_simhash_edits,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_RULE_ROWS = ", ".join(f"('{verdict}', '{rule}')" for verdict, rule in URL_RULES)
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+#: DuckDB SQL of the queries that SQL can state over whole tables in time.
+ORACLE_SQL: dict[str, str] = {
+    "op4_url_rules": f"""with rules(verdict, rule) as (values {_RULE_ROWS}),
+    a as (select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end rest from pages),
+    p as (select page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') host,
+      regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) path from a),
+    r as (select *, split_part(rule, '/', 1) h, substr(rule, strpos(rule, '/')) pre from rules),
+    places as (select distinct host, path from p),
+    best as (select host, path, arg_max(rule, length(rule)) rule, arg_max(verdict, length(rule)) verdict from places
+      join r on (host = h or suffix(host, '.' || h)) and starts_with(path, pre) group by host, path)
+    select page_id, host, path, rule, coalesce(verdict, 'allow') verdict from p left join best using (host, path)""",
+    "op9_minhash_bayes": f"""with recursive t as (select doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\x20\x09-\x0D]+'), lambda x: x <> '') w from documents),
+    s as materialized (select doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+      else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) end) g from t),
+    n as materialized (select doc_id, count(*) n from s group by doc_id),
+    g(s, d) as materialized (select a.doc_id, b.doc_id from s a join s b using (g)
+      join n x on x.doc_id = a.doc_id join n y on y.doc_id = b.doc_id where a.doc_id <> b.doc_id
+      group by a.doc_id, b.doc_id, x.n, y.n having 100 * count(*) >= 75 * (x.n + y.n - count(*))),
+    r(v, l) using key (v) as (
+      select doc_id, doc_id from documents
+      union
+      select g.d, min(r.l) from r join g on g.s = r.v join recurring.r cur on cur.v = g.d
+      where r.l < cur.l group by g.d)
+    select doc_id, coalesce(n.n, 0) n_shingles, r.l component_id, doc_id = r.l kept
+    from documents left join n using (doc_id) join r on r.v = doc_id""",
+}
