@@ -27,6 +27,7 @@ from wordgraph.operators.components import (
 from wordgraph.operators.graph import (
     Graph,
     adjacency,
+    adjacency_targets,
     aggregate_neighbors,
     degrees,
     edge_weights,
@@ -37,7 +38,7 @@ from wordgraph.operators.graph import (
     vertices_of,
     with_degrees,
 )
-from wordgraph.operators.overlap import bag_sizes, overlap_edges, overlap_graph
+from wordgraph.operators.overlap import bag_sizes, larger_source_count, neighbor_totals, overlap_edges, overlap_graph
 from wordgraph.operators.pagerank import pagerank
 from wordgraph.operators.placement import place, placement_report, placement_summary
 from wordgraph.plans.questions import (
