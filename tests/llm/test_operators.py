@@ -21,6 +21,9 @@ ODD = [
     (5, "one two three four five six"), (6, "Ünïcode\u0085 wörds\x1c don't <|endoftext|> É"), (7, "x" * 5000),
     (None, "a text whose id is null, and long enough"), (8, "$$$ ### ***"), (9, "a b a b a b a b"), (10, "word " * 3000),
 ]
+#: Symbols and marks beyond ASCII, which are no letters, before ASCII marks.
+BEYOND = ["hello”.", "say “hello”, world…! Hello.", "hi😀! there", "foo—, bar", "a™. é. É, e\u0301.", "नमस्ते, दुनिया। मेरी, है.",
+          "İ. straße! don't. a.b,c x²) a\u00a0. naïve’s;"]
 
 
 @pytest.fixture(scope="module")
@@ -87,6 +90,17 @@ def test_packing(spark, docs, rows):
     assert got.length.sum() / (2048 * by.ngroups) > 0.9
 
 
+def test_packing_beyond_ascii(spark):
+    given = spark.createDataFrame(list(enumerate(BEYOND)), "doc_id long, text string")
+    tokenizer = load(TOKENIZER)
+    want = {}
+    for key, text in enumerate(BEYOND):
+        ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids + [1], "<u4")
+        want[key] = (len(ids), zlib.crc32(ids.tobytes()))
+    got = packing.pack_documents(given, TOKENIZER).collect()
+    assert {r["doc_id"]: (r["doc_tokens"], r["ids_crc32"]) for r in got} == want
+
+
 def test_packing_empty(empty):
     assert packing.pack_documents(empty, TOKENIZER).count() == 0
 
@@ -256,6 +270,15 @@ def test_bpe(docs, rows, empty):
     assert bpe.round_trip(empty, TOKENIZER).count() == 0
 
 
+def test_bpe_beyond_ascii(spark):
+    given = spark.createDataFrame(list(enumerate(BEYOND)), "doc_id long, text string")
+    tokenizer = load(TOKENIZER)
+    got = {r["doc_id"]: list(r["ids"]) for r in bpe.encode(given, TOKENIZER).collect()}
+    assert got == {i: tokenizer.encode(t, add_special_tokens=False).ids for i, t in enumerate(BEYOND)}
+    digests = {r["doc_id"]: (r["n_tokens"], r["ids_sha256"]) for r in bpe.round_trip(given, TOKENIZER).collect()}
+    assert digests == {i: (len(x), hashlib.sha256(np.array(x, "<u4").tobytes()).hexdigest()) for i, x in got.items()}
+
+
 # 8 sharding
 
 def test_feistel(spark, docs, empty):

@@ -38,20 +38,20 @@ def encode_words(tokenizer, words: list[bytes]) -> list[list[int]]:
     return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
-#: Marks that end a run of letters for the tokenizer in any case.
-_LETTERS_THEN_MARKS = re.compile(rb"([A-Za-z\x80-\xff]+)([.,;:!?#*$%&()].*)", re.DOTALL)
+#: In ASCII, marks that end a run of letters for the tokenizer in any case.
+_LETTERS_THEN_MARKS = re.compile(rb"([A-Za-z]+)([.,;:!?#*$%&()].*)", re.DOTALL)
 
 
 def word_parts(word: bytes) -> list[bytes]:
     """A word as what the tokenizer cuts it into anyway: letters, then marks; ASCII in lower case.
 
     Fewer distinct words are left this way. Words with a special token, which
-    the tokenizer looks for in the text as it is, are left alone.
+    the tokenizer looks for in the text as it is, are left alone, and so are
+    words beyond ASCII, where bytes do not tell a letter from a symbol or mark.
     """
-    if b"<|" in word:
+    if b"<|" in word or not word.isascii():
         return [word]
-    if word.isascii():
-        word = word.lower()
+    word = word.lower()
     found = _LETTERS_THEN_MARKS.fullmatch(word)
     return list(found.groups()) if found else [word]
 
