@@ -255,6 +255,18 @@ def test_pitman_yor_adds_up_to_one(spark, docs):
         assert (total + gains) / len(model.back) == pytest.approx(1.0)
 
 
+def test_pitman_yor_rare_contexts_have_restaurants(spark):
+    """A rare word's own successor is likelier after it than after another rare word."""
+    held = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 5 == 1]
+    train = [i for i in range(1000) if i not in held][:80]
+    filler = " ".join(f"common{i % 8}" for i in range(400))
+    texts = [(k, f"{filler} left{i % 40} right{i % 40}") for i, k in enumerate(train)]
+    asked = [(held[0], "left7 right7"), (held[1], "left7 right8")]
+    out = pitman_yor.score_documents(spark.createDataFrame(texts + asked, "doc_id long, text string"))
+    score = {r["doc_id"]: r["score"] for r in out.where("held_out").collect()}
+    assert score[held[0]] > score[held[1]] + 0.5
+
+
 # 7 BPE
 
 def test_bpe(docs, rows, empty):

@@ -1,16 +1,16 @@
 """A hierarchical Pitman-Yor language model, seated by Gibbs sampling.
 
 The root restaurant serves all words over a uniform base of the vocabulary and
-one more type for unknown words. Each frequent previous word is a context with a
-restaurant of its own, all other previous words share one, and all contexts
-have the root as parent: every customer who opens a table in a context sends a
-customer to the root.
+one more type for unknown words. Each word seen in training is a context with a
+restaurant of its own, for the words that follow it, and all contexts have the
+root as parent: every customer who opens a table in a context sends a customer
+to the root.
 
-Given the numbers of tables of the other words, the seating of one word in all
-its restaurants depends on that word alone. So words are dealt over tasks, and
-a sweep re-seats every word in every restaurant with the totals of the sweep
-before (one row per context comes back). After the first sweeps the predictive
-probabilities of each sweep are kept and averaged.
+The state is one row per (previous word, word) pair seen in training. A sweep
+re-seats every pair, given the tables that its context and its word had after
+the sweep before; both come from a table with one row per word, joined by the
+previous word and by the word. Keys of frequent words are salted. After the
+first sweeps the predictive probabilities of each sweep are kept and averaged.
 
 Only numbers of customers and tables are kept, not who sits where: the chance
 that customer k+1 of a word opens a table is
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from wordgraph.llm.blocks import blocks, unpack_numbers
 from wordgraph.llm.common import id_remainder, small_batches
+from wordgraph.llm.order import numbered
 from wordgraph.session import TableCuts
 
 #: The end of a text, a token like any word; no word holds a line feed.
@@ -37,79 +38,68 @@ END = b"\n"
 
 @dataclass(frozen=True)
 class Params:
-    #: A previous word with at least this share of all tokens has a restaurant: 1 / min_share at most.
-    min_share: float = 1 / 256
-    sweeps: int = 3
-    burn_in: int = 1
+    sweeps: int = 4
+    burn_in: int = 2
     strength: float = 1.0
     seed: int = 7
     #: Customers of a word seated one by one; the rest in blocks of a sixteenth of those seated.
     single: int = 64
+    #: A word with at least this share of all training tokens has its joins dealt over ``salts`` keys.
+    hot_share: float = 1 / 512
+    salts: int = 16
 
 
-def frequent_words(table: DataFrame, p: Params) -> tuple[list[bytes], int]:
-    """Frequent previous words, and the number of training tokens.
+def vocabulary(table: DataFrame, cuts: TableCuts) -> tuple[DataFrame, int, int]:
+    """``id, word, c`` of every training word (ids without gaps from 0), and the numbers of words and of tokens."""
+    each = table.select(F.explode(F.arrays_zip("words", "counts")).alias("x")).select(
+        F.col("x.words").alias("word"), F.col("x.counts").alias("n")).where("n > 0")
+    counted = each.groupBy("word").agg(F.sum("n").alias("c"))
+    rows, types = numbered(counted, [F.col("word").asc()], cuts, "ranges")
+    words = cuts.cut(rows.select(F.col("row_no").cast("long").alias("id"), "word", "c"), "vocabulary", compression="zstd")
+    return words, types, words.agg(F.sum("c")).first()[0] or 0
 
-    A word counts as frequent if the blocks in which it has the share
-    ``min_share`` bring that share of all tokens: 1 / min_share words at most.
-    """
 
-    def run(batches):
-        for batch in batches:
-            for words, counts in zip(batch.column("words"), batch.column("counts")):
-                n = counts.values.to_numpy().astype(np.int64)
-                often = np.flatnonzero((n > 0) & (n >= p.min_share * n.sum()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([words.values[i].as_py() for i in often.tolist()] + [None], pa.binary()),
-                     pa.array(np.append(n[often], n.sum()), pa.int64())], names=["word", "n"])
-
-    # A null word carries the tokens of its block.
-    rows = table.select("words", "counts").mapInArrow(run, "word binary, n long").groupBy("word").agg(
-        F.sum("n").alias("n"))
-    total = rows.where("word is null").first()
-    tokens = total["n"] if total else 0
-    found = rows.where(F.col("word").isNotNull() & (F.col("n") >= tokens * p.min_share)).orderBy("word")
-    return [bytes(r["word"]) for r in found.collect()], tokens
-
-
-def _context_of(words: list[bytes], contexts: dict[bytes, int]) -> np.ndarray:
-    """Per word number the context that it is as a previous word; 0 is the shared one."""
-    return np.array([contexts.get(w, 0) for w in words], np.int64)
-
-
-def _previous(numbers: np.ndarray, sizes: np.ndarray, context: np.ndarray, end: int) -> np.ndarray:
-    """The context of each token; a text starts after an end."""
+def block_words(table: DataFrame, words: DataFrame) -> DataFrame:
+    """``of, number, id, c`` of each block's words; no id and count for words not seen in training."""
+    held = table.select(F.col("block").alias("of"), F.posexplode("words").alias("number", "word"))
+    end = (F.col("word") == F.lit(END)).alias("end")
+    return held.join(words, "word", "left").select("of", "number", "id", "c", end)
+
+
+def _previous(numbers: np.ndarray, sizes: np.ndarray, end: int) -> np.ndarray:
+    """The word before each token; a text starts after an end."""
     out = np.empty(len(numbers), np.int64)
     if len(numbers):
-        out[1:] = context[numbers[:-1]]
-        starts = np.cumsum(sizes) - sizes
-        out[starts] = context[end]
+        out[1:] = numbers[:-1]
+        out[np.cumsum(sizes) - sizes] = end
     return out
 
 
-def dishes(table: DataFrame, contexts: dict[bytes, int]) -> DataFrame:
-    """``word, contexts, customers``: how often each training word follows each context."""
+def block_pairs(table: DataFrame, numbers: DataFrame) -> DataFrame:
+    """``of, pair, u, w, n``: each pair of known words of a block, and how often it is in texts that are not flagged.
 
-    def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                numbers, sizes = unpack_numbers(row["refs"]), np.array(row["sizes"], np.int64)
-                words = row["words"]
-                before = _previous(numbers, sizes, _context_of(words, contexts), words.index(END))
-                train = np.repeat(~np.array(row["flags"], bool), sizes)
-                keys, n = np.unique(numbers[train] * len(contexts) + before[train], return_counts=True)
-                for i in range(0, len(keys), 50_000):
-                    part = keys[i:i + 50_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([words[j] for j in (part // len(contexts)).tolist()], pa.binary()),
-                         pa.array((part % len(contexts)).astype(np.int32)), pa.array(n[i:i + 50_000], pa.int64())],
-                        names=["word", "context", "n"])
-
-    rows = table.select("sizes", "flags", "refs", "words").mapInArrow(run, "word binary, context int, n long")
-    # One shuffle by word serves both sums; a word has at most one row per block and context.
-    dealt = rows.repartition("word").groupBy("word", "context").agg(F.sum("n").alias("n"))
-    one = dealt.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("context", "n"))).alias("d"))
-    return one.select("word", F.col("d.context").alias("contexts"), F.col("d.n").alias("customers"))
+    ``pair`` is ``number of u * words of the block + number of w``.
+    """
+
+    def run(texts: pa.Table, found: pa.Table) -> pa.Table:
+        size = len(found)
+        ids = np.full(size, -1, np.int64)
+        where = found.column("number").to_numpy()
+        ids[where] = found.column("id").fill_null(-1).to_numpy()
+        end = int(where[found.column("end").to_numpy(zero_copy_only=False)][0])
+        sizes = texts.column("sizes")[0].values.to_numpy().astype(np.int64)
+        own = unpack_numbers(texts.column("refs")[0].as_py())
+        keys = _previous(own, sizes, end) * size + own
+        train = np.repeat(~texts.column("flags")[0].values.to_numpy(zero_copy_only=False), sizes)
+        keys, at = np.unique(keys, return_inverse=True)
+        n = np.bincount(at[train], minlength=len(keys))
+        u, w = ids[keys // size], ids[keys % size]
+        known = (u >= 0) & (w >= 0)
+        return pa.table({"of": np.full(int(known.sum()), texts.column("block")[0].as_py(), np.int64),
+                         "pair": keys[known], "u": u[known], "w": w[known], "n": n[known]})
+
+    parts = table.select("block", "sizes", "flags", "refs").groupBy("block").cogroup(numbers.groupBy("of"))
+    return parts.applyInArrow(run, "of long, pair long, u long, w long, n long")
 
 
 def seat(customers: np.ndarray, open_weight: np.ndarray, discount: float, rng, single: int) -> np.ndarray:
@@ -132,166 +122,196 @@ def seat(customers: np.ndarray, open_weight: np.ndarray, discount: float, rng, s
     return tables.astype(np.int64)
 
 
-def sweep(state: DataFrame, totals: dict, p: Params, turn: int) -> DataFrame:
-    """Seat every word anew; keeps each word's discounted customers at the root and adds up what its contexts give it."""
+def _gathered(batches):
+    """Arrow batches joined to some hundred thousand rows: one seating serves them all."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += len(batch)
+        if rows >= 200_000:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held, rows = [], 0
+    if rows:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _column(batch: pa.Table, name: str) -> np.ndarray:
+    return batch.column(name).to_numpy()
+
+
+def _with_words(pairs: DataFrame, words: DataFrame, side: str, other: str, values: dict, hot: list[int], p: Params):
+    """``pairs`` with ``values`` (name: column) of the word in column ``side``; rows of hot words are dealt by ``other`` too."""
+    right = words.select(F.col("id").alias(side), *[c.alias(n) for n, c in values.items()])
+    if not hot:
+        return pairs.join(right, side)
+    salt = F.when(F.col(side).isin(hot), F.pmod(F.xxhash64(other), F.lit(p.salts))).otherwise(F.lit(0).cast("long"))
+    every = F.when(F.col(side).isin(hot), F.sequence(F.lit(0).cast("long"), F.lit(p.salts - 1).cast("long"))).otherwise(
+        F.array(F.lit(0).cast("long")))
+    return pairs.withColumn("salt", salt).join(right.withColumn("salt", F.explode(every)), [side, "salt"]).drop("salt")
+
+
+def sweep(pairs: DataFrame, words: DataFrame, totals: dict, hot: list[int], p: Params, turn: int) -> DataFrame:
+    """Seat every pair anew: ``u, w, n, t`` and ``gain``, to which kept sweeps add the pair's discounted share."""
     keep = turn > p.burn_in
-    seen = np.array(totals["customers"], np.float64)
-    opened = np.array(totals["tables"], np.float64)
     d1, d0, base = totals["discount"], totals["root_discount"], 1.0 / (totals["types"] + 1)
-    guests, root_tables = float(opened.sum()), float(totals["root_tables"])
-
-    def gathered(batches):
-        """Arrow batches joined to some tens of thousands of words: one seating serves them all."""
-        held, rows = [], 0
-        for batch in batches:
-            held.append(batch)
-            rows += len(batch)
-            if rows >= 50_000:
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                held, rows = [], 0
-        if rows:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+    guests, root_tables = float(totals["guests"]), float(totals["root_tables"])
+    parent = (F.col("sent") - d0 * F.col("r") + (p.strength + d0 * root_tables) * base) / (p.strength + guests)
+    rows = _with_words(pairs, words, "u", "w", {"opened": F.col("opened"), "c": F.col("c")}, hot, p)
+    rows = _with_words(rows, words, "w", "u", {"parent": parent}, hot, p)
 
     def run(batches):
-        for batch in gathered(batches):
-            contexts, customers = batch.column("contexts"), batch.column("customers")
-            bounds = contexts.offsets.to_numpy()
-            c = contexts.flatten().to_numpy().astype(np.int64)
-            n = customers.flatten().to_numpy()
-            t = batch.column("tables").flatten().to_numpy()
-            lengths = np.diff(bounds)
-            owner = np.repeat(np.arange(len(lengths)), lengths)
-            sent = np.bincount(owner, t, len(lengths))
-            r = batch.column("root_tables").to_numpy().astype(np.float64)
-            first = batch.column("word")[0].as_py()
-            rng = np.random.default_rng([p.seed, turn, len(batch), int.from_bytes(first[:6], "big")])
-            parent = (sent - d0 * r + (p.strength + d0 * root_tables) * base) / (p.strength + guests)
-            t = seat(n, (p.strength + d1 * opened[c]) * parent[owner], d1, rng, p.single)
-            sent = np.bincount(owner, t, len(lengths)).astype(np.int64)
-            r = seat(sent, np.full(len(sent), (p.strength + d0 * root_tables) * base), d0, rng, p.single)
-            gain = batch.column("gain").flatten().to_numpy()
-            roots = batch.column("roots")
+        for batch in _gathered(batches):
+            u, w, n = (_column(batch, x) for x in ("u", "w", "n"))
+            rng = np.random.default_rng([p.seed, turn, len(batch), int(u[0]), int(w[0])])
+            t = seat(n, (p.strength + d1 * _column(batch, "opened")) * _column(batch, "parent"), d1, rng, p.single)
+            gain = _column(batch, "gain")
             if keep:
-                gain = gain + (n - d1 * t) / (p.strength + seen[c])
-                held = np.column_stack([roots.flatten().to_numpy().reshape(len(batch), -1), sent - d0 * r])
-                width = np.arange(len(batch) + 1, dtype=np.int32) * held.shape[1]
-                roots = pa.ListArray.from_arrays(pa.array(width), pa.array(held.ravel(), pa.float64()))
-            offsets = pa.array(bounds - bounds[0], pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("word"), pa.ListArray.from_arrays(offsets, pa.array(c, pa.int32())),
-                 pa.ListArray.from_arrays(offsets, pa.array(n, pa.int64())),
-                 pa.ListArray.from_arrays(offsets, pa.array(t, pa.int64())), pa.array(r, pa.int64()),
-                 pa.ListArray.from_arrays(offsets, pa.array(gain, pa.float64())), roots],
-                names=["word", "contexts", "customers", "tables", "root_tables", "gain", "roots"])
-
-    return state.mapInArrow(
-        run, "word binary, contexts array<int>, customers array<long>, tables array<long>, root_tables long, "
-             "gain array<double>, roots array<double>")
-
-
-def _totals(state: DataFrame, size: int) -> dict:
-    """Sums over all words: per context customers and tables, the root's tables, and types."""
-    rows = state.select(F.explode(F.arrays_zip("contexts", "customers", "tables")).alias("x")).groupBy(
-        "x.contexts").agg(F.sum("x.customers").alias("c"), F.sum("x.tables").alias("t"),
-                          F.sum((F.col("x.customers") == 1).cast("long")).alias("n1"),
-                          F.sum((F.col("x.customers") == 2).cast("long")).alias("n2")).collect()
-    sent = F.aggregate("tables", F.lit(0).cast("long"), lambda a, x: a + x)
-    root = state.select(sent.alias("s"), "root_tables").agg(
-        F.count(F.lit(1)).alias("types"), F.sum("root_tables").alias("r"),
-        F.sum((F.col("s") == 1).cast("long")).alias("n1"), F.sum((F.col("s") == 2).cast("long")).alias("n2")).first()
-    customers, tables = np.zeros(size), np.zeros(size)
-    for r in rows:
-        customers[r["contexts"]], tables[r["contexts"]] = r["c"], r["t"]
-    share = lambda a, b: min(0.95, max(0.05, a / (a + 2 * b))) if a else 0.5
-    return {"customers": customers.tolist(), "tables": tables.tolist(), "types": root["types"],
-            "root_tables": root["r"] or 0, "discount": share(sum(r["n1"] for r in rows), sum(r["n2"] for r in rows)),
-            "root_discount": share(root["n1"] or 0, root["n2"] or 0)}
+                gain = gain + (n - d1 * t) / (p.strength + _column(batch, "c"))
+            yield from pa.table({"u": u, "w": w, "n": n, "t": t, "gain": gain}).to_batches()
+
+    return rows.select("u", "w", "n", "gain", "opened", "c", "parent").mapInArrow(
+        run, "u long, w long, n long, t long, gain double")
+
+
+def served(words: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``words`` with the tables after a sweep: ``opened`` in a word's restaurant, ``sent`` to the root for the word."""
+    sums = pairs.select(F.explode(F.array(
+        F.struct(F.col("u").alias("id"), F.col("t").alias("opened"), F.lit(0).cast("long").alias("sent")),
+        F.struct(F.col("w").alias("id"), F.lit(0).cast("long").alias("opened"), F.col("t").alias("sent")))).alias("x"))
+    sums = sums.groupBy("x.id").agg(F.sum("x.opened").alias("opened"), F.sum("x.sent").alias("sent"))
+    return words.drop("opened", "sent").join(sums, "id")
+
+
+def seat_root(words: DataFrame, totals: dict, p: Params, turn: int) -> DataFrame:
+    """Seat the root's customers anew; kept sweeps add to ``roots`` and ``opens``."""
+    keep, d0 = turn > p.burn_in, totals["root_discount"]
+    weight = (p.strength + d0 * float(totals["root_tables"])) / (totals["types"] + 1)
+
+    def run(batches):
+        for batch in _gathered(batches):
+            ids, sent = _column(batch, "id"), _column(batch, "sent")
+            rng = np.random.default_rng([p.seed, turn, len(batch), int(ids[0])])
+            r = seat(sent, np.full(len(sent), weight), d0, rng, p.single)
+            yield from batch.append_column("r", pa.array(r)).to_batches()
+
+    rows = words.select("id", "c", "opened", "sent", "roots", "opens").mapInArrow(
+        run, "id long, c long, opened long, sent long, roots array<double>, opens array<long>, r long")
+    if keep:
+        rows = rows.withColumn("roots", F.concat("roots", F.array(F.col("sent") - d0 * F.col("r")))).withColumn(
+            "opens", F.concat("opens", F.array("opened")))
+    return rows
 
 
 @dataclass
 class Fitted:
-    """The written model: per word its root customers and context gains; per kept sweep the weights that go with them."""
+    """The written model: per word its root customers and its restaurant's tables; per pair its gain."""
 
-    words: DataFrame
-    contexts: dict[bytes, int]
-    back: np.ndarray  # (kept sweeps, contexts): weight of the root in each context
+    ids: DataFrame  # id, c, opened, sent, r; roots, opens: of each kept sweep
+    pairs: DataFrame  # u, w, gain
+    contexts: range  # a context is the id of the previous word
+    discount: float
+    strength: float
     base: np.ndarray  # (kept sweeps): what the base adds to a word's discounted customers at the root
     guests: np.ndarray  # (kept sweeps): what the sum is divided by
     tokens: int
     types: int
 
+    @property
+    def words(self) -> DataFrame:
+        """For looking at small models: ``id, roots``, and the word's contexts with their gains in one row."""
+        per = self.pairs.groupBy(F.col("w").alias("id")).agg(F.collect_list(F.struct("u", "gain")).alias("x"))
+        return self.ids.join(per, "id").select("id", "roots", F.col("x.u").alias("contexts"), F.col("x.gain").alias("gain"))
+
+    @property
+    def back(self) -> np.ndarray:
+        """For looking at small models: the weight of the root in each context, (kept sweeps, contexts)."""
+        rows = sorted((r["id"], r["c"], r["opens"]) for r in self.ids.select("id", "c", "opens").collect())
+        return np.array([[(self.strength + self.discount * t) / (self.strength + c) for t in opens]
+                         for _, c, opens in rows]).T
+
 
 def fit(table: DataFrame, cuts: TableCuts, p: Params = Params()) -> Fitted:
     """Fit the model on the rows of a written block table that are not flagged."""
-    words, tokens = frequent_words(table, p)
-    contexts = {None: 0} | {w: i + 1 for i, w in enumerate(words)}
-    start = dishes(table, contexts).select(
-        "word", "contexts", "customers", F.transform("customers", lambda x: F.lit(1).cast("long")).alias("tables"),
-        F.lit(1).cast("long").alias("root_tables"), F.transform("customers", lambda x: F.lit(0.0)).alias("gain"),
-        F.array().cast("array<double>").alias("roots"))
-    state = cuts.cut(start, "seats-0", compression="zstd")
-    totals = _totals(state, len(contexts))
-    types, discounts = totals["types"], (totals["discount"], totals["root_discount"])
-    back, base, guests = [], [], []
+    vocab, types, tokens = vocabulary(table, cuts)
+    pairs = cuts.cut(block_pairs(table, block_words(table, vocab)), "block-pairs", compression="zstd")
+    return fit_pairs(pairs, vocab, types, tokens, cuts, p)
+
+
+def fit_pairs(pairs: DataFrame, vocab: DataFrame, types: int, tokens: int, cuts: TableCuts, p: Params) -> Fitted:
+    """Fit the model on written pairs of blocks."""
+    # At most 1 / hot_share words.
+    hot = [r["id"] for r in vocab.where(F.col("c") >= p.hot_share * max(tokens, 1)).select("id").collect()]
+    one = pairs.where("n > 0").groupBy("u", "w").agg(F.sum("n").alias("n"))
+    state = cuts.cut(one.select("u", "w", "n", F.lit(1).cast("long").alias("t"), F.lit(0.0).alias("gain")),
+                     "seats-0", compression="zstd")
+    start = vocab.select("id", "c", F.array().cast("array<double>").alias("roots"), F.array().cast("array<long>").alias("opens"))
+    words = cuts.cut(served(start, state).withColumn("r", F.lit(1).cast("long")), "words-0", compression="zstd")
+    ones = lambda c: [F.sum((F.col(c) == i).cast("long")) for i in (1, 2)]
+    share = lambda a, b: min(0.95, max(0.05, a / (a + 2 * b))) if a else 0.5
+    totals = {"types": types, "discount": share(*(x or 0 for x in state.agg(*ones("n")).first())),
+              "root_discount": share(*(x or 0 for x in words.agg(*ones("sent")).first()))}
+
+    def count():
+        sums = words.agg(F.sum("sent"), F.sum("r")).first()
+        totals["guests"], totals["root_tables"] = sums[0] or 0, sums[1] or 0
+
+    count()
+    base, guests = [], []
     for turn in range(1, p.sweeps + 1):
-        state = cuts.cut(sweep(state, totals, p, turn), f"seats-{turn}", compression="zstd")
+        state = cuts.cut(sweep(state, words, totals, hot, p, turn), f"seats-{turn}", compression="zstd")
         cuts.drop(f"{cuts.root}/seats-{turn - 1}")
-        totals = _totals(state, len(contexts))
-        totals["discount"], totals["root_discount"] = discounts
+        words = cuts.cut(seat_root(served(words.drop("r"), state), totals, p, turn), f"words-{turn}", compression="zstd")
+        cuts.drop(f"{cuts.root}/words-{turn - 1}")
+        count()
         if turn > p.burn_in:
             # With the totals after the sweep, the probabilities of each context add up to one.
-            t, c = np.array(totals["tables"]), np.array(totals["customers"])
-            back.append((p.strength + discounts[0] * t) / (p.strength + c))
-            base.append((p.strength + discounts[1] * totals["root_tables"]) / (types + 1))
-            guests.append(p.strength + t.sum())
-    return Fitted(state.select("word", "customers", "contexts", "gain", "roots"), contexts, np.array(back),
+            base.append((p.strength + totals["root_discount"] * totals["root_tables"]) / (types + 1))
+            guests.append(p.strength + totals["guests"])
+    return Fitted(words, state.select("u", "w", "gain"), range(types), totals["discount"], p.strength,
                   np.array(base), np.array(guests), tokens, types)
 
 
-def score(table: DataFrame, model: Fitted) -> DataFrame:
+def score(table: DataFrame, numbers: DataFrame, pairs: DataFrame, model: Fitted) -> DataFrame:
     """``key, n_tokens, n_known, base_score, score`` for every text of a block table.
 
-    A block's words fetch their rows of the model; texts and rows meet by block.
+    A block's words fetch their rows of the model, its pairs their gains;
+    texts and rows meet by block.
     """
-    contexts, back, tokens, types = model.contexts, model.back, model.tokens, model.types
-    from_base, guests = model.base, model.guests
-    kept = len(back)
-    words = table.select(F.col("block").alias("of"), F.posexplode("words").alias("number", "word"))
-    # What a word brings: its count, its contexts with the mean gain, its root customers in each kept sweep.
-    rows = model.words.select(
-        "word", F.aggregate("customers", F.lit(0).cast("long"), lambda a, x: a + x).alias("c"), "contexts",
-        F.transform("gain", lambda g: (g / kept).cast("float")).alias("gain"), "roots")
-    back_rows = words.join(rows, "word", "left").select("of", "number", "c", "contexts", "gain", "roots")
+    tokens, types, from_base, guests = model.tokens, model.types, model.base, model.guests
+    kept, strength, discount = len(guests), model.strength, model.discount
+    known = numbers.drop("c").join(model.ids.select("id", "c", "roots", "opens"), "id", "left").select(
+        "of", F.col("number").cast("long").alias("number"), "c", "end", "roots", "opens",
+        F.lit(None).cast("float").alias("gain"))
+    gains = model.pairs.select("u", "w", (F.col("gain") / kept).cast("float").alias("gain"))
+    found_pairs = pairs.join(gains, ["u", "w"]).select(
+        "of", F.col("pair").alias("number"), F.lit(None).cast("long").alias("c"), F.lit(False).alias("end"),
+        F.lit(None).cast("array<double>").alias("roots"), F.lit(None).cast("array<long>").alias("opens"), "gain")
 
     def run(texts: pa.Table, found: pa.Table) -> pa.Table:
+        of_pair = found.column("gain").is_valid()
+        place = found.filter(of_pair).select(["number", "gain"]).sort_by("number")
+        place, gains = _column(place, "number"), _column(place, "gain")
+        found = found.filter(found.column("gain").is_null()).combine_chunks()
         size = len(found)
-        where = found.column("number").to_numpy()
-        found = found.combine_chunks()
+        where = _column(found, "number")
+        end = int(where[found.column("end").to_numpy(zero_copy_only=False)][0])
         c = np.zeros(size)
         c[where] = found.column("c").fill_null(0).to_numpy()
-        roots = np.zeros((size, kept))
-        known = found.column("c").is_valid().to_numpy()
-        flat = found.column("roots").combine_chunks().flatten().to_numpy()
-        roots[where[known]] = flat.reshape(-1, kept)
+        seen = where[found.column("c").is_valid().to_numpy()]
+        roots, opens = np.zeros((size, kept)), np.zeros((size, kept))
+        for name, into in (("roots", roots), ("opens", opens)):
+            into[seen] = found.column(name).combine_chunks().flatten().to_numpy().reshape(-1, kept)
         roots = (roots + from_base) / guests
-        lists = found.column("contexts").combine_chunks()
-        lengths = np.where(known, lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), 0)
-        place = np.repeat(where, lengths.astype(np.int64)) * len(contexts) + lists.flatten().to_numpy()
-        gains = found.column("gain").combine_chunks().flatten().to_numpy()
-        order = np.argsort(place)
-        place, gains = place[order], gains[order]
+        back = (strength + discount * opens) / (strength + c)[:, None]
         sizes = texts.column("sizes")[0].values.to_numpy().astype(np.int64)
-        numbers = unpack_numbers(texts.column("refs")[0].as_py())
-        context = np.zeros(size, np.int64)
-        held = texts.column("words")[0].as_py()
-        context[:] = _context_of(held, contexts)
-        before = _previous(numbers, sizes, context, held.index(END))
-        p = np.zeros(len(numbers))
+        own = unpack_numbers(texts.column("refs")[0].as_py())
+        before = _previous(own, sizes, end)
+        p = np.zeros(len(own))
         for s in range(kept):
-            p += back[s][before] * roots[numbers, s]
+            p += back[before, s] * roots[own, s]
         p /= kept
         if len(place):
-            key = numbers * len(contexts) + before
+            key = before * size + own
             at = np.minimum(np.searchsorted(place, key), len(place) - 1)
             p += np.where(place[at] == key, gains[at], 0.0)
         starts = np.cumsum(sizes) - sizes
@@ -299,11 +319,12 @@ def score(table: DataFrame, model: Fitted) -> DataFrame:
         total = lambda x: np.add.reduceat(x, starts)  # noqa: E731  every text has its end token
         return pa.table({
             "key": texts.column("keys")[0].values, "n_tokens": sizes,
-            "n_known": total((c > 0).astype(np.int64)[numbers]), "base_score": total(base[numbers]),
+            "n_known": total((c > 0).astype(np.int64)[own]), "base_score": total(base[own]),
             "score": total(np.log10(p))})
 
     kind = table.schema["keys"].dataType.elementType.simpleString()
-    parts = table.select("block", "keys", "sizes", "refs", "words").groupBy("block").cogroup(back_rows.groupBy("of"))
+    parts = table.select("block", "keys", "sizes", "refs").groupBy("block").cogroup(
+        known.unionByName(found_pairs).groupBy("of"))
     return parts.applyInArrow(run, f"key {kind}, n_tokens long, n_known long, base_score double, score double")
 
 
@@ -323,7 +344,10 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", pa
     flag = F.coalesce(id_remainder(F.col(key), 5) == 1, F.lit(False))
     rows = docs.select(F.col(key).alias("key"), flag.alias("flag"), F.col(text).alias("text"))
     table = cuts.cut(blocks(rows, fold=True, end=True), "blocks", compression="zstd")
-    model = fit(table, cuts, params)
-    out = score(table, model)
+    vocab, types, tokens = vocabulary(table, cuts)
+    numbers = cuts.cut(block_words(table, vocab), "numbers", compression="zstd")
+    pairs = cuts.cut(block_pairs(table, numbers), "block-pairs", compression="zstd")
+    model = fit_pairs(pairs, vocab, types, tokens, cuts, params)
+    out = score(table, numbers, pairs, model)
     return out.select(F.col("key").alias(key), (id_remainder(F.col("key"), 5) == 1).alias("held_out"), "n_tokens",
                       "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
