@@ -174,6 +174,15 @@ def test_quality_junk_goes_clean_stays(spark, docs):
     assert junk.where("kept").count() == 0
 
 
+def test_quality_letters_without_common_words_go(spark, docs):
+    refs = quality.references(docs)
+    clean = docs.where("lang is not null").join(spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1"), "doc_id")
+    shuffled = F.translate("text", "abcdefghijklmnopqrstuvwxyz", "qwzkxjvbfgyhmpcduotlrnseia")
+    out = quality.quality(clean.withColumn("text", shuffled), refs).where("n_words >= 100")
+    assert out.count() > 10 and out.where("kept").count() == 0
+    assert out.where("class_divergence < 0.02").count() > 10
+
+
 # 4 URLs
 
 def test_urls(spark):

@@ -12,6 +12,7 @@ are used, and the only shuffles are the references' small aggregates.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from math import log2
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,7 +42,10 @@ class Limits:
     min_chars: int = 100
     min_words: int = 100
     max_class_divergence: float = 0.022
-    max_word_divergence: float = 0.35
+    #: A text passes the word test up to this part of the divergence of a text without any common word.
+    max_word_part: float = 0.9
+    #: Where a reference's words have a smaller share, their lack tells nothing: any text passes its word test.
+    min_known: float = 0.1
 
 
 @dataclass(frozen=True)
@@ -53,6 +57,16 @@ class Reference:
     words: dict[str, float] = field(default_factory=dict)
 
 
+def word_limit(ref: Reference, limits: Limits) -> float:
+    """Greatest word divergence that passes: a part of that of a text without common words."""
+    known = sum(ref.words.values())
+    if known < limits.min_known:
+        return 1.0
+    rest = 1 - known
+    inner = log2(2 / (1 + rest)) + (rest * log2(2 * rest / (1 + rest)) if rest > 0 else 0.0)
+    return limits.max_word_part * (known + inner) / 2
+
+
 def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACE_CLASS + "+"), "")
 
@@ -156,12 +170,12 @@ def _total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
 
 
-def _literals(refs: list[Reference]) -> Column:
+def _literals(refs: list[Reference], limits: Limits) -> Column:
     one = lambda r: F.struct(
         F.array(*[F.lit(float(x)) for x in r.classes]).alias("classes"),
         F.array(*[F.lit(w) for w in sorted(r.words)]).cast("array<string>").alias("words"),
         F.array(*[F.lit(float(r.words[w])) for w in sorted(r.words)]).cast("array<double>").alias("shares"),
-        F.lit(float(sum(r.words.values()))).alias("known"))
+        F.lit(float(sum(r.words.values()))).alias("known"), F.lit(word_limit(r, limits)).alias("word_limit"))
     return F.array(*[one(r) for r in refs])
 
 
@@ -202,13 +216,14 @@ def quality(docs: DataFrame, refs: list[Reference], key: str = "doc_id", text: s
             "filter(transform(held, (w, i) -> if(i + 1 < size(held) and held[i + 1] = w, -1, i)), i -> i >= 0)"))
         rows = rows.withColumn("runs", F.expr(
             "transform(ends, (e, j) -> struct(held[e] as w, cast(e - if(j > 0, ends[j - 1], -1) as double) as n))"))
-        rows = rows.withColumn("refs", _literals(refs))
+        rows = rows.withColumn("refs", _literals(refs, limits))
         near = F.transform("refs", lambda r: F.struct(
             _total(F.zip_with("shares", r["classes"], _term)).alias("c"),
-            word_divergence(F.col("runs"), F.col("n_words").cast("double"), r).alias("w")))
+            word_divergence(F.col("runs"), F.col("n_words").cast("double"), r).alias("w"),
+            r["word_limit"].alias("word_limit")))
         rows = rows.withColumn("near", near)
         fits = F.exists("near", lambda x: (F.coalesce(x["c"], F.lit(0.0)) <= limits.max_class_divergence)
-                        & (F.coalesce(x["w"], F.lit(0.0)) <= limits.max_word_divergence))
+                        & (F.coalesce(x["w"], F.lit(0.0)) <= x["word_limit"]))
         by_class = F.array_min(F.transform("near", lambda x: x["c"]))
         by_word = F.array_min(F.transform("near", lambda x: x["w"]))
     else:
