@@ -183,6 +183,17 @@ def test_quality_letters_without_common_words_go(spark, docs):
     assert out.where("class_divergence < 0.02").count() > 10
 
 
+def test_quality_digits_and_blanks_are_no_letters(spark, docs):
+    refs = quality.references(docs)
+    assert all(r.class_limit >= quality.Limits.least_class_limit for r in refs)
+    clean = docs.where("lang is not null").join(spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1"), "doc_id")
+    for text in (F.translate("text", "aeionrst", "12345678"), F.regexp_replace("text", " ", "          ")):
+        out = quality.quality(clean.withColumn("text", text), refs).where("not base_failed").collect()
+        assert len(out) > 10 and not any(r["kept"] for r in out)
+        # The class test alone tells.
+        assert min(r["class_divergence"] for r in out) > max(r.class_limit for r in refs)
+
+
 # 4 URLs
 
 def test_urls(spark):

@@ -18,14 +18,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordgraph.llm.common import SPACE_CLASS
+from wordgraph.session import TableCuts
 
 #: Character classes, each by the pattern that removes everything else; the
-#: last class is the rest (small letters, digits and white space).
+#: last class is the rest (small letters).
 CLASSES = [
     ("upper", r"[^A-Z]+"),
     ("symbol", r"[^#*$%&|<>]+"),
     ("mark", r"""[^.,;:!?'"()-]+"""),
     ("beyond", r"[\x{0}-\x{7F}]+"),
+    ("digit", r"[^0-9]+"),
+    ("space", r"[^\x20\x09-\x0D]+"),
 ]
 
 
@@ -41,7 +44,10 @@ class Limits:
     #: Texts with fewer characters pass the class test, with fewer words the word test.
     min_chars: int = 100
     min_words: int = 100
-    max_class_divergence: float = 0.022
+    #: A language's limit of the class test: this many times the upper quartile of its labelled texts' own
+    #: divergences (a quarter of them may be broken without moving it), but no less than the least limit.
+    class_spread: float = 25.0
+    least_class_limit: float = 0.02
     #: A text passes the word test up to this part of the divergence of a text without any common word.
     max_word_part: float = 0.9
     #: Where a reference's words have a smaller share, their lack tells nothing: any text passes its word test.
@@ -55,6 +61,8 @@ class Reference:
     lang: str
     classes: list[float]
     words: dict[str, float] = field(default_factory=dict)
+    #: Greatest class divergence that passes.
+    class_limit: float = Limits.least_class_limit
 
 
 def word_limit(ref: Reference, limits: Limits) -> float:
@@ -108,18 +116,20 @@ def base_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         ((F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))).alias("base_failed"))
 
 
-def class_shares(text: Column, n_symbols: Column | None = None) -> Column:
-    """Shares of the character classes, the rest last; null for an empty text."""
+def class_shares(text: Column, word_chars: Column, n_symbols: Column | None = None) -> Column:
+    """Shares of the character classes, the rest last; null for an empty text. ``word_chars``: all but white space."""
     total = F.length(text)
-    counts = [F.length(F.regexp_replace(text, pattern, "")) for _, pattern in CLASSES]
+    counts = [F.length(F.regexp_replace(text, pattern, "")) for _, pattern in CLASSES[:4]]
     if n_symbols is not None:
         counts[1] = n_symbols
     # As many bytes as characters: nothing lies beyond ASCII.
     counts[3] = F.when(F.octet_length(text) == total, 0).otherwise(counts[3])
+    counts += [total - F.length(F.regexp_replace(text, "[0-9]+", "")), total - word_chars]
     # The counts and their total are bound to a name, so that nothing is counted twice.
     bound = F.array(F.array(*[c.cast("long") for c in (*counts, total)]))
     shares = F.transform(bound, lambda c: F.transform(
-        F.array(c[0], c[1], c[2], c[3], c[4] - c[0] - c[1] - c[2] - c[3]), lambda x: x.cast("double") / c[4]))
+        F.array(*[c[i] for i in range(6)], c[6] - c[0] - c[1] - c[2] - c[3] - c[4] - c[5]),
+        lambda x: x.cast("double") / c[6]))
     return F.when(total > 0, shares[0])
 
 
@@ -134,7 +144,10 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang", limits:
     rows = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     rows = rows.where(F.length("text") > 0)
     width = range(len(CLASSES) + 1)
-    shares = rows.select("lang", class_shares(F.col("text")).alias("c"), F.size(words_of(F.col("text"))).alias("n_words"))
+    worded = rows.withColumn("words", words_of(F.col("text")))
+    shares = TableCuts(docs.sparkSession, "quality").cut(worded.select(
+        "lang", class_shares(F.col("text"), F.length(F.array_join("words", ""))).alias("c"),
+        F.size("words").alias("n_words"), F.length("text").alias("n_chars")), "shares", compression="zstd")
     per_lang = shares.groupBy("lang").agg(
         F.count(F.lit(1)).alias("n"), F.sum("n_words").alias("n_words"),
         *[F.percentile_approx(F.col("c")[i], 0.5, 10000).alias(f"c{i}") for i in width])
@@ -154,10 +167,15 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang", limits:
     words: dict[str, dict[str, float]] = {name: {} for name in classes}
     for r in top.collect():
         words[r["lang"]][r["word"]] = r["n"] / totals[r["lang"]]
-    out = []
-    for name, c in sorted(classes.items()):
-        out.append(Reference(name, [x / (sum(c) or 1.0) for x in c], words[name]))
-    return out
+    scaled = {name: [x / (sum(c) or 1.0) for x in c] for name, c in classes.items()}
+    # How far a language's own texts are from its reference.
+    own = docs.sparkSession.createDataFrame(sorted(scaled.items()), "lang string, ref array<double>")
+    apart = shares.where(F.col("n_chars") >= limits.min_chars).join(own, "lang").select(
+        "lang", _total(F.zip_with("c", "ref", _term)).alias("d"))
+    quartiles = {r["lang"]: r["q"] for r in apart.groupBy("lang").agg(
+        F.percentile_approx("d", 0.75, 10000).alias("q")).collect()}
+    limit = lambda name: max(limits.least_class_limit, limits.class_spread * quartiles.get(name, 0.0))
+    return [Reference(name, c, words[name], limit(name)) for name, c in sorted(scaled.items())]
 
 
 def _term(p: Column, q: Column) -> Column:
@@ -175,7 +193,8 @@ def _literals(refs: list[Reference], limits: Limits) -> Column:
         F.array(*[F.lit(float(x)) for x in r.classes]).alias("classes"),
         F.array(*[F.lit(w) for w in sorted(r.words)]).cast("array<string>").alias("words"),
         F.array(*[F.lit(float(r.words[w])) for w in sorted(r.words)]).cast("array<double>").alias("shares"),
-        F.lit(float(sum(r.words.values()))).alias("known"), F.lit(word_limit(r, limits)).alias("word_limit"))
+        F.lit(float(sum(r.words.values()))).alias("known"), F.lit(word_limit(r, limits)).alias("word_limit"),
+        F.lit(float(r.class_limit)).alias("class_limit"))
     return F.array(*[one(r) for r in refs])
 
 
@@ -207,7 +226,7 @@ def quality(docs: DataFrame, refs: list[Reference], key: str = "doc_id", text: s
     if refs:
         vocabulary = sorted({w for r in refs for w in r.words})
         rows = rows.withColumn("shares", F.when(
-            F.length("text") >= limits.min_chars, class_shares(F.col("text"), F.col("n_symbols"))))
+            F.length("text") >= limits.min_chars, class_shares(F.col("text"), F.col("word_chars"), F.col("n_symbols"))))
         rows = rows.withColumn("held", F.when(
             F.col("n_words") >= limits.min_words,
             F.sort_array(F.filter("words", lambda w: w.isin(vocabulary))) if vocabulary else F.array().cast("array<string>")))
@@ -220,9 +239,9 @@ def quality(docs: DataFrame, refs: list[Reference], key: str = "doc_id", text: s
         near = F.transform("refs", lambda r: F.struct(
             _total(F.zip_with("shares", r["classes"], _term)).alias("c"),
             word_divergence(F.col("runs"), F.col("n_words").cast("double"), r).alias("w"),
-            r["word_limit"].alias("word_limit")))
+            r["word_limit"].alias("word_limit"), r["class_limit"].alias("class_limit")))
         rows = rows.withColumn("near", near)
-        fits = F.exists("near", lambda x: (F.coalesce(x["c"], F.lit(0.0)) <= limits.max_class_divergence)
+        fits = F.exists("near", lambda x: (F.coalesce(x["c"], F.lit(0.0)) <= x["class_limit"])
                         & (F.coalesce(x["w"], F.lit(0.0)) <= x["word_limit"]))
         by_class = F.array_min(F.transform("near", lambda x: x["c"]))
         by_word = F.array_min(F.transform("near", lambda x: x["w"]))
