@@ -194,6 +194,26 @@ def test_quality_digits_and_blanks_are_no_letters(spark, docs):
         assert min(r["class_divergence"] for r in out) > max(r.class_limit for r in refs)
 
 
+def test_quality_keeps_rare_languages(spark, docs):
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(chr(1072 + int(x)) for x in rng.integers(0, 32, rng.integers(2, 9)))
+    texts = [" ".join(word() for _ in range(120)) for _ in range(8)]
+    rare = spark.createDataFrame([(-1 - i, t, "ru" if i < 6 else "uk") for i, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string")
+    given = docs.select("doc_id", "text", "lang").unionByName(rare)
+    # A share of under a hundredth.
+    given = given.unionByName(docs.where("lang is not null").select("doc_id", "text", "lang").crossJoin(spark.range(4)).drop("id"))
+    refs = quality.references(given)
+    assert "ru" in {r.lang for r in refs} and "uk" not in {r.lang for r in refs}
+    out = {r["doc_id"]: r for r in quality.quality(rare, refs).collect()}
+    assert all(r["kept"] == (not r["base_failed"]) for r in out.values()) and not out[-7]["base_failed"]
+
+
+def test_language_sample_has_all_labels(spark):
+    rows = spark.createDataFrame([(i, f"text {i} of a label", f"l{i}") for i in range(80)], "key long, text string, lang string")
+    assert len({lang for lang, _ in langid.sample(rows)}) == 80
+
+
 # 4 URLs
 
 def test_urls(spark):

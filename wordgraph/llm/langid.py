@@ -23,8 +23,7 @@ WINDOW = 256
 SYMBOLS = 155  # 0: other; 1-26: letters; 27-154: bytes from 0x80
 WIDTHS = (2, 3, 4)
 FILTERS = 12
-#: Bounds of the training sample: languages, texts of each, windows of each text.
-MAX_LANGUAGES = 64
+#: Bounds of the training sample for each language: texts, windows of each text.
 SAMPLE_TEXTS = 400
 SAMPLE_WINDOWS = 4
 UNKNOWN = "und"
@@ -81,15 +80,11 @@ def windows_of(data: bytes, table: np.ndarray, window: int = WINDOW) -> np.ndarr
 def sample(docs: DataFrame, seed: int = 0) -> list[tuple[str, str]]:
     """(language, passage) pairs of a bounded sample of ``docs(key, text, lang)``.
 
-    The most frequent ``MAX_LANGUAGES`` labels, ``SAMPLE_TEXTS`` texts of each
-    by a hash of the key, and ``SAMPLE_WINDOWS`` passages spread over each text.
+    ``SAMPLE_TEXTS`` texts of every label by a hash of the key, and ``SAMPLE_WINDOWS`` passages spread over each text.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    langs = [r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
-    if not langs:
-        return []
     order = Window.partitionBy("lang").orderBy(F.xxhash64("key", F.lit(seed)), F.xxhash64("text"))
-    chosen = known.where(F.col("lang").isin(langs)).withColumn("rank", F.row_number().over(order)).where(
+    chosen = known.withColumn("rank", F.row_number().over(order)).where(
         F.col("rank") <= SAMPLE_TEXTS)
     free = F.greatest(F.length("text") - WINDOW, F.lit(0))
     at = lambda i: F.floor(free * (i / max(1, SAMPLE_WINDOWS - 1))).cast("int") + 1

@@ -36,8 +36,8 @@ CLASSES = [
 class Limits:
     """Parameters of the verdict."""
 
-    #: Languages with a smaller share of the labelled texts have no reference: at most 100 have one.
-    min_language_share: float = 0.01
+    #: Labels with fewer texts have no reference; their own texts pass.
+    min_texts: int = 5
     #: Words of a language's reference, and their greatest length.
     common_words: int = 40
     common_length: int = 4
@@ -79,14 +79,15 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACE_CLASS + "+"), "")
 
 
-def base_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, text, words`` and the base counts of every row; a null text has none of anything.
+def base_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str | None = None) -> DataFrame:
+    """``key, text, label, words`` and the base counts of every row; a null text has none of anything.
 
     ``n_repeat_words``: the windows of a text are hashed (64 bits) and sorted, so
     that equal ones are neighbours; the words covered by windows that occur
     more than once are counted once each.
     """
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"),
+                       (F.col(lang) if lang else F.lit(None).cast("string")).alias("label"))
     rows = rows.withColumn("words", words_of(F.col("text")))
     rows = rows.withColumn("windows", F.expr(
         "if(size(words) < 4, cast(array() as array<bigint>), transform(sequence(0, size(words) - 3), "
@@ -109,7 +110,7 @@ def base_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     rows = rows.withColumn("lines", F.expr(r"filter(split(text, '\n', -1), l -> l rlike '[^\\x20\\x09-\\x0D]')"))
     rows = rows.withColumn("n_words", F.size("words").cast("long"))
     return rows.select(
-        "key", "text", "words", "n_words", F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        "key", "text", "label", "words", "n_words", F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace("text", CLASSES[1][1], "")).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         "n_repeat_words",
@@ -138,8 +139,8 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang", limits:
 
     Class shares are medians over the texts, so that neither a few long texts
     nor a minority of broken ones set them; word shares are of all words. What
-    comes to the driver is bounded: at most 100 languages with
-    ``limits.common_words`` words each.
+    comes to the driver are ``limits.common_words`` words for each label with
+    ``limits.min_texts`` texts.
     """
     rows = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     rows = rows.where(F.length("text") > 0)
@@ -151,9 +152,7 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang", limits:
     per_lang = shares.groupBy("lang").agg(
         F.count(F.lit(1)).alias("n"), F.sum("n_words").alias("n_words"),
         *[F.percentile_approx(F.col("c")[i], 0.5, 10000).alias(f"c{i}") for i in width])
-    share = F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0)))
-    enough = per_lang.withColumn("share", share).where(F.col("share") >= limits.min_language_share)
-    found = enough.collect()
+    found = per_lang.where(F.col("n") >= limits.min_texts).collect()
     classes = {r["lang"]: [r[f"c{i}"] or 0.0 for i in width] for r in found}
     totals = {r["lang"]: r["n_words"] for r in found}
     if not classes:
@@ -215,12 +214,15 @@ def word_divergence(runs: Column, n_words: Column, ref: Column) -> Column:
 
 
 def quality(docs: DataFrame, refs: list[Reference], key: str = "doc_id", text: str = "text",
-            limits: Limits = Limits()) -> DataFrame:
+            limits: Limits = Limits(), lang: str = "lang") -> DataFrame:
     """``key``, the base counts, ``base_failed``, the least divergences over the
     languages (``class_divergence, word_divergence``; null where the text is too
-    short or there is no reference) and ``kept`` for every row.
+    short or there is no reference) and ``kept`` for every row. A text whose
+    label in ``lang`` (if there is such a column) has no reference is judged by
+    the base rules alone.
     """
-    rows = base_counts(docs, key, text)
+    labelled = lang in docs.columns
+    rows = base_counts(docs, key, text, lang if labelled else None)
     keep = ["key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     none = F.lit(None).cast("double")
     if refs:
@@ -243,6 +245,8 @@ def quality(docs: DataFrame, refs: list[Reference], key: str = "doc_id", text: s
         rows = rows.withColumn("near", near)
         fits = F.exists("near", lambda x: (F.coalesce(x["c"], F.lit(0.0)) <= x["class_limit"])
                         & (F.coalesce(x["w"], F.lit(0.0)) <= x["word_limit"]))
+        if labelled:
+            fits = fits | F.coalesce(~F.col("label").isin([r.lang for r in refs]), F.lit(False))
         by_class = F.array_min(F.transform("near", lambda x: x["c"]))
         by_word = F.array_min(F.transform("near", lambda x: x["w"]))
     else:
