@@ -423,6 +423,19 @@ def test_pruning_keeps_similar_pairs():
     assert len(minhash.may_link(left, same(0.4), needed)) < 20
 
 
+def test_pruning_at_the_threshold():
+    """The computed chance that some batch prunes a pair at exactly 0.75."""
+    p = minhash.Params()
+    alive, done, lost = np.ones(1), 0, 0.0
+    for k, least in minhash.agreements_needed(p):
+        for _ in range(k - done):
+            alive = np.append(alive * 0.25, 0) + np.append(0, alive * 0.75)
+        done = k
+        lost += alive[:least].sum()
+        alive[:least] = 0
+    assert lost < 2e-6
+
+
 def test_components(spark):
     path = [0, *range(63, 0, -1)]
     edges = list(zip(path, path[1:])) + [(100, 101), (102, 101), (103, 103)] + [(200, i) for i in range(201, 260)]

@@ -46,8 +46,9 @@ class Params:
     bands: int = 32
     rows: int = 4
     batch: int = 16
-    #: Chance that a pair at the threshold or above is pruned by its signatures.
-    miss: float = 1e-5
+    #: Posterior chance below which a batch prunes a pair. All 8 batches together lose a pair exactly at the
+    #: threshold with a chance of about 1e-6; that no band holds it has another 5e-6.
+    miss: float = 1e-7
     #: Orders of the nodes by which bands choose leads.
     orders: int = 8
     #: Nodes of a block of a bucket in the second pass.
