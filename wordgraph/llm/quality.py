@@ -169,7 +169,7 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang", limits:
     scaled = {name: [x / (sum(c) or 1.0) for x in c] for name, c in classes.items()}
     # How far a language's own texts are from its reference.
     own = docs.sparkSession.createDataFrame(sorted(scaled.items()), "lang string, ref array<double>")
-    apart = shares.where(F.col("n_chars") >= limits.min_chars).join(own, "lang").select(
+    apart = shares.where(F.col("n_chars") >= limits.min_chars).join(F.broadcast(own), "lang").select(
         "lang", _total(F.zip_with("c", "ref", _term)).alias("d"))
     quartiles = {r["lang"]: r["q"] for r in apart.groupBy("lang").agg(
         F.percentile_approx("d", 0.75, 10000).alias("q")).collect()}
