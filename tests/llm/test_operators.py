@@ -120,6 +120,21 @@ def test_license_digests(spark):
                    (4, None, (), True), (5, None, (), True), (6, None, (), True), (7, None, ("MIT-line",), False)]
 
 
+def test_standard_license_files(spark):
+    mit = "MIT License\n\nCopyright (c) 2024 Jane Doe\n\n" + licenses.KNOWN["MIT"]
+    isc = "ISC License\n\nCopyright 2019, Some One\n\n" + licenses.KNOWN["ISC"]
+    held = {f.stem: f.read_text("utf-8") for f in licenses.TEXTS.glob("*.txt")}
+    bsd = ("BSD 3-Clause License\n\nCopyright (c) 2020, Them\nAll rights reserved.\n\n"
+           + dict(licenses.known_texts()[::-1])["BSD-3-Clause"].partition("\n")[2])
+    apache = held["Apache-2.0"].replace("Copyright [yyyy] [name of copyright owner]", "Copyright 2021 Some Firm")
+    data = [("MIT", mit), ("ISC", isc), ("BSD-3-Clause", bsd), ("Apache-2.0", apache), *held.items()]
+    data.append(("Apache-2.0", held["Apache-2.0"].split("   APPENDIX")[0]))
+    docs = spark.createDataFrame(list(enumerate(t for _, t in data)), "doc_id long, text string")
+    got = {r["doc_id"]: r["license"] for r in licenses.scan(docs, licenses.known_digests(spark)).collect()}
+    assert got == {i: name for i, (name, _) in enumerate(data)}
+    assert {"BSD-2-Clause", "MPL-2.0", "GPL-2.0", "GPL-3.0", "CC-BY-SA-4.0"} <= set(held)
+
+
 # 3 quality
 
 def base(text):

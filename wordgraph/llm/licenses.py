@@ -9,6 +9,8 @@ DataFrame functions are used.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,6 +75,41 @@ License.""",
     "CC-BY-NC-4.0-line": "Licensed under CC BY-NC 4.0.",
 }
 
+#: The full texts of longer licences, a file each, named by its SPDX name.
+TEXTS = Path(__file__).parent / "license_texts"
+
+# Title lines that stand above the texts of KNOWN and of the files.
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "Expat License"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)"],
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD", "0BSD"],
+    "Zlib": ["zlib License", "The zlib License", "zlib/libpng license"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The 2-Clause BSD License", 'BSD 2-Clause "Simplified" License'],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The 3-Clause BSD License", 'BSD 3-Clause "New" or "Revised" License'],
+}
+
+_ENDORSE = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or
+promote products derived from this software without specific prior written permission.
+
+"""
+
+
+def known_texts() -> list[tuple[str, str]]:
+    """(licence, text): the short texts, the full ones, and those with a title or list marks as they are usually found."""
+    texts = dict(KNOWN) | {f.stem: f.read_text("utf-8") for f in sorted(TEXTS.glob("*.txt"))}
+    two = texts["BSD-2-Clause"]
+    texts["BSD-3-Clause"] = two.replace("THIS SOFTWARE IS", _ENDORSE + "THIS SOFTWARE IS", 1)
+    out = list(texts.items())
+    # Often the clauses have bullets in place of numbers.
+    for name in ("BSD-2-Clause", "BSD-3-Clause"):
+        out.append((name, texts[name].replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ")))
+    # Apache's appendix on how to apply it is often left out.
+    end = "END OF TERMS AND CONDITIONS"
+    body = texts["Apache-2.0"].split(end)[0]
+    out += [("Apache-2.0", body + end), ("Apache-2.0", body)]
+    return out + [(name, f"{title}\n\n{text}") for name, text in out for title in TITLES.get(name, [])]
+
+
 #: Lines that name a holder or year, as far as the line goes.
 COPYRIGHT_LINE = r"(?m)^[^\S\n]*[#*/;-]*[^\S\n]*(copyright\b|\(c\)|©)[^\n]*$"
 
@@ -99,7 +136,7 @@ def _digest(form: Column) -> Column:
 
 def known_digests(spark: SparkSession, known: dict[str, str] | None = None) -> DataFrame:
     """``license, digest`` of the known texts; of texts with one digest the first name stays."""
-    rows = spark.createDataFrame(sorted((known or KNOWN).items()), "license string, text string")
+    rows = spark.createDataFrame(sorted(known.items() if known else known_texts()), "license string, text string")
     return rows.select("license", _digest(canonical(canonical_lines(F.col("text")))).alias("digest")).groupBy(
         "digest").agg(F.min("license").alias("license"))
 
