@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordgraph.llm import bpe, langid, licenses, minhash, packing, pitman_yor, quality, sharding, simhash, urls
+from wordgraph.llm import bpe, langid, licenses, merkle, minhash, packing, pitman_yor, quality, sharding, simhash, urls
 from wordgraph.llm.common import id_remainder, read_table
 from wordgraph.llm.tokens import public_tokenizer_path
 from wordgraph.session import TableCuts
@@ -77,6 +77,21 @@ def op10_simhash_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(near, "query", "left").drop("query")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A null id counts as the empty text for the remainder that decides on tampering."""
+    docs = read_table(spark, sf_dir, "documents")
+    before = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    tampered = merkle.leaf_digest(*before, F.replace(F.col("text"), F.lit("\n"), F.lit("")))
+    manifest = merkle.build(docs.select(
+        F.col("doc_id").alias("key"), F.col("source").alias("tree"),
+        merkle.leaf_digest(*before, F.col("text")).alias("leaf"),
+        F.when(id_remainder(F.col("doc_id"), 2) == 0, tampered).alias("changed")))
+    return manifest.proofs().select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", "root",
+        F.sha2(F.array_join("siblings", ""), 256).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sum_of_squares_packing": op1_sum_of_squares_packing,
     "op2_license_scan": op2_license_scan,
@@ -88,8 +103,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_feistel_shards": op8_feistel_shards,
     "op9_minhash_bayes": op9_minhash_bayes,
     "op10_simhash_edits": op10_simhash_edits,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
+def _field(name: str) -> str:
+    return f"case when {name} is null then '-' else strlen({name}::varchar) || ':' || {name}::varchar end"
+
+
+_HEAD = " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars")))
+_NO_BREAKS = "replace(text, chr(10), '')"
+#: Levels of a table of nodes: three neighbours make a parent until a group has one node.
+_LEVELS = """{name}(src, l, pos, dg, n) as ({base}
+      union all
+      select src, l + 1, pos // 3, sha256(string_agg(dg, '' order by pos)), (n + 2) // 3
+      from {name} where n > 1 group by src, l, n, pos // 3)"""
+#: Per leaf of a group and level, the joined siblings on both sides.
+_SIDES = """(select a.src, a.pos leaf, l.l,
+      coalesce(string_agg(b.dg, '' order by b.pos) filter (b.pos < a.pos // (3**l.l)::bigint), '') lft,
+      coalesce(string_agg(b.dg, '' order by b.pos) filter (b.pos > a.pos // (3**l.l)::bigint), '') rgt
+      from {name} a join (select distinct src, l, n from {name}) l on l.src = a.src and l.n > 1
+      join {name} b on b.src = a.src and b.l = l.l and b.pos // 3 = a.pos // (3**(l.l + 1))::bigint
+      where a.l = 0 group by a.src, a.pos, l.l)"""
+
 _RULE_ROWS = ", ".join(f"('{verdict}', '{rule}')" for verdict, rule in URL_RULES)
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -119,4 +154,27 @@ ORACLE_SQL: dict[str, str] = {
       where r.l < cur.l group by g.d)
     select doc_id, coalesce(n.n, 0) n_shingles, r.l component_id, doc_id = r.l kept
     from documents left join n using (doc_id) join r on r.v = doc_id""",
+    "op11_merkle_manifest": f"""with recursive leaves as materialized (select doc_id, src,
+        row_number() over (partition by src order by doc_id nulls first, leaf) - 1 pos, leaf, changed from (
+      select doc_id, dense_rank() over (order by source nulls first) - 1 src, sha256({_HEAD} || {_field('text')}) leaf,
+        case when list_reduce(list_transform(string_split(coalesce(doc_id::varchar, ''), ''), lambda x: ascii(x)::ubigint),
+          lambda c, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::ubigint[], lambda r, z:
+            case when r % 2 = 1 then xor(r // 2, 3988292384::ubigint) else r // 2 end, xor(c, b)), 4294967295::ubigint) % 2 = 1
+          then sha256({_HEAD} || {_field(_NO_BREAKS)}) end changed from documents)),
+    {_LEVELS.format(name='low', base="select src, 0, pos, leaf, count(*) over (partition by src) from leaves")},
+    {_LEVELS.format(name='up', base="select 0, 0, src, dg, count(*) over () from low where n = 1")},
+    steps as materialized (select src, leaf, l::bigint l, lft, rgt from {_SIDES.format(name='low')}
+      union all select a.src, a.pos, h.h + u.l, u.lft, u.rgt from (select src, pos from low where l = 0) a
+      join (select src, max(l) h from low group by src) h on h.src = a.src
+      join {_SIDES.format(name='up')} u on u.leaf = a.src),
+    folded(src, leaf, l, dg) as (select src, pos, 0::bigint, coalesce(changed, leaf) from leaves
+      union all select f.src, f.leaf, f.l + 1, sha256(s.lft || f.dg || s.rgt) from folded f
+      join steps s on s.src = f.src and s.leaf = f.leaf and s.l = f.l),
+    ends as (select src, leaf, arg_max(dg, l) dg from folded group by src, leaf),
+    proof as (select src, leaf, sha256(string_agg(lft || rgt, '' order by l)) p from steps group by src, leaf),
+    root as (select dg from up where n = 1)
+    select doc_id, a.leaf, t.dg subroot, root.dg root, coalesce(p.p, sha256('')) proof_sha256, e.dg folded_root,
+      e.dg = root.dg verified
+    from leaves a join low t on t.src = a.src and t.n = 1 join ends e on e.src = a.src and e.leaf = a.pos
+    left join proof p on p.src = a.src and p.leaf = a.pos, root""",
 }
