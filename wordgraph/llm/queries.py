@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordgraph.llm import bpe, langid, licenses, merkle, minhash, packing, pitman_yor, quality, sharding, simhash, urls
+from wordgraph.llm import bpe, langid, licenses, merkle, minhash, packing, pitman_yor, quality, sharding, simhash, substrings, urls
 from wordgraph.llm.common import id_remainder, read_table
 from wordgraph.llm.tokens import public_tokenizer_path
 from wordgraph.session import TableCuts
@@ -92,6 +92,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op13_countmin_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sum_of_squares_packing": op1_sum_of_squares_packing,
     "op2_license_scan": op2_license_scan,
@@ -104,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_minhash_bayes": op9_minhash_bayes,
     "op10_simhash_edits": op10_simhash_edits,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_countmin_substrings": op13_countmin_substrings,
 }
 
 def _field(name: str) -> str:
@@ -177,4 +183,14 @@ ORACLE_SQL: dict[str, str] = {
       e.dg = root.dg verified
     from leaves a join low t on t.src = a.src and t.n = 1 join ends e on e.src = a.src and e.leaf = a.pos
     left join proof p on p.src = a.src and p.leaf = a.pos, root""",
+    "op13_countmin_substrings": """with t as materialized (select row_number() over () r, doc_id,
+        list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') w from documents),
+    g as materialized (select r, doc_id, i, array_to_string(w[i:i + 12], ' ') g
+      from (select r, doc_id, w, unnest(range(1, len(w) - 11)) i from t)),
+    gone as (select distinct r, unnest(range(i, i + 13)) p from g
+      join (select g, min(doc_id) least from g group by g) using (g) where least < doc_id),
+    kept as (select r, string_agg(word, ' ' order by p) k, count(*) n
+      from (select r, unnest(w) word, unnest(range(1, len(w) + 1)) p from t) anti join gone using (r, p) group by r)
+    select doc_id, len(w) n_words, len(w) - coalesce(n, 0) n_removed, sha256(coalesce(k, '')) kept_sha256
+    from t left join kept using (r)""",
 }
