@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordgraph.llm import bpe, langid, licenses, merkle, minhash, packing, pitman_yor, quality, sharding, simhash, substrings, urls
+from wordgraph.llm import (bpe, langid, licenses, merkle, minhash, packing, pitman_yor, quality, runs, sharding, simhash,
+                           substrings, urls)
 from wordgraph.llm.common import id_remainder, read_table
 from wordgraph.llm.tokens import public_tokenizer_path
 from wordgraph.session import TableCuts
@@ -92,6 +94,25 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def tiled_words(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of a text, of one in ten with its tail made periodic; a null id counts as the empty text."""
+    h = zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
+    if h % 10:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    tile = words[a:a + p]
+    return words[:a] + (tile * -(-(n - a) // p))[:n - a]
+
+
+def op12_synchronising_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.summary(runs.runs(read_table(spark, sf_dir, "documents"), edit=tiled_words))
+    listed = F.expr("array_join(transform(runs, r -> concat_ws(',', r.start, r.length, r.period) || chr(10)), '')")
+    return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli",
+                        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def op13_countmin_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -109,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_minhash_bayes": op9_minhash_bayes,
     "op10_simhash_edits": op10_simhash_edits,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_synchronising_runs": op12_synchronising_runs,
     "op13_countmin_substrings": op13_countmin_substrings,
 }
 
