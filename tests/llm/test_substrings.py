@@ -98,3 +98,11 @@ def test_sketch_never_underestimates(spark):
     assert all(p for w, p in zip(seen, passed) if counts[w] > 1)
     false = sum(p for w, p in zip(seen, passed) if counts[w] == 1)
     assert false <= len(counts) // 10
+
+
+@pytest.mark.parametrize("bits", [10, 50, 63])
+def test_order_with_and_without_places(bits):
+    values = np.random.default_rng(bits).integers(0, 1 << bits, 5000)
+    values[::7] = values[0]
+    order, held = substrings.in_order(values, bits)
+    assert (values[order] == held).all() and (held == np.sort(values)).all() and sorted(order.tolist()) == list(range(5000))

@@ -85,15 +85,17 @@ class Windows:
         """Whether every row of the merged sketch counts a window twice or more."""
         keep = np.ones(len(self.starts), bool)
         for row in range(DEPTH):
-            cells = self.cells(row, bits)
-            own = np.unique(cells)
+            order, cells = in_order(self.cells(row, bits), bits)
+            new = np.ones(len(cells), bool)
+            new[1:] = cells[1:] != cells[:-1]
+            own = cells[new]
             cuts = np.searchsorted(own, np.arange(slices + 1) << (bits - _log2(slices)))
             twice = np.zeros(len(own), bool)
             for s in range(slices):
                 n = cuts[s + 1] - cuts[s]
                 if n:
                     twice[cuts[s]:cuts[s + 1]] = np.unpackbits(np.frombuffer(answers[row * slices + s], np.uint8), count=n)
-            keep &= twice[np.searchsorted(own, cells)]
+            keep[order] &= twice[np.cumsum(new) - 1]
         return keep
 
     def candidates(self, keep: np.ndarray):
@@ -116,6 +118,17 @@ def _power(n: float) -> int:
     return 1 << max(0, int(np.ceil(np.log2(max(1, n)))))
 
 
+def in_order(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of values below 2**bits, and the values in it; sorted together with their places where both
+    fit 64 bits, which is much faster."""
+    places = len(values).bit_length()
+    if bits + places > 64:
+        order = np.argsort(values, kind="stable")
+        return order, values[order]
+    both = np.sort((values.astype(np.uint64) << np.uint64(places)) | np.arange(len(values), dtype=np.uint64))
+    return (both & np.uint64((1 << places) - 1)).astype(np.int64), (both >> np.uint64(places)).astype(np.int64)
+
+
 def _deltas(sorted_values: np.ndarray) -> bytes:
     return pack_numbers(np.diff(sorted_values, prepend=0))
 
@@ -142,7 +155,9 @@ def sketches(table: DataFrame, size: int, bits: int, slices: int) -> DataFrame:
                 block, (*_, windows) = row.column("block")[0].as_py(), _block(row, size)
                 parts, cells, twice = [], [], []
                 for depth in range(DEPTH):
-                    own, counts = np.unique(windows.cells(depth, bits), return_counts=True)
+                    held = np.sort(windows.cells(depth, bits))
+                    first = np.nonzero(np.diff(held, prepend=-1))[0]
+                    own, counts = held[first], np.diff(first, append=len(held))
                     width = bits - _log2(slices)
                     cuts = np.searchsorted(own, np.arange(slices + 1) << width)
                     for s in range(slices):
