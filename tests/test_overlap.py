@@ -162,3 +162,46 @@ def test_totals_without_hot_pairs(spark):
         assert rows(neighbor_totals(p, count_bits=bits, hot_words=3, cell_rows=3, key_bits=1), "v", "n", "k", "total") == want
         larger = sum(len(bags[v]) > len(bags[u]) for v, us in near.items() for u in us)
         assert rows(larger_source_count(p, count_bits=bits, hot_words=3, cell_rows=3, key_bits=1)) == [(larger,)]
+
+
+@pytest.mark.parametrize("prefix", [0, 3])
+@pytest.mark.parametrize("share", [0.0, 2.0])
+def test_each_pair_once_whatever_the_prefix(spark, prefix, share):
+    """Bags longer and shorter than the prefix, with and without words that get a bit."""
+    import random
+
+    from wordgraph.operators import overlap as O
+    from wordgraph.session import TableCuts
+
+    rng = random.Random(prefix)
+    data = {v: {f"w{min(int(rng.expovariate(0.2)), 25)}" for _ in range(rng.randint(0, 9))} for v in range(40)}
+    _, p, _ = bags(spark, data)
+    cuts = TableCuts(spark, "test")
+    prepared = O._prepared(p, p.select("v"), cuts, 5, 7, 2, 3, share, share)
+    got = rows(O._pairs(prepared, cuts, [], 7, prefix))
+    assert len(got) == len(set(got)) and set(got) == brute_edges(data)
+
+
+def test_no_distinct_over_pairs(spark):
+    _, p, _ = bags(spark, {v: [f"w{v % 7}", f"x{v % 5}", f"y{v % 3}"] for v in range(60)})
+    plan = overlap_edges(p)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "Distinct" not in plan
+
+
+def test_equal_bags_form_no_pairs(spark):
+    """10,000 equal bags are one class: their neighbours are counted, the pair set is that of the classes."""
+    from wordgraph.operators import overlap as O
+    from wordgraph.session import TableCuts
+
+    same = spark.range(10_000).selectExpr("id as v", "explode(array('a', 'b', 'c')) as w")
+    more = spark.createDataFrame([(20_000, "a"), (20_001, "z"), (20_002, "z"), (20_003, "alone")], "v bigint, w string")
+    p = same.union(more)
+    want = {(3, 10_000, 9_999 * 3 + 1): 10_000, (1, 10_000, 30_000): 1, (1, 1, 1): 2}
+    for share in (0.0, 2.0):
+        got = O.neighbor_totals(p, key_share=share, hot_share=share)
+        assert {(r["n"], r["k"], r["total"]): r["count"] for r in got.groupBy("n", "k", "total").count().collect()} == want
+        assert rows(O.larger_source_count(p, key_share=share, hot_share=share)) == [(10_000,)]
+    cuts = TableCuts(spark, "test")
+    _, classes, post = O._classes(p, cuts)
+    prepared = O._prepared(post, classes, cuts, 62, 4096, 4)
+    assert O._pairs(prepared, cuts, [], 4096, 32).count() == 2 and classes.count() == 4

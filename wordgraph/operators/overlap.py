@@ -9,32 +9,42 @@ Two exact strategies:
 * ``plain`` — self join of the postings on ``w`` and ``distinct``. A pair
   that shares k words is produced k times before ``distinct``; the cost is
   Σ df² joined rows (df = bags per word).
-* ``hybrid`` — the ``hot_words`` most frequent words each get one bit; a
-  bag's mask is the OR of the bits of its hot words.
-
-  - hot branch: pairs that share a hot word. Joined on ``(w, cell)`` per hot
-    word and kept only at their *lowest* shared bit, so each pair comes out
-    exactly once and needs no ``distinct``. The postings of a hot word are
-    split into B blocks by a hash of the bag id (B grows with df), and a
-    pair of blocks is one cell: a word held by a third of all bags is spread
-    over B² tasks instead of one.
-  - rare branch: the remaining words (df >= 2), block split the same way,
-    self joined with ``(mask_a & mask_b) = 0`` in the join condition, then
-    ``distinct``; only pairs without a shared hot word reach the shuffle.
-  - key bits: the ``key_bits`` most frequent hot words are part of the join
-    key — one side keys a row by its own bits, the other emits every subset
-    of the bits it lacks — so pairs that share one of those words never
-    meet in the branch that must drop them.
-
-  The two branches are disjoint, so their union is the edge set.
+* ``hybrid`` — every pair is emitted at one word only, the first it shares in
+  one order of all words (most bags first), so no pair crosses the network to
+  be made unique.
+
+  - hot branch: words with a large share of Σ df² (``hot_share``; at most 62,
+    none where words are even) each get one bit; a bag's mask is the OR of
+    the bits of its hot words. A pair is kept at its *lowest* shared bit. The
+    postings of a hot word are split into B blocks by a hash of the bag id
+    (B grows with df), and a pair of blocks is one cell: a word held by a
+    third of all bags is spread over B² tasks instead of one.
+  - rare branch: the remaining words (df >= 2), block split the same way.
+    A posting carries the rare words that its bag has before it in the order;
+    a pair is kept if no hot word is shared and these lists have nothing in
+    common. Bags of more than ``prefix_words`` rare words carry no lists
+    (they would grow with the square of the bag): pairs with such a bag are
+    formed from its side and made unique.
+  - key bits: hot words of a still larger share (``key_share``) are part of
+    the join key — one side keys a row by its own bits, the other emits every
+    subset of the bits it lacks — so pairs that share one of those words
+    never meet in the branch that must drop them.
+
+  The branches are disjoint, so their union is the edge set.
 
 ``hybrid`` is the default at every size; ``plain`` is a plain statement for
 tests. With ``with_sizes`` both end sizes travel with each pair (taken from the postings
 before the join), so questions on sizes aggregate pairs where they are formed.
+
+``neighbor_totals`` and ``larger_source_count`` answer from fewer pairs still:
+bags with equal words are one class with a count, and neighbours through the
+words of the largest shares are counted by masks.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -43,6 +53,10 @@ from wordgraph.operators.graph import Graph
 from wordgraph.session import TableCuts
 
 MAX_BITS = 62  # bits 0..61 keep every mask a non-negative bigint
+# Shares of the sum of df² from which a word gets a bit, and a place in the
+# join key or the counts by mask.
+HOT_SHARE, KEY_SHARE = 1 / 512, 1 / 64
+PREFIX_WORDS = 32
 
 
 def _bit(col: str) -> F.Column:
@@ -125,120 +139,165 @@ def _blocks(d: F.Column, cell_rows: int) -> F.Column:
     return F.greatest(F.ceil(d / F.lit(cell_rows)), F.lit(1)).cast("int")
 
 
-def _grid_sides(df: DataFrame, extra_left: list, extra_right: list) -> tuple[DataFrame, DataFrame]:
+def _grid_sides(df: DataFrame, carry: list[str], extra_left: list, extra_right: list) -> tuple[DataFrame, DataFrame]:
     """Both sides of a block-split self join on ``w``.
 
-    ``df`` has ``w, v, m, blocks`` (+ extra columns). A row in block ``b`` of a
-    word with B blocks goes to cells ``(b, 0..B-1)`` on the left and
+    ``df`` has ``w, v, m, blocks`` and the ``carry`` columns, which come out with an s or d behind their names. A
+    row in block ``b`` of a word with B blocks goes to cells ``(b, 0..B-1)`` on the left and
     ``(0..B-1, b)`` on the right, so every pair of rows of the word meets in
     exactly one cell (a B x B grid of tasks instead of one).
     """
     blk = F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int")
     spread = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     base = df.withColumn("blk", blk)
-    ls = [F.col("n").alias("ns")] if "n" in df.columns else []
-    rs = [F.col("n").alias("nd")] if "n" in df.columns else []
-    lk = ["ns"] if ls else []
-    rk = ["nd"] if rs else []
+    lk, rk = [f"{c}s" for c in carry], [f"{c}d" for c in carry]
     left = base.select(
-        "w", F.col("v").alias("src"), F.col("m").alias("ms"), *ls, *extra_left, "blk", "blocks", spread.alias("j")
+        "w", F.col("v").alias("src"), F.col("m").alias("ms"), *[F.col(c).alias(f"{c}s") for c in carry], *extra_left,
+        "blk", "blocks", spread.alias("j")
     ).select("w", "src", "ms", *lk, *extra_left, (F.col("blk").cast("bigint") * F.col("blocks") + F.col("j")).alias("cell"))
     right = base.select(
-        "w", F.col("v").alias("dst"), F.col("m").alias("md"), *rs, *extra_right, "blk", "blocks", spread.alias("i")
-    ).select("w", "dst", "md", *rk, *extra_right, (F.col("i").cast("bigint") * F.col("blocks") + F.col("blk")).alias("cell"))
+        F.col("w").alias("w2"), F.col("v").alias("dst"), F.col("m").alias("md"), *[F.col(c).alias(f"{c}d") for c in carry],
+        *extra_right, "blk", "blocks", spread.alias("i")
+    ).select("w2", "dst", "md", *rk, *extra_right,
+             (F.col("i").cast("bigint") * F.col("blocks") + F.col("blk")).alias("cell2"))
     return left, right
 
 
-def _prepared(postings: DataFrame, hot_words: int, cell_rows: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Written once, used by both branches: ``freq(w, d)``, the hot-word table, ``bags(v, m, n)`` (hot-word
-    mask and size) and the postings with their bag's mask and size."""
-    cuts = TableCuts(postings.sparkSession, "hybrid")
+@dataclass(frozen=True)
+class _Prepared:
+    """Written once, used by all branches. ``freq(w, d)``: words of two bags or more; ``hot``: words with a bit;
+    ``bags(v, m, ...)``: hot-word masks (if nothing else goes with a bag, only of bags with a hot word); ``postings(v, w, m, ...)``. ``bits`` words are hot, the first ``keyed`` of
+    them have ``key_share``, the first ``counted`` too, up to their own limits."""
+
+    freq: DataFrame
+    hot: DataFrame
+    bags: DataFrame
+    postings: DataFrame
+    bits: int
+    keyed: int
+    counted: int
+
+
+def _prepared(postings: DataFrame, bags: DataFrame, cuts: TableCuts, hot_words: int, cell_rows: int, key_bits: int,
+              count_bits: int = 0, hot_share: float = HOT_SHARE, key_share: float = KEY_SHARE) -> _Prepared:
+    """``postings(v, w)`` and ``bags(v, ...)``, whose further columns go with the postings."""
     freq = cuts.cut(word_frequencies(postings).where("d >= 2"), "freq")
-    hot = cuts.cut(_hot_from_freq(freq, hot_words, cell_rows), "hot")
-    # Mask and size of every bag in one aggregate over its postings.
-    per_bag = (
-        postings.join(F.broadcast(hot.select("w", "bit")), "w", "left")
-        .groupBy("v")
-        .agg(
-            F.coalesce(F.bit_or(_bit("bit")), F.lit(0).cast("bigint")).alias("m"),
-            F.count(F.lit(1)).alias("n"),
-        )
-    )
-    bags = cuts.cut(per_bag, "bags")
-    # Every bag has a row in bags; the left join (same rows as an inner
-    # one) lets only the per-bag side be broadcast, so the postings keep
-    # streaming in their own partitions.
-    return freq, hot, bags, cuts.cut(postings.join(bags, "v", "left"), "postings_masked")
-
-
-def _hybrid(postings: DataFrame, hot_words: int, cell_rows: int, key_bits: int,
-            with_sizes: bool = False) -> DataFrame:
-    freq, hot, _, post_m = _prepared(postings, hot_words, cell_rows)
-    return _pairs(freq, hot, post_m, cell_rows, key_bits, with_sizes)
-
-
-def _pairs(freq: DataFrame, hot: DataFrame, post_m: DataFrame, cell_rows: int, key_bits: int,
-           with_sizes: bool, skip_bits: int = 0) -> DataFrame:
-    """The pairs of both branches; pairs that share one of the first ``skip_bits`` hot words are left out."""
-    if not with_sizes:
-        post_m = post_m.drop("n")
-    t = int(key_bits)
-    sized = ["ns", "nd"] if with_sizes else []
-
-    # Hot branch: a pair is kept at its lowest shared bit only. The first
-    # min(bit, key_bits) lower bits are part of the join key (pairs sharing
-    # one of them never meet), the rest are checked in the join condition.
-    hp = post_m.join(F.broadcast(hot.where(F.col("bit") >= skip_bits).select("w", "bit", "blocks")), "w").withColumn(
-        "kb", F.least(F.col("bit"), F.lit(t))
-    )
-    left, right = _grid_sides(hp, ["bit", "kb"], ["kb"])
-    left = left.select("w", "src", "ms", *sized[:1], "bit", "cell", _low("ms", "kb").alias("key"))
-    right = right.select(
-        "w", "dst", "md", *sized[1:], "cell", F.explode(_subsets_avoiding("md", "kb")).alias("key")
+    squares = F.col("d").cast("double") * F.col("d")
+    total = freq.agg(F.sum(squares)).first()[0] or 0.0
+    heavy = freq.where(squares >= F.lit(hot_share * total))
+    hot = cuts.cut(_hot_from_freq(heavy, hot_words, cell_rows), "hot")
+    # At most 62 rows.
+    shares = [r["d"] * r["d"] / total for r in hot.select("d").collect()]
+    large = sum(x >= key_share for x in shares)
+    extra = [c for c in bags.columns if c != "v"]
+    if shares:
+        masked = postings.join(F.broadcast(hot.select("w", "bit")), "w").groupBy("v").agg(F.bit_or(_bit("bit")).alias("m"))
+        held = bags.join(masked, "v", "left").select("v", *extra, "m") if extra else masked
+        bags = cuts.cut(held.fillna(0, ["m"]), "bags")
+    else:
+        bags = bags.select("v", *extra, F.lit(0).cast("bigint").alias("m"))
+    if shares or extra:
+        # The left join (same rows as an inner one) lets only the per-bag side
+        # be broadcast, so the postings keep streaming in their own partitions.
+        out = cuts.cut(postings.join(bags, "v", "left").fillna(0, ["m"]), "postings_masked")
+    else:
+        out = postings.withColumn("m", F.lit(0).cast("bigint"))
+    return _Prepared(freq, hot, bags, out, len(shares), min(int(key_bits), large), min(int(count_bits), large))
+
+
+def _apart_ends(once: bool) -> F.Column:
+    """No bag with itself; with ``once`` a pair in one direction only."""
+    return F.col("src") < F.col("dst") if once else F.col("src") != F.col("dst")
+
+
+def _hot_pairs(p: _Prepared, carry: list[str], skip_bits: int, once: bool = False) -> DataFrame:
+    """Pairs that share a hot word, kept at their lowest shared bit only. The first min(bit, keyed) lower bits are
+    part of the join key (pairs sharing one of them never meet), the rest are checked in the join condition."""
+    hp = p.postings.join(F.broadcast(p.hot.where(F.col("bit") >= skip_bits).select("w", "bit", "blocks")), "w").withColumn(
+        "kb", F.least(F.col("bit"), F.lit(p.keyed))
     )
+    left, right = _grid_sides(hp, carry, ["bit", "kb"], ["kb"])
+    left = left.withColumn("key", _low("ms", "kb"))
+    right = right.withColumn("key2", F.explode(_subsets_avoiding("md", "kb")))
     lower_bits = _bit("bit") - 1
-    hot_pairs = left.join(
+    return left.join(
         right,
-        (left.w == right.w)
-        & (left.cell == right.cell)
-        & (left.key == right.key)
-        & (left.src != right.dst)
+        (left.w == right.w2)
+        & (left.cell == right.cell2)
+        & (left.key == right.key2)
+        & _apart_ends(once)
         & ((left.ms.bitwiseAND(right.md)).bitwiseAND(lower_bits) == 0),
-    ).select("src", "dst", *sized)
+    ).select("src", "dst", *[f"{c}{e}" for c in carry for e in "sd"])
+
 
-    # Rare branch: words outside the hot table that at least two bags hold;
-    # only pairs without a shared hot word count here (the first key_bits
-    # bits through the key, the others in the condition), then distinct. A
-    # rare word can still be large at scale: it is block split like a hot one
+def _rare_postings(p: _Prepared, cuts: TableCuts, cell_rows: int, prefix_words: int) -> tuple[DataFrame, DataFrame | None]:
+    """Postings of the words without a bit that two bags hold.
+
+    First those of bags with at most ``prefix_words`` of them, each with ``before``: the rare words that its bag
+    has earlier in the order (most bags first, then the word). Then, if a bag has more, those of all bags with
+    ``long`` true for such a bag, else null."""
+    # A rare word can still be large at scale: it is block split like a hot one
     # (the frequency table is joined, not broadcast: it grows with the data).
-    rare_freq = freq.select("w", _blocks(F.col("d"), cell_rows).alias("blocks"))
-    rare = (
-        post_m.join(F.broadcast(hot.select("w")), "w", "left_anti")
-        .join(rare_freq, "w")
-        .withColumn("kb", F.lit(t))
-    )
-    a, b = _grid_sides(rare, ["kb"], ["kb"])
-    a = a.select("w", "src", "ms", *sized[:1], "cell", _low("ms", "kb").alias("key"))
-    b = b.select(
-        F.col("w").alias("w2"), "dst", "md", *sized[1:], F.col("cell").alias("cell2"),
-        F.explode(_subsets_avoiding("md", "kb")).alias("key2"),
-    )
-    rare_pairs = (
-        a.join(
-            b,
-            (a.w == b.w2) & (a.cell == b.cell2) & (a.key == b.key2)
-            & (a.src != b.dst) & (a.ms.bitwiseAND(b.md) == 0),
-        )
-        .select("src", "dst", *sized)
-        .distinct()
-    )
-    return hot_pairs.unionByName(rare_pairs)
+    rare = p.postings.join(F.broadcast(p.hot.select("w")), "w", "left_anti") if p.bits else p.postings
+    rare = rare.join(p.freq.select("w", "d", _blocks(F.col("d"), cell_rows).alias("blocks")), "w")
+    rare = cuts.cut(rare, "rare")
+    long = rare.groupBy("v").agg(F.count(F.lit(1)).alias("words")).where(F.col("words") > prefix_words).select("v")
+    long = cuts.cut(long, "long-bags")
+    if long.isEmpty():
+        short, of_long = rare, None
+    else:
+        short, of_long = rare.join(long, "v", "left_anti"), rare.join(long.withColumn("long", F.lit(True)), "v", "left")
+    bag = Window.partitionBy("v").orderBy(F.desc("d"), F.asc("w")).rowsBetween(-prefix_words, -1)
+    return cuts.cut(short.withColumn("before", F.collect_list("w").over(bag)).drop("d"), "rare-short"), of_long
+
+
+def _rare_pairs(p: _Prepared, cuts: TableCuts, carry: list[str], cell_rows: int, prefix_words: int,
+                once: bool = False) -> DataFrame:
+    """Pairs that share a word without a bit and none with one."""
+    short, every = _rare_postings(p, cuts, cell_rows, prefix_words)
+    out = ["src", "dst", *[f"{c}{e}" for c in carry for e in "sd"]]
+
+    def met(of_left: DataFrame, of_right: DataFrame, more: list[str]) -> DataFrame:
+        of_left, of_right = (x.withColumn("kb", F.lit(p.keyed)) for x in (of_left, of_right))
+        a, _ = _grid_sides(of_left, carry, ["kb", *more], [])
+        _, b = _grid_sides(of_right.withColumnsRenamed({c: f"{c}2" for c in more}), carry, [], ["kb", *[f"{c}2" for c in more]])
+        on = (F.col("w") == F.col("w2")) & (F.col("cell") == F.col("cell2"))
+        if p.keyed:
+            a = a.withColumn("key", _low("ms", "kb"))
+            b = b.withColumn("key2", F.explode(_subsets_avoiding("md", "kb")))
+            on &= F.col("key") == F.col("key2")
+        on &= _apart_ends(once and "before" in more)
+        if p.bits:
+            on &= F.col("ms").bitwiseAND(F.col("md")) == 0
+        if "before" in more:
+            on &= ~F.arrays_overlap("before", "before2")
+        return a.drop("kb").join(b.drop("kb"), on)
+
+    pairs = met(short, short, ["before"]).select(*out)
+    if every is None:
+        return pairs
+    both = met(every.where("long"), every, ["long"]).select(*out, "long2")
+    if once:
+        return pairs.unionByName(both.where("long2 is null or src < dst").select(*out).distinct())
+    both = both.distinct()
+    turned = both.where(F.col("long2").isNull()).select(
+        F.col("dst").alias("src"), F.col("src").alias("dst"),
+        *[F.col(f"{c}{'d' if e == 's' else 's'}").alias(f"{c}{e}") for c in carry for e in "sd"])
+    return pairs.unionByName(both.select(*out)).unionByName(turned)
+
+
+def _pairs(p: _Prepared, cuts: TableCuts, carry: list[str], cell_rows: int, prefix_words: int, skip_bits: int = 0,
+           once: bool = False) -> DataFrame:
+    """The pairs of both branches; pairs that share one of the first ``skip_bits`` hot words are left out. With
+    ``once`` one row per pair, in either direction."""
+    rare = _rare_pairs(p, cuts, carry, cell_rows, prefix_words, once)
+    return _hot_pairs(p, carry, skip_bits, once).unionByName(rare) if p.bits > skip_bits else rare
 
 
 def overlap_edges(postings: DataFrame, strategy: str = "hybrid", directed: bool = True,
                   hot_words: int = MAX_BITS, cell_rows: int = 4096,
                   key_bits: int = 4, materialize: bool = True,
-                  with_sizes: bool = False, attr: int | None = None) -> DataFrame:
+                  with_sizes: bool = False, attr: int | None = None, prefix_words: int = PREFIX_WORDS) -> DataFrame:
     """J1 + P4: ``src, dst`` for every ordered pair of distinct bags sharing a word.
 
     ``postings(v, w)`` must be unique on ``(v, w)``. ``directed=False`` keeps
@@ -252,14 +311,17 @@ def overlap_edges(postings: DataFrame, strategy: str = "hybrid", directed: bool
     if attr not in (None, 0, 1):
         raise ValueError("attr must be None, 0 or 1")
     p = postings.select("v", "w")
+    cuts = TableCuts(p.sparkSession, "overlap")
     if materialize and strategy != "plain":
         # The postings are read several times (frequencies, masks, both
         # branches): write them once instead of re-deriving them each time.
-        p = TableCuts(p.sparkSession, "overlap").cut(p, "postings")
+        p = cuts.cut(p, "postings")
     if strategy == "plain":
         edges = _plain(p, with_sizes)
     elif strategy == "hybrid":
-        edges = _hybrid(p, hot_words, cell_rows, key_bits, with_sizes)
+        bags = p.groupBy("v").agg(F.count(F.lit(1)).alias("n")) if with_sizes else p.select("v")
+        prepared = _prepared(p, bags, cuts, hot_words, cell_rows, key_bits)
+        edges = _pairs(prepared, cuts, ["n"] if with_sizes else [], cell_rows, prefix_words)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     if not directed:
@@ -292,50 +354,75 @@ def _apart(cells: DataFrame, bits: int, by: list[str], sums: list[str]) -> DataF
     return out.groupBy("low", *by).agg(*[F.sum(c).alias(f"{c}_apart") for c in sums])
 
 
+def _classes(postings: DataFrame, cuts: TableCuts) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Bags of equal words as one class each: ``bags(v, n, rep)``, ``classes(v, n, c)`` (the least bag, its words,
+    the bags of the class), and the postings of the classes. Sets are told apart by size and 128 bits of hashes."""
+    sets = cuts.cut(postings.groupBy("v").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("w")).alias("x"),
+        F.bit_xor(F.xxhash64(F.lit("second"), "w")).alias("y")), "sets")
+    held = cuts.cut(sets.groupBy("n", "x", "y").agg(F.min("v").alias("rep"), F.count(F.lit(1)).alias("c")), "classes")
+    bags = sets.join(held.drop("c"), ["n", "x", "y"]).select("v", "n", "rep")
+    classes = held.select(F.col("rep").alias("v"), "n", "c")
+    return bags, classes, postings.join(classes.select("v"), "v", "left_semi")
+
+
 def neighbor_totals(postings: DataFrame, count_bits: int = 8, hot_words: int = MAX_BITS, cell_rows: int = 4096,
-                    key_bits: int = 4) -> DataFrame:
+                    key_bits: int = 4, prefix_words: int = PREFIX_WORDS, hot_share: float = HOT_SHARE,
+                    key_share: float = KEY_SHARE) -> DataFrame:
     """``v, n, k, total`` per bag with a neighbour: words, neighbours, sum of the neighbours' words.
 
-    Neighbours through one of the ``count_bits`` most frequent words are not
+    Bags with equal words are joined as one class. Neighbours through one of
+    the counted words (at most ``count_bits``, each with ``key_share`` of
+    Σ df²; none where words are even) are not
     enumerated: they are all bags but those with a disjoint mask and the bag
     itself, and bags are counted per mask (2^count_bits rows at most). Only
     pairs without such a word go through the pair join.
     """
-    p = TableCuts(postings.sparkSession, "overlap").cut(postings.select("v", "w"), "postings")
-    freq, hot, bags, post_m = _prepared(p, hot_words, cell_rows)
-    rest = _pairs(freq, hot, post_m, cell_rows, key_bits, True, count_bits).groupBy(F.col("src").alias("v")).agg(
-        F.count(F.lit(1)).alias("k2"), F.sum("nd").alias("total2"))
-    low = bags.withColumn("low", F.col("m").bitwiseAND((1 << count_bits) - 1))
-    cells = low.groupBy("low").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
-    apart = _apart(cells, count_bits, [], ["c", "s"])
-    # One row: all bags with a word, and their words.
-    every = cells.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("c"), F.coalesce(F.sum("s"), F.lit(0)).alias("s")).first()
-    has = F.col("low") != 0
+    cuts = TableCuts(postings.sparkSession, "overlap")
+    bags, classes, post = _classes(cuts.cut(postings.select("v", "w"), "postings"), cuts)
+    p = _prepared(post, classes, cuts, hot_words, cell_rows, key_bits, count_bits, hot_share, key_share)
+    rest = _pairs(p, cuts, ["n", "c"], cell_rows, prefix_words, p.counted).groupBy(F.col("src").alias("v")).agg(
+        F.sum("cd").alias("k2"), F.sum(F.col("cd") * F.col("nd")).alias("total2"))
     zero = F.lit(0).cast("bigint")
-    counted = low.join(apart, "low").select(
-        "v", "n", F.when(has, F.lit(every["c"]) - F.col("c_apart") - 1).otherwise(zero).alias("k1"),
-        F.when(has, F.lit(every["s"]) - F.col("s_apart") - F.col("n")).otherwise(zero).alias("total1"))
-    return counted.join(rest, "v", "left").select(
-        "v", "n", (F.col("k1") + F.coalesce("k2", zero)).alias("k"),
+    # Without a counted word, the others of a bag's own class are counted here.
+    own = F.col("c") - 1
+    counted = p.bags.select("v", "n", own.alias("k1"), (own * F.col("n")).alias("total1"))
+    if p.counted:
+        low = p.bags.withColumn("low", F.col("m").bitwiseAND((1 << p.counted) - 1))
+        cells = low.groupBy("low").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("n")).alias("s"))
+        apart = _apart(cells, p.counted, [], ["c", "s"])
+        # One row: all bags with a word, and their words.
+        every = cells.agg(F.coalesce(F.sum("c"), zero).alias("c"), F.coalesce(F.sum("s"), zero).alias("s")).first()
+        has = F.col("low") != 0
+        counted = low.join(apart, "low").select(
+            "v", "n", F.when(has, F.lit(every["c"]) - F.col("c_apart") - 1).otherwise(own).alias("k1"),
+            F.when(has, F.lit(every["s"]) - F.col("s_apart") - F.col("n")).otherwise(own * F.col("n")).alias("total1"))
+    per_class = counted.join(rest, "v", "left").select(
+        F.col("v").alias("rep"), (F.col("k1") + F.coalesce("k2", zero)).alias("k"),
         (F.col("total1") + F.coalesce("total2", zero)).alias("total")).where("k > 0")
+    return bags.join(per_class, "rep").select("v", "n", "k", "total")
 
 
 def larger_source_count(postings: DataFrame, count_bits: int = 8, hot_words: int = MAX_BITS, cell_rows: int = 4096,
-                        key_bits: int = 4) -> DataFrame:
+                        key_bits: int = 4, prefix_words: int = PREFIX_WORDS, hot_share: float = HOT_SHARE,
+                        key_share: float = KEY_SHARE) -> DataFrame:
     """Q1: ``n_edges``, the pairs of bags that share a word and differ in size (one direction of each counts).
 
-    Pairs that share one of the ``count_bits`` most frequent words are counted
-    per mask and size, as in ``neighbor_totals``; the others are joined.
+    Bags with equal words are joined as one class; pairs that share a counted
+    word are counted per mask and size, as in ``neighbor_totals``; the others are joined.
     """
-    p = TableCuts(postings.sparkSession, "overlap").cut(postings.select("v", "w"), "postings")
-    freq, hot, bags, post_m = _prepared(p, hot_words, cell_rows)
-    rest = _pairs(freq, hot, post_m, cell_rows, key_bits, True, count_bits).where("src < dst and ns != nd").agg(
-        F.count(F.lit(1)).alias("x"))
-    low = bags.withColumn("low", F.col("m").bitwiseAND((1 << count_bits) - 1))
-    cells = low.groupBy("low", "n").agg(F.count(F.lit(1)).alias("c"))
+    cuts = TableCuts(postings.sparkSession, "overlap")
+    _, classes, post = _classes(cuts.cut(postings.select("v", "w"), "postings"), cuts)
+    p = _prepared(post, classes, cuts, hot_words, cell_rows, key_bits, count_bits, hot_share, key_share)
+    rest = _pairs(p, cuts, ["n", "c"], cell_rows, prefix_words, p.counted, True).where("ns != nd").agg(
+        F.sum(F.col("cs") * F.col("cd")).alias("x"))
+    if not p.counted:
+        return rest.select(F.coalesce("x", F.lit(0).cast("bigint")).alias("n_edges"))
+    low = p.bags.withColumn("low", F.col("m").bitwiseAND((1 << p.counted) - 1))
+    cells = low.groupBy("low", "n").agg(F.sum("c").alias("c"))
     masks = cells.groupBy("low").agg(F.sum("c").alias("c"))
-    apart = _apart(masks, count_bits, [], ["c"]).withColumnRenamed("c_apart", "apart")
-    apart_n = _apart(cells, count_bits, ["n"], ["c"]).withColumnRenamed("c_apart", "apart_n")
+    apart = _apart(masks, p.counted, [], ["c"]).withColumnRenamed("c_apart", "apart")
+    apart_n = _apart(cells, p.counted, ["n"], ["c"]).withColumnRenamed("c_apart", "apart_n")
     same = cells.groupBy("n").agg(F.sum("c").alias("same"))
     every = masks.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("c")).first()["c"]
     # Per bag: those that share a hot word with it, less those of them with its size.
