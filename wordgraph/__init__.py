@@ -7,13 +7,14 @@ Public API (every function maps DataFrames to DataFrames):
 * sinks: ``write_tuples``, ``write_table``
 * graph: ``Graph``, ``vertices_of``, ``out_degrees``, ``degrees``,
   ``with_degrees``, ``edge_weights``, ``triplets``, ``update_join``,
-  ``aggregate_neighbors``, ``adjacency``
+  ``map_triplets``, ``aggregate_neighbors``, ``aggregate_messages``,
+  ``adjacency``, ``adjacency_lists``
 * overlap: ``bag_sizes``, ``overlap_edges``, ``overlap_graph``
 * iterative: ``pagerank``, ``components_from_postings``,
   ``components_from_edges``, ``component_sizes``
 * placement: ``place``, ``placement_report``, ``placement_summary``
 * questions: ``larger_source_edges``, ``most_popular_vertex``,
-  ``neighbor_average``, ``most_popular_word``, ``word_presence``,
+  ``neighbor_average``, ``tied_vertices``, ``most_popular_word``, ``word_presence``,
   ``largest_component``
 * streaming: ``interval_counts_stream``
 * session: ``checkpoint_dir``, ``release_cuts``
@@ -27,11 +28,14 @@ from wordgraph.operators.components import (
 from wordgraph.operators.graph import (
     Graph,
     adjacency,
+    adjacency_lists,
     adjacency_targets,
+    aggregate_messages,
     aggregate_neighbors,
     degrees,
     edge_weights,
     in_degrees,
+    map_triplets,
     out_degrees,
     triplets,
     update_join,
@@ -47,6 +51,7 @@ from wordgraph.plans.questions import (
     most_popular_vertex,
     most_popular_word,
     neighbor_average,
+    tied_vertices,
     word_presence,
     word_totals,
 )

@@ -11,9 +11,10 @@ contribution have one — after k rounds just the ends of walks of length k.
 
 Plan per round (one Spark job, lineage cut by a written table):
 
-* The weighted edge table is built once: ``1 / outdeg`` per edge, hash
-  partitioned and sorted on the join key ``(src, salt)`` and persisted (memory
-  and disk), so a round shuffles only the ranks, never the edges. Every
+* The weighted edge table is built once: ``1 / outdeg`` per edge, written
+  below ``spark.checkpoint.dir`` as a table bucketed and sorted on the join key
+  ``(src, salt)``, so a round shuffles only the ranks, never the edges, and no
+  executor holds the only copy. Every
   placement of the reference is a vertex cut on this table: it decides how
   many salts a source's edges spread over (grid: the grid's columns; pair:
   up to one per edge), and each rank is copied once per salt.
@@ -24,17 +25,21 @@ Plan per round (one Spark job, lineage cut by a written table):
   many tasks. Contributions are summed per target with a partial
   (map-side) aggregate, so a hot target adds one row per task.
 * Ranks are written below ``spark.checkpoint.dir`` every round (no
-  ``localCheckpoint``): a lost executor recomputes at most one round.
+  ``localCheckpoint``): a lost executor recomputes at most one round. A run
+  with a ``name`` that ended, or whose driver was lost, goes on from its last complete
+  round when it is started again.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+import hashlib
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordgraph.functions.columns import DAMPING, INITIAL_RANK, RESET, grid_shape
-from wordgraph.session import TableCuts
+from wordgraph.session import TableCuts, is_complete
 
 DEFAULT_SALT_EDGES = 1 << 20
 
@@ -115,17 +120,19 @@ def weighted_edges(edges: DataFrame, dedupe: bool, salt_edges: int = DEFAULT_SAL
 def pagerank(edges: DataFrame, iterations: int = 10, missing: str = "keep", dedupe: bool | None = None,
              placement: str | None = None, num_partitions: int | None = None,
              salt_edges: int = DEFAULT_SALT_EDGES, reset: float = RESET, damping: float = DAMPING,
-             checkpoint_every: int = 1) -> DataFrame:
+             checkpoint_every: int = 1, name: str | None = None) -> DataFrame:
     """``id, rank`` after ``iterations`` rounds (no tolerance, no normalisation).
 
     placement: ``None`` / ``'src'`` (by source), ``'grid'`` (2-D cut: each
     source's edges over the ``cols`` columns of the grid of ``n`` parts),
     ``'pair'`` (hash of both ends), ``'mod'`` (by source, drop form). Each is
-    a vertex cut on the persisted edges (see ``_salt_rule``); placement
+    a vertex cut on the bucketed edges (see ``_salt_rule``); placement
     changes the order of floating-point sums only, never a rank beyond
     rounding.
     ``checkpoint_every``: rounds between two written rank tables (the plan
     of a round reads the ranks once, so it grows linearly in between).
+    ``name``: names the run's tables (with its settings, not ``iterations``): a second run under the same name takes
+    up the edges and the last complete round that the first one wrote, so the edges given must be the same.
     """
     if missing not in ("keep", "drop"):
         raise ValueError("missing must be 'keep' or 'drop'")
@@ -135,20 +142,41 @@ def pagerank(edges: DataFrame, iterations: int = 10, missing: str = "keep", dedu
     n = int(num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
     keep = missing == "keep"
 
-    weights = weighted_edges(edges, dedupe, salt_edges, self_rows=keep, placement=placement, n=n)
-    # Placed and sorted once on the join key: rounds move ranks (one copy per
-    # salt), never edges, and a sort-merge join does not sort the edges again.
-    placed = weights.repartition(n, "src", "salt").sortWithinPartitions("src", "salt")
-    weights = placed.persist(StorageLevel.MEMORY_AND_DISK)
+    if name is not None:
+        settings = repr((missing, dedupe, placement, n, salt_edges, reset, damping))
+        name = f"{name}-{hashlib.sha256(settings.encode()).hexdigest()[:12]}"
+    cuts = TableCuts(spark, "pagerank", name)
+    table = f"wordgraph_edges_{uuid.uuid4().hex}"
     try:
-        return _rounds(spark, weights, iterations, keep, reset, damping, checkpoint_every)
+        weights = bucketed_edges(
+            spark, cuts, table, n, lambda: weighted_edges(edges, dedupe, salt_edges, self_rows=keep, placement=placement, n=n))
+        return _rounds(cuts, weights, iterations, keep, reset, damping, checkpoint_every)
     finally:
-        weights.unpersist()
+        # Only the catalog entry: the files stay for a run of the same name.
+        spark.sql(f"drop table if exists {table}")
+
+
+def bucketed_edges(spark: SparkSession, cuts: TableCuts, table: str, n: int, make) -> DataFrame:
+    """The weighted edges as a table of ``n`` buckets sorted on ``(src, salt)``, written if the folder has none yet.
+
+    Dealt like its buckets before it is written, so that every bucket is one file.
+    """
+    path = f"{cuts.root}/edges"
+    if not is_complete(spark, path):
+        made = make()
+        made.repartition(n, "src", "salt").write.mode("overwrite").option("path", path).format("parquet").bucketBy(
+            n, "src", "salt").sortBy("src", "salt").saveAsTable(table)
+    else:
+        fields = spark.read.parquet(path).schema.fields
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        spark.sql(f"create table {table} ({columns}) using parquet clustered by (src, salt) sorted by (src, salt) "
+                  f"into {n} buckets location '{path}'")
+    return spark.table(table)
 
 
-def _rounds(spark, weights: DataFrame, iterations: int, keep: bool, reset: float, damping: float,
+def _rounds(cuts: TableCuts, weights: DataFrame, iterations: int, keep: bool, reset: float, damping: float,
             checkpoint_every: int) -> DataFrame:
-    # Start ranks from the persisted weight table, so the edge input is
+    # Start ranks from the written weight table, so the edge input is
     # evaluated once: every vertex (keep) or every source (drop) at 1.0.
     if keep:
         start = weights.where("is_self").select(F.col("src").alias("id"), F.col("dst_salts").alias("salts"))
@@ -156,10 +184,14 @@ def _rounds(spark, weights: DataFrame, iterations: int, keep: bool, reset: float
         start = weights.select(F.col("src").alias("id"), F.col("src_salts").alias("salts")).distinct()
     ranks = start.select("id", F.lit(INITIAL_RANK).alias("rank"), "salts")
 
-    # The start ranks are derived from the persisted edges (cheap to redo),
+    # The start ranks are derived from the written edges (cheap to redo),
     # so round 1 reads them directly; every later round reads a written table.
-    cuts = TableCuts(spark, "pagerank")
-    for i in range(1, iterations + 1):
+    kind = {f.name: f.dataType.simpleString() for f in weights.schema.fields}
+    done = max((i for i in range(1, iterations + 1) if is_complete(cuts.spark, f"{cuts.root}/ranks-{i}")), default=0)
+    if done:
+        ranks = cuts.spark.read.schema(f"id {kind['src']}, rank double, salts int").parquet(f"{cuts.root}/ranks-{done}")
+        cuts.paths.append(f"{cuts.root}/ranks-{done}")
+    for i in range(done + 1, iterations + 1):
         sent = ranks.select("id", "rank", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
         joined = weights.join(sent, (weights.src == sent.id) & (weights.salt == sent.salt))
         msg = F.when(~F.col("is_self"), F.col("rank") * F.col("weight"))

@@ -78,6 +78,16 @@ def most_popular_bag(totals: DataFrame) -> DataFrame:
         F.desc("out_degree"), F.desc("n_words"), F.asc("v")).limit(1)
 
 
+def tied_vertices(degrees: DataFrame) -> DataFrame:
+    """All of ``degrees(v, out_degree, n_words)`` at the largest out-degree, with their number ``n_tied``.
+
+    The largest degree and how many have it are one row of a partial aggregate, the vertices a filter by it;
+    no ties are brought to one place.
+    """
+    top = degrees.groupBy("out_degree").agg(F.count(F.lit(1)).alias("n_tied")).orderBy(F.desc("out_degree")).limit(1)
+    return degrees.join(F.broadcast(top), "out_degree").select("v", "out_degree", "n_words", "n_tied")
+
+
 def neighbor_average_of(totals: DataFrame) -> DataFrame:
     """Q3 from ``overlap.neighbor_totals``, without the pairs."""
     return totals.select("v", truncated_div("total", "k").alias("avg_words"),
@@ -126,6 +136,7 @@ __all__ = [
     "most_popular_vertex",
     "neighbor_average",
     "most_popular_bag",
+    "tied_vertices",
     "neighbor_average_of",
     "word_totals",
     "most_popular_word",

@@ -7,15 +7,18 @@ to 9 digits on both sides, DuckDB's 128-bit sums are cast to BIGINT.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wordgraph.functions.columns import doc_tokens, hour_key
 from wordgraph.operators import components as C
 from wordgraph.operators import graph as G
 from wordgraph.operators import overlap as O
 from wordgraph.operators import placement as PL
+from wordgraph.operators.numbering import number_rows
 from wordgraph.operators.pagerank import pagerank
 from wordgraph.plans import fixtures as FX
 from wordgraph.plans import questions as Q
@@ -23,7 +26,7 @@ from wordgraph.session import TableCuts
 from wordgraph.sources import text as T
 from wordgraph.sources.sinks import write_tuples
 from wordgraph.sources.tables import bags_from_events
-from wordgraph.streaming.intervals import run_interval_counts
+from wordgraph.streaming.intervals import append_closed_intervals, run_interval_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -116,6 +119,45 @@ def neighbor_sum_to_dst(spark, d):
     return G.aggregate_neighbors(e, values, F.col("src_value"), to="dst", sides=("src",))
 
 
+@register("adjacency_lists", f"""with e as (select distinct src, dst from {FX.F_EDGE_SQL})
+    select src, dst, count(*) over (partition by src) n_targets from e""")
+def adjacency_lists(spark, d):
+    """Pieces of 4 targets from salts of 8, exploded again: every target once, with its source's number of targets."""
+    pieces = G.adjacency_lists(FX.f_edge(spark, d), max_targets=4, salt_edges=8)
+    return pieces.select("src", F.explode("targets").alias("dst"), "n_targets")
+
+
+@register("adjacency_list_sizes", f"""with k as (select src, count(*) n from (select distinct src, dst from {FX.F_EDGE_SQL}) group by src)
+    select src, unnest(range((n + 15) // 16)) piece, n n_targets from k""")
+def adjacency_list_sizes(spark, d):
+    """Pieces are numbered from 0 without gaps, and full but for the last."""
+    pieces = G.adjacency_lists(FX.f_edge(spark, d), max_targets=16)
+    return pieces.where((F.size("targets") == 16) | (F.size("targets") == F.col("n_targets") - 16 * F.col("piece"))).drop("targets")
+
+
+@register(
+    "neighbor_sums_both",
+    f"""with e as {FX.F_EDGE_SQL}, s as (select p_partkey v, p_size x from part),
+    m as (select e.src v, b.x from e join s a on a.v = e.src join s b on b.v = e.dst
+      union all select e.dst, a.x from e join s a on a.v = e.src join s b on b.v = e.dst)
+    select v, cast(sum(x) as bigint) total, count(*) n, min(x) least, max(x) largest from m group by v""",
+)
+def neighbor_sums_both(spark, d):
+    values = FX.table(spark, d, "part").select(F.col("p_partkey").alias("v"), F.col("p_size").alias("size"))
+    return G.aggregate_messages(
+        FX.f_edge(spark, d), values, {"src": F.col("dst_size"), "dst": F.col("src_size")},
+        {"total": F.sum, "n": F.count, "least": F.min, "largest": F.max})
+
+
+@register("triplet_differences", f"""select e.src, e.dst, a.p_size - b.p_size size_step, b.p_retailprice price
+    from {FX.F_EDGE_SQL} e join part a on a.p_partkey = e.src join part b on b.p_partkey = e.dst""")
+def triplet_differences(spark, d):
+    attrs = FX.table(spark, d, "part").select(F.col("p_partkey").alias("v"), F.col("p_size").alias("size"),
+                                              F.col("p_retailprice").alias("price"), "p_name")
+    return G.map_triplets(FX.f_edge(spark, d), attrs, {"size_step": F.col("src_size") - F.col("dst_size"),
+                                                       "price": F.col("dst_price")})
+
+
 @register("adjacency_targets", f"""with e as (select distinct src, dst from {FX.F_EDGE_SQL})
     select src, dst, count(*) over (partition by src) n_targets from e""")
 def adjacency_targets(spark, d):
@@ -160,6 +202,44 @@ def write_tuples_file(spark, d):
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
+DOCS_PER_FILE = 64
+
+
+def _written_bags(spark, d) -> str:
+    """Files of the words of 64 documents each, one word a line, and an empty first file."""
+    cuts = TableCuts(spark, "bag-files")
+    docs = number_rows(FX.table(spark, d, "documents").select("doc_id", "text"), [F.col("doc_id").asc()], cuts)
+    bag = F.floor(F.col("v") / F.lit(DOCS_PER_FILE)).cast("int") + 1
+    words = docs.select(bag.alias("bag"), F.explode(doc_tokens("text")).alias("value"))
+    files = docs.agg(F.max(bag)).first()[0] or 0
+    # Part 0 stays empty and is written, as every job writes its first part.
+    path = f"{cuts.root}/bags"
+    words.repartitionById(files + 1, F.col("bag")).select("value").write.text(path)
+    return path
+
+
+_BAG_FILES_SQL = f"""(select v, w, count(*) c from (select (n - 1) // {DOCS_PER_FILE} + 1 v,
+    unnest(regexp_extract_all(lower(text), '[a-zà-ÿ0-9]+')) w
+    from (select text, row_number() over (order by doc_id) n from documents)) group by all)"""
+
+
+@register("bag_files_counts", f"select v, w, c from {_BAG_FILES_SQL}")
+def bag_files_counts(spark, d):
+    return T.bag_files(spark, _written_bags(spark, d), counts=True)[1]
+
+
+@register("bag_files_words", f"select v, w from {_BAG_FILES_SQL}")
+def bag_files_words(spark, d):
+    return T.bag_files(spark, _written_bags(spark, d))[1]
+
+
+@register("bag_files_sizes", f"""select v, count(w) n from (select unnest(range((count(*) + {DOCS_PER_FILE - 1}) // {DOCS_PER_FILE} + 1)) v
+    from documents) left join {_BAG_FILES_SQL} using (v) group by v""")
+def bag_files_sizes(spark, d):
+    """The empty file is a vertex too."""
+    return O.bag_sizes(*T.bag_files(spark, _written_bags(spark, d)))
+
+
 # --- PageRank -------------------------------------------------------------------
 
 
@@ -233,6 +313,14 @@ def pagerank_keep_salted(spark, d):
     return _pr(spark, d, iterations=10, missing="keep", placement="src", salt_edges=8)
 
 
+@register("pagerank_keep_resumed", _pagerank_keep_sql(10))
+def pagerank_keep_resumed(spark, d):
+    """A run of four rounds, and one under the same name that goes on from its tables."""
+    name = f"resumed-{uuid.uuid4().hex}"
+    pagerank(FX.f_edge(spark, d), iterations=4, missing="keep", name=name)
+    return _pr(spark, d, iterations=10, missing="keep", name=name)
+
+
 @register("pagerank_drop", _pagerank_drop_sql(10))
 def pagerank_drop(spark, d):
     return _pr(spark, d, iterations=10, missing="drop", placement="mod")
@@ -330,6 +418,28 @@ def interval_bags_stream(spark, d):
     return run_interval_counts(spark, d, "events.parquet", "ts", "event_type", "1 hour")
 
 
+@register("interval_bags_watermark", f"""with t as (select ts, event_type w, {FX.HOUR_SQL} v from events),
+    m as (select min(ts) a, max(ts) b from events)
+    select v, w, count(*) c from t, m where w is not null
+      and timestamp '1970-01-01' + to_hours(cast(v + 1 as integer)) <= b - interval 10 minutes group by v, w""")
+def interval_bags_watermark(spark, d):
+    """Two batches in event order, then the first half's events once more, all of them late.
+
+    Rule: an hour's counts come once the latest event is 10 minutes past its end; the events that come again
+    belong to closed hours and are dropped. Hours that no event closes are not returned.
+    """
+    events = FX.table(spark, d, "events").select("ts", "event_type")
+    ends = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
+    hour = hour_key("ts")
+    half = ends.select(((hour_key("a") + hour_key("b")) / 2).cast("long").alias("half")).first()["half"]
+    root = TableCuts(spark, "watermark").root
+    found = None
+    for batch in (events.where(hour <= half), events.where(hour > half), events.where(hour <= half)):
+        batch.write.mode("append").parquet(f"{root}/events")
+        found = append_closed_intervals(spark, f"{root}/events", events.schema, "ts", "event_type", "1 hour", "10 minutes", root)
+    return found
+
+
 # --- overlap graph --------------------------------------------------------------
 
 
@@ -428,6 +538,25 @@ register("q2_popular_vertex_docs", _q2_sql(FX.F_BAG_DOC_SQL))(_q2(FX.f_bag_doc))
 register("q2_popular_vertex_customers", _q2_sql(FX.F_BAG_CUST_SQL))(_q2(FX.f_bag_cust))
 
 
+def _q2_tied_sql(bag_sql: str) -> str:
+    return f"""with s as {_sizes_sql(bag_sql)},
+    k as (select g.src v, count(*) out_degree, max(s.n) n_words from {_pairs_sql(bag_sql)} g join s on s.v = g.src group by g.src)
+    select v, out_degree, n_words, count(*) over () n_tied from k where out_degree = (select max(out_degree) from k)"""
+
+
+def _q2_tied(fixture):
+    def q(spark, d):
+        # Read twice: for the largest degree, and for those that have it.
+        totals = TableCuts(spark, "tied").cut(O.neighbor_totals(fixture(spark, d)[1]), "totals")
+        return Q.tied_vertices(totals.select("v", F.col("k").alias("out_degree"), F.col("n").alias("n_words")))
+
+    return q
+
+
+register("q2_tied_vertices", _q2_tied_sql(FX.F_BAG_CUST_SQL))(_q2_tied(FX.f_bag_cust))
+register("q2_tied_vertices_hours", _q2_tied_sql(FX.F_BAG_HOUR_SQL))(_q2_tied(FX.f_bag_hour))
+
+
 def _q3_sql(bag_sql: str) -> str:
     return f"""with s as {_sizes_sql(bag_sql)},
     t as (select g.src v, sum(b.n) total, count(*) k from {_pairs_sql(bag_sql)} g join s b on b.v = g.dst group by g.src)

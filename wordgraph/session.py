@@ -53,6 +53,15 @@ def _delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(conf).delete(p, True)
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to its end: its writer's job marked it."""
+    sc = _context(spark)
+    if sc is None:  # Spark Connect: no file system handle on the client
+        return False
+    p = sc._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p)
+
+
 def release_cuts(spark: SparkSession) -> int:
     """Delete every table this application wrote below the checkpoint folder.
 
@@ -74,9 +83,10 @@ class TableCuts:
     ``drop(df_path)`` removes a table that no later plan reads.
     """
 
-    def __init__(self, spark: SparkSession, prefix: str):
+    def __init__(self, spark: SparkSession, prefix: str, name: str | None = None):
+        """``name``: a folder that a later run under the same name finds again; else one of its own."""
         self.spark = spark
-        self.root = f"{checkpoint_dir(spark).rstrip('/')}/wordgraph-{prefix}-{uuid.uuid4().hex}"
+        self.root = f"{checkpoint_dir(spark).rstrip('/')}/wordgraph-{prefix}-{name or uuid.uuid4().hex}"
         self.paths: list[str] = []
         sc = _context(spark)
         _ROOTS.setdefault(sc.applicationId if sc else "connect", []).append(self.root)

@@ -2,7 +2,7 @@
 
 All readers are one ``spark.read.text`` scan (any number of files, split
 across tasks); nothing is listed or read on the driver beyond the file
-listing that every Spark scan makes.
+listing that every Spark scan makes, and no path of it reaches Python.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordgraph.functions.columns import fields
+from wordgraph.operators.numbering import number_rows
+from wordgraph.session import TableCuts
 
 EDGE_COMMENT = "#"
 
@@ -55,32 +57,32 @@ def url_pairs(spark: SparkSession, path: str, permissive: bool = False) -> DataF
     return out.distinct()
 
 
-def _bag_scan(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """``(vertices(v, path), lines(v, w))`` for one directory, one file per bag.
-
-    Vertex ids are the positions of the files in path order, from 0. The
-    vertex list comes from the scan's own file listing (``inputFiles``), so
-    an empty file — which gives no line — is still a vertex. Lines are tied
-    to files through ``input_file_name()``, spelt like ``inputFiles``.
-    """
-    reader = spark.read.option("recursiveFileLookup", "false")
-    df = reader.text(path).select(F.input_file_name().alias("path"), F.col("value").alias("w"))
-    # The listing is metadata the driver already holds for any file scan
-    # (one path per file); ids are positions in path order.
-    files = sorted(df.inputFiles())
-    vertices = spark.createDataFrame(list(enumerate(files)), "v bigint, path string")
-    # One row per file: AQE broadcasts it when its runtime size is small.
-    lines = df.join(vertices, "path").select("v", "w")
-    return vertices, lines
+def _listing(files: DataFrame) -> DataFrame:
+    """``path`` of every file of a scan, empty ones too, which give no row: the scan's own listing, dealt to many
+    parts and not read by Python."""
+    spark = files.sparkSession
+    jvm = spark.sparkContext._jvm
+    paths = jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(files._jdf.inputFiles())
+    listed = spark._jsparkSession.createDataset(paths, jvm.org.apache.spark.sql.Encoders.STRING()).toDF()
+    return DataFrame(listed, spark).select(F.col("value").alias("path")).distinct()
 
 
 def bag_files(spark: SparkSession, path: str, counts: bool = False) -> tuple[DataFrame, DataFrame]:
     """``(vertices(v, path), postings(v, w))`` or ``(vertices, counts(v, w, c))``.
 
-    One line is one word, untouched (no trim, no case fold; an empty line is
-    the word ``""``).
+    One file is one bag, one line one word, untouched (no trim, no case fold; an empty line is
+    the word ``""``). Vertex ids are the positions of the files in path order, from 0; an empty file is
+    a vertex without words.
+
+    Lines are counted per (path, word) before anything else, so a long file is no key of its raw lines. Ids
+    are numbered in Spark, in ranges of the paths. Both tables are written below the checkpoint folder.
     """
-    vertices, lines = _bag_scan(spark, path)
-    if counts:
-        return vertices, lines.groupBy("v", "w").agg(F.count(F.lit(1)).alias("c"))
-    return vertices, lines.distinct()
+    cuts = TableCuts(spark, "bags")
+    files = spark.read.option("recursiveFileLookup", "false").text(path)
+    lines = files.select(F.input_file_name().alias("path"), F.col("value").alias("w"))
+    words = cuts.cut(lines.groupBy("path", "w").agg(F.count(F.lit(1)).alias("c")), "words")
+    with_lines = words.select("path").distinct()
+    empty = _listing(files).join(with_lines, "path", "left_anti")
+    vertices = cuts.cut(number_rows(with_lines.union(empty), [F.col("path").asc()], cuts, "paths").select("v", "path"), "vertices")
+    found = words.join(vertices, "path")
+    return vertices, found.select("v", "w", "c") if counts else found.select("v", "w")

@@ -76,3 +76,26 @@ def run_interval_counts(spark: SparkSession, source_dir: str, file_glob: str, ts
     return spark.read.schema("v bigint, w string, c bigint, batch bigint").parquet(out).groupBy("v", "w").agg(
         F.max("c").alias("c")
     )
+
+
+def append_closed_intervals(spark: SparkSession, source_dir: str, schema, ts: str, word: str, every: str, late: str,
+                            root: str) -> DataFrame:
+    """Run ``interval_counts_stream`` in append mode over the files of ``source_dir`` that were not read before.
+
+    An interval is emitted once, when the watermark (latest event time seen, less ``late``) has passed its end; events
+    of an interval that was closed when their batch began are dropped. All new files make one batch. State and
+    output live below ``root``: the next call goes on from there, so files may be added in between. Returns
+    ``v, w, c`` of all intervals closed so far.
+    """
+    stream = spark.readStream.schema(schema).parquet(source_dir)
+    counts = interval_counts_stream(stream, ts, word, every, late)
+    query = (
+        counts.writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", f"{root}/closed")
+        .option("checkpointLocation", f"{root}/closed-checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.schema("v bigint, w string, c bigint").parquet(f"{root}/closed")
