@@ -16,14 +16,20 @@ from wordgraph.llm.common import read_table
 from wordgraph.llm.tokens import public_tokenizer_path
 from wordgraph.session import TableCuts
 
-#: A text stays if some language has at least this share of the score (a quarter
-#: is what four equally likely languages have).
-MIN_LANGUAGE_SCORE = 0.3
+#: A text stays if some language has at least this many times the share of the score that each has where all
+#: are equally likely.
+MIN_LANGUAGE_SHARE = 1.2
+
+
+def _row(docs: DataFrame):
+    """All columns of a row as one, so that their names clash with none of a stage's own."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and are near some language's histograms; null texts go."""
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    """Documents that pass the base rules and are near some language's histograms; null texts go. Labels with too
+    few texts for histograms are judged by the base rules."""
+    rows = docs.select(_row(docs), "text", "lang")
     judged = quality.quality(rows, quality.references(docs), key="row")
     return judged.where("kept").select("row.*")
 
@@ -32,18 +38,19 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a letter whose language is recognised; the network learns from the labelled ones."""
     pairs = langid.sample(docs.select(F.col("doc_id").alias("key"), "text", "lang"))
     found = langid.identified(docs, langid.train(pairs) if pairs else None)
-    recognised = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)
+    least = MIN_LANGUAGE_SHARE / max(1, len({lang for lang, _ in pairs}))
+    recognised = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= least)
     return found.where(recognised if pairs else F.lit(True)).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the least id (then the least hash of its
     text); of rows that repeat both id and text, one."""
-    rows = docs.withColumn("_hash", F.xxhash64("text"))
-    marked = minhash.near_duplicates(rows.select(F.struct("doc_id", "_hash").alias("row"), "text"), key="row")
-    kept = marked.where("kept").select("row.*").distinct().alias("k")
-    same = F.expr("d.doc_id <=> k.doc_id and d._hash <=> k._hash")
-    return rows.alias("d").join(kept, same, "left_semi").dropDuplicates(["doc_id", "_hash"]).drop("_hash")
+    rows = docs.select(_row(docs), F.struct("doc_id", F.xxhash64("text").alias("hash")).alias("id"), "text")
+    marked = minhash.near_duplicates(rows.select("id", "text"), key="id")
+    kept = marked.where("kept").select("id").distinct().alias("k")
+    same = F.expr("d.id.doc_id <=> k.id.doc_id and d.id.hash <=> k.id.hash")
+    return rows.alias("d").join(kept, same, "left_semi").dropDuplicates(["id"]).select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
