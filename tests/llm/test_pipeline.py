@@ -41,3 +41,27 @@ def test_stages_on_empty_tables(spark):
 def test_registered(spark, name):
     table = "pages" if name.startswith("op4") else "documents"
     assert E.queries()[name](spark, SF).count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
+
+def test_new_languages_and_odd_rows_through_the_stages(spark):
+    """Two texts of a new language stay; clashing extra columns, null ids and texts and repeated rows are carried."""
+    import random
+
+    rng = random.Random(3)
+    word = lambda: "".join(chr(1072 + rng.randrange(32)) for _ in range(rng.randrange(2, 9)))
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rare = [(-1 - i, " ".join(word() for _ in range(150)), "uk", "s", 1) for i in range(2)]
+    odd = [(-10, None, "en", None, None), (None, rare[0][1] + " " + rare[1][1], "uk", "s", 1), (-1, *rare[0][1:])]
+    given = docs.unionByName(spark.createDataFrame(rare + odd, "doc_id long, text string, lang string, source string, n_chars long")
+                             .select(*[F.col(c).cast(docs.schema[c].dataType) for c in docs.columns]))
+    for name in ("_hash", "row", "key", "id", "label", "a.b"):
+        given = given.withColumn(name, F.lit("mine"))
+    given = given.cache()
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        out = stage(spark, given, SF)
+        assert out.columns == given.columns
+        rows = out.collect()
+        ids = [r["doc_id"] for r in rows]
+        assert {-1, -2} <= set(ids), name
+        assert all(r["a.b"] == r["_hash"] == r["row"] == "mine" for r in rows)
+        assert ids.count(-1) == (1 if name == "near_duplicates" else 2)
+        assert None in ids and (name == "near_duplicates" or -10 not in ids)

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wordgraph.llm.common import small_batches, text_bytes
 
@@ -180,8 +181,9 @@ def identified(docs: DataFrame, model: Model | None, text: str = "text") -> Data
                 [batch.column("row"), *scorer.answers(text_bytes(batch.column("text")))],
                 names=["row", "lang_pred", "score"])
 
-    kind = packed.schema["row"].dataType.simpleString()
-    return packed.mapInArrow(run, f"row {kind}, lang_pred string, score double")
+    # As a schema, not as text: names of the row's columns may hold any character.
+    return packed.mapInArrow(run, T.StructType([packed.schema["row"], T.StructField("lang_pred", T.StringType()),
+                                                T.StructField("score", T.DoubleType())]))
 
 
 def predict(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str = "text") -> DataFrame:
