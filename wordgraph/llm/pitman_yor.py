@@ -6,29 +6,31 @@ restaurant of its own, for the words that follow it, and all contexts have the
 root as parent: every customer who opens a table in a context sends a customer
 to the root.
 
-The state is one row per (previous word, word) pair seen in training. A sweep
-re-seats every pair, given the tables that its context and its word had after
-the sweep before; both come from a table with one row per word, joined by the
-previous word and by the word. Keys of frequent words are salted. After the
-first sweeps the predictive probabilities of each sweep are kept and averaged.
-
-Only numbers of customers and tables are kept, not who sits where: the chance
-that customer k+1 of a word opens a table is
-
-    (strength + discount * tables) * parent / ((strength + discount * tables) * parent + k - discount * own tables).
+The state is the number of tables of each (previous word, word) pair seen in
+training. Pairs live in chunks: packed columns of some million training tokens,
+dealt by the previous word (a word with more tokens than a chunk is dealt by the
+following word too), so no restaurant grows a task. A sweep takes the tables of
+a pair out of its restaurant and of the root, draws their number anew from its
+distribution given everything else (``seating``), and puts them back before the
+next pairs of the chunk are drawn. Between sweeps chunks exchange one row per
+distinct word: the tables opened in its restaurant, and sent to the root for it.
+Strengths and the root's discount are fitted in the first sweeps; after them the
+predictive probabilities of each sweep are kept and averaged.
 """
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wordgraph.llm import seating
 from wordgraph.llm.blocks import blocks, unpack_numbers
-from wordgraph.llm.common import id_remainder, small_batches
+from wordgraph.llm.common import id_remainder, mix64, small_batches
 from wordgraph.llm.order import numbered
 from wordgraph.session import TableCuts
 
@@ -38,15 +40,30 @@ END = b"\n"
 
 @dataclass(frozen=True)
 class Params:
-    sweeps: int = 4
-    burn_in: int = 2
-    strength: float = 1.0
+    sweeps: int = 6
+    burn_in: int = 3
     seed: int = 7
-    #: Customers of a word seated one by one; the rest in blocks of a sixteenth of those seated.
-    single: int = 64
-    #: A word with at least this share of all training tokens has its joins dealt over ``salts`` keys.
-    hot_share: float = 1 / 512
-    salts: int = 16
+    #: Training tokens of a chunk, on average.
+    chunk_tokens: int = 1 << 21
+    #: Steps of a pass over a chunk: pairs of one context are spread over them, later steps see earlier ones' tables.
+    steps: int = 16
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """Whole numbers as differences, bytes of equal weight together, compressed."""
+    steps = np.diff(values.astype(np.int64), prepend=0).astype("<i8")
+    folded = ((steps << 1) ^ (steps >> 63)).view(np.uint8).reshape(-1, 8).T
+    return zlib.compress(np.ascontiguousarray(folded).tobytes(), 1)
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(8, -1)
+    folded = np.ascontiguousarray(planes.T).reshape(-1).view("<u8")
+    return np.cumsum((folded >> np.uint64(1)).astype(np.int64) ^ -(folded & np.uint64(1)).astype(np.int64))
+
+
+def _column(batch: pa.Table, name: str) -> np.ndarray:
+    return batch.column(name).to_numpy()
 
 
 def vocabulary(table: DataFrame, cuts: TableCuts) -> tuple[DataFrame, int, int]:
@@ -56,6 +73,7 @@ def vocabulary(table: DataFrame, cuts: TableCuts) -> tuple[DataFrame, int, int]:
     counted = each.groupBy("word").agg(F.sum("n").alias("c"))
     rows, types = numbered(counted, [F.col("word").asc()], cuts, "ranges")
     words = cuts.cut(rows.select(F.col("row_no").cast("long").alias("id"), "word", "c"), "vocabulary", compression="zstd")
+    cuts.drop(f"{cuts.root}/ranges")
     return words, types, words.agg(F.sum("c")).first()[0] or 0
 
 
@@ -75,126 +93,156 @@ def _previous(numbers: np.ndarray, sizes: np.ndarray, end: int) -> np.ndarray:
     return out
 
 
-def block_pairs(table: DataFrame, numbers: DataFrame) -> DataFrame:
-    """``of, pair, u, w, n``: each pair of known words of a block, and how often it is in texts that are not flagged.
+class _Block:
+    """A block's tokens and its distinct pairs of known words, chunk by chunk in the order ``u, w``."""
 
-    ``pair`` is ``number of u * words of the block + number of w``.
-    """
+    def __init__(self, texts: pa.Table, found: pa.Table, chunks: int, p: Params):
+        self.size = len(found)
+        where = _column(found, "number")
+        self.end = int(where[found.column("end").to_numpy(zero_copy_only=False)][0])
+        ids, self.c = np.full(self.size, -1, np.int64), np.zeros(self.size, np.int64)
+        ids[where] = found.column("id").fill_null(-1).to_numpy()
+        self.c[where] = found.column("c").fill_null(0).to_numpy()
+        self.sizes = texts.column("sizes")[0].values.to_numpy().astype(np.int64)
+        self.own = unpack_numbers(texts.column("refs")[0].as_py())
+        self.before = _previous(self.own, self.sizes, self.end)
+        self.keys, self.at = np.unique(self.before * self.size + self.own, return_inverse=True)
+        u, w = ids[self.keys // self.size], ids[self.keys % self.size]
+        # A word's pairs are dealt over as many chunks as it has chunks of tokens.
+        salts = 1 + self.c[self.keys // self.size] // p.chunk_tokens
+        salt = mix64(w.astype(np.uint64)) % salts.astype(np.uint64)
+        chunk = (mix64(mix64(u.astype(np.uint64)) + salt) % np.uint64(chunks)).astype(np.int64)
+        order = np.lexsort((w, u, chunk))
+        self.order = order[(u[order] >= 0) & (w[order] >= 0)]
+        self.u, self.w, self.chunk = u[self.order], w[self.order], chunk[self.order]
+        self.numbers, self.starts = np.unique(self.chunk, return_index=True)
+
+    def parts(self):
+        """(chunk, first and last place in the order) of every chunk the block has pairs of."""
+        return zip(self.numbers.tolist(), self.starts.tolist(), [*self.starts[1:].tolist(), len(self.order)])
+
+
+def block_pairs(table: DataFrame, numbers: DataFrame, chunks: int, p: Params) -> DataFrame:
+    """``chunk, of, u, w, n`` (packed): a block's pairs of a chunk, and how often each is in texts that are not flagged."""
 
     def run(texts: pa.Table, found: pa.Table) -> pa.Table:
-        size = len(found)
-        ids = np.full(size, -1, np.int64)
-        where = found.column("number").to_numpy()
-        ids[where] = found.column("id").fill_null(-1).to_numpy()
-        end = int(where[found.column("end").to_numpy(zero_copy_only=False)][0])
-        sizes = texts.column("sizes")[0].values.to_numpy().astype(np.int64)
-        own = unpack_numbers(texts.column("refs")[0].as_py())
-        keys = _previous(own, sizes, end) * size + own
-        train = np.repeat(~texts.column("flags")[0].values.to_numpy(zero_copy_only=False), sizes)
-        keys, at = np.unique(keys, return_inverse=True)
-        n = np.bincount(at[train], minlength=len(keys))
-        u, w = ids[keys // size], ids[keys % size]
-        known = (u >= 0) & (w >= 0)
-        return pa.table({"of": np.full(int(known.sum()), texts.column("block")[0].as_py(), np.int64),
-                         "pair": keys[known], "u": u[known], "w": w[known], "n": n[known]})
+        b = _Block(texts, found, chunks, p)
+        train = np.repeat(~texts.column("flags")[0].values.to_numpy(zero_copy_only=False), b.sizes)
+        n = np.bincount(b.at[train], minlength=len(b.keys))[b.order]
+        of = texts.column("block")[0].as_py()
+        rows = [(c, of, _pack(b.u[i:j]), _pack(b.w[i:j]), _pack(n[i:j])) for c, i, j in b.parts()]
+        return pa.table(dict(zip(("chunk", "of", "u", "w", "n"), map(list, zip(*rows)) if rows else [[]] * 5)), schema=pa.schema(
+            [("chunk", pa.int64()), ("of", pa.int64()), ("u", pa.binary()), ("w", pa.binary()), ("n", pa.binary())]))
 
     parts = table.select("block", "sizes", "flags", "refs").groupBy("block").cogroup(numbers.groupBy("of"))
-    return parts.applyInArrow(run, "of long, pair long, u long, w long, n long")
+    return parts.applyInArrow(run, "chunk long, of long, u binary, w binary, n binary")
 
 
-def seat(customers: np.ndarray, open_weight: np.ndarray, discount: float, rng, single: int) -> np.ndarray:
-    """Tables after seating ``customers`` of one dish each, given ``(strength + discount * tables) * parent``.
+_STATE = ("chunk long, u binary, w binary, n binary, t binary, kept binary, ids array<long>, opened array<long>, "
+          "sent array<long>, ones long, twos long")
 
-    The first opens a table; the following ``single`` are seated one by one,
-    later ones in blocks that grow with those seated, with the chance at the
-    middle of the block for all of it.
-    """
-    tables = np.minimum(customers, 1).astype(np.float64)
-    alive, k = np.flatnonzero(customers > 1), 1
-    while len(alive):
-        step = 1 if k < single else max(1, k // 16)
-        step = np.minimum(step, customers[alive] - k)
-        weight = open_weight[alive]
-        chance = weight / (weight + np.maximum(k + (step - 1) / 2 - discount * tables[alive], 1e-9))
-        tables[alive] += rng.binomial(step, chance) if k >= single else rng.random(len(alive)) < chance
-        k += 1 if k < single else max(1, k // 16)
-        alive = alive[customers[alive] > k]
-    return tables.astype(np.int64)
-
-
-def _gathered(batches):
-    """Arrow batches joined to some hundred thousand rows: one seating serves them all."""
-    held, rows = [], 0
-    for batch in batches:
-        held.append(batch)
-        rows += len(batch)
-        if rows >= 200_000:
-            yield pa.Table.from_batches(held).combine_chunks()
-            held, rows = [], 0
-    if rows:
-        yield pa.Table.from_batches(held).combine_chunks()
 
+def _state(chunk: int, u, w, n, t, kept) -> pa.Table:
+    """A chunk's row: its pairs (tables, and tables summed over kept sweeps) and its sums by word."""
+    ids, at = np.unique(np.concatenate([u, w]), return_inverse=True)
+    opened = np.bincount(at[:len(u)], weights=t, minlength=len(ids)).astype(np.int64)
+    sent = np.bincount(at[len(u):], weights=t, minlength=len(ids)).astype(np.int64)
+    lists = pa.list_(pa.int64())
+    return pa.table({
+        "chunk": pa.array([chunk], pa.int64()), **{k: pa.array([_pack(v)], pa.binary()) for k, v in (
+            ("u", u), ("w", w), ("n", n), ("t", t), ("kept", kept))},
+        "ids": pa.array([ids], lists), "opened": pa.array([opened], lists), "sent": pa.array([sent], lists),
+        "ones": pa.array([(n == 1).sum()], pa.int64()), "twos": pa.array([(n == 2).sum()], pa.int64())})
 
-def _column(batch: pa.Table, name: str) -> np.ndarray:
-    return batch.column(name).to_numpy()
 
+def gathered(sent: DataFrame) -> DataFrame:
+    """The chunks' first state from the blocks' pairs: every pair has one table."""
+
+    def run(table: pa.Table) -> pa.Table:
+        u, w, n = (np.concatenate([_unpack(x) for x in table.column(c).to_pylist()]) for c in ("u", "w", "n"))
+        u, w, n = u[n > 0], w[n > 0], n[n > 0]
+        order = np.lexsort((w, u))
+        u, w, n = u[order], w[order], n[order]
+        first = np.flatnonzero(np.concatenate([[True], (u[1:] != u[:-1]) | (w[1:] != w[:-1])])) if len(u) else order
+        n = np.add.reduceat(n, first) if len(u) else n
+        one = np.ones(len(first), np.int64)
+        return _state(table.column("chunk")[0].as_py(), u[first], w[first], n, one, one * 0)
 
-def _with_words(pairs: DataFrame, words: DataFrame, side: str, other: str, values: dict, hot: list[int], p: Params):
-    """``pairs`` with ``values`` (name: column) of the word in column ``side``; rows of hot words are dealt by ``other`` too."""
-    right = words.select(F.col("id").alias(side), *[c.alias(n) for n, c in values.items()])
-    if not hot:
-        return pairs.join(right, side)
-    salt = F.when(F.col(side).isin(hot), F.pmod(F.xxhash64(other), F.lit(p.salts))).otherwise(F.lit(0).cast("long"))
-    every = F.when(F.col(side).isin(hot), F.sequence(F.lit(0).cast("long"), F.lit(p.salts - 1).cast("long"))).otherwise(
-        F.array(F.lit(0).cast("long")))
-    return pairs.withColumn("salt", salt).join(right.withColumn("salt", F.explode(every)), [side, "salt"]).drop("salt")
+    return sent.groupBy("chunk").applyInArrow(run, _STATE)
 
 
-def sweep(pairs: DataFrame, words: DataFrame, totals: dict, hot: list[int], p: Params, turn: int) -> DataFrame:
-    """Seat every pair anew: ``u, w, n, t`` and ``gain``, to which kept sweeps add the pair's discounted share."""
+def reseat(u, w, n, t, opened, sent, r, totals: dict, p: Params, turn: int) -> np.ndarray:
+    """One pass over a chunk's pairs; ``opened, sent, r`` are arrays by place of a word (``u, w`` are such places).
+
+    ``totals["ids"]`` has the ids of the places. A pair that was seen once has one table and never moves.
+    """
+    d1, d0, t1, t0 = (totals[x] for x in ("discount", "root_discount", "strength", "root_strength"))
+    base = (t0 + d0 * totals["root_tables"]) / (totals["types"] + 1)
+    t, opened, sent, guests = t.copy(), opened.astype(float), sent.astype(float), float(totals["guests"])
+    moving = np.flatnonzero(n > 1)
+    if not len(moving):
+        return t
+    ids = totals["ids"]
+    # Pairs are sorted by u: a context's pairs take their steps in turn, each context beginning at another one.
+    mu = u[moving]
+    first = np.concatenate([[True], mu[1:] != mu[:-1]])
+    rank = np.arange(len(mu)) - np.maximum.accumulate(np.where(first, np.arange(len(mu)), 0))
+    step = (rank + ids[mu] + turn) % p.steps
+    for s in range(p.steps):
+        at = moving[step == s]
+        if not len(at):
+            continue
+        old, a, b = t[at], u[at], w[at]
+        rest = np.maximum(sent[b] - old, 0)
+        parent = rest - d0 * np.minimum(r[b], rest) + base
+        new = seating.tables(n[at], old, t1 + d1 * np.maximum(opened[a] - old, 0), d1, parent, t0 + guests - old, 1,
+                             lambda i, rows: seating.uniform(p.seed, turn, i, ids[a[rows]], ids[b[rows]]))
+        np.add.at(opened, a, new - old)
+        np.add.at(sent, b, new - old)
+        guests += float((new - old).sum())
+        t[at] = new
+    return t
+
+
+def sweep(state: DataFrame, words: DataFrame, totals: dict, p: Params, turn: int) -> DataFrame:
+    """Every pair's tables drawn anew; chunks fetch the sums of their distinct words."""
     keep = turn > p.burn_in
-    d1, d0, base = totals["discount"], totals["root_discount"], 1.0 / (totals["types"] + 1)
-    guests, root_tables = float(totals["guests"]), float(totals["root_tables"])
-    parent = (F.col("sent") - d0 * F.col("r") + (p.strength + d0 * root_tables) * base) / (p.strength + guests)
-    rows = _with_words(pairs, words, "u", "w", {"opened": F.col("opened"), "c": F.col("c")}, hot, p)
-    rows = _with_words(rows, words, "w", "u", {"parent": parent}, hot, p)
+    needs = state.select(F.col("chunk").alias("of"), F.explode("ids").alias("id"))
+    fetched = needs.join(words.select("id", "opened", "sent", "r"), "id").select("of", "id", "opened", "sent", "r")
 
-    def run(batches):
-        for batch in _gathered(batches):
-            u, w, n = (_column(batch, x) for x in ("u", "w", "n"))
-            rng = np.random.default_rng([p.seed, turn, len(batch), int(u[0]), int(w[0])])
-            t = seat(n, (p.strength + d1 * _column(batch, "opened")) * _column(batch, "parent"), d1, rng, p.single)
-            gain = _column(batch, "gain")
-            if keep:
-                gain = gain + (n - d1 * t) / (p.strength + _column(batch, "c"))
-            yield from pa.table({"u": u, "w": w, "n": n, "t": t, "gain": gain}).to_batches()
+    def run(table: pa.Table, found: pa.Table) -> pa.Table:
+        u, w, n, t, kept = (_unpack(table.column(c)[0].as_py()) for c in ("u", "w", "n", "t", "kept"))
+        order = np.argsort(_column(found, "id"))
+        ids, opened, sent, r = (_column(found, c)[order] for c in ("id", "opened", "sent", "r"))
+        t = reseat(np.searchsorted(ids, u), np.searchsorted(ids, w), n, t, opened, sent, r, {**totals, "ids": ids}, p, turn)
+        return _state(table.column("chunk")[0].as_py(), u, w, n, t, kept + t if keep else kept)
 
-    return rows.select("u", "w", "n", "gain", "opened", "c", "parent").mapInArrow(
-        run, "u long, w long, n long, t long, gain double")
+    held = state.select("chunk", "u", "w", "n", "t", "kept").groupBy("chunk").cogroup(fetched.groupBy("of"))
+    return held.applyInArrow(run, _STATE)
 
 
-def served(words: DataFrame, pairs: DataFrame) -> DataFrame:
+def served(words: DataFrame, state: DataFrame) -> DataFrame:
     """``words`` with the tables after a sweep: ``opened`` in a word's restaurant, ``sent`` to the root for the word."""
-    sums = pairs.select(F.explode(F.array(
-        F.struct(F.col("u").alias("id"), F.col("t").alias("opened"), F.lit(0).cast("long").alias("sent")),
-        F.struct(F.col("w").alias("id"), F.lit(0).cast("long").alias("opened"), F.col("t").alias("sent")))).alias("x"))
-    sums = sums.groupBy("x.id").agg(F.sum("x.opened").alias("opened"), F.sum("x.sent").alias("sent"))
-    return words.drop("opened", "sent").join(sums, "id")
+    sums = state.select(F.explode(F.arrays_zip("ids", "opened", "sent")).alias("x")).groupBy("x.ids").agg(
+        F.sum("x.opened").alias("opened"), F.sum("x.sent").alias("sent"))
+    return words.drop("opened", "sent").join(sums.withColumnRenamed("ids", "id"), "id")
 
 
 def seat_root(words: DataFrame, totals: dict, p: Params, turn: int) -> DataFrame:
-    """Seat the root's customers anew; kept sweeps add to ``roots`` and ``opens``."""
-    keep, d0 = turn > p.burn_in, totals["root_discount"]
-    weight = (p.strength + d0 * float(totals["root_tables"])) / (totals["types"] + 1)
+    """Draw the root's tables anew; kept sweeps add to ``roots`` and ``opens``."""
+    keep, d0, t0 = turn > p.burn_in, totals["root_discount"], totals["root_strength"]
+    root_tables, types = float(totals["root_tables"]), totals["types"]
 
     def run(batches):
-        for batch in _gathered(batches):
-            ids, sent = _column(batch, "id"), _column(batch, "sent")
-            rng = np.random.default_rng([p.seed, turn, len(batch), int(ids[0])])
-            r = seat(sent, np.full(len(sent), weight), d0, rng, p.single)
-            yield from batch.append_column("r", pa.array(r)).to_batches()
-
-    rows = words.select("id", "c", "opened", "sent", "roots", "opens").mapInArrow(
+        for batch in batches:
+            ids, sent, old = (_column(batch, c) for c in ("id", "sent", "r"))
+            old, zero = np.minimum(old, sent), np.zeros(len(ids), np.int64)
+            r = seating.tables(sent, old, t0 + d0 * (root_tables - old), d0, np.full(len(ids), 1.0),
+                               np.full(len(ids), types + 1.0), 0,
+                               lambda i, rows: seating.uniform(p.seed + 1, turn, i, ids[rows], zero[rows]))
+            yield batch.drop_columns(["r"]).append_column("r", pa.array(r))
+
+    rows = words.select("id", "c", "opened", "sent", "roots", "opens", "r").mapInArrow(
         run, "id long, c long, opened long, sent long, roots array<double>, opens array<long>, r long")
     if keep:
         rows = rows.withColumn("roots", F.concat("roots", F.array(F.col("sent") - d0 * F.col("r")))).withColumn(
@@ -202,12 +250,36 @@ def seat_root(words: DataFrame, totals: dict, p: Params, turn: int) -> DataFrame
     return rows
 
 
+def _digamma(x: Column) -> Column:
+    y = x + 6
+    return F.log(y) - 1 / (2 * y) - 1 / (12 * y * y) + 1 / (120 * y * y * y * y) - sum(1 / (x + i) for i in range(6))
+
+
+def _strength(now: float, discount: float, restaurants: DataFrame) -> float:
+    """A strength's next value from ``restaurants(c, t)``: means of the usual auxiliary variables, gamma(1, 1) prior.
+
+    Rounded, so that the order of a sum over partitions does not show.
+    """
+    at, ratio = F.lit(float(now)), F.lit(now / discount)
+    opened = ratio * (_digamma(ratio + F.col("t")) - _digamma(ratio + 1))
+    logs = _digamma(at + F.col("c")) - _digamma(at + 1)
+    sums = restaurants.where("c > 0 and t > 0").agg(F.sum(F.round(opened, 6)), F.sum(F.round(logs, 6))).first()
+    return round(max(0.01, (1 + (sums[0] or 0.0)) / max(0.01, 1 + (sums[1] or 0.0))), 4)
+
+
+def _discount(ones: int, twos: int) -> float:
+    """Leave-one-out estimate from the numbers of dishes with one and with two customers."""
+    return round(min(0.95, max(0.05, ones / (ones + 2 * twos))), 4) if ones else 0.5
+
+
 @dataclass
 class Fitted:
-    """The written model: per word its root customers and its restaurant's tables; per pair its gain."""
+    """The written model: per word its root customers and its restaurant's tables; per pair its discounted customers."""
 
     ids: DataFrame  # id, c, opened, sent, r; roots, opens: of each kept sweep
-    pairs: DataFrame  # u, w, gain
+    state: DataFrame  # the chunks
+    chunks: int
+    params: Params
     contexts: range  # a context is the id of the previous word
     discount: float
     strength: float
@@ -216,10 +288,24 @@ class Fitted:
     tokens: int
     types: int
 
+    @property
+    def pairs(self) -> DataFrame:
+        """``u, w, n, t, kept``: a row per pair; for looking at small models."""
+
+        def run(batches):
+            for batch in batches:
+                for row in batch.to_pylist():
+                    yield pa.RecordBatch.from_pydict({c: _unpack(row[c]) for c in ("u", "w", "n", "t", "kept")})
+
+        return self.state.select("u", "w", "n", "t", "kept").mapInArrow(run, "u long, w long, n long, t long, kept long")
+
     @property
     def words(self) -> DataFrame:
-        """For looking at small models: ``id, roots``, and the word's contexts with their gains in one row."""
-        per = self.pairs.groupBy(F.col("w").alias("id")).agg(F.collect_list(F.struct("u", "gain")).alias("x"))
+        """For looking at small models: ``id, roots``, and the word's contexts with their gains, summed over kept sweeps."""
+        mass = F.col("n") * len(self.guests) - self.discount * F.col("kept")
+        each = self.pairs.join(self.ids.select(F.col("id").alias("u"), "c"), "u").select(
+            "u", F.col("w").alias("id"), (mass / (self.strength + F.col("c"))).alias("gain"))
+        per = each.groupBy("id").agg(F.collect_list(F.struct("u", "gain")).alias("x"))
         return self.ids.join(per, "id").select("id", "roots", F.col("x.u").alias("contexts"), F.col("x.gain").alias("gain"))
 
     @property
@@ -230,47 +316,79 @@ class Fitted:
                          for _, c, opens in rows]).T
 
 
+def _chunks(tokens: int, p: Params) -> int:
+    return 1 + tokens // p.chunk_tokens
+
+
 def fit(table: DataFrame, cuts: TableCuts, p: Params = Params()) -> Fitted:
     """Fit the model on the rows of a written block table that are not flagged."""
     vocab, types, tokens = vocabulary(table, cuts)
-    pairs = cuts.cut(block_pairs(table, block_words(table, vocab)), "block-pairs", compression="zstd")
+    pairs = cuts.cut(block_pairs(table, block_words(table, vocab), _chunks(tokens, p), p), "block-pairs")
     return fit_pairs(pairs, vocab, types, tokens, cuts, p)
 
 
 def fit_pairs(pairs: DataFrame, vocab: DataFrame, types: int, tokens: int, cuts: TableCuts, p: Params) -> Fitted:
     """Fit the model on written pairs of blocks."""
-    # At most 1 / hot_share words.
-    hot = [r["id"] for r in vocab.where(F.col("c") >= p.hot_share * max(tokens, 1)).select("id").collect()]
-    one = pairs.where("n > 0").groupBy("u", "w").agg(F.sum("n").alias("n"))
-    state = cuts.cut(one.select("u", "w", "n", F.lit(1).cast("long").alias("t"), F.lit(0.0).alias("gain")),
-                     "seats-0", compression="zstd")
+    state = cuts.cut(gathered(pairs), "seats-0")
     start = vocab.select("id", "c", F.array().cast("array<double>").alias("roots"), F.array().cast("array<long>").alias("opens"))
     words = cuts.cut(served(start, state).withColumn("r", F.lit(1).cast("long")), "words-0", compression="zstd")
-    ones = lambda c: [F.sum((F.col(c) == i).cast("long")) for i in (1, 2)]
-    share = lambda a, b: min(0.95, max(0.05, a / (a + 2 * b))) if a else 0.5
-    totals = {"types": types, "discount": share(*(x or 0 for x in state.agg(*ones("n")).first())),
-              "root_discount": share(*(x or 0 for x in words.agg(*ones("sent")).first()))}
+    seen = state.agg(F.sum("ones"), F.sum("twos")).first()
+    totals = {"types": types, "discount": _discount(seen[0] or 0, seen[1] or 0), "strength": 1.0, "root_strength": 1.0}
 
-    def count():
-        sums = words.agg(F.sum("sent"), F.sum("r")).first()
+    def count(fitting: bool):
+        ones = [F.sum((F.col("sent") == i).cast("long")) for i in (1, 2)]
+        sums = words.agg(F.sum("sent"), F.sum("r"), *ones).first()
         totals["guests"], totals["root_tables"] = sums[0] or 0, sums[1] or 0
+        if fitting:
+            totals["root_discount"] = _discount(sums[2] or 0, sums[3] or 0)
+            totals["strength"] = _strength(totals["strength"], totals["discount"], words.select("c", F.col("opened").alias("t")))
+            root = words.agg(F.sum("sent").cast("double").alias("c"), F.sum("r").cast("double").alias("t"))
+            totals["root_strength"] = _strength(totals["root_strength"], totals["root_discount"], root)
 
-    count()
+    count(True)
     base, guests = [], []
     for turn in range(1, p.sweeps + 1):
-        state = cuts.cut(sweep(state, words, totals, hot, p, turn), f"seats-{turn}", compression="zstd")
+        state = cuts.cut(sweep(state, words, totals, p, turn), f"seats-{turn}")
         cuts.drop(f"{cuts.root}/seats-{turn - 1}")
-        words = cuts.cut(seat_root(served(words.drop("r"), state), totals, p, turn), f"words-{turn}", compression="zstd")
+        words = cuts.cut(seat_root(served(words, state), totals, p, turn), f"words-{turn}", compression="zstd")
         cuts.drop(f"{cuts.root}/words-{turn - 1}")
-        count()
+        count(turn < p.burn_in)
         if turn > p.burn_in:
             # With the totals after the sweep, the probabilities of each context add up to one.
-            base.append((p.strength + totals["root_discount"] * totals["root_tables"]) / (types + 1))
-            guests.append(p.strength + totals["guests"])
-    return Fitted(words, state.select("u", "w", "gain"), range(types), totals["discount"], p.strength,
+            base.append((totals["root_strength"] + totals["root_discount"] * totals["root_tables"]) / (types + 1))
+            guests.append(totals["root_strength"] + totals["guests"])
+    return Fitted(words, state, _chunks(tokens, p), p, range(types), totals["discount"], totals["strength"],
                   np.array(base), np.array(guests), tokens, types)
 
 
+def block_gains(pairs: DataFrame, model: Fitted) -> DataFrame:
+    """``of, chunk, mass`` (packed floats): for a block's pairs of a chunk, in their order, the discounted customers."""
+    kept, discount = len(model.guests), model.discount
+
+    def run(sent: pa.Table, held: pa.Table) -> pa.Table:
+        u, w, n, tables = (_unpack(held.column(c)[0].as_py()) for c in ("u", "w", "n", "kept"))
+        mass = np.concatenate([(n - discount * tables / kept).astype("<f4"), np.zeros(1, "<f4")])
+        # Pairs are numbered by place: contexts by their first place, then the word inside the context.
+        ids = np.unique(w)
+        heads, head_at = np.unique(u, return_index=True)
+        keys = np.searchsorted(heads, u) * (len(ids) + 1) + np.searchsorted(ids, w)
+        out = []
+        for a, b in zip(sent.column("u").to_pylist(), sent.column("w").to_pylist()):
+            a, b = _unpack(a), _unpack(b)
+            x, y = np.searchsorted(heads, a), np.searchsorted(ids, b)
+            key = x * (len(ids) + 1) + y
+            at = np.minimum(np.searchsorted(keys, key), max(0, len(keys) - 1))
+            if len(keys):
+                known = (keys[at] == key) & (u[at] == a) & (w[at] == b)
+                at = np.where(known, at, len(keys))
+            out.append(zlib.compress(mass[at].tobytes(), 1))
+        return pa.table({"of": sent.column("of"), "chunk": sent.column("chunk"), "mass": pa.array(out, pa.binary())})
+
+    parts = pairs.select("chunk", "of", "u", "w").groupBy("chunk").cogroup(
+        model.state.select("chunk", "u", "w", "n", "kept").groupBy("chunk"))
+    return parts.applyInArrow(run, "of long, chunk long, mass binary")
+
+
 def score(table: DataFrame, numbers: DataFrame, pairs: DataFrame, model: Fitted) -> DataFrame:
     """``key, n_tokens, n_known, base_score, score`` for every text of a block table.
 
@@ -278,49 +396,42 @@ def score(table: DataFrame, numbers: DataFrame, pairs: DataFrame, model: Fitted)
     texts and rows meet by block.
     """
     tokens, types, from_base, guests = model.tokens, model.types, model.base, model.guests
-    kept, strength, discount = len(guests), model.strength, model.discount
-    known = numbers.drop("c").join(model.ids.select("id", "c", "roots", "opens"), "id", "left").select(
-        "of", F.col("number").cast("long").alias("number"), "c", "end", "roots", "opens",
-        F.lit(None).cast("float").alias("gain"))
-    gains = model.pairs.select("u", "w", (F.col("gain") / kept).cast("float").alias("gain"))
-    found_pairs = pairs.join(gains, ["u", "w"]).select(
-        "of", F.col("pair").alias("number"), F.lit(None).cast("long").alias("c"), F.lit(False).alias("end"),
-        F.lit(None).cast("array<double>").alias("roots"), F.lit(None).cast("array<long>").alias("opens"), "gain")
+    kept, strength, discount, chunks, params = len(guests), model.strength, model.discount, model.chunks, model.params
+    known = numbers.join(model.ids.select("id", "roots", "opens"), "id", "left").select(
+        "of", F.col("number").cast("long").alias("number"), "id", "c", "end", "roots", "opens",
+        F.lit(None).cast("binary").alias("mass"))
+    found_pairs = block_gains(pairs, model).select(
+        "of", F.col("chunk").alias("number"), F.lit(None).cast("long").alias("id"), F.lit(None).cast("long").alias("c"),
+        F.lit(False).alias("end"), F.lit(None).cast("array<double>").alias("roots"),
+        F.lit(None).cast("array<long>").alias("opens"), "mass")
 
     def run(texts: pa.Table, found: pa.Table) -> pa.Table:
-        of_pair = found.column("gain").is_valid()
-        place = found.filter(of_pair).select(["number", "gain"]).sort_by("number")
-        place, gains = _column(place, "number"), _column(place, "gain")
-        found = found.filter(found.column("gain").is_null()).combine_chunks()
-        size = len(found)
-        where = _column(found, "number")
-        end = int(where[found.column("end").to_numpy(zero_copy_only=False)][0])
-        c = np.zeros(size)
-        c[where] = found.column("c").fill_null(0).to_numpy()
-        seen = where[found.column("c").is_valid().to_numpy()]
+        of_chunk = found.column("mass").is_valid()
+        sent = found.filter(of_chunk).select(["number", "mass"]).sort_by("number").column("mass").to_pylist()
+        found = found.filter(found.column("mass").is_null()).combine_chunks()
+        b = _Block(texts, found, chunks, params)
+        mass = np.zeros(len(b.keys))
+        if sent:
+            mass[b.order] = np.concatenate([np.frombuffer(zlib.decompress(x), "<f4") for x in sent])
+        where, size, c = _column(found, "number"), b.size, b.c
+        seen = where[found.column("roots").is_valid().to_numpy()]
         roots, opens = np.zeros((size, kept)), np.zeros((size, kept))
         for name, into in (("roots", roots), ("opens", opens)):
             into[seen] = found.column(name).combine_chunks().flatten().to_numpy().reshape(-1, kept)
         roots = (roots + from_base) / guests
         back = (strength + discount * opens) / (strength + c)[:, None]
-        sizes = texts.column("sizes")[0].values.to_numpy().astype(np.int64)
-        own = unpack_numbers(texts.column("refs")[0].as_py())
-        before = _previous(own, sizes, end)
-        p = np.zeros(len(own))
+        # Pairs, not tokens, are worked out.
+        u, w = b.keys // size, b.keys % size
+        p = mass / (strength + c[u])
         for s in range(kept):
-            p += back[before, s] * roots[own, s]
-        p /= kept
-        if len(place):
-            key = before * size + own
-            at = np.minimum(np.searchsorted(place, key), len(place) - 1)
-            p += np.where(place[at] == key, gains[at], 0.0)
-        starts = np.cumsum(sizes) - sizes
+            p += back[u, s] * roots[w, s] / kept
+        starts = np.cumsum(b.sizes) - b.sizes
         base = np.log10((c + 0.5) / (tokens + 0.5 * (types + 1)))
         total = lambda x: np.add.reduceat(x, starts)  # noqa: E731  every text has its end token
         return pa.table({
-            "key": texts.column("keys")[0].values, "n_tokens": sizes,
-            "n_known": total((c > 0).astype(np.int64)[own]), "base_score": total(base[own]),
-            "score": total(np.log10(p))})
+            "key": texts.column("keys")[0].values, "n_tokens": b.sizes,
+            "n_known": total((c > 0).astype(np.int64)[b.own]), "base_score": total(base[b.own]),
+            "score": total(np.log10(p)[b.at])})
 
     kind = table.schema["keys"].dataType.elementType.simpleString()
     parts = table.select("block", "keys", "sizes", "refs").groupBy("block").cogroup(
@@ -346,7 +457,7 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", pa
     table = cuts.cut(blocks(rows, fold=True, end=True), "blocks", compression="zstd")
     vocab, types, tokens = vocabulary(table, cuts)
     numbers = cuts.cut(block_words(table, vocab), "numbers", compression="zstd")
-    pairs = cuts.cut(block_pairs(table, numbers), "block-pairs", compression="zstd")
+    pairs = cuts.cut(block_pairs(table, numbers, _chunks(tokens, params), params), "block-pairs")
     model = fit_pairs(pairs, vocab, types, tokens, cuts, params)
     out = score(table, numbers, pairs, model)
     return out.select(F.col("key").alias(key), (id_remainder(F.col("key"), 5) == 1).alias("held_out"), "n_tokens",
