@@ -66,6 +66,19 @@ def _column(batch: pa.Table, name: str) -> np.ndarray:
     return batch.column(name).to_numpy()
 
 
+def _joined(batches, rows: int = 200_000):
+    """Arrow batches joined to some hundred thousand rows: one draw serves them all."""
+    held, count = [], 0
+    for batch in batches:
+        held.append(batch)
+        count += len(batch)
+        if count >= rows:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held, count = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def vocabulary(table: DataFrame, cuts: TableCuts) -> tuple[DataFrame, int, int]:
     """``id, word, c`` of every training word (ids without gaps from 0), and the numbers of words and of tokens."""
     each = table.select(F.explode(F.arrays_zip("words", "counts")).alias("x")).select(
@@ -234,13 +247,13 @@ def seat_root(words: DataFrame, totals: dict, p: Params, turn: int) -> DataFrame
     root_tables, types = float(totals["root_tables"]), totals["types"]
 
     def run(batches):
-        for batch in batches:
+        for batch in _joined(batches):
             ids, sent, old = (_column(batch, c) for c in ("id", "sent", "r"))
             old, zero = np.minimum(old, sent), np.zeros(len(ids), np.int64)
             r = seating.tables(sent, old, t0 + d0 * (root_tables - old), d0, np.full(len(ids), 1.0),
                                np.full(len(ids), types + 1.0), 0,
                                lambda i, rows: seating.uniform(p.seed + 1, turn, i, ids[rows], zero[rows]))
-            yield batch.drop_columns(["r"]).append_column("r", pa.array(r))
+            yield from batch.drop_columns(["r"]).append_column("r", pa.array(r)).to_batches()
 
     rows = words.select("id", "c", "opened", "sent", "roots", "opens", "r").mapInArrow(
         run, "id long, c long, opened long, sent long, roots array<double>, opens array<long>, r long")

@@ -99,17 +99,16 @@ def tables(n: np.ndarray, t: np.ndarray, opening: np.ndarray, discount: float, p
     out[n == 1] = 1
     if len(small):
         rows = _stirling_rows(discount, EXACT)
-        small = small[np.argsort(n[small], kind="stable")]
-        u = draw(0, small)
-        sizes, starts = np.unique(n[small], return_index=True)
-        for size, a, b in zip(sizes, starts, np.append(starts[1:], len(small))):
-            at = small[a:b]
-            j = np.arange(size)
-            terms = (np.log(opening[at, None] + discount * j) + np.log(parent[at, None] + step * j)
-                     - np.log(guests[at, None] + step * j))
-            logs = np.cumsum(terms, axis=1) + rows[size, 1:size + 1]
+        # Dishes whose customers have equally many binary digits share a matrix; S(n, t) is 0 beyond t = n.
+        digits = np.frexp(n[small])[1]
+        for d in np.unique(digits):
+            at = small[digits == d]
+            width = int(n[at].max())
+            j = np.arange(width)
+            ratio = (parent[at, None] + step * j) / (guests[at, None] + step * j)
+            logs = np.cumsum(np.log((opening[at, None] + discount * j) * ratio), axis=1) + rows[n[at], 1:width + 1]
             mass = np.cumsum(np.exp(logs - logs.max(axis=1, keepdims=True)), axis=1)
-            out[at] = 1 + np.minimum((mass < u[a:b, None] * mass[:, -1:]).sum(axis=1), size - 1)
+            out[at] = 1 + np.minimum((mass < draw(0, at)[:, None] * mass[:, -1:]).sum(axis=1), n[at] - 1)
     large = np.flatnonzero(n > EXACT)
     if len(large):
         size, now = n[large], np.minimum(out[large], n[large] - 1)
