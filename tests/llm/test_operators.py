@@ -428,6 +428,35 @@ def test_near_duplicates_empty(empty):
     assert minhash.near_duplicates(empty).count() == 0
 
 
+def test_strays_meet_a_large_component_in_linear_rows(spark):
+    """20,000 near copies and 10 strays in one bucket: every pair that can matter meets once, rows stay linear."""
+    p = minhash.Params()
+    given = spark.range(20_010).selectExpr("0 as i", "7L as band", "id as node", "if(id < 20000, 0L, id) as component")
+    rows = minhash._cells(given, p).toPandas()
+    cells = -(-20_000 // p.block)
+    assert len(rows) == 20_000 + 10 * (cells + 1)
+    met = collections.Counter()
+    for _, group in rows.groupby(["lo", "hi"]):
+        strays = group.node[group.component > 0].tolist()
+        if group.lo.iloc[0] != group.hi.iloc[0]:
+            met.update((s, n) for s in strays for n in group.node[group.component == 0])
+        else:
+            met.update((a, b) for a in strays for b in strays if a < b)
+    assert len(met) == 10 * 20_000 + 45 and set(met.values()) == {1}
+
+
+def test_groups_over_several_batches():
+    import pyarrow as pa
+
+    data = [(0, 5, 0, 0, n) for n in range(7)] + [(0, 6, 0, 1, n) for n in range(3)] + [(1, 6, 0, 1, 1)]
+    table = pa.table({c: [r[k] for r in data] for k, c in enumerate([*minhash._GROUP, "node"])})
+    for size in (1, 2, 4, 100):
+        got = list(minhash._whole_groups(table.to_batches(max_chunksize=size)))
+        assert pa.concat_tables(got).to_pylist() == table.to_pylist()
+        groups = [set(zip(*(t.column(c).to_pylist() for c in minhash._GROUP))) for t in got]
+        assert sum(map(len, groups)) == len(set.union(*groups)) == 3
+
+
 def test_pruning_keeps_similar_pairs():
     p = minhash.Params()
     needed = minhash.agreements_needed(p)

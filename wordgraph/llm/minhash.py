@@ -8,10 +8,11 @@
    hashes of the node, taken in turn by the bands, so a large group meets some
    leads and not one for each band. Links found make components.
 4. Second pass: only pairs of a bucket whose nodes are in different components
-   can change anything. Buckets that still hold several are cut into cells,
-   and pairs of cells are compared in parallel, without writing out the pairs:
-   a group first tells which of its nodes have partners, then gets the texts of
-   these and returns links.
+   can change anything. Buckets that still hold several are cut into cells, and
+   pairs of cells are compared in parallel, without writing out the pairs: a
+   group first tells which of its nodes have partners, then gets the texts of
+   these and returns links. The cells of a bucket's largest component meet the
+   cells of the others only, never each other.
 5. A pair is compared batch by batch of its signatures; it is dropped as soon
    as the posterior probability that its similarity reaches the threshold
    falls below the chosen miss probability (uniform prior, so the posterior is
@@ -104,12 +105,15 @@ def agreements_needed(p: Params) -> list[tuple[int, int]]:
     return out
 
 
-def may_link(left: np.ndarray, right: np.ndarray, needed: list[tuple[int, int]]) -> np.ndarray:
-    """Places of the rows of two signature matrices that no batch prunes."""
-    alive = np.arange(len(left))
-    agree, done = np.zeros(len(left), np.int64), 0
+def may_link(left: np.ndarray, right: np.ndarray, needed: list[tuple[int, int]],
+             a: np.ndarray | None = None, b: np.ndarray | None = None) -> np.ndarray:
+    """Which pairs no batch prunes: row ``a[i]`` of ``left`` and ``b[i]`` of ``right`` (else row ``i`` of both)."""
+    a = np.arange(len(left)) if a is None else a
+    b = np.arange(len(right)) if b is None else b
+    alive = np.arange(len(a))
+    agree, done = np.zeros(len(a), np.int64), 0
     for k, least in needed:
-        agree = agree + (left[alive, done:k] == right[alive, done:k]).sum(axis=1)
+        agree = agree + (left[a[alive], done:k] == right[b[alive], done:k]).sum(axis=1)
         keep = agree >= least
         alive, agree, done = alive[keep], agree[keep], k
     return alive
@@ -241,67 +245,108 @@ def verified(pairs: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
     return both.mapInArrow(run, "u long, v long")
 
 
+#: Columns that name a group of the second pass, and those of its rows.
+_GROUP = ["i", "band", "lo", "hi"]
+_MEMBER = ["node", "component", "cell"]
+#: Pairs that are compared at once in a task.
+_AT_ONCE = 1 << 16
+
+
 def _cells(buckets: DataFrame, p: Params) -> DataFrame:
     """The rows of ``buckets(i, band, node, component)`` in groups ``i, band, lo, hi``.
 
-    A bucket is dealt in cells of about ``p.block`` nodes and each pair of
-    cells is one group, so no group grows with its bucket.
+    A bucket of more than ``p.block`` nodes is dealt in cells of about that
+    many, those of its largest component and those of all others apart. A pair
+    of cells is one group, unless both are of the largest component, which has
+    no pairs to find: N nodes with a few strays make about N rows, not N cells
+    of N.
     """
-    size = buckets.groupBy("i", "band").agg(F.count(F.lit(1)).alias("size"))
-    cells = F.ceil(F.col("size") / p.block).cast("int")
-    rows = buckets.join(size, ["i", "band"]).withColumn("cells", cells).withColumn(
-        "cell", F.pmod(F.xxhash64("node"), F.col("cells")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+    per = buckets.groupBy("i", "band", "component").agg(F.count(F.lit(1)).alias("n"))
+    size = per.groupBy("i", "band").agg(F.sum("n").alias("size"), F.max(F.struct("n", "component")).alias("top"))
+    large = F.col("size") > p.block
+    rows = buckets.join(size, ["i", "band"]).withColumn("is_top", large & (F.col("component") == F.col("top.component")))
+    rows = rows.withColumn("rest", F.when(large, F.ceil((F.col("size") - F.col("top.n")) / p.block)).otherwise(1))
+    rows = rows.withColumn("tops", F.when(large, F.ceil(F.col("top.n") / p.block)).otherwise(0))
+    h = F.xxhash64("node")
+    rows = rows.withColumn("cell", F.when(F.col("is_top"), F.col("rest") + F.pmod(h, F.col("tops"))).otherwise(
+        F.pmod(h, F.col("rest"))).cast("int"))
+    met = F.col("rest") + F.when(F.col("is_top"), 0).otherwise(F.col("tops"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), (met - 1).cast("int"))))
     return rows.select("i", "band", F.least("cell", "other").alias("lo"), F.greatest("cell", "other").alias("hi"),
                        "node", "component", "cell")
 
 
-class _Group:
-    """The nodes of a group in order, and which pairs of them signatures leave."""
+def _by_group(rows: DataFrame) -> DataFrame:
+    """Rows of one group next to each other, nodes in order."""
+    return rows.repartition(*_GROUP).sortWithinPartitions(*_GROUP, "node")
+
+
+def _group_starts(table: pa.Table) -> np.ndarray:
+    ids = np.stack([table.column(c).to_numpy().astype(np.int64) for c in _GROUP])
+    return np.append(0, np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1)
+
+
+def _whole_groups(batches):
+    """Tables of whole groups from sorted batches; a group may go over several batches."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        table = table if held is None else pa.concat_tables([held, table])
+        last = int(_group_starts(table)[-1])
+        if last:
+            yield table.slice(0, last).combine_chunks()
+        held = table.slice(last)
+    if held is not None:
+        yield held.combine_chunks()
+
+
+class _Groups:
+    """The nodes of whole groups, one after another, and which pairs of them signatures leave."""
 
     def __init__(self, table: pa.Table, p: Params):
         self.p, self.needed = p, agreements_needed(p)
-        node = table.column("node").to_numpy()
-        self.order = np.argsort(node, kind="stable")
-        self.node = node[self.order]
-        self.comp, self.cell, self.n = (
-            table.column(c).to_numpy()[self.order] for c in ("component", "cell", "n_shingles"))
-        self.band = table.column("i")[0].as_py()
-        self.sig = _signatures(table.column("sig").combine_chunks())[self.order]
-        self.crossed = table.column("lo")[0].as_py() != table.column("hi")[0].as_py()
-
-    def partners(self, i: int) -> np.ndarray:
-        """Later nodes in another component that may be linked with node ``i`` and agree first in this band."""
-        p, sig = self.p, self.sig
-        rest = np.arange(i + 1, len(self.node))
-        n = self.n[rest]
-        fits = (self.comp[rest] != self.comp[i]) & (
-            100 * np.minimum(n, self.n[i]) >= p.percent * np.maximum(n, self.n[i]))
-        if self.crossed:
-            fits &= self.cell[rest] != self.cell[i]
-        rest = rest[fits]
-        if len(rest):
-            rest = rest[may_link(np.broadcast_to(sig[i], (len(rest), sig.shape[1])), sig[rest], self.needed)]
-        if len(rest):
-            same = (sig[rest] == sig[i]).reshape(len(rest), p.bands, p.rows).all(axis=2)
-            rest = rest[same.argmax(axis=1) == self.band]
-        return rest
+        self.node, self.comp, self.cell, self.n, self.band, lo, hi = (
+            table.column(c).to_numpy() for c in ("node", "component", "cell", "n_shingles", "i", "lo", "hi"))
+        self.crossed = lo != hi
+        self.sig = _signatures(table.column("sig").combine_chunks())
+        self.starts = _group_starts(table)
+        self.ends = np.append(self.starts[1:], len(self.node))
+
+    def pairs(self):
+        """Arrays ``a, b`` (``a < b``, in the order of ``a``), bounded in size: rows of one group and different
+        components that may be linked and agree first in the group's band."""
+        p, sig, rows = self.p, self.sig, np.arange(len(self.node))
+        after = np.repeat(self.ends, self.ends - self.starts) - rows - 1
+        chunk = np.cumsum(after) // _AT_ONCE
+        bounds = np.append(np.append(0, np.flatnonzero(np.diff(chunk)) + 1), len(rows))
+        for first, end in zip(bounds, bounds[1:]):
+            a = np.repeat(rows[first:end], after[first:end])
+            b = ragged(rows[first:end] + 1, after[first:end])
+            least, most = np.minimum(self.n[a], self.n[b]), np.maximum(self.n[a], self.n[b])
+            fits = (self.comp[a] != self.comp[b]) & (100 * least >= p.percent * most)
+            fits &= ~self.crossed[a] | (self.cell[a] != self.cell[b])
+            a, b = a[fits], b[fits]
+            left = may_link(sig, sig, self.needed, a, b)
+            a, b = a[left], b[left]
+            same = (sig[a] == sig[b]).reshape(len(a), p.bands, p.rows).all(axis=2)
+            own = same.argmax(axis=1) == self.band[a]
+            yield a[own], b[own]
 
 
 def _open_nodes(rows: DataFrame, p: Params) -> DataFrame:
-    """The rows ``i, band, lo, hi, node`` of groups whose node may be linked with one of another component."""
+    """The rows of groups whose node may be linked with one of another component."""
 
-    def run(table: pa.Table) -> pa.Table:
-        g = _Group(table, p)
-        hit = np.zeros(len(g.node), bool)
-        for i in range(len(g.node) - 1):
-            rest = g.partners(i)
-            hit[rest] = True
-            hit[i] |= len(rest) > 0
-        return table.select(["i", "band", "lo", "hi", "node", "component", "cell"]).take(pa.array(g.order[hit]))
+    def run(batches):
+        for table in _whole_groups(batches):
+            hit = np.zeros(table.num_rows, bool)
+            for a, b in _Groups(table, p).pairs():
+                hit[a] = hit[b] = True
+            yield from table.select([*_GROUP, *_MEMBER]).filter(pa.array(hit)).to_batches()
 
     kinds = "i int, band long, lo int, hi int, node long, component long, cell int"
-    return rows.groupBy("i", "band", "lo", "hi").applyInArrow(run, kinds)
+    return _by_group(rows).mapInArrow(run, kinds)
 
 
 def _links_apart(rows: DataFrame, p: Params) -> DataFrame:
@@ -312,31 +357,42 @@ def _links_apart(rows: DataFrame, p: Params) -> DataFrame:
     Partners that a link has already joined in this group are passed over.
     """
 
-    def run(table: pa.Table) -> pa.Table:
-        g, cache = _Group(table, p), WordHash()
-        texts = text_bytes(table.column("text"))
-        sets = [shingle_set(texts[j].lower().split(), cache, p.shingle) for j in g.order]
-        sizes = np.array([len(x) for x in sets])
-        _, place = np.unique(np.concatenate(sets), return_inverse=True)
-        starts = np.cumsum(sizes) - sizes
-        flag = np.zeros(int(place.max()) + 1, np.int64)
-        us, vs = [], []
-        for i in range(len(g.node) - 1):
-            rest = g.partners(i)
-            if not len(rest):
-                continue
-            flag[place[starts[i]:starts[i] + sizes[i]]] = 1
-            spots = ragged(starts[rest], sizes[rest])
-            shared = np.add.reduceat(flag[place[spots]], np.cumsum(sizes[rest]) - sizes[rest])
-            flag[place[starts[i]:starts[i] + sizes[i]]] = 0
-            for j in rest[100 * shared >= p.percent * (sizes[i] + sizes[rest] - shared)]:
-                if g.comp[j] != g.comp[i]:
-                    us.append(g.node[i])
-                    vs.append(g.node[j])
-                    g.comp = np.where(g.comp == g.comp[j], g.comp[i], g.comp)
-        return pa.table({"u": pa.array(us, pa.int64()), "v": pa.array(vs, pa.int64())})
-
-    return rows.groupBy("i", "band", "lo", "hi").applyInArrow(run, "u long, v long")
+    def run(batches):
+        cache = WordHash()
+        for table in _whole_groups(batches):
+            g, texts = _Groups(table, p), text_bytes(table.column("text"))
+            us, vs, start, end = [], [], 0, 0
+            for firsts, seconds in g.pairs():
+                for rest in np.split(np.arange(len(firsts)), np.flatnonzero(np.diff(firsts)) + 1):
+                    if not len(rest):
+                        continue
+                    i, rest = int(firsts[rest[0]]), seconds[rest]
+                    if i >= end:
+                        start = int(g.starts[np.searchsorted(g.starts, i, side="right") - 1])
+                        end = int(g.ends[np.searchsorted(g.starts, i, side="right") - 1])
+                        comp = g.comp[start:end].copy()
+                        sets = [shingle_set(t.lower().split(), cache, p.shingle) for t in texts[start:end]]
+                        sizes = np.array([len(x) for x in sets])
+                        _, place = np.unique(np.concatenate(sets), return_inverse=True)
+                        starts = np.cumsum(sizes) - sizes
+                        flag = np.zeros(int(place.max()) + 1, np.int64)
+                    i, rest = i - start, rest - start
+                    rest = rest[comp[rest] != comp[i]]
+                    if not len(rest):
+                        continue
+                    own = place[starts[i]:starts[i] + sizes[i]]
+                    flag[own] = 1
+                    shared = np.add.reduceat(flag[place[ragged(starts[rest], sizes[rest])]],
+                                             np.cumsum(sizes[rest]) - sizes[rest])
+                    flag[own] = 0
+                    for j in rest[100 * shared >= p.percent * (sizes[i] + sizes[rest] - shared)]:
+                        if comp[j] != comp[i]:
+                            us.append(g.node[start + i])
+                            vs.append(g.node[start + j])
+                            comp[comp == comp[j]] = comp[i]
+            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
+
+    return _by_group(rows).mapInArrow(run, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", params: Params = Params(),
@@ -383,7 +439,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pa
     label = final.join(nodes.select("node", "key"), "node").groupBy("component").agg(F.min("key").alias("label"))
     labels = nodes.select("words_digest", "node", "key").join(final, "node", "left").join(
         label, "component", "left").select("words_digest", F.coalesce("label", "key").alias("label"))
-    out = light.join(labels, "words_digest", "left").withColumn(
-        "component_id", F.when(F.col("words_digest").isNull(), F.col("key")).otherwise(F.col("label")))
-    return out.select(F.col("key").alias(key), "n_shingles", "component_id",
-                      F.col("key").eqNullSafe(F.col("component_id")).alias("kept"))
+    # Texts without words have no digest to meet by: they stay out of the join.
+    with_words = light.where("words_digest is not null").join(labels, "words_digest", "left").select(
+        "key", "n_shingles", F.col("label").alias("component_id"))
+    without = light.where("words_digest is null").select("key", "n_shingles", F.col("key").alias("component_id"))
+    return with_words.union(without).select(
+        F.col("key").alias(key), "n_shingles", "component_id",
+        F.col("key").eqNullSafe(F.col("component_id")).alias("kept"))
