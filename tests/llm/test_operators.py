@@ -346,6 +346,39 @@ def test_bpe_beyond_ascii(spark):
     assert digests == {i: (len(x), hashlib.sha256(np.array(x, "<u4").tobytes()).hexdigest()) for i, x in got.items()}
 
 
+def test_each_distinct_word_is_encoded_once(spark, tmp_path, monkeypatch):
+    """Words of several blocks: bundles give every word's ids back in order, and no word is encoded twice."""
+    given = [(b, w) for b in range(4) for w in (f"w{b}", "shared", "also", f"x{b % 2}")]
+    log = str(tmp_path)
+    plain = bpe.encode_words
+
+    def logged(tokenizer, words):
+        import uuid
+
+        with open(f"{log}/{uuid.uuid4().hex}", "wb") as out:
+            out.write(b"\n".join(words))
+        return plain(tokenizer, words)
+
+    table = spark.createDataFrame(
+        [(b, [b], [4], b"", [w.encode() for x, w in given if x == b]) for b in range(4)],
+        "block long, keys array<long>, sizes array<int>, refs binary, words array<binary>")
+    made = bpe.bundled(table, 3)
+    monkeypatch.setattr(bpe, "encode_words", logged)
+    bundles = made.select("block", F.inline("bundles"))
+    got = bpe.word_ids(bundles, TOKENIZER).join(bundles, ["block", "part"]).collect()
+    monkeypatch.undo()
+    tokenizer, seen = load(TOKENIZER), collections.Counter()
+    for r in got:
+        words = zlib.decompress(bytes(r["words"])).split(b"\n")
+        lengths, ids = bpe.unpack_numbers(bytes(r["lengths"])), bpe.unpack_numbers(bytes(r["ids"]))
+        want = [tokenizer.encode(w.decode(), add_special_tokens=False).ids for w in words]
+        assert [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])] == want
+        seen.update((r["block"], w.decode()) for w in words)
+    assert seen == collections.Counter(given)
+    encoded = collections.Counter(w for f in tmp_path.iterdir() for w in f.read_bytes().split(b"\n") if w)
+    assert encoded == collections.Counter({w.encode() for _, w in given})
+
+
 # 8 sharding
 
 def test_feistel(spark, docs, empty):

@@ -1,22 +1,23 @@
 """BPE by a table of distinct words: encode each word once, join ids back by position.
 
 Words are split where Spark reads the texts; a block keeps its texts as word
-numbers. All blocks' words meet once, dealt by a hash of the word and sorted,
-so that equal words are neighbours: each distinct word is encoded by the
-tokenizers library one time and its ids go back to every (block, number) that
-holds it. Decoding joins ids with the id-to-piece table in the same way.
+numbers. A block's distinct words travel in bundles, one packed row for each
+hash part: equal words of all blocks meet in one part, where each distinct word
+is encoded by the tokenizers library one time, and a bundle's ids go back to its
+block in the bundle's order. Decoding takes the piece of each id.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordgraph.llm.blocks import blocks, unpack_numbers
+from wordgraph.llm.blocks import blocks, pack_numbers, unpack_numbers
 from wordgraph.llm.common import ragged, small_batches
 from wordgraph.llm.tokens import encode_words, load, word_parts
 from wordgraph.session import TableCuts
@@ -28,35 +29,61 @@ def piece_table(spark: SparkSession, tokenizer_path: str) -> DataFrame:
     return spark.createDataFrame(sorted((i, piece) for piece, i in vocabulary.items()), "id int, piece string")
 
 
-def word_ids(words: DataFrame, tokenizer_path: str) -> DataFrame:
-    """``block, number, ids`` for ``words(block, number, word)``; each distinct word is encoded once."""
+def bundled(table: DataFrame, parts: int) -> DataFrame:
+    """``block, keys, sizes, refs`` of blocks, with ``bundles(part, words)`` and ``places``.
+
+    A bundle holds the block's words of one of ``parts`` hash parts, sorted and
+    packed. ``places`` are the numbers of the words in the order of the bundles.
+    """
 
     def run(batches):
-        tokenizer = load(tokenizer_path)
-        last, ids = None, b""
         for batch in batches:
-            column = batch.column("word").to_pylist()
-            fresh = sorted(set(column) - {last})
-            known = {w: np.array(x, "<u4").tobytes() for w, x in zip(fresh, encode_words(tokenizer, fresh))}
-            known[last] = ids
-            last = column[-1] if column else last
-            ids = known[last]
+            bundles, places = [], []
+            for words in batch.column("words").to_pylist():
+                part = np.fromiter((zlib.crc32(w) % parts for w in words), np.int64, len(words))
+                order = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
+                order = order[np.argsort(part[order], kind="stable")]
+                used, starts = np.unique(part[order], return_index=True)
+                bundles.append([{"part": int(x), "words": zlib.compress(b"\n".join(words[i] for i in own), 1)}
+                                for x, own in zip(used, np.split(order, starts[1:]))])
+                places.append(pack_numbers(order))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("number"),
-                 pa.array([shorten(known[w]) for w in column], pa.binary())], names=["block", "number", "ids"])
+                [*(batch.column(c) for c in ("block", "keys", "sizes", "refs")), pa.array(places, pa.binary()),
+                 pa.array(bundles, pa.list_(pa.struct([("part", pa.int32()), ("words", pa.binary())])))],
+                names=["block", "keys", "sizes", "refs", "places", "bundles"])
 
-    dealt = words.repartition("word").sortWithinPartitions("word")
-    return dealt.mapInArrow(run, "block long, number int, ids binary")
+    kind = table.schema["keys"].dataType.simpleString()
+    return table.select("block", "keys", "sizes", "refs", "words").mapInArrow(
+        run, f"block long, keys {kind}, sizes array<int>, refs binary, places binary, "
+             "bundles array<struct<part: int, words: binary>>")
 
 
-def shorten(ids: bytes) -> bytes:
-    """32-bit ids as bytes, without the leading zero bytes that all of them share (a mark tells how many)."""
-    values = np.frombuffer(ids, "<u4")
-    return b"\x02" + values.astype("<u2").tobytes() if len(values) == 0 or values.max() < 65536 else b"\x04" + ids
+def word_ids(bundles: DataFrame, tokenizer_path: str) -> DataFrame:
+    """``block, part, lengths, ids`` (packed, by the bundle's words) for ``bundles(block, part, words)``.
+
+    Each distinct word is encoded once: the words of one part are held while its bundles pass by.
+    """
 
+    def run(batches):
+        tokenizer = load(tokenizer_path)
+        last, known = None, {}
+        for batch in batches:
+            lengths, ids = [], []
+            for part, packed in zip(batch.column("part").to_pylist(), batch.column("words").to_pylist()):
+                if part != last:
+                    last, known = part, {}
+                words = zlib.decompress(packed).split(b"\n")
+                fresh = [w for w in words if w not in known]
+                known.update((w, np.array(x, "<u4").tobytes()) for w, x in zip(fresh, encode_words(tokenizer, fresh)))
+                found = [known[w] for w in words]
+                lengths.append(pack_numbers(np.array([len(x) // 4 for x in found])))
+                ids.append(pack_numbers(np.frombuffer(b"".join(found), "<u4")))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("block"), batch.column("part"), pa.array(lengths, pa.binary()),
+                 pa.array(ids, pa.binary())], names=["block", "part", "lengths", "ids"])
 
-def lengthen(ids: bytes) -> np.ndarray:
-    return np.frombuffer(ids[1:], "<u2" if ids[:1] == b"\x02" else "<u4")
+    dealt = bundles.repartition("part").sortWithinPartitions("part", "block")
+    return dealt.mapInArrow(run, "block long, part int, lengths binary, ids binary")
 
 
 def _joined(docs: DataFrame, tokenizer_path: str, key: str, text: str, cuts: TableCuts | None, make, columns: str):
@@ -68,17 +95,18 @@ def _joined(docs: DataFrame, tokenizer_path: str, key: str, text: str, cuts: Tab
     small_batches(spark)
     cuts = cuts or TableCuts(spark, "bpe")
     rows = docs.select(F.col(key).alias("key"), F.lit(False).alias("flag"), F.col(text).alias("text"))
-    table = cuts.cut(blocks(rows, parts=word_parts).drop("flags", "counts"), "blocks", compression="zstd")
-    words = table.select("block", F.posexplode("words").alias("number", "word"))
-    back = word_ids(words, tokenizer_path)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = cuts.cut(bundled(blocks(rows, parts=word_parts), parts), "blocks", compression="zstd")
+    back = word_ids(table.select("block", F.inline("bundles")), tokenizer_path)
     names = [c.split()[0] for c in columns.split(", ")]
 
     def run(texts: pa.Table, ids: pa.Table) -> pa.Table:
-        order = np.argsort(ids.column("number").to_numpy())
-        held = [lengthen(x) for x in ids.column("ids").combine_chunks().take(pa.array(order)).to_pylist()]
-        lengths = np.array([len(x) for x in held], np.int64)
-        flat = np.concatenate(held).astype(np.uint32) if held else np.zeros(0, np.uint32)
-        starts = np.cumsum(lengths) - lengths
+        unpacked = {c: [unpack_numbers(x) for x in ids.sort_by("part").column(c).to_pylist()] for c in ("lengths", "ids")}
+        held, flat = (np.concatenate([np.zeros(0, np.int64), *unpacked[c]]) for c in ("lengths", "ids"))
+        places = unpack_numbers(texts.column("places")[0].as_py())
+        lengths, starts = np.zeros(len(held), np.int64), np.zeros(len(held), np.int64)
+        lengths[places], starts[places] = held, np.cumsum(held) - held
+        flat = flat.astype(np.uint32)
         refs = unpack_numbers(texts.column("refs")[0].as_py())
         sizes = texts.column("sizes")[0].values.to_numpy()
         out, at = [], 0
@@ -92,8 +120,9 @@ def _joined(docs: DataFrame, tokenizer_path: str, key: str, text: str, cuts: Tab
         return pa.table(arrays)
 
     kind = rows.schema["key"].dataType.simpleString()
-    parts = table.select("block", "keys", "sizes", "refs").groupBy("block").cogroup(back.groupBy("block"))
-    return parts.applyInArrow(run, f"key {kind}, {columns}").withColumnRenamed("key", key)
+    texts = table.select("block", "keys", "sizes", "refs", "places")
+    met = texts.groupBy("block").cogroup(back.groupBy("block"))
+    return met.applyInArrow(run, f"key {kind}, {columns}").withColumnRenamed("key", key)
 
 
 def encode(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text",
