@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wordgraph.llm import (bpe, components, langid, licenses, minhash, order, packing, pitman_yor, quality, sharding,
+from wordgraph.llm import (blocks, bpe, components, langid, licenses, minhash, order, packing, pitman_yor, quality, sharding,
                            simhash, urls)
 from wordgraph.llm.tokens import load, public_tokenizer_path
 from wordgraph.session import TableCuts
@@ -359,12 +359,10 @@ def test_each_distinct_word_is_encoded_once(spark, tmp_path, monkeypatch):
             out.write(b"\n".join(words))
         return plain(tokenizer, words)
 
-    table = spark.createDataFrame(
-        [(b, [b], [4], b"", [w.encode() for x, w in given if x == b]) for b in range(4)],
-        "block long, keys array<long>, sizes array<int>, refs binary, words array<binary>")
-    made = bpe.bundled(table, 3)
+    bundles = spark.createDataFrame(
+        [(b, x["part"], x["words"]) for b in range(4)
+         for x in blocks.word_bundles([w.encode() for k, w in given if k == b], 3)], "block long, part int, words binary")
     monkeypatch.setattr(bpe, "encode_words", logged)
-    bundles = made.select("block", F.inline("bundles"))
     got = bpe.word_ids(bundles, TOKENIZER).join(bundles, ["block", "part"]).collect()
     monkeypatch.undo()
     tokenizer, seen = load(TOKENIZER), collections.Counter()

@@ -29,8 +29,18 @@ def unpack_numbers(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).reshape(-1).view("<u4").astype(np.int64)
 
 
+def word_bundles(words: list[bytes], parts: int) -> list[dict]:
+    """Words in bundles by a hash into ``parts``: ``part``, sorted ``words`` and their ``numbers``, packed."""
+    part = np.fromiter((zlib.crc32(w) % parts for w in words), np.int64, len(words))
+    order = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
+    order = order[np.argsort(part[order], kind="stable")]
+    used, starts = np.unique(part[order], return_index=True)
+    return [{"part": int(x), "words": zlib.compress(b"\n".join(words[i] for i in own), 1), "numbers": pack_numbers(own)}
+            for x, own in zip(used, np.split(order, starts[1:]))]
+
+
 def blocks(docs: DataFrame, fold: bool = False, end: bool = False, parts=None,
-           block_bytes: int = BLOCK_BYTES) -> DataFrame:
+           block_bytes: int = BLOCK_BYTES, bundles: int = 0) -> DataFrame:
     """One row per block of ``docs(key, flag, text)``.
 
     ``block`` (long), ``keys``, ``flags`` and ``sizes`` (one entry per row of
@@ -38,8 +48,8 @@ def blocks(docs: DataFrame, fold: bool = False, end: bool = False, parts=None,
     after another, packed), ``words`` (binary, by number, most frequent first)
     and ``counts`` (of each word in the rows that are not flagged). ``fold``
     lower-cases A-Z; ``end`` adds a line feed as a last word to each text;
-    ``parts`` turns a word into the list of words to be taken in its place. A
-    null text is an empty one. Numbers of blocks hold for this one reading of
+    ``parts`` turns a word into the list of words to be taken in its place;
+    with ``bundles``, ``words`` come as ``word_bundles`` of that many parts. A null text is an empty one. Numbers of blocks hold for this one reading of
     ``docs``: write the table before it is used twice.
     """
 
@@ -67,12 +77,14 @@ def blocks(docs: DataFrame, fold: bool = False, end: bool = False, parts=None,
             rank = np.empty(len(order), np.int64)
             rank[order] = np.arange(len(order))
             numbers = rank[numbers]
+            ordered = [words[i] for i in order]
+            held_words = pa.array([word_bundles(ordered, bundles) if bundles else ordered], pa.list_(word_type))
             train = numbers[np.repeat(~np.array(flags, bool), lengths)]
             return pa.RecordBatch.from_arrays(
                 [pa.array([(part << 32) + made], pa.int64()), pa.array([keys]).cast(pa.list_(key_type)),
                  pa.array([flags], pa.list_(pa.bool_())), pa.array([lengths.astype(np.int32)], pa.list_(pa.int32())),
                  pa.array([pack_numbers(numbers)], pa.binary()),
-                 pa.array([[words[i] for i in order]], pa.list_(pa.binary())),
+                 held_words,
                  pa.array([np.bincount(train, minlength=len(words)).astype(np.int32)], pa.list_(pa.int32()))],
                 names=["block", "keys", "flags", "sizes", "refs", "words", "counts"])
 
@@ -99,7 +111,10 @@ def blocks(docs: DataFrame, fold: bool = False, end: bool = False, parts=None,
         if keys:
             yield row()
 
+    word_type = pa.binary() if not bundles else pa.struct(
+        [("part", pa.int32()), ("words", pa.binary()), ("numbers", pa.binary())])
+    word_kind = "struct<part: int, words: binary, numbers: binary>" if bundles else "binary"
     kind = docs.schema["key"].dataType.simpleString()
     return docs.select("key", "flag", "text").mapInArrow(
         run, f"block long, keys array<{kind}>, flags array<boolean>, sizes array<int>, refs binary, "
-             "words array<binary>, counts array<int>")
+             f"words array<{word_kind}>, counts array<int>")

@@ -29,35 +29,6 @@ def piece_table(spark: SparkSession, tokenizer_path: str) -> DataFrame:
     return spark.createDataFrame(sorted((i, piece) for piece, i in vocabulary.items()), "id int, piece string")
 
 
-def bundled(table: DataFrame, parts: int) -> DataFrame:
-    """``block, keys, sizes, refs`` of blocks, with ``bundles(part, words)`` and ``places``.
-
-    A bundle holds the block's words of one of ``parts`` hash parts, sorted and
-    packed. ``places`` are the numbers of the words in the order of the bundles.
-    """
-
-    def run(batches):
-        for batch in batches:
-            bundles, places = [], []
-            for words in batch.column("words").to_pylist():
-                part = np.fromiter((zlib.crc32(w) % parts for w in words), np.int64, len(words))
-                order = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
-                order = order[np.argsort(part[order], kind="stable")]
-                used, starts = np.unique(part[order], return_index=True)
-                bundles.append([{"part": int(x), "words": zlib.compress(b"\n".join(words[i] for i in own), 1)}
-                                for x, own in zip(used, np.split(order, starts[1:]))])
-                places.append(pack_numbers(order))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("block", "keys", "sizes", "refs")), pa.array(places, pa.binary()),
-                 pa.array(bundles, pa.list_(pa.struct([("part", pa.int32()), ("words", pa.binary())])))],
-                names=["block", "keys", "sizes", "refs", "places", "bundles"])
-
-    kind = table.schema["keys"].dataType.simpleString()
-    return table.select("block", "keys", "sizes", "refs", "words").mapInArrow(
-        run, f"block long, keys {kind}, sizes array<int>, refs binary, places binary, "
-             "bundles array<struct<part: int, words: binary>>")
-
-
 def word_ids(bundles: DataFrame, tokenizer_path: str) -> DataFrame:
     """``block, part, lengths, ids`` (packed, by the bundle's words) for ``bundles(block, part, words)``.
 
@@ -96,14 +67,14 @@ def _joined(docs: DataFrame, tokenizer_path: str, key: str, text: str, cuts: Tab
     cuts = cuts or TableCuts(spark, "bpe")
     rows = docs.select(F.col(key).alias("key"), F.lit(False).alias("flag"), F.col(text).alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = cuts.cut(bundled(blocks(rows, parts=word_parts), parts), "blocks", compression="zstd")
-    back = word_ids(table.select("block", F.inline("bundles")), tokenizer_path)
+    table = cuts.cut(blocks(rows, parts=word_parts, bundles=parts).drop("flags", "counts"), "blocks", compression="zstd")
+    back = word_ids(table.select("block", F.inline("words")).select("block", "part", "words"), tokenizer_path)
     names = [c.split()[0] for c in columns.split(", ")]
 
     def run(texts: pa.Table, ids: pa.Table) -> pa.Table:
         unpacked = {c: [unpack_numbers(x) for x in ids.sort_by("part").column(c).to_pylist()] for c in ("lengths", "ids")}
         held, flat = (np.concatenate([np.zeros(0, np.int64), *unpacked[c]]) for c in ("lengths", "ids"))
-        places = unpack_numbers(texts.column("places")[0].as_py())
+        places = np.concatenate([np.zeros(0, np.int64), *map(unpack_numbers, texts.column("places")[0].as_py())])
         lengths, starts = np.zeros(len(held), np.int64), np.zeros(len(held), np.int64)
         lengths[places], starts[places] = held, np.cumsum(held) - held
         flat = flat.astype(np.uint32)
@@ -120,7 +91,7 @@ def _joined(docs: DataFrame, tokenizer_path: str, key: str, text: str, cuts: Tab
         return pa.table(arrays)
 
     kind = rows.schema["key"].dataType.simpleString()
-    texts = table.select("block", "keys", "sizes", "refs", "places")
+    texts = table.select("block", "keys", "sizes", "refs", F.col("words.numbers").alias("places"))
     met = texts.groupBy("block").cogroup(back.groupBy("block"))
     return met.applyInArrow(run, f"key {kind}, {columns}").withColumnRenamed("key", key)
 
