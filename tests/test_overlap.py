@@ -205,3 +205,52 @@ def test_equal_bags_form_no_pairs(spark):
     _, classes, post = O._classes(p, cuts)
     prepared = O._prepared(post, classes, cuts, 62, 4096, 4)
     assert O._pairs(prepared, cuts, [], 4096, 32).count() == 2 and classes.count() == 4
+
+
+def _long_and_short_bags():
+    """Long bags of rare words, short ones, words that most bags hold, and a bag alone."""
+    import random
+
+    rng = random.Random(11)
+    data = {v: {f"w{rng.randrange(9000)}" for _ in range(60)} | {f"c{k}" for k in range(5) if rng.random() < 0.3} for v in range(110)}
+    data |= {v: {f"w{rng.randrange(300)}" for _ in range(rng.randint(1, 4))} | {"c0"} for v in range(110, 170)}
+    # Words of two bags, so that most of a long bag's words count.
+    for v in range(0, 100, 2):
+        data[v] |= {f"x{v}-{k}" for k in range(40)}
+        data[v + 1] |= {f"x{v}-{k}" for k in range(40)}
+    return data | {170: {"alone"}}
+
+
+def test_pairs_of_long_bags_are_not_shuffled(spark):
+    """Only bags cross the network: no pair is made unique."""
+    _, p, _ = bags(spark, _long_and_short_bags())
+    plan = overlap_edges(p)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "Distinct" not in plan
+
+
+@pytest.mark.parametrize("group, share", [(1 << 15, 1 / 512), (40, 1 / 512), (40, 2.0)])
+def test_tiles_equal_brute_force(spark, monkeypatch, group, share):
+    """One tile and many, with and without words that get a bit; each pair comes once in each direction."""
+    from wordgraph.operators import overlap as O
+    from wordgraph.operators import tiles
+
+    monkeypatch.setattr(tiles, "GROUP_BAGS", group)
+    data = _long_and_short_bags()
+    _, p, _ = bags(spark, data)
+    want = brute_edges(data)
+    got = rows(overlap_edges(p, with_sizes=True))
+    assert len(got) == len(want) and set(got) == {(a, b, len(data[a]), len(data[b])) for a, b in want}
+    near = {v: [b for b in data if (v, b) in want] for v in data}
+    totals = sorted((v, len(data[v]), len(us), sum(len(data[u]) for u in us)) for v, us in near.items() if us)
+    kw = dict(hot_share=share, key_share=share)
+    assert rows(O.neighbor_totals(p, **kw), "v", "n", "k", "total") == totals
+    larger = sum(len(data[a]) > len(data[b]) for a, b in want)
+    assert rows(O.larger_source_count(p, **kw)) == [(larger,)]
+
+
+def test_blocks_of_a_word_are_bounded(spark):
+    """A posting is copied once per block: copies must not grow with the square of a word's bags."""
+    from wordgraph.operators.overlap import hot_word_table
+
+    p = spark.range(20_000).selectExpr("id as v", "'a' as w")
+    assert hot_word_table(p, cell_rows=1).first()["blocks"] <= 32
