@@ -254,3 +254,17 @@ def test_blocks_of_a_word_are_bounded(spark):
 
     p = spark.range(20_000).selectExpr("id as v", "'a' as w")
     assert hot_word_table(p, cell_rows=1).first()["blocks"] <= 32
+
+
+def test_repeated_postings_of_long_bags(spark):
+    """A pair comes as often as the postings of its first word with a bit say."""
+    data = _long_and_short_bags()
+    _, p, _ = bags(spark, data)
+    twice = p.union(p.where("v in (3, 4, 120)"))
+    got = rows(overlap_edges(twice, hot_words=5))
+    assert set(got) == brute_edges(data)
+    hot = {f"c{k}" for k in range(5)}
+    held = {w: sum(w in ws for ws in data.values()) + sum(w in data[v] for v in (3, 4, 120)) for w in hot}
+    for a, b in ((3, 4), (3, 5), (120, 3)):
+        if data[a] & data[b] & hot:
+            assert max(held.values()) > 40 and got.count((a, b)) == (4 if {a, b} <= {3, 4, 120} else 2)
