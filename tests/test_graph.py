@@ -124,3 +124,13 @@ def test_spread_only_small_inputs(spark):
     assert spread(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     many = spark.range(100).repartition(spark.sparkContext.defaultParallelism * 2)
     assert spread(many, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism * 2
+
+
+def test_triplets_sort_no_edges(spark):
+    """Neither join sorts the edges, which are many more than the vertices."""
+    edges = spark.range(50).selectExpr("id as src", "id + 1 as dst")
+    attrs = spark.range(40).selectExpr("id as v", "id * 2 as value")
+    found = triplets(edges, attrs, "value")
+    assert rows(found) == [(k, k + 1, 2 * k, 2 * k + 2) for k in range(39)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan

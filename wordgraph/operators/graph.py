@@ -95,13 +95,14 @@ def triplets(edges: DataFrame, attrs: DataFrame, value: str, src_name: str | Non
              dst_name: str | None = None) -> DataFrame:
     """Each edge with the attribute ``value`` of both ends.
 
-    ``attrs(v, value)``; the output has ``src_<value>`` and ``dst_<value>``
-    unless names are given.
+    ``attrs(v, value)``, one row per vertex; the output has ``src_<value>`` and ``dst_<value>``
+    unless names are given. The attributes are hashed, so that the edges, which are many more, are not sorted for
+    either join: sorts of all edges go to disk.
     """
     sname = src_name or f"src_{value}"
     dname = dst_name or f"dst_{value}"
-    a_src = attrs.select(F.col("v").alias("src"), F.col(value).alias(sname))
-    a_dst = attrs.select(F.col("v").alias("dst"), F.col(value).alias(dname))
+    a_src = attrs.select(F.col("v").alias("src"), F.col(value).alias(sname)).hint("shuffle_hash")
+    a_dst = attrs.select(F.col("v").alias("dst"), F.col(value).alias(dname)).hint("shuffle_hash")
     return edges.join(a_src, "src").join(a_dst, "dst").select(*edges.columns, sname, dname)
 
 
