@@ -7,6 +7,7 @@ from tests.conftest import rows
 from wordgraph import (
     bag_sizes,
     component_sizes,
+    components_from_edges,
     components_from_postings,
     largest_component,
     larger_source_edges,
@@ -85,6 +86,36 @@ def test_bags8_goldens(spark):
     assert dict(rows(sizes))[4] == 0
 
 
+@pytest.mark.parametrize("hub_rows", [0, 2, 3, 5])
+def test_hubs_change_no_component(spark, hub_rows):
+    # A word of many bags, a hub of the least and one of the greatest id, and paths between.
+    pairs = [(0, i) for i in range(1, 20)] + [(100, i) for i in range(30, 50)] + [(i, i + 1) for i in range(60, 70)]
+    pairs += [(20, 19), (100, 60), (80, 81), (81, 82)]
+    e = spark.createDataFrame(pairs, "src bigint, dst bigint")
+    v = spark.createDataFrame([(90,), (0,)], "v bigint")
+    want = dict(rows(components_from_edges(v, e, hub_rows=10**6)))
+    assert dict(rows(components_from_edges(v, e, hub_rows=hub_rows))) == want
+    assert {want[x] for x in (0, 19, 20)} == {0} and {want[x] for x in (30, 49, 60, 70, 100)} == {30}
+    assert want[82] == 80 and want[90] == 90
+    data = [(i, w) for i in range(40) for w in (f"a{i // 20}", f"b{i % 7}" if i < 20 else "c")]
+    p = spark.createDataFrame(data + [(50, "d"), (51, "d")], "v bigint, w string")
+    got = dict(rows(components_from_postings(p.select("v"), p, hub_rows=hub_rows)))
+    assert got == {**{i: 0 for i in range(20)}, **{i: 20 for i in range(20, 40)}, 50: 50, 51: 50}
+
+
+def test_rows_of_a_hub_are_not_dealt_by_key(spark, monkeypatch):
+    from wordgraph.operators import components as C
+
+    rows_of = spark.range(1, 1001).selectExpr("id % 4 * (id % 2) as u", "id as v")
+    monkeypatch.setattr(C, "HUB_ROWS", 10)
+    hub = C._hub_rows(1000)
+    joined = C._with_least(rows_of, C._least(rows_of), hub, 1000)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan and joined.count() == 1000
+    assert joined.groupBy("u").agg(F.max("m")).count() == 3
+    assert C._hub_rows(10**8) == 10**5
+
+
 def test_bags4_ties(spark):
     v, p, c = bags(spark, BAGS4)
     e = overlap_edges(p)
