@@ -1,4 +1,5 @@
 import os
+from pathlib import Path
 
 import pytest
 
@@ -119,3 +120,34 @@ def test_string_ids_in_components(spark):
     edges = spark.createDataFrame([("b", "a"), ("c", "b"), ("y", "x")], "src string, dst string")
     got = {tuple(r) for r in components_from_edges(edges.selectExpr("src as v"), edges).collect()}
     assert got == {("a", "a"), ("b", "a"), ("c", "a"), ("x", "x"), ("y", "x")}
+
+
+def test_bag_files_of_equal_hash_are_told_apart(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from wordgraph.sources import text
+
+    for name, lines in {"a": "x\ny\nx\n", "b": "x\n", "c": "", "d": "y\n\n"}.items():
+        (tmp_path / name).write_text(lines)
+    right = text._file_key
+    monkeypatch.setattr(text, "_file_key", lambda path, seed: F.lit(1).cast("bigint") + F.length(path) * 0
+                        if seed < 2 else right(path, seed))
+    vertices, counts = text.bag_files(spark, str(tmp_path), counts=True)
+    assert [(r["v"], r["path"][-1]) for r in vertices.orderBy("v").collect()] == [(0, "a"), (1, "b"), (2, "c"), (3, "d")]
+    assert rows(counts) == [(0, "x", 2), (0, "y", 1), (1, "x", 1), (3, "", 1), (3, "y", 1)]
+
+
+def test_bags_of_documents_are_written_by_few_tasks(spark, tmp_path):
+    from wordgraph.plans import registry
+
+    docs = [(i, f"Word{i // 64} two\ttwo") for i in range(64 * 40)]
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    path = registry._written_bags(spark, str(tmp_path))
+    folders = sorted(Path(path.removeprefix("file:")).glob("bag=*"))
+    assert [len(list(f.glob("part-*"))) for f in folders] == [1] * 41
+    # The task's number is part of a file's name.
+    assert len({p.name.split("-")[1] for f in folders[1:] for p in f.glob("part-*")}) <= 8
+    vertices, counts = registry.T.bag_files(spark, path, counts=True)
+    assert vertices.count() == 41
+    assert rows(counts.where("v in (0, 1, 11)")) == [
+        (1, "two", 128), (1, "word0", 64), (11, "two", 128), (11, "word10", 64)]

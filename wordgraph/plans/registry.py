@@ -206,15 +206,23 @@ DOCS_PER_FILE = 64
 
 
 def _written_bags(spark, d) -> str:
-    """Files of the words of 64 documents each, one word a line, and an empty first file."""
+    """Files of the words of 64 documents each, one word a line, and an empty first file.
+
+    A row holds the lines of a document, and a task writes as many files as fall to its part: the number of tasks
+    does not grow with the number of files.
+    """
     cuts = TableCuts(spark, "bag-files")
     docs = number_rows(FX.table(spark, d, "documents").select("doc_id", "text"), [F.col("doc_id").asc()], cuts)
-    bag = F.floor(F.col("v") / F.lit(DOCS_PER_FILE)).cast("int") + 1
-    words = docs.select(bag.alias("bag"), F.explode(doc_tokens("text")).alias("value"))
-    files = docs.agg(F.max(bag)).first()[0] or 0
-    # Part 0 stays empty and is written, as every job writes its first part.
+    number = F.floor(F.col("v") / F.lit(DOCS_PER_FILE)).cast("int") + 1
+    # Of equal width, so that the folders are in the order of the bags.
+    bag = F.lpad(number.cast("string"), 10, "0").alias("bag")
     path = f"{cuts.root}/bags"
-    words.repartitionById(files + 1, F.col("bag")).select("value").write.text(path)
+    # The empty first file: a job without rows writes one.
+    spark.createDataFrame([], "value string").write.text(f"{path}/bag={'0' * 10}")
+    dealt = docs.select(bag, "text").repartition("bag")
+    words = dealt.select("bag", doc_tokens("text").alias("words")).where(F.size("words") > 0)
+    lines = words.select("bag", F.concat_ws("\n", "words").alias("value"))
+    lines.write.mode("append").partitionBy("bag").text(path)
     return path
 
 

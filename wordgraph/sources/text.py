@@ -7,7 +7,7 @@ listing that every Spark scan makes, and no path of it reaches Python.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordgraph.functions.columns import fields
@@ -74,15 +74,28 @@ def bag_files(spark: SparkSession, path: str, counts: bool = False) -> tuple[Dat
     the word ``""``). Vertex ids are the positions of the files in path order, from 0; an empty file is
     a vertex without words.
 
-    Lines are counted per (path, word) before anything else, so a long file is no key of its raw lines. Ids
-    are numbered in Spark, in ranges of the paths. Both tables are written below the checkpoint folder.
+    Lines are counted per file and word before anything else, so a long file is no key of its raw lines; a file is
+    told by a 64-bit hash of its path, tried on the paths until no two are equal, as the path is much longer than a
+    word. Ids are numbered in Spark, in ranges of the paths. Both tables are written below the checkpoint folder.
     """
     cuts = TableCuts(spark, "bags")
     files = spark.read.option("recursiveFileLookup", "false").text(path)
-    lines = files.select(F.input_file_name().alias("path"), F.col("value").alias("w"))
-    words = cuts.cut(lines.groupBy("path", "w").agg(F.count(F.lit(1)).alias("c")), "words")
-    with_lines = words.select("path").distinct()
-    empty = _listing(files).join(with_lines, "path", "left_anti")
-    vertices = cuts.cut(number_rows(with_lines.union(empty), [F.col("path").asc()], cuts, "paths").select("v", "path"), "vertices")
-    found = words.join(vertices, "path")
-    return vertices, found.select("v", "w", "c") if counts else found.select("v", "w")
+    listed = cuts.cut(_listing(files), "listing")
+    seed = _telling_seed(listed)
+    numbered = number_rows(listed, [F.col("path").asc()], cuts, "paths")
+    vertices = cuts.cut(numbered.select("v", "path", _file_key("path", seed).alias("file")), "vertices")
+    lines = files.select(_file_key(F.input_file_name(), seed).alias("file"), F.col("value").alias("w"))
+    words = cuts.cut(lines.groupBy("file", "w").agg(F.count(F.lit(1)).alias("c")), "words")
+    found = words.join(vertices.select("file", "v"), "file")
+    return vertices.select("v", "path"), found.select("v", "w", "c") if counts else found.select("v", "w")
+
+
+def _file_key(path: Column | str, seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), path)
+
+
+def _telling_seed(paths: DataFrame, seed: int = 0) -> int:
+    """The first seed from ``seed`` by which no two of the distinct ``paths(path)`` have an equal key."""
+    while not paths.groupBy(_file_key("path", seed)).count().where("count > 1").isEmpty():
+        seed += 1
+    return seed
