@@ -95,3 +95,21 @@ def test_empty_and_self_loop_only(spark):
     assert pagerank(empty, iterations=3, missing="drop").count() == 0
     loop = edges(spark, [(1, 1)])
     assert ranks(pagerank(loop, iterations=3, missing="keep")) == pytest.approx({1: 1.0})
+
+
+@pytest.mark.parametrize("placement", ["src", "pair"])
+def test_rounds_hash_the_ranks(spark, monkeypatch, placement):
+    # Small ranks were broadcast with all their copies, large ones were sorted with the edges.
+    from wordgraph.session import TableCuts
+
+    plans, cut = [], TableCuts.cut
+
+    def seen(self, df, name, **options):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(self, df, name, **options)
+
+    monkeypatch.setattr(TableCuts, "cut", seen)
+    pagerank(edges(spark, WEB), iterations=2, placement=placement)
+    assert len(plans) == 2
+    for plan in plans:
+        assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan and "SortMergeJoin" not in plan

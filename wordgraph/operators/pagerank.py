@@ -14,7 +14,7 @@ Plan per round (one Spark job, lineage cut by a written table):
 * The weighted edge table is built once: ``1 / outdeg`` per edge, written
   below ``spark.checkpoint.dir`` as a table bucketed and sorted on the join key
   ``(src, salt)``, so a round shuffles only the ranks, never the edges, and no
-  executor holds the only copy. Every
+  executor holds the only copy. The ranks of a part are hashed for the join. Every
   placement of the reference is a vertex cut on this table: it decides how
   many salts a source's edges spread over (grid: the grid's columns; pair:
   up to one per edge), and each rank is copied once per salt.
@@ -193,7 +193,8 @@ def _rounds(cuts: TableCuts, weights: DataFrame, iterations: int, keep: bool, re
         cuts.paths.append(f"{cuts.root}/ranks-{done}")
     for i in range(done + 1, iterations + 1):
         sent = ranks.select("id", "rank", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-        joined = weights.join(sent, (weights.src == sent.id) & (weights.salt == sent.salt))
+        # The ranks of a part are hashed: neither they nor its edges, which are many more, are sorted each round.
+        joined = weights.join(sent.hint("shuffle_hash"), (weights.src == sent.id) & (weights.salt == sent.salt))
         msg = F.when(~F.col("is_self"), F.col("rank") * F.col("weight"))
         upd = F.lit(reset) + F.lit(damping) * F.col("c")
         if keep:
