@@ -550,3 +550,28 @@ def test_radius(spark, radius, blocks):
     asked = [r["query"] for r in df.where("found % 3 = 0").withColumnRenamed("found", "query").collect()]
     want = collections.Counter((q, x, bits(q, x)) for q in asked for x in prints if bits(q, x) <= radius)
     assert collections.Counter(map(tuple, got.collect())) == want
+
+
+def test_word_ids_of_odd_texts_in_bulk(monkeypatch):
+    """Ids are the tokenizer's, and letters of Latin-1 are not encoded word by word."""
+    import random
+
+    import pyarrow as pa
+
+    from wordgraph.llm import tokens
+
+    path = tokens.public_tokenizer_path()
+    assert tokens.word_parts("\u00c9t\u00e9!?a".encode()) == ["\u00e9t\u00e9".encode(), b"!?a"]
+    tokenizer, draw = tokens.load(path), random.Random(3)
+    chars = "aBz\u00c0\u00e9\u00df\u00f7\u00d7\u00ff\u0100\u0130\u017f\u0338\u0301.,;'\u2019<|>/w1\u00b2\u00aa\x00\x1c\u00a0\u3000\x85 \n\t\v\f\r"
+    texts = ["", None, " ", "ab.<|endoftext|> <|ENDOFTEXT|>x don't \u00e9's J\u030c</w> </w>"]
+    texts += ["".join(draw.choice(chars) for _ in range(draw.randint(1, 40))) for _ in range(2000)]
+    held = tokens.WordIds(path, limit=3000)  # less than there are: all words are let go of on the way
+    for k in range(0, len(texts), 200):
+        for text, ids in zip(texts[k:k + 200], held.texts(pa.array(texts[k:k + 200], pa.string()))):
+            assert ids.tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
+    encoded, plain = [], tokens.encode_words
+    monkeypatch.setattr(tokens, "encode_words", lambda t, words: encoded.extend(words) or plain(t, words))
+    words = [f"{a}\u00e9{b}" for a in "abcdefghij" for b in "abcdefghij"]
+    assert len(list(tokens.WordIds(path).texts(pa.array([" ".join(words)])))) == 1
+    assert len(encoded) == 1

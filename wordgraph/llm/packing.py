@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordgraph.llm.common import small_batches, text_bytes
-from wordgraph.llm.tokens import WordIds
+from wordgraph.llm.common import small_batches
+from wordgraph.llm.tokens import held_word_ids
 from wordgraph.session import TableCuts
 
 WINDOW = 2048
@@ -38,13 +38,11 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end
     """
 
     def run(batches):
-        encoder = WordIds(tokenizer_path)
+        encoder = held_word_ids(tokenizer_path)
         for batch in batches:
-            texts = [t.split() for t in text_bytes(batch.column("text"))]
-            encoder.learn(texts)
             rows, starts, lengths, crcs, totals = [], [], [], [], []
-            for i, words in enumerate(texts):
-                ids = np.append(encoder.ids(words), np.uint32(end_id)).astype("<u4")
+            for i, found in enumerate(encoder.texts(batch.column("text"))):
+                ids = np.append(found, np.uint32(end_id)).astype("<u4")
                 for start in range(0, len(ids), window):
                     piece = ids[start:start + window]
                     rows.append(i)

@@ -8,6 +8,7 @@ inside a word and is left to it.
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 
@@ -38,67 +39,152 @@ def encode_words(tokenizer, words: list[bytes]) -> list[list[int]]:
     return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
-#: In ASCII, marks that end a run of letters for the tokenizer in any case.
-_LETTERS_THEN_MARKS = re.compile(rb"([A-Za-z]+)([.,;:!?#*$%&()].*)", re.DOTALL)
+_LETTER = rb"(?:[A-Za-z]|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF])"
+#: Letters of Latin-1 and, in ASCII, marks that end a run of letters for the tokenizer in any case.
+_LETTERS_THEN_MARKS = re.compile(rb"(" + _LETTER + rb"+)([.,;:!?#*$%&()][\x00-\x7F]*)?")
+_LINE_MARKS = re.compile(rb"(?m)^([a-z]+)([^a-z\n])")
+_LETTERS = re.compile(_LETTER + rb"+")
 
 
 def word_parts(word: bytes) -> list[bytes]:
-    """A word as what the tokenizer cuts it into anyway: letters, then marks; ASCII in lower case.
+    """A word as what the tokenizer cuts it into anyway: letters, then marks; in lower case.
 
     Fewer distinct words are left this way. Words with a special token, which
     the tokenizer looks for in the text as it is, are left alone, and so are
-    words beyond ASCII, where bytes do not tell a letter from a symbol or mark.
+    words with characters beyond Latin-1's letters, where bytes do not tell a
+    letter from a symbol or mark, or what composes with the one before.
     """
-    if b"<|" in word or not word.isascii():
+    if b"<|" in word:
         return [word]
-    word = word.lower()
     found = _LETTERS_THEN_MARKS.fullmatch(word)
-    return list(found.groups()) if found else [word]
+    if found:
+        return [x for x in (_lower(found[1]), found[2] and found[2].lower()) if x]
+    return [word.lower() if word.isascii() else word]
+
+
+def many_parts(words: list[bytes]) -> tuple[list[bytes], list[bytes], np.ndarray]:
+    """``word_parts`` of many words: the words in another order, their parts one after another, and each word's number
+    of parts."""
+    letters = [w for w in words if w.isalpha()]
+    others = [w for w in words if not w.isalpha()]
+    found = list(map(_LETTERS_THEN_MARKS.fullmatch, others))
+    plain = [w for w, m in zip(others, found) if m and m[2] and w.isascii() and b"<|" not in w]
+    rest = [w for w, m in zip(others, found) if not (m and m[2] and w.isascii() and b"<|" not in w)]
+    flat = b"\n".join(letters).lower().split(b"\n") if letters else []
+    # Words hold no line feed: one pass over all of them cuts each at its first mark.
+    flat += _LINE_MARKS.sub(rb"\1\n\2", b"\n".join(plain).lower()).split(b"\n") if plain else []
+    split = [word_parts(w) if w else [] for w in rest]
+    flat += [x for parts in split for x in parts]
+    per = np.concatenate([np.ones(len(letters), np.int64), np.full(len(plain), 2), np.fromiter(map(len, split), np.int64, len(split))])
+    return letters + plain + rest, flat, per
+
+
+def _lower(letters: bytes) -> bytes:
+    return letters.lower() if letters.isascii() else letters.decode("utf-8").lower().encode("utf-8")
+
+
+class PartIds:
+    """Ids of what ``word_parts`` gives.
+
+    Letters alone need no normalizing and no cutting, only the tokenizer's
+    model, so many of them are encoded as one text. Which ids are whose tell
+    the pieces that end a word.
+    """
+
+    TEXT_PARTS = 500
+
+    def __init__(self, path: str):
+        from tokenizers import normalizers, pre_tokenizers
+
+        self.tokenizer, self.model = load(path), load(path)
+        self.model.normalizer = normalizers.Sequence([])
+        self.model.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.model.get_vocab(with_added_tokens=True)
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+
+    def __call__(self, parts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The parts in another order, the number of ids of each, and the ids."""
+        letters = [x for x in parts if _LETTERS.fullmatch(x)]
+        others = [x for x in parts if not _LETTERS.fullmatch(x)]
+        texts = [b" ".join(letters[i:i + self.TEXT_PARTS]) for i in range(0, len(letters), self.TEXT_PARTS)]
+        flat = np.concatenate([np.zeros(0, np.uint32), *(np.array(x, np.uint32) for x in encode_words(self.model, texts))])
+        lengths = np.diff(np.flatnonzero(self.last[flat]) + 1, prepend=0)
+        if len(lengths) != len(letters):  # a tokenizer whose pieces do not tell
+            letters, others, lengths, flat = [], parts, lengths[:0], flat[:0]
+        ids = encode_words(self.tokenizer, others)
+        return (letters + others, np.concatenate([lengths, np.array([len(x) for x in ids], np.int64)]),
+                np.concatenate([flat, *(np.array(x, np.uint32) for x in ids)]))
+
+
+class _Lists:
+    """Lists of ids by number, in one array."""
+
+    def __init__(self):
+        self.lengths, self.flat = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+
+    def add(self, lengths: np.ndarray, flat: np.ndarray) -> None:
+        self.lengths.append(lengths)
+        self.flat.append(flat)
+        self.starts = None
+
+    def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths of the lists with the numbers ``at``, and their ids one after another."""
+        if len(self.lengths) > 1:
+            self.lengths, self.flat = [np.concatenate(self.lengths)], [np.concatenate(self.flat)]
+            self.starts = np.cumsum(self.lengths[0]) - self.lengths[0]
+        lengths = self.lengths[0][at]
+        return lengths, self.flat[0][ragged(self.starts[at], lengths)] if len(at) else self.flat[0][:0]
 
 
 class WordIds:
     """Ids of texts, encoding a word once while it is held; about ``limit`` words are held."""
 
-    def __init__(self, path: str, limit: int = 600_000):
-        self.tokenizer, self.limit = load(path), limit
+    def __init__(self, path: str, limit: int = 1_000_000):
+        self.encode, self.limit = PartIds(path), limit
         self._clear()
 
     def _clear(self) -> None:
         self.index: dict[bytes, int] = {}
-        self.parts: dict[bytes, list[int]] = {}
-        self.lengths, self.flat = [], []
-        self.joined = None
-
-    def learn(self, texts: list[list[bytes]]) -> None:
-        """Hold all words of a batch of texts."""
-        fresh = set().union(*texts).difference(self.index) if texts else set()
+        self.parts: dict[bytes, int] = {}
+        self.word_lists, self.part_lists = _Lists(), _Lists()
+
+    def texts(self, column):
+        """The ids of each text of an Arrow string column, one after another; none where null."""
+        import pyarrow.compute as pc
+
+        # Split at ASCII white space; before and after it at a text's ends are empty words, which have no ids.
+        split = pc.ascii_split_whitespace(column.fill_null(""))
+        words = split.flatten().dictionary_encode()
+        at = self._places(words.dictionary.cast("binary").to_pylist())[words.indices.to_numpy()]
+        ends = np.cumsum(split.value_lengths().to_numpy())
+        for first, last in zip([0, *ends[:-1].tolist()], ends.tolist()):
+            yield self.word_lists.take(at[first:last])[1]
+
+    def _places(self, words: list[bytes]) -> np.ndarray:
+        """The numbers of distinct words, which are held from here on."""
+        fresh = [w for w in words if w not in self.index]
         if len(self.index) + len(fresh) > self.limit and self.index:
             self._clear()
-            fresh = set().union(*texts)
-        if not fresh:
-            return
-        split = [(w, word_parts(w)) for w in fresh]
-        unknown = list({x for _, parts in split for x in parts}.difference(self.parts))
-        self.parts.update(zip(unknown, encode_words(self.tokenizer, unknown)))
-        flat: list[int] = []
-        lengths, at = [], len(self.index)
-        for word, parts in split:
-            before = len(flat)
-            for x in parts:
-                flat += self.parts[x]
-            lengths.append(len(flat) - before)
-            self.index[word] = at
-            at += 1
-        self.lengths.append(np.array(lengths, np.int64))
-        self.flat.append(np.array(flat, np.uint32))
-        self.joined = None
-
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        if self.joined is None:
-            if len(self.lengths) > 1:
-                self.lengths, self.flat = [np.concatenate(self.lengths)], [np.concatenate(self.flat)]
-            lengths = self.lengths[0] if self.lengths else np.zeros(0, np.int64)
-            self.joined = (np.cumsum(lengths) - lengths, lengths, self.flat[0] if self.flat else np.zeros(0, np.uint32))
-        starts, lengths, flat = self.joined
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        return flat[ragged(starts[at], lengths[at])]
+            fresh = words
+        if fresh:
+            self._learn(fresh)
+        return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+
+    def _learn(self, fresh: list[bytes]) -> None:
+        fresh, flat, per = many_parts(fresh)
+        unknown, lengths, ids = self.encode(list(set(flat).difference(self.parts)))
+        self.part_lists.add(lengths, ids)
+        self.parts.update(zip(unknown, range(len(self.parts), len(self.parts) + len(unknown))))
+        lengths, ids = self.part_lists.take(np.fromiter(map(self.parts.__getitem__, flat), np.int64, len(flat)))
+        # Sums over each word's parts; an empty word has none.
+        ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(per)])]
+        self.word_lists.add(np.diff(ends), ids)
+        self.index.update(zip(fresh, range(len(self.index), len(self.index) + len(fresh))))
+
+
+@functools.lru_cache(maxsize=1)
+def held_word_ids(path: str) -> WordIds:
+    """One ``WordIds`` for all tasks that a Python worker runs, one after another: later tasks find words held."""
+    return WordIds(path)
