@@ -1,4 +1,6 @@
 import itertools
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -299,3 +301,15 @@ def test_repeated_postings_of_long_bags(spark):
     for a, b in ((3, 4), (3, 5), (120, 3)):
         if data[a] & data[b] & hot:
             assert max(held.values()) > 40 and got.count((a, b)) == (4 if {a, b} <= {3, 4, 120} else 2)
+
+
+def test_lists_are_compared_only_with_a_common_mark(spark):
+    """Pairs of bags that share several words come once, and the lists are looked at behind the marks."""
+    draw = random.Random(5)
+    bags = {v: set(draw.sample(range(40), draw.randint(1, 6))) for v in range(60)}
+    p = spark.createDataFrame([(v, w) for v, ws in bags.items() for w in ws], "v long, w long")
+    found = overlap_edges(p, hot_words=0)
+    want = sorted((a, b) for a in bags for b in bags if a != b and bags[a] & bags[b])
+    assert sorted((r["src"], r["dst"]) for r in found.collect()) == want
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"marks#\d+L? & marks2#\d+L?\) = 0\) OR NOT arrays_overlap", plan)

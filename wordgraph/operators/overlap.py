@@ -241,7 +241,7 @@ def _hot_pairs(p: _Prepared, carry: list[str], skip_bits: int, once: bool = Fals
 def _rare_postings(p: _Prepared, cuts: TableCuts, cell_rows: int, prefix_words: int) -> tuple[DataFrame, DataFrame | None]:
     """Postings of the words without a bit that two bags hold, and the bags with more than ``prefix_words`` of them,
     if there are any. The postings are those of the other bags, each with ``before``: the rare words that its bag
-    has earlier in the order (most bags first, then the word)."""
+    has earlier in the order (most bags first, then the word), and ``marks``: 64 bits, of which each of them sets one."""
     # A rare word can still be large at scale: it is block split like a hot one
     # (the frequency table is joined, not broadcast: it grows with the data).
     rare = p.postings.join(F.broadcast(p.hot.select("w")), "w", "left_anti") if p.bits else p.postings
@@ -252,15 +252,18 @@ def _rare_postings(p: _Prepared, cuts: TableCuts, cell_rows: int, prefix_words:
     some = not long.isEmpty()
     short = rare.join(long, "v", "left_anti") if some else rare
     bag = Window.partitionBy("v").orderBy(F.desc("d"), F.asc("w")).rowsBetween(-prefix_words, -1)
-    short = cuts.cut(short.withColumn("before", F.collect_list("w").over(bag)).drop("d"), "rare-short")
+    mark = F.expr("shiftleft(cast(1 as bigint), cast(pmod(xxhash64(w), 64) as int))")
+    short = short.withColumn("mark", mark).withColumn("before", F.collect_list("w").over(bag)).withColumn(
+        "marks", F.coalesce(F.bit_or("mark").over(bag), F.lit(0).cast("bigint")))
+    short = cuts.cut(short.drop("d", "mark"), "rare-short")
     return short, long if some else None
 
 
 def _rare_pairs(p: _Prepared, short: DataFrame, carry: list[str], once: bool = False) -> DataFrame:
     """Pairs of the postings ``short`` that share a word without a bit and none with one."""
     sides = short.withColumn("kb", F.lit(p.keyed))
-    a, _ = _grid_sides(sides, carry, ["kb", "before"], [])
-    _, b = _grid_sides(sides.withColumnRenamed("before", "before2"), carry, [], ["kb", "before2"])
+    a, _ = _grid_sides(sides, carry, ["kb", "before", "marks"], [])
+    _, b = _grid_sides(sides.withColumnsRenamed({"before": "before2", "marks": "marks2"}), carry, [], ["kb", "before2", "marks2"])
     on = (F.col("w") == F.col("w2")) & (F.col("cell") == F.col("cell2"))
     if p.keyed:
         a = a.withColumn("key", _low("ms", "kb"))
@@ -269,7 +272,8 @@ def _rare_pairs(p: _Prepared, short: DataFrame, carry: list[str], once: bool = F
     on &= _apart_ends(once)
     if p.bits:
         on &= F.col("ms").bitwiseAND(F.col("md")) == 0
-    on &= ~F.arrays_overlap("before", "before2")
+    # Lists without a common mark have no common word: few pairs need a look at the lists themselves.
+    on &= (F.col("marks").bitwiseAND(F.col("marks2")) == 0) | ~F.arrays_overlap("before", "before2")
     return a.drop("kb").join(b.drop("kb"), on).select("src", "dst", *[f"{c}{e}" for c in carry for e in "sd"])
 
 
