@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from wordgraph.llm import pitman_yor, seating
+from wordgraph.llm.blocks import blocks
+from wordgraph.session import SHUFFLE_CLEANUP_CONF, TableCuts
 
 
 def plain_gibbs(pairs, types, d1, d0, t1, t0, sweeps, burn_in, rng):
@@ -116,3 +118,24 @@ def test_scores_do_not_follow_partitions(spark):
         docs.repartition(n, F.col("doc_id")), params=params).collect()) for n in (3, 11))
     assert [k for k, _ in few] == [k for k, _ in many]
     assert np.allclose([s for _, s in few], [s for _, s in many], rtol=1e-6)
+
+
+def test_sweeps_carry_no_pair_seen_once(spark):
+    """Pairs seen once are kept, but not in the sweeps; a write's shuffle files go with it."""
+    texts = [(k, f"a b c a b d{k} e{k}") for k in range(30)]
+    rows = spark.createDataFrame(texts, "key long, text string").withColumn("flag", F.lit(False))
+    cuts = TableCuts(spark, "pitman-yor-test", release_shuffles=True)
+    table = cuts.cut(blocks(rows, fold=True, end=True), "blocks")
+    model = pitman_yor.fit(table, cuts, pitman_yor.Params(sweeps=2, burn_in=1))
+    pairs = {(r["u"], r["w"]): (r["n"], r["t"], r["kept"]) for r in model.pairs.collect()}
+    # a b, b c, c a and end a are seen often; b d, d e and e end once for each text.
+    assert len(pairs) == 4 + 90 and sorted(n for n, _, _ in pairs.values()) == [1] * 90 + [30, 30, 30, 60]
+    assert all((t, kept) == (1, 1) for n, t, kept in pairs.values() if n == 1)
+    assert [len(pitman_yor._unpack(r["n"])) for r in model.state.collect()] == [4]
+    sums = model.ids.agg(F.sum("opened"), F.sum("sent")).first()
+    assert list(sums) == [sum(t for _, t, _ in pairs.values())] * 2
+    assert spark.conf.get(SHUFFLE_CLEANUP_CONF) == "false"
+    local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = local.getAllFiles().size()
+    cuts.cut(spark.range(1000).repartition(7), "dealt")
+    assert local.getAllFiles().size() <= before

@@ -9,7 +9,9 @@ to the root.
 The state is the number of tables of each (previous word, word) pair seen in
 training. Pairs live in chunks: packed columns of some million training tokens,
 dealt by the previous word (a word with more tokens than a chunk is dealt by the
-following word too), so no restaurant grows a task. A sweep takes the tables of
+following word too), so no restaurant grows a task. A pair seen once keeps its one
+table: what such pairs add to a word's sums is added up once, and sweeps carry the
+other pairs and their words only. A sweep takes the tables of
 a pair out of its restaurant and of the root, draws their number anew from its
 distribution given everything else (``seating``), and puts them back before the
 next pairs of the chunk are drawn. Between sweeps chunks exchange one row per
@@ -151,25 +153,38 @@ def block_pairs(table: DataFrame, numbers: DataFrame, chunks: int, p: Params) ->
     return parts.applyInArrow(run, "chunk long, of long, u binary, w binary, n binary")
 
 
+_FIRST = ("chunk long, u binary, w binary, n binary, ids array<long>, opened array<long>, sent array<long>, "
+          "opened_once array<long>, sent_once array<long>, moves array<boolean>, ones long, twos long, state struct<u: binary, "
+          "w: binary, n: binary, t: binary, kept: binary, ids: array<long>>")
 _STATE = ("chunk long, u binary, w binary, n binary, t binary, kept binary, ids array<long>, opened array<long>, "
-          "sent array<long>, ones long, twos long")
+          "sent array<long>")
+
+
+def _by_word(u, w, t) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct words of pairs, and by word the tables opened in its restaurant, and sent to the root for it."""
+    ids, at = np.unique(np.concatenate([u, w]), return_inverse=True)
+    sums = (np.bincount(x, weights=t, minlength=len(ids)).astype(np.int64) for x in (at[:len(u)], at[len(u):]))
+    return ids, *sums
+
+
+def _lists(**columns) -> dict:
+    return {k: pa.array([v], pa.list_(pa.int64())) for k, v in columns.items()}
 
 
 def _state(chunk: int, u, w, n, t, kept) -> pa.Table:
     """A chunk's row: its pairs (tables, and tables summed over kept sweeps) and its sums by word."""
-    ids, at = np.unique(np.concatenate([u, w]), return_inverse=True)
-    opened = np.bincount(at[:len(u)], weights=t, minlength=len(ids)).astype(np.int64)
-    sent = np.bincount(at[len(u):], weights=t, minlength=len(ids)).astype(np.int64)
-    lists = pa.list_(pa.int64())
+    ids, opened, sent = _by_word(u, w, t)
     return pa.table({
         "chunk": pa.array([chunk], pa.int64()), **{k: pa.array([_pack(v)], pa.binary()) for k, v in (
-            ("u", u), ("w", w), ("n", n), ("t", t), ("kept", kept))},
-        "ids": pa.array([ids], lists), "opened": pa.array([opened], lists), "sent": pa.array([sent], lists),
-        "ones": pa.array([(n == 1).sum()], pa.int64()), "twos": pa.array([(n == 2).sum()], pa.int64())})
+            ("u", u), ("w", w), ("n", n), ("t", t), ("kept", kept))}, **_lists(ids=ids, opened=opened, sent=sent)})
 
 
 def gathered(sent: DataFrame) -> DataFrame:
-    """The chunks' first state from the blocks' pairs: every pair has one table."""
+    """The chunks from the blocks' pairs: all pairs, with one table each, and the first ``state`` of those that move.
+
+    A pair that was seen once has one table for good: what such pairs open and send is kept by word (``opened_once``,
+    ``sent_once``), and only the other pairs, and their words (``moves``), are part of the sweeps.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         u, w, n = (np.concatenate([_unpack(x) for x in table.column(c).to_pylist()]) for c in ("u", "w", "n"))
@@ -178,10 +193,31 @@ def gathered(sent: DataFrame) -> DataFrame:
         u, w, n = u[order], w[order], n[order]
         first = np.flatnonzero(np.concatenate([[True], (u[1:] != u[:-1]) | (w[1:] != w[:-1])])) if len(u) else order
         n = np.add.reduceat(n, first) if len(u) else n
-        one = np.ones(len(first), np.int64)
-        return _state(table.column("chunk")[0].as_py(), u[first], w[first], n, one, one * 0)
+        u, w, one, moving = u[first], w[first], np.ones(len(first), np.int64), n > 1
+        ids, opened, sent = _by_word(u, w, one)
+        _, opened_once, sent_once = _by_word(u, w, (~moving).astype(np.int64))
+        mu, mw, mn, mt = u[moving], w[moving], n[moving], one[moving]
+        moves = np.unique(np.concatenate([mu, mw]))
+        state = {k: pa.array([_pack(v)], pa.binary()) for k, v in (
+            ("u", mu), ("w", mw), ("n", mn), ("t", mt), ("kept", mt * 0))} | _lists(ids=moves)
+        return pa.table({
+            "chunk": pa.array([table.column("chunk")[0].as_py()], pa.int64()), **{k: pa.array([_pack(v)], pa.binary()) for k, v in (
+                ("u", u), ("w", w), ("n", n))},
+            **_lists(ids=ids, opened=opened, sent=sent, opened_once=opened_once, sent_once=sent_once),
+            "moves": pa.array([np.isin(ids, moves)], pa.list_(pa.bool_())),
+            "ones": pa.array([(n == 1).sum()], pa.int64()), "twos": pa.array([(n == 2).sum()], pa.int64()),
+            "state": pa.StructArray.from_arrays(list(state.values()), names=list(state))})
 
-    return sent.groupBy("chunk").applyInArrow(run, _STATE)
+    return sent.groupBy("chunk").applyInArrow(run, _FIRST)
+
+
+def first_words(vocab: DataFrame, chunks: DataFrame) -> DataFrame:
+    """``vocab`` with the sums over the chunks' pairs, one table each; ``moves``: whether the sums can change."""
+    names = ["opened", "sent", "opened_once", "sent_once"]
+    sums = chunks.select(F.explode(F.arrays_zip("ids", *names, "moves")).alias("x")).groupBy(F.col("x.ids").alias("id")).agg(
+        *[F.sum(f"x.{c}").alias(c) for c in names], F.bool_or("x.moves").alias("moves"))
+    start = vocab.select("id", "c", F.array().cast("array<double>").alias("roots"), F.array().cast("array<long>").alias("opens"))
+    return start.join(sums, "id").withColumn("r", F.lit(1).cast("long"))
 
 
 def reseat(u, w, n, t, opened, sent, r, totals: dict, p: Params, turn: int) -> np.ndarray:
@@ -221,7 +257,7 @@ def sweep(state: DataFrame, words: DataFrame, totals: dict, p: Params, turn: int
     """Every pair's tables drawn anew; chunks fetch the sums of their distinct words."""
     keep = turn > p.burn_in
     needs = state.select(F.col("chunk").alias("of"), F.explode("ids").alias("id"))
-    fetched = needs.join(words.select("id", "opened", "sent", "r"), "id").select("of", "id", "opened", "sent", "r")
+    fetched = needs.join(words.where("moves").select("id", "opened", "sent", "r"), "id").select("of", "id", "opened", "sent", "r")
 
     def run(table: pa.Table, found: pa.Table) -> pa.Table:
         u, w, n, t, kept = (_unpack(table.column(c)[0].as_py()) for c in ("u", "w", "n", "t", "kept"))
@@ -236,9 +272,11 @@ def sweep(state: DataFrame, words: DataFrame, totals: dict, p: Params, turn: int
 
 def served(words: DataFrame, state: DataFrame) -> DataFrame:
     """``words`` with the tables after a sweep: ``opened`` in a word's restaurant, ``sent`` to the root for the word."""
-    sums = state.select(F.explode(F.arrays_zip("ids", "opened", "sent")).alias("x")).groupBy("x.ids").agg(
+    sums = state.select(F.explode(F.arrays_zip("ids", "opened", "sent")).alias("x")).groupBy(F.col("x.ids").alias("id")).agg(
         F.sum("x.opened").alias("opened"), F.sum("x.sent").alias("sent"))
-    return words.drop("opened", "sent").join(sums.withColumnRenamed("ids", "id"), "id")
+    moved = words.where("moves").drop("opened", "sent").join(sums, "id").withColumn(
+        "opened", F.col("opened") + F.col("opened_once")).withColumn("sent", F.col("sent") + F.col("sent_once"))
+    return words.where("not moves").unionByName(moved)
 
 
 def seat_root(words: DataFrame, totals: dict, p: Params, turn: int) -> DataFrame:
@@ -255,8 +293,9 @@ def seat_root(words: DataFrame, totals: dict, p: Params, turn: int) -> DataFrame
                                lambda i, rows: seating.uniform(p.seed + 1, turn, i, ids[rows], zero[rows]))
             yield from batch.drop_columns(["r"]).append_column("r", pa.array(r)).to_batches()
 
-    rows = words.select("id", "c", "opened", "sent", "roots", "opens", "r").mapInArrow(
-        run, "id long, c long, opened long, sent long, roots array<double>, opens array<long>, r long")
+    rows = words.select("id", "c", "opened", "sent", "opened_once", "sent_once", "moves", "roots", "opens", "r").mapInArrow(
+        run, "id long, c long, opened long, sent long, opened_once long, sent_once long, moves boolean, "
+             "roots array<double>, opens array<long>, r long")
     if keep:
         rows = rows.withColumn("roots", F.concat("roots", F.array(F.col("sent") - d0 * F.col("r")))).withColumn(
             "opens", F.concat("opens", F.array("opened")))
@@ -285,12 +324,20 @@ def _discount(ones: int, twos: int) -> float:
     return round(min(0.95, max(0.05, ones / (ones + 2 * twos))), 4) if ones else 0.5
 
 
+def _filled(n: np.ndarray, moving: np.ndarray, once: int) -> np.ndarray:
+    """Values of all pairs from those of the pairs that move; ``once`` for the pairs seen once."""
+    out = np.full(len(n), once, np.int64)
+    out[n > 1] = moving
+    return out
+
+
 @dataclass
 class Fitted:
     """The written model: per word its root customers and its restaurant's tables; per pair its discounted customers."""
 
     ids: DataFrame  # id, c, opened, sent, r; roots, opens: of each kept sweep
-    state: DataFrame  # the chunks
+    pairs_of: DataFrame  # the chunks: all pairs
+    state: DataFrame  # the chunks: the pairs that move
     chunks: int
     params: Params
     contexts: range  # a context is the id of the previous word
@@ -305,12 +352,17 @@ class Fitted:
     def pairs(self) -> DataFrame:
         """``u, w, n, t, kept``: a row per pair; for looking at small models."""
 
+        sweeps = len(self.guests)
+
         def run(batches):
             for batch in batches:
                 for row in batch.to_pylist():
-                    yield pa.RecordBatch.from_pydict({c: _unpack(row[c]) for c in ("u", "w", "n", "t", "kept")})
+                    u, w, n = (_unpack(row[c]) for c in ("u", "w", "n"))
+                    yield pa.RecordBatch.from_pydict({"u": u, "w": w, "n": n, "t": _filled(n, _unpack(row["t"]), 1),
+                                                      "kept": _filled(n, _unpack(row["kept"]), sweeps)})
 
-        return self.state.select("u", "w", "n", "t", "kept").mapInArrow(run, "u long, w long, n long, t long, kept long")
+        held = self.pairs_of.select("chunk", "u", "w", "n").join(self.state.select("chunk", "t", "kept"), "chunk")
+        return held.select("u", "w", "n", "t", "kept").mapInArrow(run, "u long, w long, n long, t long, kept long")
 
     @property
     def words(self) -> DataFrame:
@@ -342,10 +394,10 @@ def fit(table: DataFrame, cuts: TableCuts, p: Params = Params()) -> Fitted:
 
 def fit_pairs(pairs: DataFrame, vocab: DataFrame, types: int, tokens: int, cuts: TableCuts, p: Params) -> Fitted:
     """Fit the model on written pairs of blocks."""
-    state = cuts.cut(gathered(pairs), "seats-0")
-    start = vocab.select("id", "c", F.array().cast("array<double>").alias("roots"), F.array().cast("array<long>").alias("opens"))
-    words = cuts.cut(served(start, state).withColumn("r", F.lit(1).cast("long")), "words-0", compression="zstd")
-    seen = state.agg(F.sum("ones"), F.sum("twos")).first()
+    chunks = cuts.cut(gathered(pairs), "seats")
+    words = cuts.cut(first_words(vocab, chunks), "words-0", compression="zstd")
+    state = chunks.select("chunk", "state.*")
+    seen = chunks.agg(F.sum("ones"), F.sum("twos")).first()
     totals = {"types": types, "discount": _discount(seen[0] or 0, seen[1] or 0), "strength": 1.0, "root_strength": 1.0}
 
     def count(fitting: bool):
@@ -362,7 +414,8 @@ def fit_pairs(pairs: DataFrame, vocab: DataFrame, types: int, tokens: int, cuts:
     base, guests = [], []
     for turn in range(1, p.sweeps + 1):
         state = cuts.cut(sweep(state, words, totals, p, turn), f"seats-{turn}")
-        cuts.drop(f"{cuts.root}/seats-{turn - 1}")
+        if turn > 1:
+            cuts.drop(f"{cuts.root}/seats-{turn - 1}")
         words = cuts.cut(seat_root(served(words, state), totals, p, turn), f"words-{turn}", compression="zstd")
         cuts.drop(f"{cuts.root}/words-{turn - 1}")
         count(turn < p.burn_in)
@@ -370,7 +423,7 @@ def fit_pairs(pairs: DataFrame, vocab: DataFrame, types: int, tokens: int, cuts:
             # With the totals after the sweep, the probabilities of each context add up to one.
             base.append((totals["root_strength"] + totals["root_discount"] * totals["root_tables"]) / (types + 1))
             guests.append(totals["root_strength"] + totals["guests"])
-    return Fitted(words, state, _chunks(tokens, p), p, range(types), totals["discount"], totals["strength"],
+    return Fitted(words, chunks, state, _chunks(tokens, p), p, range(types), totals["discount"], totals["strength"],
                   np.array(base), np.array(guests), tokens, types)
 
 
@@ -380,6 +433,7 @@ def block_gains(pairs: DataFrame, model: Fitted) -> DataFrame:
 
     def run(sent: pa.Table, held: pa.Table) -> pa.Table:
         u, w, n, tables = (_unpack(held.column(c)[0].as_py()) for c in ("u", "w", "n", "kept"))
+        tables = _filled(n, tables, kept)
         mass = np.concatenate([(n - discount * tables / kept).astype("<f4"), np.zeros(1, "<f4")])
         # Pairs are numbered by place: contexts by their first place, then the word inside the context.
         ids = np.unique(w)
@@ -397,23 +451,23 @@ def block_gains(pairs: DataFrame, model: Fitted) -> DataFrame:
             out.append(zlib.compress(mass[at].tobytes(), 1))
         return pa.table({"of": sent.column("of"), "chunk": sent.column("chunk"), "mass": pa.array(out, pa.binary())})
 
-    parts = pairs.select("chunk", "of", "u", "w").groupBy("chunk").cogroup(
-        model.state.select("chunk", "u", "w", "n", "kept").groupBy("chunk"))
+    seats = model.pairs_of.select("chunk", "u", "w", "n").join(model.state.select("chunk", "kept"), "chunk")
+    parts = pairs.select("chunk", "of", "u", "w").groupBy("chunk").cogroup(seats.groupBy("chunk"))
     return parts.applyInArrow(run, "of long, chunk long, mass binary")
 
 
-def score(table: DataFrame, numbers: DataFrame, pairs: DataFrame, model: Fitted) -> DataFrame:
+def score(table: DataFrame, numbers: DataFrame, gains: DataFrame, model: Fitted) -> DataFrame:
     """``key, n_tokens, n_known, base_score, score`` for every text of a block table.
 
-    A block's words fetch their rows of the model, its pairs their gains;
-    texts and rows meet by block.
+    A block's words fetch their rows of the model; texts, rows and the gains of
+    the block's pairs (``block_gains``) meet by block.
     """
     tokens, types, from_base, guests = model.tokens, model.types, model.base, model.guests
     kept, strength, discount, chunks, params = len(guests), model.strength, model.discount, model.chunks, model.params
     known = numbers.join(model.ids.select("id", "roots", "opens"), "id", "left").select(
         "of", F.col("number").cast("long").alias("number"), "id", "c", "end", "roots", "opens",
         F.lit(None).cast("binary").alias("mass"))
-    found_pairs = block_gains(pairs, model).select(
+    found_pairs = gains.select(
         "of", F.col("chunk").alias("number"), F.lit(None).cast("long").alias("id"), F.lit(None).cast("long").alias("c"),
         F.lit(False).alias("end"), F.lit(None).cast("array<double>").alias("roots"),
         F.lit(None).cast("array<long>").alias("opens"), "mass")
@@ -464,7 +518,7 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", pa
     """
     spark = docs.sparkSession
     small_batches(spark)
-    cuts = cuts or TableCuts(spark, "pitman-yor")
+    cuts = cuts or TableCuts(spark, "pitman-yor", release_shuffles=True)
     flag = F.coalesce(id_remainder(F.col(key), 5) == 1, F.lit(False))
     rows = docs.select(F.col(key).alias("key"), flag.alias("flag"), F.col(text).alias("text"))
     table = cuts.cut(blocks(rows, fold=True, end=True), "blocks", compression="zstd")
@@ -472,6 +526,11 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", pa
     numbers = cuts.cut(block_words(table, vocab), "numbers", compression="zstd")
     pairs = cuts.cut(block_pairs(table, numbers, _chunks(tokens, params), params), "block-pairs")
     model = fit_pairs(pairs, vocab, types, tokens, cuts, params)
-    out = score(table, numbers, pairs, model)
+    cuts.drop(f"{cuts.root}/vocabulary")
+    gains = cuts.cut(block_gains(pairs, model), "gains")
+    # Only the words of the model are needed from here on.
+    for name in ("block-pairs", "seats", f"seats-{params.sweeps}"):
+        cuts.drop(f"{cuts.root}/{name}")
+    out = score(table, numbers, gains, model)
     return out.select(F.col("key").alias(key), (id_remainder(F.col("key"), 5) == 1).alias("held_out"), "n_tokens",
                       "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -9,11 +9,13 @@ short plan whose input survives executor loss.
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+SHUFFLE_CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def _context(spark: SparkSession):
@@ -83,9 +85,12 @@ class TableCuts:
     ``drop(df_path)`` removes a table that no later plan reads.
     """
 
-    def __init__(self, spark: SparkSession, prefix: str, name: str | None = None):
-        """``name``: a folder that a later run under the same name finds again; else one of its own."""
+    def __init__(self, spark: SparkSession, prefix: str, name: str | None = None, release_shuffles: bool = False):
+        """``name``: a folder that a later run under the same name finds again; else one of its own.
+        ``release_shuffles``: shuffle files of a write go when it has ended, not when the driver's garbage collector
+        finds that nothing refers to them, which many shuffles of one run may fill the disks before."""
         self.spark = spark
+        self.release_shuffles = release_shuffles
         self.root = f"{checkpoint_dir(spark).rstrip('/')}/wordgraph-{prefix}-{name or uuid.uuid4().hex}"
         self.paths: list[str] = []
         sc = _context(spark)
@@ -93,11 +98,24 @@ class TableCuts:
 
     def cut(self, df: DataFrame, name: str, **options: str) -> DataFrame:
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").options(**options).parquet(path)
+        with self._released():
+            df.write.mode("overwrite").options(**options).parquet(path)
         self.paths.append(path)
         # With the schema given, reading back starts no job of its own.
         return self.spark.read.schema(df.schema).parquet(path)
 
+    @contextlib.contextmanager
+    def _released(self):
+        if not self.release_shuffles:
+            yield
+            return
+        before = self.spark.conf.get(SHUFFLE_CLEANUP_CONF, "false")
+        self.spark.conf.set(SHUFFLE_CLEANUP_CONF, "true")
+        try:
+            yield
+        finally:
+            self.spark.conf.set(SHUFFLE_CLEANUP_CONF, before)
+
     def drop(self, path: str) -> None:
         _delete(self.spark, path)
         if path in self.paths:
