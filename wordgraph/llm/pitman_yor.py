@@ -47,6 +47,8 @@ class Params:
     seed: int = 7
     #: Training tokens of a chunk, on average.
     chunk_tokens: int = 1 << 21
+    #: Text of a block: what a task holds of tokens, distinct words and distinct pairs grows with it.
+    block_bytes: int = 8 << 20
     #: Steps of a pass over a chunk: pairs of one context are spread over them, later steps see earlier ones' tables.
     steps: int = 16
 
@@ -101,7 +103,7 @@ def block_words(table: DataFrame, words: DataFrame) -> DataFrame:
 
 def _previous(numbers: np.ndarray, sizes: np.ndarray, end: int) -> np.ndarray:
     """The word before each token; a text starts after an end."""
-    out = np.empty(len(numbers), np.int64)
+    out = np.empty_like(numbers)
     if len(numbers):
         out[1:] = numbers[:-1]
         out[np.cumsum(sizes) - sizes] = end
@@ -119,16 +121,25 @@ class _Block:
         ids[where] = found.column("id").fill_null(-1).to_numpy()
         self.c[where] = found.column("c").fill_null(0).to_numpy()
         self.sizes = texts.column("sizes")[0].values.to_numpy().astype(np.int64)
-        self.own = unpack_numbers(texts.column("refs")[0].as_py())
-        self.before = _previous(self.own, self.sizes, self.end)
-        self.keys, self.at = np.unique(self.before * self.size + self.own, return_inverse=True)
-        u, w = ids[self.keys // self.size], ids[self.keys % self.size]
+        # A block's tokens are most of what a task holds: 32 bits for each (a block has far fewer words).
+        self.own = unpack_numbers(texts.column("refs")[0].as_py()).astype(np.int32)
+        keys = _previous(self.own, self.sizes, self.end).astype(np.int64)
+        keys *= self.size
+        keys += self.own
+        self.keys, at = np.unique(keys, return_inverse=True)
+        del keys
+        self.at = at.astype(np.int32)
+        del at
+        first = self.keys // self.size
+        u, w = ids[first], ids[self.keys % self.size]
         # A word's pairs are dealt over as many chunks as it has chunks of tokens.
-        salts = 1 + self.c[self.keys // self.size] // p.chunk_tokens
-        salt = mix64(w.astype(np.uint64)) % salts.astype(np.uint64)
-        chunk = (mix64(mix64(u.astype(np.uint64)) + salt) % np.uint64(chunks)).astype(np.int64)
-        order = np.lexsort((w, u, chunk))
-        self.order = order[(u[order] >= 0) & (w[order] >= 0)]
+        salt = mix64(w.astype(np.uint64))
+        salt %= (1 + self.c[first] // p.chunk_tokens).astype(np.uint64)
+        salt += mix64(u.astype(np.uint64))
+        chunk = (mix64(salt) % np.uint64(chunks)).astype(np.int64)
+        del salt, first
+        order = np.flatnonzero((u >= 0) & (w >= 0))
+        self.order = order[np.lexsort((w[order], u[order], chunk[order]))]
         self.u, self.w, self.chunk = u[self.order], w[self.order], chunk[self.order]
         self.numbers, self.starts = np.unique(self.chunk, return_index=True)
 
@@ -521,7 +532,7 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", pa
     cuts = cuts or TableCuts(spark, "pitman-yor", release_shuffles=True)
     flag = F.coalesce(id_remainder(F.col(key), 5) == 1, F.lit(False))
     rows = docs.select(F.col(key).alias("key"), flag.alias("flag"), F.col(text).alias("text"))
-    table = cuts.cut(blocks(rows, fold=True, end=True), "blocks", compression="zstd")
+    table = cuts.cut(blocks(rows, fold=True, end=True, block_bytes=params.block_bytes), "blocks", compression="zstd")
     vocab, types, tokens = vocabulary(table, cuts)
     numbers = cuts.cut(block_words(table, vocab), "numbers", compression="zstd")
     pairs = cuts.cut(block_pairs(table, numbers, _chunks(tokens, params), params), "block-pairs")
