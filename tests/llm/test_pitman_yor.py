@@ -2,6 +2,7 @@
 
 import collections
 import math
+import zlib
 
 import numpy as np
 import pytest
@@ -139,3 +140,54 @@ def test_sweeps_carry_no_pair_seen_once(spark):
     before = local.getAllFiles().size()
     cuts.cut(spark.range(1000).repartition(7), "dealt")
     assert local.getAllFiles().size() <= before
+
+
+class CountedCuts(TableCuts):
+    """Keeps the number of rows of each table that was written."""
+
+    def cut(self, df, name, **options):
+        out = super().cut(df, name, **options)
+        self.rows = {**getattr(self, "rows", {}), name: out.count()}
+        return out
+
+
+def test_words_do_not_travel_as_rows(spark):
+    """Blocks, chunks and parts exchange packed rows: no written table has a row per word."""
+    texts = [(k, " ".join(f"w{k}x{i % 400}" for i in range(500))) for k in range(40)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    cuts = CountedCuts(spark, "pitman-yor-test")
+    params = pitman_yor.Params(sweeps=2, burn_in=1, part_words=4000, chunk_tokens=4000)
+    assert pitman_yor.score_documents(docs, params=params, cuts=cuts).count() == 40
+    assert {"blocks", "numbers", "seats", "words-2"} <= set(cuts.rows)
+    assert max(cuts.rows.values()) < 400  # of 16,000 distinct words
+
+
+def test_scores_do_not_follow_parts_of_the_vocabulary(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").limit(60).union(
+        spark.createDataFrame([(-1, None), (-2, "é " * 40 + "\x1c z\x85 " + "long" * 9000), (-3, ""), (-2, "the the")],
+                              "doc_id long, text string")).cache()
+    given = {"sweeps": 2, "burn_in": 1, "chunk_tokens": 5000, "block_bytes": 30_000}
+    one, many = (sorted((r["doc_id"], r["n_known"], r["base_score"], r["score"]) for r in pitman_yor.score_documents(
+        docs, params=pitman_yor.Params(**given, **more)).collect()) for more in ({}, {"part_words": 900, "part_bytes": 8000}))
+    assert len(one) == 64 and [r[:2] for r in one] == [r[:2] for r in many]
+    assert np.allclose([r[2:] for r in one], [r[2:] for r in many], rtol=1e-9)
+    cuts = TableCuts(spark, "pitman-yor-test")
+    rows = docs.select(F.col("doc_id").alias("key"), F.lit(False).alias("flag"), "text")
+    table = cuts.cut(blocks(rows, fold=True, end=True), "blocks")
+    vocab = pitman_yor.vocabulary(table, cuts, pitman_yor.Params(part_words=900, part_bytes=8000))
+    words = {w for r in docs.collect() for w in (r["text"] or "").encode().lower().split()}
+    assert len(vocab.starts) > 5 and vocab.types == vocab.starts[-1] == len(words) + 1
+    assert vocab.parts.count() == len(vocab.starts) - 1
+
+
+def test_without_training_texts_all_words_are_unknown(spark):
+    held = [(k, "a b a") for k in range(60) if zlib.crc32(str(k).encode()) % 5 == 1]
+    rows = pitman_yor.score_documents(spark.createDataFrame(held, "doc_id long, text string")).collect()
+    assert len(rows) == len(held) and all((r["n_tokens"], r["n_known"], r["train_tokens"], r["score"]) == (4, 0, 0, 0.0) for r in rows)
+
+
+@pytest.mark.parametrize("steps", [False, True])
+def test_packed_numbers(steps):
+    for values in ([], [0], [5, 3, -1, 2**40, 7, -(2**50)], list(range(1000))):
+        got = pitman_yor._unpack(pitman_yor._pack(np.array(values, np.int64), steps))
+        assert got.tolist() == values and got.dtype == np.int64

@@ -14,31 +14,32 @@ table: what such pairs add to a word's sums is added up once, and sweeps carry t
 other pairs and their words only. A sweep takes the tables of
 a pair out of its restaurant and of the root, draws their number anew from its
 distribution given everything else (``seating``), and puts them back before the
-next pairs of the chunk are drawn. Between sweeps chunks exchange one row per
-distinct word: the tables opened in its restaurant, and sent to the root for it.
+next pairs of the chunk are drawn.
+
+Words live in parts: ranges of the sorted vocabulary, packed columns too. Words
+never travel as rows: a block sends each part its words of that range and gets
+their ids, and between sweeps a chunk sends each part what its pairs opened in a
+word's restaurant and sent to the root for it, and gets the sums of all chunks.
 Strengths and the root's discount are fitted in the first sweeps; after them the
 predictive probabilities of each sweep are kept and averaged.
 """
 
 from __future__ import annotations
 
-import zlib
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordgraph.llm import seating
 from wordgraph.llm.blocks import blocks, unpack_numbers
 from wordgraph.llm.common import id_remainder, mix64, small_batches
-from wordgraph.llm.order import numbered
 from wordgraph.session import TableCuts
 
-#: The end of a text, a token like any word; no word holds a line feed.
-END = b"\n"
-
 
 @dataclass(frozen=True)
 class Params:
@@ -49,56 +50,155 @@ class Params:
     chunk_tokens: int = 1 << 21
     #: Text of a block: what a task holds of tokens, distinct words and distinct pairs grows with it.
     block_bytes: int = 8 << 20
+    #: Words of blocks, and their bytes, that a part of the vocabulary is made from, on average.
+    part_words: int = 1 << 20
+    part_bytes: int = 32 << 20
     #: Steps of a pass over a chunk: pairs of one context are spread over them, later steps see earlier ones' tables.
     steps: int = 16
 
 
-def _pack(values: np.ndarray) -> bytes:
-    """Whole numbers as differences, bytes of equal weight together, compressed."""
-    steps = np.diff(values.astype(np.int64), prepend=0).astype("<i8")
-    folded = ((steps << 1) ^ (steps >> 63)).view(np.uint8).reshape(-1, 8).T
-    return zlib.compress(np.ascontiguousarray(folded).tobytes(), 1)
+#: Words of blocks that are looked at for the bounds of the vocabulary's parts: so many for a part, and bytes of a word.
+SAMPLE_WORDS, SAMPLE_BYTES = 128, 256
+
+
+def _squeeze(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + (pa.compress(data, "zstd", asbytes=True) if len(data) else b"")
+
+
+def _stretch(data: bytes) -> bytes:
+    size = int.from_bytes(data[:8], "little")
+    return pa.decompress(pa.py_buffer(data).slice(8), size, "zstd", asbytes=True) if size else b""
+
+
+def _pack(values: np.ndarray, steps: bool = False) -> bytes:
+    """Whole numbers, or with ``steps`` their differences: bytes of equal weight together, compressed."""
+    values = values.astype("<i8")
+    if steps:
+        values = np.diff(values, prepend=0)
+    folded = ((values << 1) ^ (values >> 63)).view("<u8")
+    # Bytes that are 0 in all numbers are left out.
+    width = max(1, (int(folded.max()).bit_length() + 7) // 8) if len(folded) else 1
+    planes = folded.view(np.uint8).reshape(-1, 8)[:, :width].T
+    return bytes([width + 16 * steps]) + _squeeze(planes.tobytes())
 
 
 def _unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(8, -1)
-    folded = np.ascontiguousarray(planes.T).reshape(-1).view("<u8")
-    return np.cumsum((folded >> np.uint64(1)).astype(np.int64) ^ -(folded & np.uint64(1)).astype(np.int64))
+    width = data[0] % 16
+    planes = np.frombuffer(_stretch(data[1:]), np.uint8).reshape(width, -1)
+    folded = np.zeros((planes.shape[1], 8), np.uint8)
+    folded[:, :width] = planes.T
+    folded = folded.reshape(-1).view("<u8")
+    values = (folded >> np.uint64(1)).astype(np.int64) ^ -(folded & np.uint64(1)).astype(np.int64)
+    return np.cumsum(values) if data[0] >= 16 else values
+
+
+def _unpacked(table: pa.Table, *names: str) -> list[np.ndarray]:
+    """Packed columns, the values of all rows one after another."""
+    none = np.zeros(0, np.int64)
+    return [np.concatenate([none, *map(_unpack, table.column(c).to_pylist())]) for c in names]
+
+
+def _rows(kinds: str, rows: list[dict]) -> pa.Table:
+    """Rows of a schema like ``a long, b binary``; values that a row lacks are null."""
+    types = {"long": pa.int64(), "double": pa.float64(), "binary": pa.binary(), "array<binary>": pa.list_(pa.binary())}
+    fields = [x.rsplit(" ", 1) for x in kinds.split(", ")]
+    return pa.table({c: pa.array([r.get(c) for r in rows], types[k]) for c, k in fields})
+
+
+def _bounds(table: DataFrame, p: Params) -> list[bytes]:
+    """Words that begin the parts of the vocabulary after the first, from some words of each block.
+
+    They decide only how evenly the parts are filled.
+    """
+    held = table.where(F.size("words") > 0)
+    size = F.expr("aggregate(words, 0L, (a, x) -> a + octet_length(x))")
+    words, size = held.agg(F.sum(F.size("words")), F.sum(size)).first()
+    parts = 1 + max((words or 0) // p.part_words, (size or 0) // p.part_bytes)
+    if parts == 1:
+        return []
+    # One of so many words of each block, begun at another place in each.
+    every = max(1, words // (SAMPLE_WORDS * parts))
+    begin = f"1 + pmod(xxhash64(block), {every})"
+    some = F.expr(f"if(size(words) < {begin}, array(), transform(sequence({begin}, size(words), {every}), "
+                  "i -> element_at(words, cast(i as int))))")
+    seen = held.select(F.explode(some).alias("word")).select(
+        F.expr(f"substring(word, 1, {SAMPLE_BYTES})"), F.octet_length("word"))
+    rows = sorted((bytes(word), n) for word, n in seen.collect())
+    if not rows:
+        return []
+    weight = np.cumsum([1 / p.part_words + n / p.part_bytes for _, n in rows])
+    at = np.searchsorted(weight, weight[-1] * np.arange(1, parts) / parts)
+    return sorted({rows[i][0] for i in at})
+
+
+_SENT = "part long, of long, sizes binary, words binary, counts binary, numbers binary"
+
+
+def sent_words(table: DataFrame, bounds: list[bytes]) -> DataFrame:
+    """``part, of, sizes, words, counts, numbers`` (packed): a block's words of a part, sorted."""
+
+    def run(batches):
+        for batch in batches:
+            for of, own, counts in zip(batch.column("block").to_pylist(), batch.column("words"), batch.column("counts")):
+                order = pc.sort_indices(own.values)
+                words, numbers = own.values.take(order), order.to_numpy().astype(np.int64)
+                counts = counts.values.to_numpy()[numbers]
+                ends = [bisect_left(range(len(words)), x, key=lambda i: words[i].as_py()) for x in bounds] + [len(words)]
+                out, first = [], 0
+                for part, last in enumerate(ends):
+                    if last > first:
+                        sizes = pc.binary_length(words.slice(first, last - first)).to_numpy().astype(np.int64)
+                        out.append({"part": part, "of": of, "sizes": _pack(sizes), "counts": _pack(counts[first:last]),
+                                    "words": _squeeze(b"".join(words.slice(first, last - first).to_pylist())),
+                                    "numbers": _pack(numbers[first:last])})
+                    first = last
+                yield from _rows(_SENT, out).to_batches()
+
+    return table.select("block", "words", "counts").mapInArrow(run, _SENT)
 
 
-def _column(batch: pa.Table, name: str) -> np.ndarray:
-    return batch.column(name).to_numpy()
+@dataclass
+class Vocabulary:
+    """Training words have ids without gaps from 0, in the order of the words; a part has the ids from its start on."""
 
+    numbered: DataFrame  # part, of; places, c, numbers: of a block's words of the part, in order (place -1: not in training)
+    parts: DataFrame  # part, c: of each word
+    starts: np.ndarray  # the first id of each part, and the number of ids
+    types: int
+    tokens: int
 
-def _joined(batches, rows: int = 200_000):
-    """Arrow batches joined to some hundred thousand rows: one draw serves them all."""
-    held, count = [], 0
-    for batch in batches:
-        held.append(batch)
-        count += len(batch)
-        if count >= rows:
-            yield pa.Table.from_batches(held).combine_chunks()
-            held, count = [], 0
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks()
 
+_NUMBERED = "part long, of long, places binary, c binary, numbers binary, types long, tokens long"
 
-def vocabulary(table: DataFrame, cuts: TableCuts) -> tuple[DataFrame, int, int]:
-    """``id, word, c`` of every training word (ids without gaps from 0), and the numbers of words and of tokens."""
-    each = table.select(F.explode(F.arrays_zip("words", "counts")).alias("x")).select(
-        F.col("x.words").alias("word"), F.col("x.counts").alias("n")).where("n > 0")
-    counted = each.groupBy("word").agg(F.sum("n").alias("c"))
-    rows, types = numbered(counted, [F.col("word").asc()], cuts, "ranges")
-    words = cuts.cut(rows.select(F.col("row_no").cast("long").alias("id"), "word", "c"), "vocabulary", compression="zstd")
-    cuts.drop(f"{cuts.root}/ranges")
-    return words, types, words.agg(F.sum("c")).first()[0] or 0
 
+def vocabulary(table: DataFrame, cuts: TableCuts, p: Params = Params()) -> Vocabulary:
+    """The words of training texts, numbered, and the blocks' words with them."""
 
-def block_words(table: DataFrame, words: DataFrame) -> DataFrame:
-    """``of, number, id, c`` of each block's words; no id and count for words not seen in training."""
-    held = table.select(F.col("block").alias("of"), F.posexplode("words").alias("number", "word"))
-    end = (F.col("word") == F.lit(END)).alias("end")
-    return held.join(words, "word", "left").select("of", "number", "id", "c", end)
+    def run(sent: pa.Table) -> pa.Table:
+        sizes = [_unpack(x) for x in sent.column("sizes").to_pylist()]
+        offsets = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+        data = pa.py_buffer(b"".join(map(_stretch, sent.column("words").to_pylist())))
+        words = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), data]).dictionary_encode()
+        at, counts = words.indices.to_numpy(), _unpacked(sent, "counts")[0]
+        c = np.bincount(at, weights=counts, minlength=len(words.dictionary)).astype(np.int64)
+        seen = np.flatnonzero(c)
+        seen = seen[pc.sort_indices(words.dictionary.take(pa.array(seen))).to_numpy()]
+        places = np.full(len(c), -1, np.int64)
+        places[seen] = np.arange(len(seen))
+        part, ends = sent.column("part")[0].as_py(), np.cumsum([len(x) for x in sizes]).tolist()
+        rows = [{"part": part, "c": _pack(c[seen]), "types": len(seen), "tokens": int(c.sum())}]
+        for of, numbers, i, j in zip(sent.column("of").to_pylist(), sent.column("numbers").to_pylist(), [0, *ends], ends):
+            rows.append({"part": part, "of": of, "places": _pack(places[at[i:j]], True), "c": _pack(c[at[i:j]]), "numbers": numbers})
+        return _rows(_NUMBERED, rows)
+
+    bounds = _bounds(table, p)
+    held = cuts.cut(sent_words(table, bounds).groupBy("part").applyInArrow(run, _NUMBERED), "numbers")
+    parts = held.where("of is null")
+    types, tokens = np.zeros(len(bounds) + 2, np.int64), 0
+    for r in parts.select("part", "types", "tokens").collect():  # one row per part
+        types[r["part"] + 1], tokens = r["types"], tokens + r["tokens"]
+    return Vocabulary(held.where("of is not null").select("part", "of", "places", "c", "numbers"), parts.select("part", "c"),
+                      np.cumsum(types), int(types.sum()), tokens)
 
 
 def _previous(numbers: np.ndarray, sizes: np.ndarray, end: int) -> np.ndarray:
@@ -111,124 +211,200 @@ def _previous(numbers: np.ndarray, sizes: np.ndarray, end: int) -> np.ndarray:
 
 
 class _Block:
-    """A block's tokens and its distinct pairs of known words, chunk by chunk in the order ``u, w``."""
-
-    def __init__(self, texts: pa.Table, found: pa.Table, chunks: int, p: Params):
-        self.size = len(found)
-        where = _column(found, "number")
-        self.end = int(where[found.column("end").to_numpy(zero_copy_only=False)][0])
-        ids, self.c = np.full(self.size, -1, np.int64), np.zeros(self.size, np.int64)
-        ids[where] = found.column("id").fill_null(-1).to_numpy()
-        self.c[where] = found.column("c").fill_null(0).to_numpy()
+    """A block's tokens and its distinct pairs of known words, chunk by chunk in the order ``u, w``.
+
+    Words go by their place in the sorted words of the block; a pair is the one number ``u * types + w`` of its ids.
+    """
+
+    def __init__(self, texts: pa.Table, found: pa.Table, starts: np.ndarray, chunks: int, p: Params):
+        found = found.sort_by("part")
+        self.places = [_unpack(x) for x in found.column("places").to_pylist()]
+        ids = np.concatenate([np.where(x < 0, -1, x + starts[k]) for x, k in zip(self.places, found.column("part").to_pylist())])
+        self.c, numbers = _unpacked(found, "c", "numbers")
+        self.size, types = len(ids), int(starts[-1])
+        rank = np.empty(self.size, np.int32)
+        rank[numbers] = np.arange(self.size, dtype=np.int32)
         self.sizes = texts.column("sizes")[0].values.to_numpy().astype(np.int64)
         # A block's tokens are most of what a task holds: 32 bits for each (a block has far fewer words).
-        self.own = unpack_numbers(texts.column("refs")[0].as_py()).astype(np.int32)
-        keys = _previous(self.own, self.sizes, self.end).astype(np.int64)
+        self.own = rank[unpack_numbers(texts.column("refs")[0].as_py())]
+        # Every text ends with an end.
+        keys = _previous(self.own, self.sizes, self.own[-1]).astype(np.int64)
         keys *= self.size
         keys += self.own
         self.keys, at = np.unique(keys, return_inverse=True)
         del keys
         self.at = at.astype(np.int32)
         del at
-        first = self.keys // self.size
-        u, w = ids[first], ids[self.keys % self.size]
+        # Sorted by place, pairs are sorted by id.
+        self.first = self.keys // self.size
+        self.second = self.keys - self.first * self.size
+        u, w = ids[self.first], ids[self.second]
+        known = np.flatnonzero((u >= 0) & (w >= 0))
+        u, w = u[known], w[known]
         # A word's pairs are dealt over as many chunks as it has chunks of tokens.
         salt = mix64(w.astype(np.uint64))
-        salt %= (1 + self.c[first] // p.chunk_tokens).astype(np.uint64)
+        salt %= (1 + self.c // p.chunk_tokens).astype(np.uint64)[self.first[known]]
         salt += mix64(u.astype(np.uint64))
-        chunk = (mix64(salt) % np.uint64(chunks)).astype(np.int64)
-        del salt, first
-        order = np.flatnonzero((u >= 0) & (w >= 0))
-        self.order = order[np.lexsort((w[order], u[order], chunk[order]))]
-        self.u, self.w, self.chunk = u[self.order], w[self.order], chunk[self.order]
-        self.numbers, self.starts = np.unique(self.chunk, return_index=True)
+        chunk = (mix64(salt) % np.uint64(chunks)).astype(np.uint16 if chunks < 1 << 16 else np.int64)
+        del salt
+        order = np.argsort(chunk, kind="stable")
+        self.order, self.pairs = known[order], (u * types + w)[order]
+        self.numbers, self.starts = np.unique(chunk[order], return_index=True)
 
     def parts(self):
         """(chunk, first and last place in the order) of every chunk the block has pairs of."""
         return zip(self.numbers.tolist(), self.starts.tolist(), [*self.starts[1:].tolist(), len(self.order)])
 
 
-def block_pairs(table: DataFrame, numbers: DataFrame, chunks: int, p: Params) -> DataFrame:
-    """``chunk, of, u, w, n`` (packed): a block's pairs of a chunk, and how often each is in texts that are not flagged."""
+_PAIRS = "chunk long, of long, pairs binary, n binary"
+
+
+def block_pairs(table: DataFrame, vocab: Vocabulary, chunks: int, p: Params) -> DataFrame:
+    """``chunk, of, pairs, n`` (packed): a block's pairs of a chunk, and how often each is in texts that are not flagged."""
+    starts = vocab.starts
 
     def run(texts: pa.Table, found: pa.Table) -> pa.Table:
-        b = _Block(texts, found, chunks, p)
+        b = _Block(texts, found, starts, chunks, p)
         train = np.repeat(~texts.column("flags")[0].values.to_numpy(zero_copy_only=False), b.sizes)
         n = np.bincount(b.at[train], minlength=len(b.keys))[b.order]
         of = texts.column("block")[0].as_py()
-        rows = [(c, of, _pack(b.u[i:j]), _pack(b.w[i:j]), _pack(n[i:j])) for c, i, j in b.parts()]
-        return pa.table(dict(zip(("chunk", "of", "u", "w", "n"), map(list, zip(*rows)) if rows else [[]] * 5)), schema=pa.schema(
-            [("chunk", pa.int64()), ("of", pa.int64()), ("u", pa.binary()), ("w", pa.binary()), ("n", pa.binary())]))
+        return _rows(_PAIRS, [{"chunk": c, "of": of, "pairs": _pack(b.pairs[i:j], True), "n": _pack(n[i:j])} for c, i, j in b.parts()])
 
-    parts = table.select("block", "sizes", "flags", "refs").groupBy("block").cogroup(numbers.groupBy("of"))
-    return parts.applyInArrow(run, "chunk long, of long, u binary, w binary, n binary")
+    parts = table.select("block", "sizes", "flags", "refs").groupBy("block").cogroup(vocab.numbered.groupBy("of"))
+    return parts.applyInArrow(run, _PAIRS)
 
 
-_FIRST = ("chunk long, u binary, w binary, n binary, ids array<long>, opened array<long>, sent array<long>, "
-          "opened_once array<long>, sent_once array<long>, moves array<boolean>, ones long, twos long, state struct<u: binary, "
-          "w: binary, n: binary, t: binary, kept: binary, ids: array<long>>")
-_STATE = ("chunk long, u binary, w binary, n binary, t binary, kept binary, ids array<long>, opened array<long>, "
-          "sent array<long>")
+#: A chunk has one row of its pairs that move (``part`` is null) and sends a row to each part.
+_STATE = ("chunk long, ids binary, a binary, b binary, n binary, t binary, kept binary, "
+          "part long, places binary, opened binary, sent binary")
+#: The first time, there is a row of all pairs too, and the sums of the pairs seen once.
+_FIRST = (f"{_STATE}, pairs binary, all_n binary, ones long, twos long, places_once binary, opened_once binary, "
+          "sent_once binary")
 
 
-def _by_word(u, w, t) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct words of pairs, and by word the tables opened in its restaurant, and sent to the root for it."""
-    ids, at = np.unique(np.concatenate([u, w]), return_inverse=True)
-    sums = (np.bincount(x, weights=t, minlength=len(ids)).astype(np.int64) for x in (at[:len(u)], at[len(u):]))
-    return ids, *sums
+def _by_part(ids: np.ndarray, starts: np.ndarray):
+    """(part, first and last place) of the sorted ids of each part."""
+    ends = np.searchsorted(ids, starts).tolist()
+    return [(k, i, j) for k, (i, j) in enumerate(zip(ends, ends[1:])) if j > i]
+
 
+def _sums(ids: np.ndarray, a: np.ndarray, b: np.ndarray, t: np.ndarray) -> list[np.ndarray]:
+    """By word, the tables opened in its restaurant, and sent to the root for it."""
+    return [np.bincount(x, weights=t, minlength=len(ids)).astype(np.int64) for x in (a, b)]
 
-def _lists(**columns) -> dict:
-    return {k: pa.array([v], pa.list_(pa.int64())) for k, v in columns.items()}
 
+def _state(chunk: int, ids, a, b, n, t, kept, starts) -> list[dict]:
+    """A chunk's rows: its pairs (places of words in ``ids``, customers, tables, and tables summed over kept sweeps), and
+    the sums by word for each part."""
+    opened, sent = _sums(ids, a, b, t)
+    return [{"chunk": chunk, "ids": _pack(ids, True), "a": _pack(a, True), "b": _pack(b), "n": _pack(n), "t": _pack(t),
+             "kept": _pack(kept)}] + [
+        {"chunk": chunk, "part": k, "places": _pack(ids[i:j] - starts[k], True), "opened": _pack(opened[i:j]),
+         "sent": _pack(sent[i:j])} for k, i, j in _by_part(ids, starts)]
 
-def _state(chunk: int, u, w, n, t, kept) -> pa.Table:
-    """A chunk's row: its pairs (tables, and tables summed over kept sweeps) and its sums by word."""
-    ids, opened, sent = _by_word(u, w, t)
-    return pa.table({
-        "chunk": pa.array([chunk], pa.int64()), **{k: pa.array([_pack(v)], pa.binary()) for k, v in (
-            ("u", u), ("w", w), ("n", n), ("t", t), ("kept", kept))}, **_lists(ids=ids, opened=opened, sent=sent)})
 
+def _places(u: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct words of pairs, and the places of the pairs' words in them."""
+    ids, at = np.unique(np.concatenate([u, w]), return_inverse=True)
+    return ids, at[:len(u)], at[len(u):]
 
-def gathered(sent: DataFrame) -> DataFrame:
-    """The chunks from the blocks' pairs: all pairs, with one table each, and the first ``state`` of those that move.
+
+def gathered(sent: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """The chunks from the blocks' pairs: all pairs, and those that move with one table each.
 
     A pair that was seen once has one table for good: what such pairs open and send is kept by word (``opened_once``,
-    ``sent_once``), and only the other pairs, and their words (``moves``), are part of the sweeps.
+    ``sent_once``), and only the other pairs, and their words, are part of the sweeps.
     """
+    starts, types = vocab.starts, vocab.types
 
     def run(table: pa.Table) -> pa.Table:
-        u, w, n = (np.concatenate([_unpack(x) for x in table.column(c).to_pylist()]) for c in ("u", "w", "n"))
-        u, w, n = u[n > 0], w[n > 0], n[n > 0]
-        order = np.lexsort((w, u))
-        u, w, n = u[order], w[order], n[order]
-        first = np.flatnonzero(np.concatenate([[True], (u[1:] != u[:-1]) | (w[1:] != w[:-1])])) if len(u) else order
-        n = np.add.reduceat(n, first) if len(u) else n
-        u, w, one, moving = u[first], w[first], np.ones(len(first), np.int64), n > 1
-        ids, opened, sent = _by_word(u, w, one)
-        _, opened_once, sent_once = _by_word(u, w, (~moving).astype(np.int64))
-        mu, mw, mn, mt = u[moving], w[moving], n[moving], one[moving]
-        moves = np.unique(np.concatenate([mu, mw]))
-        state = {k: pa.array([_pack(v)], pa.binary()) for k, v in (
-            ("u", mu), ("w", mw), ("n", mn), ("t", mt), ("kept", mt * 0))} | _lists(ids=moves)
-        return pa.table({
-            "chunk": pa.array([table.column("chunk")[0].as_py()], pa.int64()), **{k: pa.array([_pack(v)], pa.binary()) for k, v in (
-                ("u", u), ("w", w), ("n", n))},
-            **_lists(ids=ids, opened=opened, sent=sent, opened_once=opened_once, sent_once=sent_once),
-            "moves": pa.array([np.isin(ids, moves)], pa.list_(pa.bool_())),
-            "ones": pa.array([(n == 1).sum()], pa.int64()), "twos": pa.array([(n == 2).sum()], pa.int64()),
-            "state": pa.StructArray.from_arrays(list(state.values()), names=list(state))})
+        chunk = table.column("chunk")[0].as_py()
+        pairs, n = _unpacked(table, "pairs", "n")
+        pairs, n = pairs[n > 0], n[n > 0]
+        order = np.argsort(pairs)
+        pairs, n = pairs[order], n[order]
+        first = np.flatnonzero(np.diff(pairs, prepend=-1))
+        pairs, n = pairs[first], np.add.reduceat(n, first) if len(n) else n
+        u = pairs // max(1, types)
+        w = pairs - u * types
+        ids, a, b = _places(u[n == 1], w[n == 1])
+        opened, sent = _sums(ids, a, b, np.ones(len(a)))
+        rows = [{"pairs": _pack(pairs, True), "all_n": _pack(n), "ones": int((n == 1).sum()), "twos": int((n == 2).sum())}]
+        for k, i, j in _by_part(ids, starts):
+            rows.append({"part": k, "places_once": _pack(ids[i:j] - starts[k], True), "opened_once": _pack(opened[i:j]),
+                         "sent_once": _pack(sent[i:j])})
+        ids, a, b = _places(u[n > 1], w[n > 1])
+        one = np.ones(len(a), np.int64)
+        rows += _state(chunk, ids, a, b, n[n > 1], one, 0 * one, starts)
+        return _rows(_FIRST, [{**r, "chunk": chunk} for r in rows])
 
     return sent.groupBy("chunk").applyInArrow(run, _FIRST)
 
 
-def first_words(vocab: DataFrame, chunks: DataFrame) -> DataFrame:
-    """``vocab`` with the sums over the chunks' pairs, one table each; ``moves``: whether the sums can change."""
-    names = ["opened", "sent", "opened_once", "sent_once"]
-    sums = chunks.select(F.explode(F.arrays_zip("ids", *names, "moves")).alias("x")).groupBy(F.col("x.ids").alias("id")).agg(
-        *[F.sum(f"x.{c}").alias(c) for c in names], F.bool_or("x.moves").alias("moves"))
-    start = vocab.select("id", "c", F.array().cast("array<double>").alias("roots"), F.array().cast("array<long>").alias("opens"))
-    return start.join(sums, "id").withColumn("r", F.lit(1).cast("long"))
+#: A part has one row of its words (``chunk`` is null) and answers each chunk with a row.
+_WORDS = ("part long, c binary, opened binary, sent binary, r binary, opened_once binary, sent_once binary, "
+          "roots array<binary>, opens array<binary>, guests long, root_tables long, ones long, twos long, opening double, "
+          "logs double, chunk long")
+_KEPT = ("part", "c", "opened_once", "sent_once", "roots", "opens")
+
+
+def _digamma(x: np.ndarray) -> np.ndarray:
+    y = x + 6
+    return np.log(y) - 1 / (2 * y) - 1 / (12 * y * y) + 1 / (120 * y * y * y * y) - sum(1 / (x + i) for i in range(6))
+
+
+def _auxiliary(now: float, discount: float, c: np.ndarray, t: np.ndarray) -> tuple[float, float]:
+    """What restaurants with ``c`` customers at ``t`` tables say of the strength: sums of the means of the usual auxiliary
+    variables, rounded, so that the order of a sum over parts does not show."""
+    c, t = c[(c > 0) & (t > 0)].astype(float), t[(c > 0) & (t > 0)].astype(float)
+    ratio = now / discount
+    opening = ratio * (_digamma(ratio + t) - _digamma(np.array(ratio + 1)))
+    logs = _digamma(now + c) - _digamma(np.array(now + 1.0))
+    return float(np.round(opening, 6).sum()), float(np.round(logs, 6).sum())
+
+
+def _strength(opening: float, logs: float) -> float:
+    """A strength's next value from the sums of ``_auxiliary``, with a gamma(1, 1) prior."""
+    return round(max(0.01, (1 + opening) / max(0.01, 1 + logs)), 4)
+
+
+def _words(part: int, c, opened, sent, r, totals: dict, replies: list[tuple[int, np.ndarray]], **kept) -> pa.Table:
+    """A part's row, and what it answers each chunk: the sums of the words that the chunk asked for, in its order."""
+    opening, logs = _auxiliary(totals["strength"], totals["discount"], c, opened)
+    rows = [{"part": part, "c": _pack(c), "opened": _pack(opened), "sent": _pack(sent), "r": _pack(r),
+             "guests": int(sent.sum()), "root_tables": int(r.sum()), "ones": int((sent == 1).sum()),
+             "twos": int((sent == 2).sum()), "opening": opening, "logs": logs, **kept}]
+    for chunk, at in replies:
+        rows.append({"part": part, "chunk": chunk, "opened": _pack(opened[at]), "sent": _pack(sent[at]), "r": _pack(r[at])})
+    return _rows(_WORDS, rows)
+
+
+def _added(table: pa.Table, names: tuple, opened: np.ndarray, sent: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """Adds up what the chunks opened and sent; the places that each chunk named."""
+    asked = []
+    rows = table.select(["chunk", *names]).filter(table.column(names[0]).is_valid())
+    for chunk, at, x, y in zip(*(rows.column(c).to_pylist() for c in rows.column_names)):
+        at = _unpack(at)
+        opened[at] += _unpack(x)
+        sent[at] += _unpack(y)
+        asked.append((chunk, at))
+    return asked
+
+
+def first_words(vocab: Vocabulary, chunks: DataFrame, totals: dict) -> DataFrame:
+    """The parts with the sums over the chunks' pairs, one table each, and one table of the root for each word."""
+
+    def run(held: pa.Table, sums: pa.Table) -> pa.Table:
+        c = _unpack(held.column("c")[0].as_py())
+        opened, sent = np.zeros(len(c), np.int64), np.zeros(len(c), np.int64)
+        _added(sums, ("places_once", "opened_once", "sent_once"), opened, sent)
+        once = {"opened_once": _pack(opened), "sent_once": _pack(sent), "roots": [], "opens": []}
+        asked = _added(sums, ("places", "opened", "sent"), opened, sent)
+        return _words(held.column("part")[0].as_py(), c, opened, sent, np.ones(len(c), np.int64), totals, asked, **once)
+
+    sums = chunks.where("part is not null").select(
+        "chunk", "part", "places", "opened", "sent", "places_once", "opened_once", "sent_once")
+    return vocab.parts.groupBy("part").cogroup(sums.groupBy("part")).applyInArrow(run, _WORDS)
 
 
 def reseat(u, w, n, t, opened, sent, r, totals: dict, p: Params, turn: int) -> np.ndarray:
@@ -264,70 +440,46 @@ def reseat(u, w, n, t, opened, sent, r, totals: dict, p: Params, turn: int) -> n
     return t
 
 
-def sweep(state: DataFrame, words: DataFrame, totals: dict, p: Params, turn: int) -> DataFrame:
-    """Every pair's tables drawn anew; chunks fetch the sums of their distinct words."""
-    keep = turn > p.burn_in
-    needs = state.select(F.col("chunk").alias("of"), F.explode("ids").alias("id"))
-    fetched = needs.join(words.where("moves").select("id", "opened", "sent", "r"), "id").select("of", "id", "opened", "sent", "r")
-
-    def run(table: pa.Table, found: pa.Table) -> pa.Table:
-        u, w, n, t, kept = (_unpack(table.column(c)[0].as_py()) for c in ("u", "w", "n", "t", "kept"))
-        order = np.argsort(_column(found, "id"))
-        ids, opened, sent, r = (_column(found, c)[order] for c in ("id", "opened", "sent", "r"))
-        t = reseat(np.searchsorted(ids, u), np.searchsorted(ids, w), n, t, opened, sent, r, {**totals, "ids": ids}, p, turn)
-        return _state(table.column("chunk")[0].as_py(), u, w, n, t, kept + t if keep else kept)
+def sweep(state: DataFrame, words: DataFrame, vocab: Vocabulary, totals: dict, p: Params, turn: int) -> DataFrame:
+    """Every pair's tables drawn anew, with the sums that the parts answered."""
+    keep, starts = turn > p.burn_in, vocab.starts
 
-    held = state.select("chunk", "u", "w", "n", "t", "kept").groupBy("chunk").cogroup(fetched.groupBy("of"))
-    return held.applyInArrow(run, _STATE)
+    def run(held: pa.Table, answers: pa.Table) -> pa.Table:
+        ids, a, b, n, t, kept = _unpacked(held, "ids", "a", "b", "n", "t", "kept")
+        # Parts are ranges of ids: their answers, one after another, are in the order of the chunk's ids.
+        opened, sent, r = _unpacked(answers.sort_by("part"), "opened", "sent", "r")
+        t = reseat(a, b, n, t, opened, sent, r, {**totals, "ids": ids}, p, turn)
+        return _rows(_STATE, _state(held.column("chunk")[0].as_py(), ids, a, b, n, t, kept + t if keep else kept, starts))
 
+    held = state.where("ids is not null").select("chunk", "ids", "a", "b", "n", "t", "kept")
+    answers = words.where("chunk is not null").select("chunk", "part", "opened", "sent", "r")
+    return held.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, _STATE)
 
-def served(words: DataFrame, state: DataFrame) -> DataFrame:
-    """``words`` with the tables after a sweep: ``opened`` in a word's restaurant, ``sent`` to the root for the word."""
-    sums = state.select(F.explode(F.arrays_zip("ids", "opened", "sent")).alias("x")).groupBy(F.col("x.ids").alias("id")).agg(
-        F.sum("x.opened").alias("opened"), F.sum("x.sent").alias("sent"))
-    moved = words.where("moves").drop("opened", "sent").join(sums, "id").withColumn(
-        "opened", F.col("opened") + F.col("opened_once")).withColumn("sent", F.col("sent") + F.col("sent_once"))
-    return words.where("not moves").unionByName(moved)
 
-
-def seat_root(words: DataFrame, totals: dict, p: Params, turn: int) -> DataFrame:
-    """Draw the root's tables anew; kept sweeps add to ``roots`` and ``opens``."""
+def seat_root(words: DataFrame, state: DataFrame, vocab: Vocabulary, totals: dict, p: Params, turn: int) -> DataFrame:
+    """The parts with the sums after a sweep, and the root's tables drawn anew; kept sweeps add to ``roots`` and ``opens``."""
     keep, d0, t0 = turn > p.burn_in, totals["root_discount"], totals["root_strength"]
-    root_tables, types = float(totals["root_tables"]), totals["types"]
-
-    def run(batches):
-        for batch in _joined(batches):
-            ids, sent, old = (_column(batch, c) for c in ("id", "sent", "r"))
-            old, zero = np.minimum(old, sent), np.zeros(len(ids), np.int64)
-            r = seating.tables(sent, old, t0 + d0 * (root_tables - old), d0, np.full(len(ids), 1.0),
-                               np.full(len(ids), types + 1.0), 0,
-                               lambda i, rows: seating.uniform(p.seed + 1, turn, i, ids[rows], zero[rows]))
-            yield from batch.drop_columns(["r"]).append_column("r", pa.array(r)).to_batches()
-
-    rows = words.select("id", "c", "opened", "sent", "opened_once", "sent_once", "moves", "roots", "opens", "r").mapInArrow(
-        run, "id long, c long, opened long, sent long, opened_once long, sent_once long, moves boolean, "
-             "roots array<double>, opens array<long>, r long")
-    if keep:
-        rows = rows.withColumn("roots", F.concat("roots", F.array(F.col("sent") - d0 * F.col("r")))).withColumn(
-            "opens", F.concat("opens", F.array("opened")))
-    return rows
-
-
-def _digamma(x: Column) -> Column:
-    y = x + 6
-    return F.log(y) - 1 / (2 * y) - 1 / (12 * y * y) + 1 / (120 * y * y * y * y) - sum(1 / (x + i) for i in range(6))
+    root_tables, types, starts = float(totals["root_tables"]), totals["types"], vocab.starts
 
+    def drawn(ids, sent, old):
+        old, zero = np.minimum(old, sent), np.zeros(len(ids), np.int64)
+        return seating.tables(sent, old, t0 + d0 * (root_tables - old), d0, np.full(len(ids), 1.0),
+                              np.full(len(ids), types + 1.0), 0,
+                              lambda i, rows: seating.uniform(p.seed + 1, turn, i, ids[rows], zero[rows]))
 
-def _strength(now: float, discount: float, restaurants: DataFrame) -> float:
-    """A strength's next value from ``restaurants(c, t)``: means of the usual auxiliary variables, gamma(1, 1) prior.
+    def run(held: pa.Table, sums: pa.Table) -> pa.Table:
+        part, kept = held.column("part")[0].as_py(), {c: held.column(c)[0].as_py() for c in _KEPT[2:]}
+        c, opened, sent, r = _unpacked(held, "c", "opened_once", "sent_once", "r")
+        asked = _added(sums, ("places", "opened", "sent"), opened, sent)
+        r = drawn(np.arange(starts[part], starts[part] + len(c)), sent, r)
+        if keep:
+            kept["roots"] = [*kept["roots"], _pack(sent), _pack(r)]
+            kept["opens"] = [*kept["opens"], _pack(opened)]
+        return _words(part, c, opened, sent, r, totals, asked, **kept)
 
-    Rounded, so that the order of a sum over partitions does not show.
-    """
-    at, ratio = F.lit(float(now)), F.lit(now / discount)
-    opened = ratio * (_digamma(ratio + F.col("t")) - _digamma(ratio + 1))
-    logs = _digamma(at + F.col("c")) - _digamma(at + 1)
-    sums = restaurants.where("c > 0 and t > 0").agg(F.sum(F.round(opened, 6)), F.sum(F.round(logs, 6))).first()
-    return round(max(0.01, (1 + (sums[0] or 0.0)) / max(0.01, 1 + (sums[1] or 0.0))), 4)
+    sums = state.where("part is not null").select("chunk", "part", "places", "opened", "sent")
+    held = words.where("chunk is null").select(*_KEPT, "r")
+    return held.groupBy("part").cogroup(sums.groupBy("part")).applyInArrow(run, _WORDS)
 
 
 def _discount(ones: int, twos: int) -> float:
@@ -346,34 +498,60 @@ def _filled(n: np.ndarray, moving: np.ndarray, once: int) -> np.ndarray:
 class Fitted:
     """The written model: per word its root customers and its restaurant's tables; per pair its discounted customers."""
 
-    ids: DataFrame  # id, c, opened, sent, r; roots, opens: of each kept sweep
-    pairs_of: DataFrame  # the chunks: all pairs
-    state: DataFrame  # the chunks: the pairs that move
+    parts: DataFrame  # the parts of the vocabulary; roots, opens: of each kept sweep
+    seats: DataFrame  # the chunks: all pairs
+    moving: DataFrame  # the chunks: the pairs that move
+    vocab: Vocabulary
     chunks: int
     params: Params
     contexts: range  # a context is the id of the previous word
     discount: float
     strength: float
+    root_discount: float
     base: np.ndarray  # (kept sweeps): what the base adds to a word's discounted customers at the root
     guests: np.ndarray  # (kept sweeps): what the sum is divided by
-    tokens: int
-    types: int
+
+    @property
+    def state(self) -> DataFrame:
+        """The chunks' pairs that move."""
+        return self.moving.where("ids is not null")
+
+    @property
+    def ids(self) -> DataFrame:
+        """``id, c, opened, sent, r, roots, opens``: a row per word; for looking at small models."""
+        starts, d0 = self.vocab.starts, self.root_discount
+
+        def run(batches):
+            for batch in batches:
+                for row in batch.to_pylist():
+                    c, opened, sent, r = (_unpack(row[x]) for x in ("c", "opened", "sent", "r"))
+                    roots, opens = ([_unpack(x) for x in row[x]] for x in ("roots", "opens"))
+                    roots = [x - d0 * y for x, y in zip(roots[::2], roots[1::2])]
+                    lists = [list(map(list, zip(*x))) if x else [[]] * len(c) for x in (roots, opens)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(starts[row["part"]] + np.arange(len(c))), *map(pa.array, (c, opened, sent, r)),
+                         pa.array(lists[0], pa.list_(pa.float64())), pa.array(lists[1], pa.list_(pa.int64()))],
+                        names=["id", "c", "opened", "sent", "r", "roots", "opens"])
+
+        held = self.parts.where("chunk is null").select("part", "c", "opened", "sent", "r", "roots", "opens")
+        return held.mapInArrow(run, "id long, c long, opened long, sent long, r long, roots array<double>, opens array<long>")
 
     @property
     def pairs(self) -> DataFrame:
         """``u, w, n, t, kept``: a row per pair; for looking at small models."""
-
-        sweeps = len(self.guests)
+        sweeps, types = len(self.guests), self.vocab.types
 
         def run(batches):
             for batch in batches:
                 for row in batch.to_pylist():
-                    u, w, n = (_unpack(row[c]) for c in ("u", "w", "n"))
-                    yield pa.RecordBatch.from_pydict({"u": u, "w": w, "n": n, "t": _filled(n, _unpack(row["t"]), 1),
+                    pairs, n = _unpack(row["pairs"]), _unpack(row["all_n"])
+                    yield pa.RecordBatch.from_pydict({"u": pairs // types, "w": pairs % types, "n": n,
+                                                      "t": _filled(n, _unpack(row["t"]), 1),
                                                       "kept": _filled(n, _unpack(row["kept"]), sweeps)})
 
-        held = self.pairs_of.select("chunk", "u", "w", "n").join(self.state.select("chunk", "t", "kept"), "chunk")
-        return held.select("u", "w", "n", "t", "kept").mapInArrow(run, "u long, w long, n long, t long, kept long")
+        held = self.seats.where("pairs is not null").select("chunk", "pairs", "all_n").join(
+            self.state.select("chunk", "t", "kept"), "chunk")
+        return held.select("pairs", "all_n", "t", "kept").mapInArrow(run, "u long, w long, n long, t long, kept long")
 
     @property
     def words(self) -> DataFrame:
@@ -398,122 +576,127 @@ def _chunks(tokens: int, p: Params) -> int:
 
 def fit(table: DataFrame, cuts: TableCuts, p: Params = Params()) -> Fitted:
     """Fit the model on the rows of a written block table that are not flagged."""
-    vocab, types, tokens = vocabulary(table, cuts)
-    pairs = cuts.cut(block_pairs(table, block_words(table, vocab), _chunks(tokens, p), p), "block-pairs")
-    return fit_pairs(pairs, vocab, types, tokens, cuts, p)
+    vocab = vocabulary(table, cuts, p)
+    pairs = cuts.cut(block_pairs(table, vocab, _chunks(vocab.tokens, p), p), "block-pairs")
+    return fit_pairs(pairs, vocab, cuts, p)
 
 
-def fit_pairs(pairs: DataFrame, vocab: DataFrame, types: int, tokens: int, cuts: TableCuts, p: Params) -> Fitted:
+def fit_pairs(pairs: DataFrame, vocab: Vocabulary, cuts: TableCuts, p: Params) -> Fitted:
     """Fit the model on written pairs of blocks."""
-    chunks = cuts.cut(gathered(pairs), "seats")
-    words = cuts.cut(first_words(vocab, chunks), "words-0", compression="zstd")
-    state = chunks.select("chunk", "state.*")
-    seen = chunks.agg(F.sum("ones"), F.sum("twos")).first()
-    totals = {"types": types, "discount": _discount(seen[0] or 0, seen[1] or 0), "strength": 1.0, "root_strength": 1.0}
+    state = seats = cuts.cut(gathered(pairs, vocab), "seats")
+    seen = seats.agg(F.sum("ones"), F.sum("twos")).first()
+    totals = {"types": vocab.types, "discount": _discount(seen[0] or 0, seen[1] or 0), "strength": 1.0, "root_strength": 1.0}
+    words = cuts.cut(first_words(vocab, seats, totals), "words-0")
 
     def count(fitting: bool):
-        ones = [F.sum((F.col("sent") == i).cast("long")) for i in (1, 2)]
-        sums = words.agg(F.sum("sent"), F.sum("r"), *ones).first()
-        totals["guests"], totals["root_tables"] = sums[0] or 0, sums[1] or 0
+        names = ("guests", "root_tables", "ones", "twos", "opening", "logs")
+        guests, tables, ones, twos, *sums = (x or 0 for x in words.where("chunk is null").agg(*map(F.sum, names)).first())
+        totals["guests"], totals["root_tables"] = guests, tables
         if fitting:
-            totals["root_discount"] = _discount(sums[2] or 0, sums[3] or 0)
-            totals["strength"] = _strength(totals["strength"], totals["discount"], words.select("c", F.col("opened").alias("t")))
-            root = words.agg(F.sum("sent").cast("double").alias("c"), F.sum("r").cast("double").alias("t"))
-            totals["root_strength"] = _strength(totals["root_strength"], totals["root_discount"], root)
+            totals["root_discount"] = _discount(ones, twos)
+            totals["strength"] = _strength(*sums)
+            totals["root_strength"] = _strength(*_auxiliary(
+                totals["root_strength"], totals["root_discount"], np.array([guests]), np.array([tables])))
 
     count(True)
     base, guests = [], []
     for turn in range(1, p.sweeps + 1):
-        state = cuts.cut(sweep(state, words, totals, p, turn), f"seats-{turn}")
+        state = cuts.cut(sweep(state, words, vocab, totals, p, turn), f"seats-{turn}")
         if turn > 1:
             cuts.drop(f"{cuts.root}/seats-{turn - 1}")
-        words = cuts.cut(seat_root(served(words, state), totals, p, turn), f"words-{turn}", compression="zstd")
+        words = cuts.cut(seat_root(words, state, vocab, totals, p, turn), f"words-{turn}")
         cuts.drop(f"{cuts.root}/words-{turn - 1}")
         count(turn < p.burn_in)
         if turn > p.burn_in:
             # With the totals after the sweep, the probabilities of each context add up to one.
-            base.append((totals["root_strength"] + totals["root_discount"] * totals["root_tables"]) / (types + 1))
+            base.append((totals["root_strength"] + totals["root_discount"] * totals["root_tables"]) / (vocab.types + 1))
             guests.append(totals["root_strength"] + totals["guests"])
-    return Fitted(words, chunks, state, _chunks(tokens, p), p, range(types), totals["discount"], totals["strength"],
-                  np.array(base), np.array(guests), tokens, types)
+    return Fitted(words, seats, state, vocab, _chunks(vocab.tokens, p), p, range(vocab.types), totals["discount"],
+                  totals["strength"], totals["root_discount"], np.array(base), np.array(guests))
 
 
 def block_gains(pairs: DataFrame, model: Fitted) -> DataFrame:
-    """``of, chunk, mass`` (packed floats): for a block's pairs of a chunk, in their order, the discounted customers."""
-    kept, discount = len(model.guests), model.discount
+    """``of, chunk, n, tables`` (packed): for a block's pairs of a chunk, in their order, the customers, and the tables
+    summed over kept sweeps."""
+    sweeps = len(model.guests)
+    kind = "of long, chunk long, n binary, tables binary"
 
     def run(sent: pa.Table, held: pa.Table) -> pa.Table:
-        u, w, n, tables = (_unpack(held.column(c)[0].as_py()) for c in ("u", "w", "n", "kept"))
-        tables = _filled(n, tables, kept)
-        mass = np.concatenate([(n - discount * tables / kept).astype("<f4"), np.zeros(1, "<f4")])
-        # Pairs are numbered by place: contexts by their first place, then the word inside the context.
-        ids = np.unique(w)
-        heads, head_at = np.unique(u, return_index=True)
-        keys = np.searchsorted(heads, u) * (len(ids) + 1) + np.searchsorted(ids, w)
+        keys, n, moving = _unpacked(held.filter(held.column("pairs").is_valid()), "pairs", "all_n") + _unpacked(
+            held.filter(held.column("kept").is_valid()), "kept")
+        # Pairs that were not seen in training are found at the end, with no customers and no tables.
+        tables, n, keys = (np.append(x, y) for x, y in ((_filled(n, moving, sweeps), 0), (n, 0), (keys, -1)))
         out = []
-        for a, b in zip(sent.column("u").to_pylist(), sent.column("w").to_pylist()):
-            a, b = _unpack(a), _unpack(b)
-            x, y = np.searchsorted(heads, a), np.searchsorted(ids, b)
-            key = x * (len(ids) + 1) + y
-            at = np.minimum(np.searchsorted(keys, key), max(0, len(keys) - 1))
-            if len(keys):
-                known = (keys[at] == key) & (u[at] == a) & (w[at] == b)
-                at = np.where(known, at, len(keys))
-            out.append(zlib.compress(mass[at].tobytes(), 1))
-        return pa.table({"of": sent.column("of"), "chunk": sent.column("chunk"), "mass": pa.array(out, pa.binary())})
-
-    seats = model.pairs_of.select("chunk", "u", "w", "n").join(model.state.select("chunk", "kept"), "chunk")
-    parts = pairs.select("chunk", "of", "u", "w").groupBy("chunk").cogroup(seats.groupBy("chunk"))
-    return parts.applyInArrow(run, "of long, chunk long, mass binary")
-
-
-def score(table: DataFrame, numbers: DataFrame, gains: DataFrame, model: Fitted) -> DataFrame:
+        for of, chunk, asked in zip(*(sent.column(c).to_pylist() for c in ("of", "chunk", "pairs"))):
+            asked = _unpack(asked)
+            at = np.searchsorted(keys[:-1], asked)
+            at[keys[at] != asked] = len(keys) - 1
+            out.append({"of": of, "chunk": chunk, "n": _pack(n[at]), "tables": _pack(tables[at])})
+        return _rows(kind, out)
+
+    none = F.lit(None).cast("binary")
+    held = model.seats.where("pairs is not null").select("chunk", "pairs", "all_n", none.alias("kept")).unionByName(
+        model.state.select("chunk", none.alias("pairs"), none.alias("all_n"), "kept"))
+    parts = pairs.select("chunk", "of", "pairs").groupBy("chunk").cogroup(held.groupBy("chunk"))
+    return parts.applyInArrow(run, kind)
+
+
+def block_words(model: Fitted) -> DataFrame:
+    """The vocabulary's ``numbered`` rows with ``kept`` (packed): of a block's words of a part, in their order, and each
+    kept sweep the customers and tables of the root and the tables of the word's restaurant, one after another."""
+    sweeps = len(model.guests)
+    kind = "of long, part long, places binary, c binary, numbers binary, kept binary"
+
+    def run(sent: pa.Table, held: pa.Table) -> pa.Table:
+        roots, opens = (list(map(_unpack, held.column(c)[0].as_py())) for c in ("roots", "opens"))
+        # By word and sweep, differences between sweeps; the last row is that of words not seen in training.
+        kept = np.stack([*roots[::2], *roots[1::2], *opens])
+        kept = np.diff(kept.reshape(3, sweeps, kept.shape[1]), axis=1, prepend=0).reshape(kept.shape)
+        kept = np.pad(kept, ((0, 0), (0, 1)))
+        out = [{**row, "kept": _pack(kept[:, _unpack(row["places"])].reshape(-1))} for row in sent.to_pylist()]
+        return _rows(kind, out)
+
+    held = model.parts.where("chunk is null").select("part", "roots", "opens")
+    parts = model.vocab.numbered.groupBy("part").cogroup(held.groupBy("part"))
+    return parts.applyInArrow(run, kind)
+
+
+def score(table: DataFrame, gains: DataFrame, model: Fitted) -> DataFrame:
     """``key, n_tokens, n_known, base_score, score`` for every text of a block table.
 
-    A block's words fetch their rows of the model; texts, rows and the gains of
-    the block's pairs (``block_gains``) meet by block.
+    A block's words fetch what the model has of them; texts, words and the
+    gains of the block's pairs (``block_gains``) meet by block.
     """
-    tokens, types, from_base, guests = model.tokens, model.types, model.base, model.guests
-    kept, strength, discount, chunks, params = len(guests), model.strength, model.discount, model.chunks, model.params
-    known = numbers.join(model.ids.select("id", "roots", "opens"), "id", "left").select(
-        "of", F.col("number").cast("long").alias("number"), "id", "c", "end", "roots", "opens",
-        F.lit(None).cast("binary").alias("mass"))
-    found_pairs = gains.select(
-        "of", F.col("chunk").alias("number"), F.lit(None).cast("long").alias("id"), F.lit(None).cast("long").alias("c"),
-        F.lit(False).alias("end"), F.lit(None).cast("array<double>").alias("roots"),
-        F.lit(None).cast("array<long>").alias("opens"), "mass")
+    tokens, types, from_base, guests = model.vocab.tokens, model.vocab.types, model.base, model.guests
+    kept, strength, discount, d0 = len(guests), model.strength, model.discount, model.root_discount
+    starts, chunks, params = model.vocab.starts, model.chunks, model.params
+    kind = table.schema["keys"].dataType.elementType.simpleString()
 
     def run(texts: pa.Table, found: pa.Table) -> pa.Table:
-        of_chunk = found.column("mass").is_valid()
-        sent = found.filter(of_chunk).select(["number", "mass"]).sort_by("number").column("mass").to_pylist()
-        found = found.filter(found.column("mass").is_null()).combine_chunks()
-        b = _Block(texts, found, chunks, params)
+        words, sent = (found.filter(found.column(c).is_valid()).sort_by(c) for c in ("part", "chunk"))
+        b = _Block(texts, words, starts, chunks, params)
+        size, c = b.size, b.c
         mass = np.zeros(len(b.keys))
-        if sent:
-            mass[b.order] = np.concatenate([np.frombuffer(zlib.decompress(x), "<f4") for x in sent])
-        where, size, c = _column(found, "number"), b.size, b.c
-        seen = where[found.column("roots").is_valid().to_numpy()]
-        roots, opens = np.zeros((size, kept)), np.zeros((size, kept))
-        for name, into in (("roots", roots), ("opens", opens)):
-            into[seen] = found.column(name).combine_chunks().flatten().to_numpy().reshape(-1, kept)
-        roots = (roots + from_base) / guests
-        back = (strength + discount * opens) / (strength + c)[:, None]
+        n, tables = _unpacked(sent, "n", "tables")
+        mass[b.order] = (n - discount * tables / kept).astype("<f4")
+        held = np.concatenate([_unpack(x).reshape(3, kept, -1) for x in words.column("kept").to_pylist()], axis=2)
+        customers, seats, opens = np.cumsum(held, axis=1).astype(float)
+        roots = ((customers - d0 * seats).T + from_base) / guests
+        back = (strength + discount * opens.T) / (strength + c)[:, None]
         # Pairs, not tokens, are worked out.
-        u, w = b.keys // size, b.keys % size
-        p = mass / (strength + c[u])
+        p = mass / (strength + c)[b.first]
         for s in range(kept):
-            p += back[u, s] * roots[w, s] / kept
-        starts = np.cumsum(b.sizes) - b.sizes
+            p += back[:, s][b.first] * roots[:, s][b.second] / kept
+        begins = np.cumsum(b.sizes) - b.sizes
         base = np.log10((c + 0.5) / (tokens + 0.5 * (types + 1)))
-        total = lambda x: np.add.reduceat(x, starts)  # noqa: E731  every text has its end token
+        total = lambda x: np.add.reduceat(x, begins)  # noqa: E731  every text has its end token
         return pa.table({
             "key": texts.column("keys")[0].values, "n_tokens": b.sizes,
             "n_known": total((c > 0).astype(np.int64)[b.own]), "base_score": total(base[b.own]),
             "score": total(np.log10(p)[b.at])})
 
-    kind = table.schema["keys"].dataType.elementType.simpleString()
-    parts = table.select("block", "keys", "sizes", "refs").groupBy("block").cogroup(
-        known.unionByName(found_pairs).groupBy("of"))
+    found = block_words(model).unionByName(gains, allowMissingColumns=True)
+    parts = table.select("block", "keys", "sizes", "refs").groupBy("block").cogroup(found.groupBy("of"))
     return parts.applyInArrow(run, f"key {kind}, n_tokens long, n_known long, base_score double, score double")
 
 
@@ -533,15 +716,13 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", pa
     flag = F.coalesce(id_remainder(F.col(key), 5) == 1, F.lit(False))
     rows = docs.select(F.col(key).alias("key"), flag.alias("flag"), F.col(text).alias("text"))
     table = cuts.cut(blocks(rows, fold=True, end=True, block_bytes=params.block_bytes), "blocks", compression="zstd")
-    vocab, types, tokens = vocabulary(table, cuts)
-    numbers = cuts.cut(block_words(table, vocab), "numbers", compression="zstd")
-    pairs = cuts.cut(block_pairs(table, numbers, _chunks(tokens, params), params), "block-pairs")
-    model = fit_pairs(pairs, vocab, types, tokens, cuts, params)
-    cuts.drop(f"{cuts.root}/vocabulary")
+    vocab = vocabulary(table, cuts, params)
+    pairs = cuts.cut(block_pairs(table, vocab, _chunks(vocab.tokens, params), params), "block-pairs")
+    model = fit_pairs(pairs, vocab, cuts, params)
     gains = cuts.cut(block_gains(pairs, model), "gains")
     # Only the words of the model are needed from here on.
     for name in ("block-pairs", "seats", f"seats-{params.sweeps}"):
         cuts.drop(f"{cuts.root}/{name}")
-    out = score(table, numbers, gains, model)
+    out = score(table, gains, model)
     return out.select(F.col("key").alias(key), (id_remainder(F.col("key"), 5) == 1).alias("held_out"), "n_tokens",
-                      "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+                      "n_known", F.lit(vocab.tokens).cast("long").alias("train_tokens"), "base_score", "score")
