@@ -313,3 +313,45 @@ def test_lists_are_compared_only_with_a_common_mark(spark):
     assert sorted((r["src"], r["dst"]) for r in found.collect()) == want
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert re.search(r"marks#\d+L? & marks2#\d+L?\) = 0\) OR NOT arrays_overlap", plan)
+
+
+@pytest.mark.parametrize("group, share", [(1 << 15, 2.0), (50, 1 / 512)])
+def test_dense_bags_are_formed_in_tiles(spark, monkeypatch, group, share):
+    """All pairs in tiles: the same pairs, sums and, where postings repeat, the same repeats as from the joins."""
+    from wordgraph.operators import overlap as O
+    from wordgraph.operators import tiles
+
+    monkeypatch.setattr(tiles, "GROUP_BAGS", group)
+    rng = random.Random(3)
+    data = {v: {min(int(rng.expovariate(0.05)), 90) for _ in range(rng.randint(1, 45))} for v in range(150)}
+    once = [(v, w) for v, ws in data.items() for w in ws] + [(None, 1), (None, 2)]
+    twice = once + [(v, w) for v, w in once if v is not None and v % 5 == 0]
+    kw = dict(hot_share=share, key_share=share)
+    for rows_of in (once, twice):
+        p = spark.createDataFrame(rows_of, "v long, w long")
+        found = []
+        for least in (1 << 60, 0):
+            monkeypatch.setattr(O, "DENSE_BAGS", least)
+            edges = overlap_edges(p, with_sizes=True, prefix_words=12, cell_rows=30)
+            assert ("arrays_overlap" in edges._jdf.queryExecution().optimizedPlan().toString()) == (least > 0)
+            found.append((rows(edges), rows(O.neighbor_totals(p, prefix_words=12, **kw), "v", "n", "k", "total"),
+                          rows(O.larger_source_count(p, prefix_words=12, **kw))))
+        assert found[0] == found[1]
+        assert {(a, b) for a, b, *_ in found[1][0]} == brute_edges(data)
+
+
+def test_a_group_is_shuffled_once(spark, monkeypatch):
+    """However many tiles there are, a bag's words cross the network once for each side."""
+    from wordgraph.operators import overlap as O
+    from wordgraph.operators import tiles
+
+    monkeypatch.setattr(tiles, "GROUP_BAGS", 20)
+    monkeypatch.setattr(O, "DENSE_BAGS", 0)
+    data = {v: {0, 1 + v % 2} for v in range(200)}
+    data |= {v: {v} for v in range(200, 203)}
+    _, p, _ = bags(spark, {v: [f"w{w}" for w in ws] for v, ws in data.items()})
+    edges = overlap_edges(p)
+    plan = edges._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Generate" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert edges.rdd.getNumPartitions() >= 55
+    assert set(rows(edges)) == brute_edges(data)
