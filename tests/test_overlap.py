@@ -355,3 +355,21 @@ def test_a_group_is_shuffled_once(spark, monkeypatch):
     assert "CartesianProduct" in plan and "Generate" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert edges.rdd.getNumPartitions() >= 55
     assert set(rows(edges)) == brute_edges(data)
+
+
+def test_triplets_of_overlaps_shuffle_no_edge(spark):
+    """Attributes go to the postings; missing ones drop edges, repeated ones repeat them, as after the edges."""
+    from wordgraph import triplets
+
+    data = {v: [f"w{v % 9}", f"x{v % 4}", f"y{v}", f"y{v + 1}"] for v in range(40)}
+    _, p, _ = bags(spark, data)
+    attrs = spark.createDataFrame([(v, v * 10) for v in range(38)] + [(5, 7), (None, 3), (99, 1)], "v long, x long")
+    for kw in (dict(attr=1, hot_words=0), dict(hot_words=2, cell_rows=5, directed=False, with_sizes=True), dict(prefix_words=1)):
+        edges = overlap_edges(p, **kw)
+        got = triplets(edges, attrs, "x")
+        want = edges.join(attrs.select(F.col("v").alias("src"), F.col("x").alias("src_x")), "src").join(
+            attrs.select(F.col("v").alias("dst"), F.col("x").alias("dst_x")), "dst").select(*edges.columns, "src_x", "dst_x")
+        assert got.columns == want.columns and rows(got) == rows(want)
+        if "prefix_words" not in kw:
+            plan = got._jdf.queryExecution().optimizedPlan().toString()
+            assert "shuffle_hash" not in plan and not re.search(r"Join Inner, \((src|dst)#", plan)

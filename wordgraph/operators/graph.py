@@ -96,14 +96,23 @@ def triplets(edges: DataFrame, attrs: DataFrame, value: str, src_name: str | Non
     """Each edge with the attribute ``value`` of both ends.
 
     ``attrs(v, value)``, one row per vertex; the output has ``src_<value>`` and ``dst_<value>``
-    unless names are given. The attributes are hashed, so that the edges, which are many more, are not sorted for
+    unless names are given. Edges that are formed by a join of what their ends hold (``overlap_edges``) take the
+    attributes from there: they are joined to both sides before the edges are formed, so that no edge is shuffled.
+    Elsewhere the attributes are hashed, so that the edges, which are many more, are not sorted for
     either join: sorts of all edges go to disk.
     """
     sname = src_name or f"src_{value}"
     dname = dst_name or f"dst_{value}"
+    names = [*edges.columns, sname, dname]
+    if "with_ends" in vars(edges) and not {sname, dname, "ends", "endd"} & set(edges.columns):
+        attrs = attrs.select("v", value)
+        joined, edges = edges.with_ends(attrs, value)
+        if joined is not None:
+            joined = joined.withColumnsRenamed({"ends": sname, "endd": dname}).select(*names)
+            return joined if edges is None else joined.unionByName(triplets(edges, attrs, value, sname, dname))
     a_src = attrs.select(F.col("v").alias("src"), F.col(value).alias(sname)).hint("shuffle_hash")
     a_dst = attrs.select(F.col("v").alias("dst"), F.col(value).alias(dname)).hint("shuffle_hash")
-    return edges.join(a_src, "src").join(a_dst, "dst").select(*edges.columns, sname, dname)
+    return edges.join(a_src, "src").join(a_dst, "dst").select(*names)
 
 
 def update_join(old: DataFrame, new: DataFrame, key: str, value: str, update: Column) -> DataFrame:
